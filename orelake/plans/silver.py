@@ -18,7 +18,7 @@ from orelake.functions.columns import (
     month_start,
     quarter_start,
 )
-from orelake.functions.sentiment import sentiment
+from orelake.functions.sentiment import sentiment_from_hits, words_found
 from orelake.operators.sequences import purchase_sequence
 from orelake.vocab import (
     ALERT_RULES,
@@ -114,8 +114,12 @@ def processed_reviews(
     positive: Sequence[str] = POSITIVE_WORDS,
     negative: Sequence[str] = NEGATIVE_WORDS,
 ) -> DataFrame:
-    scored = reviews.withColumn("_s", sentiment(F.col("REVIEW_TEXT"), positive, negative))
-    return scored.select(
+    # Hit counts are columns of their own: Catalyst keeps such a projection apart,
+    # so every text is lower-cased and searched once for all three results.
+    lowered = F.lower(F.col("REVIEW_TEXT"))
+    found = reviews.withColumns({"_up": words_found(lowered, positive), "_down": words_found(lowered, negative)})
+    result = sentiment_from_hits(F.col("REVIEW_TEXT"), F.col("_up"), F.col("_down"))
+    return found.withColumn("_s", result).select(
         "REVIEW_ID",
         "PRODUCT_ID",
         "CUSTOMER_ID",
