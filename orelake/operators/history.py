@@ -47,7 +47,7 @@ def table_changes(old: DataFrame, new: DataFrame, key: str, initial_rows: bool =
     gone, came = F.col("before").isNotNull(), F.col("after").isNotNull()
     moved = paired.filter(~F.col("before").eqNullSafe(F.col("after")))
     if not initial_rows:
-        moved = moved.join(old.select(F.lit(True).alias("_any")).limit(1), how="left_semi")
+        moved = moved.filter(old.select(key).limit(1).agg(F.count(F.lit(1)) > 0).scalar())
     images = F.array(
         F.when(gone, F.struct(F.col("before").alias("row"), F.lit("DELETE").alias("action"))),
         F.when(came, F.struct(F.col("after").alias("row"), F.lit("INSERT").alias("action"))),
@@ -118,7 +118,12 @@ def scd2_apply(
         F.when(deleted, "DELETE").otherwise(F.col("DML_TYPE")).alias("DML_TYPE"),
     )
 
-    standing = current.select(F.col(key).alias("_cur_key"), F.struct(*payload).alias("_cur"))
+    # Only the current rows a batch names are needed here; when the batch is small
+    # it is broadcast and the history is not shuffled.
+    named = batch.select(F.col("_key").alias("_named"))
+    standing = current.join(named, F.col(key) == F.col("_named"), "left_semi").select(
+        F.col(key).alias("_cur_key"), F.struct(*payload).alias("_cur")
+    )
     fresh = (
         batch.filter(F.col("_action") == "INSERT")
         .join(standing, F.col("_key") == F.col("_cur_key"), "left")
