@@ -251,5 +251,305 @@ def silver_and_gold() -> dict[str, str]:
     return q
 
 
+# --- change history ----------------------------------------------------------
+STATES = ORDERS + """, old_o AS (SELECT * FROM orders_b WHERE ORDER_DATE < TIMESTAMP '2001-01-01 00:00:00'), new_o AS (
+  SELECT * REPLACE (CASE WHEN ORDER_STATUS = 'Pending' THEN 'Shipped' ELSE ORDER_STATUS END AS ORDER_STATUS,
+                    CAST(CASE WHEN ORDER_STATUS = 'Pending' THEN TOTAL_AMOUNT + 1 ELSE TOTAL_AMOUNT END AS DECIMAL(12,2)) AS TOTAL_AMOUNT)
+  FROM orders_b WHERE ORDER_STATUS <> 'Cancelled'), changed AS (
+  SELECT o.ORDER_ID FROM old_o o JOIN new_o n USING (ORDER_ID)
+  WHERE o.ORDER_STATUS IS DISTINCT FROM n.ORDER_STATUS OR o.TOTAL_AMOUNT IS DISTINCT FROM n.TOTAL_AMOUNT)"""
+
+AMOUNTS_AS_DOUBLE = """CAST(TOTAL_AMOUNT AS DOUBLE) AS TOTAL_AMOUNT, CAST(DISCOUNT_AMOUNT AS DOUBLE) AS DISCOUNT_AMOUNT,
+  CAST(SHIPPING_AMOUNT AS DOUBLE) AS SHIPPING_AMOUNT"""
+
+HISTORY = STATES + """, versions AS (
+  SELECT o.*, '2001-01-01 00:00:00' AS EFFECTIVE_FROM,
+         CASE WHEN n.ORDER_ID IS NULL OR o.ORDER_ID IN (SELECT ORDER_ID FROM changed) THEN '2001-08-02 00:00:00' ELSE '9999-12-31 00:00:00' END AS EFFECTIVE_TO,
+         NOT (n.ORDER_ID IS NULL OR o.ORDER_ID IN (SELECT ORDER_ID FROM changed)) AS IS_CURRENT,
+         CASE WHEN n.ORDER_ID IS NULL THEN 'DELETE' ELSE 'INSERT' END AS DML_TYPE
+  FROM old_o o LEFT JOIN (SELECT ORDER_ID FROM new_o) n USING (ORDER_ID)
+  UNION ALL
+  SELECT n.*, '2001-08-02 00:00:00', '9999-12-31 00:00:00', TRUE,
+         CASE WHEN n.ORDER_ID IN (SELECT ORDER_ID FROM old_o) THEN 'UPDATE' ELSE 'INSERT' END
+  FROM new_o n WHERE n.ORDER_ID NOT IN (SELECT ORDER_ID FROM old_o) OR n.ORDER_ID IN (SELECT ORDER_ID FROM changed))"""
+
+
+def daily(source: str, where: str = "TRUE") -> str:
+    net = "TOTAL_AMOUNT - DISCOUNT_AMOUNT + SHIPPING_AMOUNT"
+    return f"""SELECT CAST(ORDER_DATE AS DATE) AS METRIC_DATE, REGION, CHANNEL, COUNT(*) AS ORDER_COUNT, {money(f'SUM({net})')} AS TOTAL_REVENUE,
+        {avg(net, 2)} AS AVG_ORDER_VALUE, COUNT(DISTINCT CUSTOMER_ID) AS NEW_CUSTOMERS FROM {source} WHERE {where} GROUP BY 1, 2, 3"""
+
+
+def change_history() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["order_changes"] = f"""WITH {STATES}, feed AS (
+        SELECT *, 'DELETE' AS _action, ORDER_ID IN (SELECT ORDER_ID FROM changed) AS _is_update FROM old_o
+        WHERE ORDER_ID IN (SELECT ORDER_ID FROM changed) OR ORDER_ID NOT IN (SELECT ORDER_ID FROM new_o)
+        UNION ALL
+        SELECT *, 'INSERT', ORDER_ID IN (SELECT ORDER_ID FROM changed) FROM new_o
+        WHERE ORDER_ID IN (SELECT ORDER_ID FROM changed) OR ORDER_ID NOT IN (SELECT ORDER_ID FROM old_o))
+        SELECT * REPLACE ({AMOUNTS_AS_DOUBLE}) FROM feed"""
+    versions = f"""WITH {HISTORY} SELECT ORDER_ID, CUSTOMER_ID, ORDER_DATE, ORDER_STATUS, {money('TOTAL_AMOUNT')} AS TOTAL_AMOUNT,
+        {money('TOTAL_AMOUNT - DISCOUNT_AMOUNT + SHIPPING_AMOUNT')} AS NET_AMOUNT, REGION, CHANNEL, SOURCE_SYSTEM,
+        EFFECTIVE_FROM, EFFECTIVE_TO, IS_CURRENT, DML_TYPE FROM versions"""
+    q["orders_scd2"] = q["orders_scd2_from_log"] = q["order_history_stream"] = versions
+    q["orders_history_view"] = f"WITH {HISTORY} SELECT ORDER_ID, ORDER_STATUS, IS_CURRENT, EFFECTIVE_FROM, EFFECTIVE_TO, DML_TYPE FROM versions"
+    q["daily_order_metrics"] = f"WITH {HISTORY} {daily('versions', 'IS_CURRENT')}"
+    q["upsert_daily"] = f"""WITH {STATES}, a AS ({daily('old_o')}), b AS ({daily('new_o')})
+        SELECT *, TIMESTAMP '2001-08-02 00:00:00' AS UPDATED_AT FROM b
+        UNION ALL SELECT *, TIMESTAMP '2001-01-01 00:00:00' FROM a
+        WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.METRIC_DATE = a.METRIC_DATE AND b.REGION = a.REGION AND b.CHANNEL = a.CHANNEL)"""
+    q["ticket_metrics"] = f"""WITH {TICKETS} SELECT DATE '{AS_OF}' AS METRIC_DATE, CATEGORY, PRIORITY, COUNT(*) AS TICKET_COUNT,
+        {avg('RESOLUTION_TIME_HOURS', 2)} AS AVG_RESOLUTION_HRS, {avg('SATISFACTION_SCORE', 2)} AS AVG_SATISFACTION,
+        COUNT(*) FILTER (STATUS IN ('Open', 'In Progress')) AS OPEN_TICKETS, TIMESTAMP '{AS_OF} 00:00:00' AS UPDATED_AT
+        FROM tickets_b GROUP BY CATEGORY, PRIORITY"""
+    return q
+
+
+# --- events, exchange, semantic layer ------------------------------------------
+DEVICE = "CASE event_type WHEN 'view' THEN 'temperature' WHEN 'click' THEN 'humidity' WHEN 'purchase' THEN 'pressure' WHEN 'signup' THEN 'motion' WHEN 'error' THEN 'vibration' END"
+
+TARGET_ROWS = """(VALUES
+  ('NORTH AMERICA', 2000, 8500, 9200, 10800, 12500), ('EUROPE', 2000, 5200, 5800, 6500, 7800),
+  ('ASIA PACIFIC', 2000, 3800, 4200, 5100, 6000), ('LATIN AMERICA', 2000, 1800, 2100, 2400, 2800),
+  ('NORTH AMERICA', 2001, 9500 + 3200, 10200 + 3500, 12000 + 4100, 14000 + 4800),
+  ('EUROPE', 2001, 5800 + 1800, 6400 + 2000, 7200 + 2300, 8600 + 2700),
+  ('ASIA PACIFIC', 2001, 4200 + 1500, 4700 + 1700, 5600 + 2000, 6600 + 2400),
+  ('LATIN AMERICA', 2001, 2000, 2300, 2650, 3100)) v(r, y, q1, q2, q3, q4)"""
+
+
+def asked() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["iot_alerts"] = f"""WITH i AS (SELECT 'DEV-' || lpad(CAST(user_id AS VARCHAR), 5, '0') AS DEVICE_ID, {DEVICE} AS DEVICE_TYPE, value AS SENSOR_VALUE,
+        ts AS EVENT_TIMESTAMP FROM events)
+        SELECT DEVICE_ID, DEVICE_TYPE, SENSOR_VALUE, CASE DEVICE_TYPE WHEN 'temperature' THEN 'celsius' WHEN 'humidity' THEN 'percent'
+          WHEN 'pressure' THEN 'hPa' WHEN 'motion' THEN 'boolean' WHEN 'vibration' THEN 'mm/s' ELSE 'unit' END AS UNIT,
+        COALESCE((DEVICE_TYPE = 'temperature' AND (SENSOR_VALUE > 32 OR SENSOR_VALUE < 16)) OR (DEVICE_TYPE = 'humidity' AND SENSOR_VALUE > 80)
+          OR (DEVICE_TYPE = 'vibration' AND SENSOR_VALUE > 40), FALSE) AS ALERT_TRIGGERED, EVENT_TIMESTAMP FROM i"""
+    q["clickstream_json"] = """SELECT CAST(event_id AS VARCHAR) AS EVENT_ID, user_id AS USER_ID, event_type AS EVENT_TYPE,
+        CAST(json_extract_string(props, '$.k') AS BIGINT) AS PRODUCT_ID, ts AS EVENT_TIMESTAMP FROM events"""
+    pairs = [
+        ("CUSTOMERS", "customer"), ("PRODUCTS", "part"), ("ORDERS", "orders"), ("ORDER_ITEMS", "lineitem"),
+        ("PRODUCT_REVIEWS", "documents"), ("SUPPORT_TICKETS", "conversations WHERE role = 'user'"),
+        ("CLICKSTREAM", "events"), ("IOT_READINGS", "events"),
+    ]
+    q["row_counts"] = " UNION ALL ".join(f"SELECT '{n}' AS TABLE_NAME, COUNT(*) AS ROW_COUNT FROM {t}" for n, t in pairs)
+    q["target_attainment"] = f"""WITH {SALES}, t AS (
+        SELECT r AS REGION, y AS YEAR, u.n AS QUARTER, CAST(CASE u.n WHEN 1 THEN q1 WHEN 2 THEN q2 WHEN 3 THEN q3 ELSE q4 END AS BIGINT) * 1000 AS target
+        FROM {TARGET_ROWS}, (VALUES (1), (2), (3), (4)) u(n)), s AS (
+        SELECT REGION, year(MONTH) AS YEAR, quarter(MONTH) AS QUARTER, SUM(TOTAL_REVENUE) AS actual FROM sales GROUP BY 1, 2, 3)
+        SELECT REGION, CAST(YEAR AS BIGINT) AS YEAR, CAST(QUARTER AS BIGINT) AS QUARTER, {money('target')} AS REVENUE_TARGET, {money('actual')} AS ACTUAL_REVENUE,
+        {ratio(f"100 * {cents('actual')}", "100 * target", 2)} AS ATTAINMENT_PCT, CASE WHEN actual >= target THEN 'Over' ELSE 'Under' END AS STATUS
+        FROM t JOIN s USING (REGION, YEAR, QUARTER)"""
+    q["semantic_region"] = f"WITH {ORDERS} SELECT REGION AS region, {money('SUM(TOTAL_AMOUNT)')} AS total_revenue, COUNT(ORDER_ID) AS order_count FROM orders_b GROUP BY 1"
+    month = f"""SELECT CAST(date_trunc('month', ORDER_DATE) AS DATE) AS order_month, {avg('TOTAL_AMOUNT', 6)} AS average_order_value"""
+    q["semantic_month"] = f"WITH {ORDERS} {month}, {money('SUM(TOTAL_AMOUNT)')} AS total_revenue FROM orders_b GROUP BY 1"
+    q["semantic_segment"] = f"""WITH {ORDERS}, {CUSTOMERS} SELECT CUSTOMER_SEGMENT AS customer_segment, {money('SUM(TOTAL_AMOUNT)')} AS total_revenue,
+        COUNT(ORDER_ID) AS order_count FROM orders_b LEFT JOIN customers_b USING (CUSTOMER_ID) WHERE year(ORDER_DATE) = 2000 GROUP BY 1"""
+    q["semantic_drill_across"] = f"""WITH {PRODUCTS}, {ITEMS}, {REVIEWS}, a AS (
+        SELECT CATEGORY, BRAND, SUM(QUANTITY) AS u, SUM(LINE_TOTAL) AS r FROM items_b LEFT JOIN products_b USING (PRODUCT_ID) GROUP BY 1, 2), b AS (
+        SELECT CATEGORY, BRAND, COUNT(REVIEW_ID) AS n, {avg('RATING', 6)} AS m FROM reviews_b LEFT JOIN products_b USING (PRODUCT_ID) GROUP BY 1, 2)
+        SELECT COALESCE(a.CATEGORY, b.CATEGORY) AS category, COALESCE(a.BRAND, b.BRAND) AS brand, CAST(u AS BIGINT) AS total_units_sold,
+        {money('r')} AS total_line_revenue, n AS review_count, m AS average_rating
+        FROM a FULL JOIN b ON a.CATEGORY IS NOT DISTINCT FROM b.CATEGORY AND a.BRAND IS NOT DISTINCT FROM b.BRAND"""
+    q["semantic_country"] = f"""WITH {ORDERS}, {CUSTOMERS}, {REVIEWS}, o AS (
+        SELECT COUNTRY, CUSTOMER_SEGMENT, SUM(TOTAL_AMOUNT - DISCOUNT_AMOUNT + SHIPPING_AMOUNT) AS r, COUNT(*) FILTER (ORDER_STATUS = 'Cancelled') AS c
+        FROM orders_b LEFT JOIN customers_b USING (CUSTOMER_ID) GROUP BY 1, 2), c AS (
+        SELECT COUNTRY, CUSTOMER_SEGMENT, COUNT(CUSTOMER_ID) AS n FROM customers_b GROUP BY 1, 2), v AS (
+        SELECT COUNTRY, CUSTOMER_SEGMENT, COUNT(REVIEW_ID) AS n FROM reviews_b LEFT JOIN customers_b USING (CUSTOMER_ID) GROUP BY 1, 2), k AS (
+        SELECT COUNTRY, CUSTOMER_SEGMENT FROM o UNION SELECT COUNTRY, CUSTOMER_SEGMENT FROM c UNION SELECT COUNTRY, CUSTOMER_SEGMENT FROM v)
+        SELECT k.COUNTRY AS customer_country, k.CUSTOMER_SEGMENT AS customer_segment, {money('o.r')} AS net_revenue, o.c AS cancelled_orders,
+        c.n AS customer_count, v.n AS review_count FROM k
+        LEFT JOIN o ON o.COUNTRY IS NOT DISTINCT FROM k.COUNTRY AND o.CUSTOMER_SEGMENT IS NOT DISTINCT FROM k.CUSTOMER_SEGMENT
+        LEFT JOIN c ON c.COUNTRY IS NOT DISTINCT FROM k.COUNTRY AND c.CUSTOMER_SEGMENT IS NOT DISTINCT FROM k.CUSTOMER_SEGMENT
+        LEFT JOIN v ON v.COUNTRY IS NOT DISTINCT FROM k.COUNTRY AND v.CUSTOMER_SEGMENT IS NOT DISTINCT FROM k.CUSTOMER_SEGMENT"""
+    q["question_aov_last_month"] = f"WITH {ORDERS} {month} FROM orders_b GROUP BY 1 ORDER BY 1 DESC LIMIT 1"
+    q["question_channel_customers"] = f"WITH {ORDERS} SELECT CHANNEL AS channel, COUNT(DISTINCT CUSTOMER_ID) AS unique_customers FROM orders_b GROUP BY 1"
+    q["question_top_categories"] = f"""WITH {PRODUCTS}, {ITEMS} SELECT CATEGORY AS category, CAST(SUM(QUANTITY) AS BIGINT) AS total_units_sold
+        FROM items_b LEFT JOIN products_b USING (PRODUCT_ID) GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 5"""
+    q["question_category_sales"] = f"""WITH {PRODUCTS}, {ITEMS} SELECT CATEGORY AS category, {money('SUM(LINE_TOTAL)')} AS revenue,
+        COUNT(DISTINCT ORDER_ID) AS orders, {ratio("SUM(CAST(LINE_TOTAL * 100 AS BIGINT))", "100 * COUNT(DISTINCT ORDER_ID)", 2)} AS average_order_value
+        FROM items_b LEFT JOIN products_b USING (PRODUCT_ID) GROUP BY 1"""
+    q["question_category_support"] = f"""WITH {PRODUCTS}, {REVIEWS}, {TICKETS} SELECT 'ECONOMY' AS category,
+        (SELECT COUNT(*) FROM tickets_b JOIN products_b USING (PRODUCT_ID) WHERE products_b.CATEGORY = 'ECONOMY') AS ticket_count,
+        {avg('RATING', 6)} AS average_rating, COUNT(REVIEW_ID) AS review_count
+        FROM reviews_b JOIN products_b USING (PRODUCT_ID) WHERE CATEGORY = 'ECONOMY'"""
+    q["question_net_revenue"] = f"""WITH {ORDERS} SELECT REGION AS region, {money('SUM(TOTAL_AMOUNT - DISCOUNT_AMOUNT + SHIPPING_AMOUNT)')} AS net_revenue
+        FROM orders_b WHERE year(ORDER_DATE) = 2000 GROUP BY 1"""
+    return q
+
+
+# --- search ----------------------------------------------------------------------
+def postings(docs: str, doc_id: str, text: str) -> str:
+    return rf"""words AS (
+  SELECT {doc_id} AS d, list_filter(string_split_regex(lower({text}), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM {docs}), sizes AS (
+  SELECT d, COALESCE(len(w), 0) AS dl FROM words), stats AS (SELECT COUNT(*) AS n, AVG(dl) AS al FROM sizes), posts AS (
+  SELECT d, t, COUNT(*) AS tf FROM (SELECT d, unnest(w) AS t FROM words) GROUP BY 1, 2), qterms AS (
+  SELECT q, t, COUNT(*) AS qtf FROM (SELECT item_id AS q,
+    unnest(list_filter(string_split_regex(lower(text), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '')) AS t FROM benchmark) GROUP BY 1, 2), freq AS (
+  SELECT t, COUNT(*) AS df FROM posts GROUP BY 1)"""
+
+
+def bm25(where: str = "TRUE") -> str:
+    return f"""bm25 AS (
+  SELECT q, posts.d, round(SUM(ln(1 + (n - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / al))), 6) AS s
+  FROM qterms JOIN freq USING (t) JOIN posts USING (t) JOIN sizes ON sizes.d = posts.d, stats WHERE {where} GROUP BY 1, 2)"""
+
+
+COSINE = """dnorm AS (SELECT d, sqrt(SUM((1 + ln(tf)) * (1 + ln(tf)))) AS nd FROM posts GROUP BY 1), qw AS (
+  SELECT q, t, (1 + ln(qtf)) * ln(n / df) AS wq FROM qterms JOIN freq USING (t), stats), qnorm AS (
+  SELECT q, sqrt(SUM(wq * wq)) AS nq FROM qw GROUP BY 1), cosine AS (
+  SELECT q, d, round(SUM(wq / nq * (1 + ln(tf)) / nd), 6) AS s, SUM(wq / nq * (1 + ln(tf)) / nd) AS raw
+  FROM qw JOIN qnorm USING (q) JOIN posts USING (t) JOIN dnorm USING (d) WHERE nq > 0 GROUP BY 1, 2 HAVING raw > 0)"""
+
+
+def top(source: str, k: int) -> str:
+    return f"""SELECT q, d, s, ROW_NUMBER() OVER (PARTITION BY q ORDER BY s DESC, d) AS r FROM {source} QUALIFY r <= {k}"""
+
+
+def searched() -> dict[str, str]:
+    q: dict[str, str] = {}
+    out = "SELECT q AS QUERY_ID, d AS DOC_ID, s AS SCORE, r AS RANK FROM"
+    index = postings("documents", "doc_id", "text")
+    q["review_search_docs"] = f"""WITH {PRODUCTS}, {PROCESSED} SELECT REVIEW_ID, REVIEW_TEXT, CAST(RATING AS DOUBLE) AS RATING, REVIEW_DATE, HELPFUL_VOTES,
+        PRODUCT_NAME, CATEGORY, BRAND, SENTIMENT_LABEL, SENTIMENT_SCORE FROM processed LEFT JOIN products_b USING (PRODUCT_ID)"""
+    q["ticket_search_docs"] = f"""WITH {PRODUCTS}, {CUSTOMERS}, {TICKETS} SELECT TICKET_ID, TICKET_SUBJECT || '. ' || COALESCE(TICKET_DESCRIPTION, '') AS TICKET_CONTENT,
+        TICKET_SUBJECT, t.CATEGORY, PRIORITY, STATUS, CAST(RESOLUTION_TIME_HOURS AS DOUBLE) AS RESOLUTION_TIME_HOURS,
+        CAST(SATISFACTION_SCORE AS DOUBLE) AS SATISFACTION_SCORE, CREATED_AT, CUSTOMER_SEGMENT, STATE AS CUSTOMER_STATE,
+        COALESCE(PRODUCT_NAME, 'N/A') AS PRODUCT_NAME, COALESCE(p.CATEGORY, 'N/A') AS PRODUCT_CATEGORY
+        FROM tickets_b t LEFT JOIN customers_b c USING (CUSTOMER_ID) LEFT JOIN products_b p USING (PRODUCT_ID)"""
+    q["keyword_search"] = f"WITH {index}, {bm25()} {out} ({top('bm25', 5)})"
+    rated = bm25("posts.d IN (SELECT REVIEW_ID FROM reviews_b WHERE RATING >= 4)")
+    q["keyword_search_filtered"] = f"""WITH {PRODUCTS}, {PROCESSED}, {index}, {rated}, best AS ({top('bm25', 5)})
+        SELECT q AS QUERY_ID, d AS REVIEW_ID, s AS SCORE, r AS RANK, PRODUCT_NAME, CAST(RATING AS DOUBLE) AS RATING, SENTIMENT_LABEL
+        FROM best JOIN processed ON d = REVIEW_ID LEFT JOIN products_b USING (PRODUCT_ID)"""
+    q["text_vector_search"] = f"WITH {index}, {COSINE} {out} ({top('cosine', 5)})"
+    q["hybrid_search"] = f"""WITH {index}, {bm25()}, {COSINE}, a AS ({top('bm25', 20)}), b AS ({top('cosine', 20)}), fused AS (
+        SELECT q, d, round(SUM(1.0::DOUBLE / (60 + r)), 9) AS s FROM (SELECT q, d, r FROM a UNION ALL SELECT q, d, r FROM b) GROUP BY 1, 2)
+        {out} ({top('fused', 10)})"""
+    q["vector_topk"] = f"""WITH c AS (SELECT label, list(x ORDER BY pos) AS v FROM (
+          SELECT label, pos, AVG(CAST(embedding[pos] AS DOUBLE)) AS x FROM embeddings, generate_series(1, 64) g(pos) GROUP BY 1, 2) GROUP BY 1), sims AS (
+        SELECT CAST(c.label AS BIGINT) AS q, vec_id AS d, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), v), 6) AS s FROM embeddings, c)
+        SELECT q AS QUERY_ID, d AS VEC_ID, s AS SCORE, r AS RANK FROM ({top('sims', 10)})"""
+    return q
+
+
+# --- features, splits, model quality ------------------------------------------
+TICKET_FEATURES = PRODUCTS + ", " + CUSTOMERS + ", " + ORDERS + ", " + TICKETS + f""", spend AS (
+  SELECT CUSTOMER_ID, COUNT(ORDER_ID) AS n, SUM(TOTAL_AMOUNT) AS s, {avg('TOTAL_AMOUNT', 6)} AS a FROM orders_b GROUP BY 1), feats AS (
+  SELECT TICKET_ID, PRIORITY, t.CATEGORY, CUSTOMER_SEGMENT, STATUS, length(TICKET_DESCRIPTION) AS TICKET_DESC_LENGTH, length(TICKET_SUBJECT) AS TICKET_SUBJECT_LENGTH,
+         len(string_split(TICKET_DESCRIPTION, ' ')) AS TICKET_WORD_COUNT,
+         COALESCE(datediff('day', REGISTRATION_DATE, CAST(CREATED_AT AS DATE)), 0) AS DAYS_AS_CUSTOMER, hour(CREATED_AT) AS TICKET_HOUR,
+         dayofweek(CREATED_AT) AS TICKET_DAY_OF_WEEK, CASE WHEN t.PRODUCT_ID IS NULL THEN 0 ELSE 1 END AS HAS_PRODUCT,
+         COALESCE(CAST(UNIT_PRICE AS DOUBLE), 0.0) AS UNIT_PRICE, COALESCE(n, 0) AS CUSTOMER_ORDER_COUNT,
+         COALESCE(CAST(s AS DOUBLE), 0.0) AS CUSTOMER_TOTAL_SPEND, COALESCE(a, 0.0) AS CUSTOMER_AVG_ORDER
+  FROM tickets_b t LEFT JOIN customers_b USING (CUSTOMER_ID) LEFT JOIN products_b p ON t.PRODUCT_ID = p.PRODUCT_ID LEFT JOIN spend USING (CUSTOMER_ID))"""
+
+TICKET_NUMERIC = (
+    "TICKET_DESC_LENGTH TICKET_SUBJECT_LENGTH TICKET_WORD_COUNT DAYS_AS_CUSTOMER TICKET_HOUR TICKET_DAY_OF_WEEK UNIT_PRICE "
+    "CUSTOMER_ORDER_COUNT CUSTOMER_TOTAL_SPEND CUSTOMER_AVG_ORDER"
+).split()
+REVENUE_NUMERIC = (
+    "ORDER_COUNT UNIQUE_CUSTOMERS TOTAL_UNITS AVG_DISCOUNT REVENUE_LAG_1 REVENUE_LAG_2 REVENUE_LAG_3 REVENUE_MA_3 ORDER_COUNT_LAG_1"
+).split()
+MA3 = ratio(
+    "SUM(CAST(r * 100 AS BIGINT)) OVER (PARTITION BY CATEGORY ORDER BY ORDER_MONTH ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING)",
+    "(100 * COUNT(r) OVER (PARTITION BY CATEGORY ORDER BY ORDER_MONTH ROWS BETWEEN 3 PRECEDING AND 1 PRECEDING))",
+    6,
+)
+
+REVENUE_FEATURES = CATEGORY_MONTHS + f""", m AS (
+  SELECT ORDER_MONTH, CATEGORY, SUM(LINE_TOTAL) AS r, COUNT(DISTINCT ORDER_ID) AS ORDER_COUNT, COUNT(DISTINCT CUSTOMER_ID) AS UNIQUE_CUSTOMERS,
+         CAST(SUM(QUANTITY) AS BIGINT) AS TOTAL_UNITS, {avg('DISCOUNT_PCT', 6)} AS AVG_DISCOUNT FROM joined GROUP BY 1, 2), lagged AS (
+  SELECT *, LAG(r, 1) OVER w AS l1, LAG(r, 2) OVER w AS l2, LAG(r, 3) OVER w AS l3, LAG(ORDER_COUNT) OVER w AS ORDER_COUNT_LAG_1, {MA3} AS REVENUE_MA_3
+  FROM m WINDOW w AS (PARTITION BY CATEGORY ORDER BY ORDER_MONTH)), rev AS (
+  SELECT ORDER_MONTH, CATEGORY, {money('r')} AS MONTHLY_REVENUE, ORDER_COUNT, UNIQUE_CUSTOMERS, TOTAL_UNITS, AVG_DISCOUNT,
+         month(ORDER_MONTH) AS MONTH_NUM, quarter(ORDER_MONTH) AS QUARTER, year(ORDER_MONTH) AS YEAR,
+         {money('l1')} AS REVENUE_LAG_1, {money('l2')} AS REVENUE_LAG_2, {money('l3')} AS REVENUE_LAG_3, REVENUE_MA_3, ORDER_COUNT_LAG_1,
+         CASE WHEN l1 > 0 THEN {ratio(f"100 * ({cents('r')} - {cents('l1')})", cents('l1'), 2)} END AS REVENUE_GROWTH_PCT
+  FROM lagged WHERE l3 IS NOT NULL)"""
+
+RULE = TICKETS + """, rule AS (
+  SELECT CASE PRIORITY WHEN 'Low' THEN 0 WHEN 'Medium' THEN 1 WHEN 'High' THEN 2 ELSE 3 END AS y,
+         CASE WHEN RESOLUTION_TIME_HOURS >= 180 THEN 0 WHEN RESOLUTION_TIME_HOURS >= 120 THEN 1 WHEN RESOLUTION_TIME_HOURS >= 60 THEN 2 ELSE 3 END AS p
+  FROM tickets_b)"""
+
+FORECAST = REVENUE_FEATURES + """, forecast AS (
+  SELECT ORDER_MONTH, CATEGORY, MONTHLY_REVENUE, REVENUE_MA_3 AS PREDICTED_REVENUE, MONTHLY_REVENUE - REVENUE_MA_3 AS RESIDUAL,
+         round(CASE WHEN MONTHLY_REVENUE <> 0 THEN abs(MONTHLY_REVENUE - REVENUE_MA_3) / MONTHLY_REVENUE * 100 END, 2) AS PCT_ERROR FROM rev)"""
+
+
+def errors(yhat: str) -> str:
+    y, e = "MONTHLY_REVENUE", f"(MONTHLY_REVENUE - {yhat})"
+    return f"""round(AVG(ABS({e})), 4) AS MAE, round(AVG({e} * {e}), 4) AS MSE, round(sqrt(AVG({e} * {e})), 4) AS RMSE,
+        round(1 - SUM({e} * {e}) / (var_pop({y}) * COUNT({y})), 4) AS R2, round(AVG(CASE WHEN {y} <> 0 THEN ABS({e}) / {y} * 100 END), 4) AS MAPE,
+        COUNT(*) AS TEST_ROWS"""
+
+
+def learned() -> dict[str, str]:
+    q: dict[str, str] = {}
+    q["ticket_features"] = f"WITH {TICKET_FEATURES} SELECT * FROM feats"
+    q["revenue_features"] = f"WITH {REVENUE_FEATURES} SELECT * FROM rev"
+    scaled = ", ".join(
+        f"round((CAST({c} AS DOUBLE) - AVG(CAST({c} AS DOUBLE)) OVER ()) / COALESCE(NULLIF(stddev_pop(CAST({c} AS DOUBLE)) OVER (), 0), 1), 6) AS {c}_SCALED"
+        for c in TICKET_NUMERIC
+    )
+    coded = ", ".join(
+        f"CAST(DENSE_RANK() OVER (ORDER BY {c}) - 1 AS DOUBLE) AS {o}"
+        for c, o in [("CATEGORY", "CATEGORY_ENCODED"), ("CUSTOMER_SEGMENT", "SEGMENT_ENCODED"), ("STATUS", "STATUS_ENCODED")]
+    )
+    q["ticket_model_table"] = f"""WITH {TICKET_FEATURES} SELECT TICKET_ID, PRIORITY,
+        CASE PRIORITY WHEN 'Low' THEN 0.0::DOUBLE WHEN 'Medium' THEN 1.0 WHEN 'High' THEN 2.0 WHEN 'Critical' THEN 3.0 END AS PRIORITY_ENCODED,
+        {coded}, HAS_PRODUCT, {scaled} FROM feats"""
+    ranged = ", ".join(
+        f"round((CAST({c} AS DOUBLE) - MIN(CAST({c} AS DOUBLE)) OVER ()) / COALESCE(NULLIF(MAX(CAST({c} AS DOUBLE)) OVER () - MIN(CAST({c} AS DOUBLE)) OVER (), 0), 1), 6) AS {c}_SCALED"
+        for c in REVENUE_NUMERIC
+    )
+    q["revenue_model_table"] = f"""WITH {REVENUE_FEATURES} SELECT ORDER_MONTH, CATEGORY, MONTHLY_REVENUE,
+        CAST(DENSE_RANK() OVER (ORDER BY CATEGORY) - 1 AS DOUBLE) AS CATEGORY_ENCODED, MONTH_NUM, QUARTER, YEAR, {ranged}, REVENUE_GROWTH_PCT FROM rev"""
+    q["class_distribution"] = f"WITH {TICKETS} SELECT PRIORITY, COUNT(*) AS COUNT FROM tickets_b GROUP BY 1"
+    q["ticket_features_describe"] = f"WITH {TICKET_FEATURES} " + " UNION ALL ".join(
+        f"""SELECT '{c}' AS "COLUMN", COUNT({c}) AS COUNT, round(AVG(CAST({c} AS DOUBLE)), 6) AS MEAN, round(stddev_samp(CAST({c} AS DOUBLE)), 6) AS STDDEV,
+        round(MIN(CAST({c} AS DOUBLE)), 6) AS MIN, round(MAX(CAST({c} AS DOUBLE)), 6) AS MAX FROM feats"""
+        for c in TICKET_NUMERIC
+    )
+    q["chrono_split"] = f"""WITH {REVENUE_FEATURES}, months AS (SELECT ORDER_MONTH, ROW_NUMBER() OVER (ORDER BY ORDER_MONTH) - 1 AS i, COUNT(*) OVER () AS n
+        FROM (SELECT DISTINCT ORDER_MONTH FROM rev)), cut AS (SELECT ORDER_MONTH AS c FROM months WHERE i = CAST(floor(n * 0.8::DOUBLE) AS BIGINT))
+        SELECT ORDER_MONTH, CATEGORY, MONTHLY_REVENUE, CASE WHEN ORDER_MONTH < c THEN 'train' ELSE 'test' END AS SPLIT FROM rev, cut"""
+    cells = ", ".join(f'COUNT(*) FILTER (p = {i}) AS "{i}"' for i in range(4))
+    q["confusion_matrix"] = f"WITH {RULE} SELECT CAST(y AS BIGINT) AS TRUE_CLASS, {cells} FROM rule GROUP BY 1"
+    q["classification_metrics"] = f"""WITH {RULE}, k AS (SELECT c, (SELECT COUNT(*) FROM rule WHERE y = c) AS s, (SELECT COUNT(*) FROM rule WHERE p = c) AS g,
+        (SELECT COUNT(*) FROM rule WHERE y = c AND p = c) AS h FROM (SELECT y AS c FROM rule UNION SELECT p FROM rule)), m AS (
+        SELECT s, h, CASE WHEN g > 0 THEN CAST(h AS DOUBLE) / g ELSE 0 END AS pr, CASE WHEN s > 0 THEN CAST(h AS DOUBLE) / s ELSE 0 END AS re FROM k)
+        SELECT round(CAST(SUM(h) AS DOUBLE) / SUM(s), 6) AS ACCURACY, round(SUM(pr * s) / SUM(s), 6) AS PRECISION_WEIGHTED,
+        round(SUM(re * s) / SUM(s), 6) AS RECALL_WEIGHTED,
+        round(SUM(CASE WHEN pr + re > 0 THEN 2 * pr * re / (pr + re) ELSE 0 END * s) / SUM(s), 6) AS F1_WEIGHTED, CAST(SUM(s) AS BIGINT) AS TEST_ROWS FROM m"""
+    q["regression_metrics"] = f"WITH {REVENUE_FEATURES} SELECT {errors('REVENUE_MA_3')} FROM rev"
+    q["model_comparison"] = f"""WITH {REVENUE_FEATURES}, both_models AS (SELECT 'MovingAverage' AS MODEL, {errors('REVENUE_MA_3')} FROM rev
+        UNION ALL SELECT 'LastMonth', {errors('REVENUE_LAG_1')} FROM rev) SELECT *, R2 = MAX(R2) OVER () AS IS_BEST FROM both_models"""
+    q["prediction_table"] = f"""WITH {FORECAST} SELECT ORDER_MONTH, CATEGORY, MONTHLY_REVENUE, round(PREDICTED_REVENUE, 4) AS PREDICTED_REVENUE,
+        round(RESIDUAL, 4) AS RESIDUAL, PCT_ERROR, 'MovingAverage' AS MODEL_NAME, 'v1' AS MODEL_VERSION FROM forecast"""
+    q["residual_summary"] = f"""WITH {FORECAST} SELECT round(AVG(RESIDUAL), 4) AS MEAN_RESIDUAL, round(stddev_samp(RESIDUAL), 4) AS STD_RESIDUAL,
+        round(MIN(RESIDUAL), 4) AS MIN_RESIDUAL, round(MAX(RESIDUAL), 4) AS MAX_RESIDUAL, round(AVG(PCT_ERROR), 4) AS AVG_PCT_ERROR FROM forecast"""
+    q["residual_by_category"] = f"""WITH {FORECAST} SELECT CATEGORY, round(AVG(PCT_ERROR), 4) AS AVG_PCT_ERROR, round(AVG(RESIDUAL), 4) AS AVG_RESIDUAL,
+        COUNT(*) AS COUNT FROM forecast GROUP BY 1"""
+    return q
+
+
+def streamed() -> dict[str, str]:
+    good = "s_suppkey % 11 <> 0"
+    return {
+        "csv_ingest_stream": f"""SELECT 'STORE-' || CAST(s_suppkey AS VARCHAR) AS STORE_ID, s_name || ', main floor' AS STORE_NAME, r_name AS REGION,
+            n_name AS CITY, CAST(NULL AS VARCHAR) AS STATE, r_name AS COUNTRY,
+            CASE s_suppkey % 4 WHEN 0 THEN 'Flagship' WHEN 1 THEN 'Standard' WHEN 2 THEN 'Outlet' ELSE 'Online' END AS STORE_TYPE,
+            CASE WHEN s_suppkey % 7 = 0 THEN NULL ELSE DATE '2001-03-04' END AS OPEN_DATE, s_acctbal > 0 AS IS_ACTIVE,
+            TIMESTAMP '2001-08-02 00:00:00' AS LOADED_AT
+            FROM supplier LEFT JOIN nation ON s_nationkey = n_nationkey LEFT JOIN region ON n_regionkey = r_regionkey WHERE {good}""",
+        "load_history": f"""SELECT 'STORE_LOCATIONS' AS TABLE_NAME, COUNT(*) FILTER ({good}) AS ROW_COUNT, COUNT(*) FILTER (NOT ({good})) AS ERROR_COUNT,
+            TIMESTAMP '2001-08-02 00:00:00' AS LAST_LOAD_TIME FROM supplier""",
+        "enrich_stream": silver_and_gold()["orders_enriched"],
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**silver_and_gold()}
+    return {**silver_and_gold(), **change_history(), **asked(), **searched(), **learned(), **streamed()}

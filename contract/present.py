@@ -22,3 +22,11 @@ def present(df: DataFrame) -> DataFrame:
             c = c.cast("date")
         out.append(c.alias(f.name))
     return df.select(*out)
+
+
+def rounded(df: DataFrame, digits: int) -> DataFrame:
+    """Doubles rounded, for results that depend on summation order in the last bits."""
+    return df.select(*[
+        F.round(F.col(f.name), digits).alias(f.name) if isinstance(f.dataType, T.DoubleType) else F.col(f.name)
+        for f in df.schema.fields
+    ])

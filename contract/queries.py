@@ -7,13 +7,29 @@ from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 
-from contract.present import present
-from orelake.plans import gold, silver
+from pyspark.sql import functions as F
+
+from contract.present import present, rounded
+from orelake.operators import evaluate, models, search
+from orelake.operators.encode import chrono_split, hash_split
+from orelake.operators.history import scd2_from_log, table_changes, collapse_changes, upsert
+from orelake.plans import exchange, features, gold, metrics, questions, search_docs, silver
+from orelake.plans.retail_model import RETAIL_MODEL
+from orelake.operators.semantic import semantic_query
+from orelake.session import scratch_dir
 from orelake.sources import bronze
+from orelake.sources.sinks import row_counts
+from orelake.streaming import jobs
+from orelake.schemas import STORES_FEED
+from orelake.sources.files import load_history
+from orelake.vocab import PLANNING_REGION_MAP
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = date(2001, 8, 2)
+FIRST_LOAD = "2001-01-01 00:00:00"
+CHANGED_AT = "2001-08-02 00:00:00"
+LAST_YEAR = 2000
 
 
 class Tables:
@@ -51,6 +67,62 @@ class Tables:
     def processed(self) -> DataFrame:
         return silver.processed_reviews(self.product_reviews)
 
+    @property
+    def orders_before(self) -> DataFrame:
+        return bronze.orders_before(self.spark, self.sf_dir)
+
+    @property
+    def orders_after(self) -> DataFrame:
+        return bronze.orders_after(self.spark, self.sf_dir)
+
+    @property
+    def initial_load(self) -> DataFrame:
+        return table_changes(self.orders_before.limit(0), self.orders_before, "ORDER_ID")
+
+    @property
+    def order_changes(self) -> DataFrame:
+        return table_changes(self.orders_before, self.orders_after, "ORDER_ID")
+
+    @property
+    def order_history(self) -> DataFrame:
+        first = metrics.orders_scd2(None, self.initial_load, FIRST_LOAD)
+        return metrics.orders_scd2(first, self.order_changes, CHANGED_AT)
+
+    @property
+    def retail(self) -> dict[str, DataFrame]:
+        return {
+            "customers": self.customers,
+            "products": self.products,
+            "orders": self.orders,
+            "order_items": self.order_items,
+            "reviews": self.product_reviews,
+        }
+
+    @property
+    def ticket_features(self) -> DataFrame:
+        return features.ticket_features(self.support_tickets, self.customers, self.products, self.orders)
+
+    @property
+    def ticket_model_table(self) -> DataFrame:
+        return features.ticket_model_table(self.ticket_features)
+
+    @property
+    def revenue_features(self) -> DataFrame:
+        return features.revenue_features(self.orders, self.order_items, self.products)
+
+    @property
+    def revenue_model_table(self) -> DataFrame:
+        return features.revenue_model_table(self.revenue_features)
+
+    @property
+    def documents(self) -> DataFrame:
+        return bronze.read(self.spark, self.sf_dir, "documents").withColumnRenamed("doc_id", "DOC_ID")
+
+    @property
+    def search_queries(self) -> DataFrame:
+        b = bronze.read(self.spark, self.sf_dir, "benchmark")
+        return b.select(F.col("item_id").alias("QUERY_ID"), F.col("text").alias("QUERY_TEXT"))
+
     @property
     def product_sentiment(self) -> DataFrame:
         return silver.product_sentiment_summary(self.processed, self.products)
@@ -84,5 +156,276 @@ SILVER_GOLD: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+# --- change history ----------------------------------------------------------
+
+
+def text_times(history: DataFrame) -> DataFrame:
+    """Version times as text: the open end lies outside many clients' date range."""
+    times = {c: F.col(c).cast("string") for c in ("EFFECTIVE_FROM", "EFFECTIVE_TO")}
+    return history.withColumns(times).drop("SURROGATE_KEY")
+
+
+def history_from_log(t: Tables) -> DataFrame:
+    def batch(n: int, changes: DataFrame, at: str) -> DataFrame:
+        folded = collapse_changes(metrics.order_images(changes), "ORDER_ID")
+        return folded.withColumns({"batch_id": F.lit(n), "changed_at": F.lit(at).cast("timestamp_ntz")})
+
+    log = batch(0, t.initial_load, FIRST_LOAD).unionByName(batch(1, t.order_changes, CHANGED_AT))
+    return scd2_from_log(log, "ORDER_ID")
+
+
+def upserted_daily(t: Tables) -> DataFrame:
+    def daily(orders: DataFrame) -> DataFrame:
+        current = orders.withColumns({"NET_AMOUNT": silver.net_amount(), "IS_CURRENT": F.lit(True)})
+        return metrics.daily_order_metrics(current)
+
+    target = daily(t.orders_before).withColumn("UPDATED_AT", F.lit(FIRST_LOAD).cast("timestamp_ntz"))
+    return upsert(target, daily(t.orders_after), metrics.DAILY_KEYS, CHANGED_AT)
+
+
+CHANGES: dict[str, Callable[[Tables], DataFrame]] = {
+    "order_changes": lambda t: t.order_changes,
+    "orders_scd2": lambda t: text_times(t.order_history),
+    "orders_scd2_from_log": lambda t: text_times(history_from_log(t)),
+    "orders_history_view": lambda t: text_times(metrics.history_view(t.order_history)),
+    "daily_order_metrics": lambda t: metrics.daily_order_metrics(t.order_history),
+    "upsert_daily": upserted_daily,
+    "ticket_metrics": lambda t: metrics.support_ticket_metrics(
+        table_changes(t.support_tickets.limit(0), t.support_tickets, "TICKET_ID"), AS_OF
+    ),
+}
+
+# --- events, exchange, semantic layer ------------------------------------------
+
+
+def semantic(names, dims, where=None, where_dims=()) -> Callable[[Tables], DataFrame]:
+    return lambda t: semantic_query(RETAIL_MODEL, t.retail, names, dims, where() if where else None, where_dims)
+
+
+ASKED: dict[str, Callable[[Tables], DataFrame]] = {
+    "iot_alerts": lambda t: silver.iot_alerts(t.iot_readings),
+    "clickstream_json": lambda t: t.clickstream,
+    "row_counts": lambda t: row_counts({n.upper(): getattr(t, n) for n in bronze.TABLES}),
+    "target_attainment": lambda t: exchange.target_attainment(
+        exchange.planning_targets(t.spark, LAST_YEAR), t.sales, PLANNING_REGION_MAP
+    ),
+    "semantic_region": lambda t: questions.revenue_by_region(t.retail),
+    "semantic_month": lambda t: questions.monthly_trend(t.retail),
+    "semantic_segment": lambda t: questions.revenue_by_segment(t.retail, LAST_YEAR),
+    "semantic_drill_across": semantic(
+        ["total_units_sold", "total_line_revenue", "review_count", "average_rating"], ["category", "brand"]
+    ),
+    "semantic_country": semantic(
+        ["net_revenue", "cancelled_orders", "customer_count", "review_count"], ["customer_country", "segment"]
+    ),
+    "question_aov_last_month": lambda t: questions.average_order_value_last_month(t.retail),
+    "question_channel_customers": lambda t: questions.unique_customers_per_channel(t.retail),
+    "question_top_categories": lambda t: questions.top_categories_by_units(t.retail),
+    "question_category_sales": lambda t: questions.category_sales(t.retail),
+    "question_category_support": lambda t: questions.category_support(t.support_tickets, t.retail, "ECONOMY"),
+    "question_net_revenue": lambda t: questions.net_revenue_by_region(t.retail, LAST_YEAR),
+}
+
+# --- search ----------------------------------------------------------------------
+
+
+def keyword_hits(t: Tables, k: int) -> DataFrame:
+    return search.keyword_search(search.build_index(t.documents, "DOC_ID", "text"), t.search_queries, k)
+
+
+def hybrid_hits(t: Tables) -> DataFrame:
+    index = search.build_index(t.documents, "DOC_ID", "text")
+    by_word = search.keyword_search(index, t.search_queries, 20)
+    by_vector = search.text_vector_search(index, t.search_queries, 20)
+    return search.hybrid_search(by_word, by_vector, 10)
+
+
+def filtered_reviews(t: Tables) -> DataFrame:
+    """Keyword search among well-rated reviews, with display columns."""
+    docs = search_docs.review_search_docs(t.product_reviews, t.products, t.processed)
+    index = search.build_index(docs, "REVIEW_ID", "REVIEW_TEXT")
+    hits = search.keyword_search(index, t.search_queries, 5, attrs=docs, where=F.col("RATING") >= 4)
+    return search.with_attributes(hits, docs, "REVIEW_ID", ["PRODUCT_NAME", "RATING", "SENTIMENT_LABEL"])
+
+
+def label_centroids(t: Tables) -> DataFrame:
+    e = bronze.read(t.spark, t.sf_dir, "embeddings")
+    parts = e.select("label", F.posexplode("embedding").alias("pos", "x"))
+    means = parts.groupBy("label", "pos").agg(F.avg(F.col("x").cast("double")).alias("x"))
+    vectors = means.groupBy("label").agg(F.sort_array(F.collect_list(F.struct("pos", "x"))).alias("v"))
+    return vectors.select(F.col("label").cast("bigint").alias("QUERY_ID"), F.col("v.x").alias("QUERY_VEC"))
+
+
+def nearest_to_centroid(t: Tables) -> DataFrame:
+    e = bronze.read(t.spark, t.sf_dir, "embeddings").withColumnRenamed("vec_id", "VEC_ID")
+    return search.vector_topk(e, label_centroids(t), 10, "VEC_ID", "embedding")
+
+
+SEARCH: dict[str, Callable[[Tables], DataFrame]] = {
+    "review_search_docs": lambda t: search_docs.review_search_docs(t.product_reviews, t.products, t.processed),
+    "ticket_search_docs": lambda t: search_docs.ticket_search_docs(t.support_tickets, t.customers, t.products),
+    "keyword_search": lambda t: keyword_hits(t, 5),
+    "keyword_search_filtered": filtered_reviews,
+    "text_vector_search": lambda t: search.text_vector_search(
+        search.build_index(t.documents, "DOC_ID", "text"), t.search_queries, 5
+    ),
+    "hybrid_search": hybrid_hits,
+    "vector_topk": nearest_to_centroid,
+}
+
+# --- features, splits, model quality ------------------------------------------
+
+
+def labelled_split(train: DataFrame, test: DataFrame, *columns: str) -> DataFrame:
+    return train.select(*columns, F.lit("train").alias("SPLIT")).unionByName(
+        test.select(*columns, F.lit("test").alias("SPLIT"))
+    )
+
+
+def rule_predictions(t: Tables) -> DataFrame:
+    """Priorities guessed from the resolution time, as something to evaluate."""
+    hours = F.col("RESOLUTION_TIME_HOURS")
+    guess = F.when(hours >= 180, 0).when(hours >= 120, 1).when(hours >= 60, 2).otherwise(3)
+    rank = F.array_position(F.array(*[F.lit(p) for p in ("Low", "Medium", "High", "Critical")]), F.col("PRIORITY")) - 1
+    return t.support_tickets.select("TICKET_ID", rank.alias("PRIORITY_ENCODED"), guess.alias("PREDICTED"))
+
+
+def moving_average_predictions(t: Tables) -> DataFrame:
+    pred = t.revenue_features.withColumn("P", F.col("REVENUE_MA_3").cast("double"))
+    keep = ["ORDER_MONTH", "CATEGORY", "MONTHLY_REVENUE"]
+    return evaluate.prediction_table(pred, "MovingAverage", "v1", keep, "P", "PREDICTED_REVENUE", "MONTHLY_REVENUE")
+
+
+def ticket_predictions(t: Tables, kind: str) -> DataFrame:
+    train, test = hash_split(t.ticket_model_table, "TICKET_ID")
+    model = models.train_ticket_classifier(train, features.TICKET_INPUTS, kind)
+    pred = models.predict(model, test, features.TICKET_INPUTS)
+    name = {"rf": "RandomForestClassifier", "lr": "LogisticRegression"}[kind]
+    keep = ["TICKET_ID", "PRIORITY", "PRIORITY_ENCODED"]
+    return evaluate.prediction_table(pred, name, "v1", keep, "PREDICTED", "PREDICTED_PRIORITY")
+
+
+def revenue_predictions(t: Tables, kind: str) -> DataFrame:
+    # The feature table is written first: training reads it many times.
+    table = f"{scratch_dir(t.spark, 'features')}/revenue"
+    t.revenue_model_table.write.parquet(table)
+    train, test = chrono_split(t.spark.read.parquet(table), "ORDER_MONTH")
+    model = models.train_revenue_model(train, features.REVENUE_INPUTS, kind)
+    pred = models.predict(model, test, features.REVENUE_INPUTS)
+    name = {"gbt": "GBTRegressor", "linear": "LinearRegression"}[kind]
+    keep = ["ORDER_MONTH", "CATEGORY", "MONTHLY_REVENUE"]
+    return evaluate.prediction_table(pred, name, "v1", keep, "PREDICTED", "PREDICTED_REVENUE", "MONTHLY_REVENUE")
+
+
+def compared_rules(t: Tables) -> DataFrame:
+    f = t.revenue_features
+    y = "MONTHLY_REVENUE"
+    return evaluate.compare_models(
+        {
+            "MovingAverage": evaluate.regression_metrics(f, y, "REVENUE_MA_3"),
+            "LastMonth": evaluate.regression_metrics(f, y, "REVENUE_LAG_1"),
+        },
+        "R2",
+    )
+
+
+LEARNING: dict[str, Callable[[Tables], DataFrame]] = {
+    "ticket_features": lambda t: t.ticket_features,
+    "revenue_features": lambda t: t.revenue_features,
+    "ticket_model_table": lambda t: rounded(t.ticket_model_table, 6),
+    "revenue_model_table": lambda t: rounded(t.revenue_model_table, 6),
+    "class_distribution": lambda t: evaluate.class_distribution(t.support_tickets, "PRIORITY"),
+    "ticket_features_describe": lambda t: rounded(evaluate.describe(t.ticket_features, features.TICKET_NUMERIC), 6),
+    "chrono_split": lambda t: labelled_split(
+        *chrono_split(t.revenue_features, "ORDER_MONTH"), "ORDER_MONTH", "CATEGORY", "MONTHLY_REVENUE"
+    ),
+    "hash_split": lambda t: labelled_split(*hash_split(t.support_tickets, "TICKET_ID"), "TICKET_ID"),
+    "confusion_matrix": lambda t: evaluate.confusion_matrix(
+        rule_predictions(t), "PRIORITY_ENCODED", "PREDICTED", [0, 1, 2, 3]
+    ),
+    "classification_metrics": lambda t: rounded(
+        evaluate.classification_metrics(rule_predictions(t), "PRIORITY_ENCODED", "PREDICTED"), 6
+    ),
+    "regression_metrics": lambda t: rounded(
+        evaluate.regression_metrics(t.revenue_features, "MONTHLY_REVENUE", "REVENUE_MA_3"), 4
+    ),
+    "model_comparison": lambda t: rounded(compared_rules(t), 4),
+    "prediction_table": lambda t: rounded(moving_average_predictions(t), 4),
+    "residual_summary": lambda t: rounded(evaluate.residual_summary(moving_average_predictions(t)), 4),
+    "residual_by_category": lambda t: rounded(evaluate.residual_summary(moving_average_predictions(t), "CATEGORY"), 4),
+    "rf_predict": lambda t: ticket_predictions(t, "rf"),
+    "lr_predict": lambda t: ticket_predictions(t, "lr"),
+    "gbt_predict": lambda t: revenue_predictions(t, "gbt"),
+    "linreg_predict": lambda t: revenue_predictions(t, "linear"),
+}
+
+# --- streams --------------------------------------------------------------------
+
+
+def stores_csv(t: Tables) -> DataFrame:
+    """Store feed rows made from the suppliers."""
+    place = bronze.read(t.spark, t.sf_dir, "nation").join(
+        bronze.read(t.spark, t.sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"), "left"
+    )
+    s = bronze.read(t.spark, t.sf_dir, "supplier").join(place, F.col("s_nationkey") == F.col("n_nationkey"), "left")
+    key = F.col("s_suppkey")
+    return s.select(
+        F.concat(F.lit("STORE-"), key.cast("string")).alias("STORE_ID"),
+        F.concat(F.col("s_name"), F.lit(", main floor")).alias("STORE_NAME"),
+        F.col("r_name").alias("REGION"),
+        F.col("n_name").alias("CITY"),
+        F.lit("NULL").alias("STATE"),
+        F.col("r_name").alias("COUNTRY"),
+        bronze.pick(key % 4, "Flagship", "Standard", "Outlet", "Online").alias("STORE_TYPE"),
+        F.when(key % 7 == 0, "unknown").otherwise(F.lit("2001-03-04")).alias("OPEN_DATE"),
+        F.when(key % 11 == 0, "maybe").when(F.col("s_acctbal") > 0, "TRUE").otherwise("FALSE").alias("IS_ACTIVE"),
+    )
+
+
+def ingested_stores(t: Tables) -> tuple[DataFrame, DataFrame]:
+    base = scratch_dir(t.spark, "ingest")
+    stores_csv(t).write.option("header", True).csv(f"{base}/landing")
+    jobs.ingest_stream(t.spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", STORES_FEED, CHANGED_AT)
+    data = t.spark.read.parquet(f"{base}/out/data").drop("batch_id", "SOURCE_FILE")
+    return data, load_history(t.spark.read.parquet(f"{base}/out/log"))
+
+
+def load_totals(t: Tables) -> DataFrame:
+    """Load history summed over files, whose names differ from run to run."""
+    _, log = ingested_stores(t)
+    return log.groupBy("TABLE_NAME").agg(
+        F.sum("ROW_COUNT").alias("ROW_COUNT"),
+        F.sum("ERROR_COUNT").alias("ERROR_COUNT"),
+        F.max("LAST_LOAD_TIME").alias("LAST_LOAD_TIME"),
+    )
+
+
+def streamed_history(t: Tables) -> DataFrame:
+    """Order history from two runs of the change stream."""
+    base = scratch_dir(t.spark, "changes")
+    for at, changes in ((FIRST_LOAD, t.initial_load), (CHANGED_AT, t.order_changes)):
+        changes.write.mode("append").parquet(f"{base}/landing")
+        source = jobs.change_source(t.spark, f"{base}/landing", changes.schema)
+        jobs.order_history_stream(source, f"{base}/log", f"{base}/checkpoint", at)
+    return scd2_from_log(t.spark.read.parquet(f"{base}/log"), "ORDER_ID")
+
+
+def streamed_enrichment(t: Tables) -> DataFrame:
+    base = scratch_dir(t.spark, "enrich")
+    t.orders.write.parquet(f"{base}/landing")
+    source = jobs.change_source(t.spark, f"{base}/landing", t.orders.schema)
+    jobs.enrich_stream(source, t.customers, f"{base}/out", f"{base}/checkpoint")
+    return t.spark.read.parquet(f"{base}/out")
+
+
+STREAMS: dict[str, Callable[[Tables], DataFrame]] = {
+    "csv_ingest_stream": lambda t: ingested_stores(t)[0],
+    "load_history": load_totals,
+    "order_history_stream": lambda t: text_times(streamed_history(t)),
+    "enrich_stream": streamed_enrichment,
+}
+
+
 def queries() -> dict[str, Query]:
-    return {name: over_tables(fn) for name, fn in SILVER_GOLD.items()}
+    groups = (SILVER_GOLD, CHANGES, ASKED, SEARCH, LEARNING, STREAMS)
+    return {name: over_tables(fn) for group in groups for name, fn in group.items()}

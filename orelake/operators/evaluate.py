@@ -108,3 +108,13 @@ def compare_models(metrics: dict[str, DataFrame], by: str) -> DataFrame:
         rows = row if rows is None else rows.unionByName(row)
     best = rows.agg(F.max_by("MODEL", F.struct(F.col(by), -F.col("_order")))).scalar()
     return rows.withColumn("IS_BEST", F.col("MODEL") == best).drop("_order")
+
+
+def describe(df: DataFrame, columns) -> DataFrame:
+    """Count, mean, sample deviation, minimum and maximum, one row per column, in one pass."""
+    stats = {"COUNT": F.count, "MEAN": F.avg, "STDDEV": F.stddev_samp, "MIN": F.min, "MAX": F.max}
+    rows = [
+        F.struct(F.lit(c).alias("COLUMN"), *[fn(F.col(c).cast("double")).alias(n) for n, fn in stats.items()])
+        for c in columns
+    ]
+    return df.agg(F.array(*rows).alias("r")).select(F.inline("r"))

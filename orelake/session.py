@@ -5,6 +5,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -38,3 +39,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="orelake-ckpt-"))
     return spark.sparkContext.getCheckpointDir()
+
+
+def scratch_dir(spark: SparkSession, purpose: str) -> str:
+    """A new folder every executor can reach: under the cluster's shared
+    checkpoint folder, or a temporary one where none is configured."""
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared:
+        return f"{shared.rstrip('/')}/orelake-{purpose}-{uuid.uuid4().hex}"
+    return tempfile.mkdtemp(prefix=f"orelake-{purpose}-")
