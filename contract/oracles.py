@@ -481,7 +481,7 @@ FORECAST = REVENUE_FEATURES + """, forecast AS (
 
 def errors(yhat: str) -> str:
     y, e = "MONTHLY_REVENUE", f"(MONTHLY_REVENUE - {yhat})"
-    return f"""round(AVG(ABS({e})), 4) AS MAE, round(AVG({e} * {e}), 4) AS MSE, round(sqrt(AVG({e} * {e})), 4) AS RMSE,
+    return f"""round(AVG(ABS({e})), 4) AS MAE, round(AVG({e} * {e}), -4) AS MSE, round(sqrt(AVG({e} * {e})), 4) AS RMSE,
         round(1 - SUM({e} * {e}) / (var_pop({y}) * COUNT({y})), 4) AS R2, round(AVG(CASE WHEN {y} <> 0 THEN ABS({e}) / {y} * 100 END), 4) AS MAPE,
         COUNT(*) AS TEST_ROWS"""
 

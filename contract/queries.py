@@ -296,8 +296,15 @@ def moving_average_predictions(t: Tables) -> DataFrame:
     return evaluate.prediction_table(pred, "MovingAverage", "v1", keep, "P", "PREDICTED_REVENUE", "MONTHLY_REVENUE")
 
 
+def stored(t: Tables, df: DataFrame, name: str) -> DataFrame:
+    """The frame written once and read back: training reads its table many times."""
+    path = f"{scratch_dir(t.spark, 'features')}/{name}"
+    df.write.parquet(path)
+    return t.spark.read.parquet(path)
+
+
 def ticket_predictions(t: Tables, kind: str) -> DataFrame:
-    train, test = hash_split(t.ticket_model_table, "TICKET_ID")
+    train, test = hash_split(stored(t, t.ticket_model_table, "tickets"), "TICKET_ID")
     model = models.train_ticket_classifier(train, features.TICKET_INPUTS, kind)
     pred = models.predict(model, test, features.TICKET_INPUTS)
     name = {"rf": "RandomForestClassifier", "lr": "LogisticRegression"}[kind]
@@ -306,10 +313,8 @@ def ticket_predictions(t: Tables, kind: str) -> DataFrame:
 
 
 def revenue_predictions(t: Tables, kind: str) -> DataFrame:
-    # The feature table is written first: training reads it many times.
-    table = f"{scratch_dir(t.spark, 'features')}/revenue"
-    t.revenue_model_table.write.parquet(table)
-    train, test = chrono_split(t.spark.read.parquet(table), "ORDER_MONTH")
+    # One row per month and category, however large the orders are: one file will do.
+    train, test = chrono_split(stored(t, t.revenue_model_table.coalesce(1), "revenue"), "ORDER_MONTH")
     model = models.train_revenue_model(train, features.REVENUE_INPUTS, kind)
     pred = models.predict(model, test, features.REVENUE_INPUTS)
     name = {"gbt": "GBTRegressor", "linear": "LinearRegression"}[kind]
@@ -348,8 +353,8 @@ LEARNING: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "regression_metrics": lambda t: rounded(
         evaluate.regression_metrics(t.revenue_features, "MONTHLY_REVENUE", "REVENUE_MA_3"), 4
-    ),
-    "model_comparison": lambda t: rounded(compared_rules(t), 4),
+    ).withColumn("MSE", F.round("MSE", -4)),
+    "model_comparison": lambda t: rounded(compared_rules(t), 4).withColumn("MSE", F.round("MSE", -4)),
     "prediction_table": lambda t: rounded(moving_average_predictions(t), 4),
     "residual_summary": lambda t: rounded(evaluate.residual_summary(moving_average_predictions(t)), 4),
     "residual_by_category": lambda t: rounded(evaluate.residual_summary(moving_average_predictions(t), "CATEGORY"), 4),

@@ -53,10 +53,14 @@ def mean(value: Column, digits: int) -> Column:
 
 def percent(part: Column, whole: Column, digits: int) -> Column:
     """100 * part / whole, NULL when the whole is zero."""
-    return F.round(part.cast("decimal(24,4)") * 100 / F.nullif(whole, F.lit(0).cast("decimal(1,0)")), digits)
+    # Operands narrow enough for the quotient to keep many more digits than the
+    # result, so that it is rounded only once.
+    part, whole = part.cast("decimal(22,2)"), whole.cast("decimal(22,2)")
+    return F.round(part * 100 / F.nullif(whole, F.lit(0)), digits)
 
 
 def growth_pct(current: Column, previous: Column, positive_only: bool = False) -> Column:
     """Period-over-period change in percent; NULL without a usable previous value."""
+    current, previous = current.cast("decimal(20,2)"), previous.cast("decimal(20,2)")
     usable = previous > 0 if positive_only else previous != 0
     return F.when(usable, F.round((current - previous) / previous * 100, 2))

@@ -1,12 +1,13 @@
 """Encoders, scalers and train/test splits as column expressions.
 
 Fitting is an aggregate used as a scalar subquery: one row of statistics,
-computed by map-side aggregation and read by every task, with no join.
+computed by map-side aggregation and read by every task, with no join. All the
+statistics a table needs are fitted in one pass (``with_fit``).
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -14,46 +15,69 @@ from pyspark.sql import functions as F
 from orelake.operators.ranking import ordinal_cut
 
 
-def ordinal_encode(df: DataFrame, column: str, out: str, categories: Sequence[str] | None = None) -> DataFrame:
-    """0-based position of the value among ``categories``, or among the sorted
-    distinct values when none are given. NULL and unknown values give NULL.
+def number(c: str) -> Column:
+    return F.col(c).cast("double")
 
-    Learned categories travel as one array, which suits closed vocabularies.
-    """
-    if categories is None:
-        seen = df.select(column).filter(F.col(column).isNotNull()).distinct()
-        levels = seen.agg(F.sort_array(F.collect_set(column))).scalar()
-    else:
-        levels = F.array(*[F.lit(c) for c in categories])
-    position = F.array_position(levels, F.col(column))
-    return df.withColumn(out, F.when(position > 0, (position - 1).cast("double")))
 
+def levels_fit(columns: Iterable[str]) -> dict[str, Column]:
+    """Sorted distinct values per column. They travel as one array, which suits
+    closed vocabularies."""
+    return {f"{c}_levels": F.sort_array(F.collect_set(c)) for c in columns}
 
-def _statistics(df: DataFrame, columns: Sequence[str], *stats) -> Column:
-    fields = [s(F.col(c).cast("double")).alias(f"{c}_{i}") for c in columns for i, s in enumerate(stats)]
-    return df.agg(F.struct(*fields)).scalar()
 
+def standard_fit(columns: Iterable[str]) -> dict[str, Column]:
+    return {f"{c}_{n}": f(number(c)) for c in columns for n, f in (("mean", F.avg), ("spread", F.stddev_pop))}
 
-def standard_scale(df: DataFrame, columns: Sequence[str], suffix: str = "_SCALED") -> DataFrame:
-    """(x - mean) / population standard deviation; a constant column becomes 0."""
-    fit = _statistics(df, columns, F.avg, F.stddev_pop)
 
-    def scaled(c: str) -> Column:
-        centre, spread = fit[f"{c}_0"], fit[f"{c}_1"]
-        return (F.col(c).cast("double") - centre) / F.when(spread > 0, spread).otherwise(1.0)
+def minmax_fit(columns: Iterable[str]) -> dict[str, Column]:
+    return {f"{c}_{n}": f(number(c)) for c in columns for n, f in (("low", F.min), ("high", F.max))}
 
-    return df.select("*", *[scaled(c).alias(c + suffix) for c in columns])
 
+def with_fit(df: DataFrame, statistics: Mapping[str, Column]) -> DataFrame:
+    """Adds ``_fit``, a struct of the statistics over the whole of ``df``."""
+    fit = df.agg(F.struct(*[c.alias(n) for n, c in statistics.items()]).alias("f")).scalar()
+    return df.withColumn("_fit", fit)
 
-def minmax_scale(df: DataFrame, columns: Sequence[str], suffix: str = "_SCALED") -> DataFrame:
+
+def position_in(levels: Column, c: str) -> Column:
+    """0-based position among ``levels``; NULL for NULL and unknown values."""
+    at = F.array_position(levels, F.col(c))
+    return F.when(at > 0, (at - 1).cast("double"))
+
+
+def encoded(c: str) -> Column:
+    return position_in(F.col(f"_fit.{c}_levels"), c)
+
+
+def standardised(c: str) -> Column:
+    """(x - mean) / population standard deviation; a constant column becomes 0."""
+    spread = F.col(f"_fit.{c}_spread")
+    return (number(c) - F.col(f"_fit.{c}_mean")) / F.when(spread > 0, spread).otherwise(1.0)
+
+
+def ranged(c: str) -> Column:
     """(x - min) / (max - min); a constant column becomes 0."""
-    fit = _statistics(df, columns, F.min, F.max)
+    low = F.col(f"_fit.{c}_low")
+    span = F.col(f"_fit.{c}_high") - low
+    return (number(c) - low) / F.when(span > 0, span).otherwise(1.0)
+
+
+def ordinal_encode(df: DataFrame, column: str, out: str, categories: Sequence[str] | None = None) -> DataFrame:
+    """0-based position of the value among ``categories``, or among the sorted
+    distinct values when none are given."""
+    if categories is not None:
+        return df.withColumn(out, position_in(F.array(*[F.lit(c) for c in categories]), column))
+    return with_fit(df, levels_fit([column])).withColumn(out, encoded(column)).drop("_fit")
+
 
-    def scaled(c: str) -> Column:
-        low, span = fit[f"{c}_0"], fit[f"{c}_1"] - fit[f"{c}_0"]
-        return (F.col(c).cast("double") - low) / F.when(span > 0, span).otherwise(1.0)
+def standard_scale(df: DataFrame, columns: Sequence[str], suffix: str = "_SCALED") -> DataFrame:
+    fitted = with_fit(df, standard_fit(columns))
+    return fitted.select(*df.columns, *[standardised(c).alias(c + suffix) for c in columns])
 
-    return df.select("*", *[scaled(c).alias(c + suffix) for c in columns])
+
+def minmax_scale(df: DataFrame, columns: Sequence[str], suffix: str = "_SCALED") -> DataFrame:
+    fitted = with_fit(df, minmax_fit(columns))
+    return fitted.select(*df.columns, *[ranged(c).alias(c + suffix) for c in columns])
 
 
 def hash_split(df: DataFrame, id_col: str, train_pct: int = 80, seed: int = 42) -> tuple[DataFrame, DataFrame]:

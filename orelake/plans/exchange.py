@@ -27,7 +27,7 @@ def planning_targets(spark: SparkSession, first_year: int | None = None) -> Data
         "REGION string, CHANNEL string, FISCAL_YEAR short, k array<long>",
     )
     revenue = F.col("REVENUE_TARGET")
-    return (
+    rows = (
         series.select("REGION", "CHANNEL", "FISCAL_YEAR", F.posexplode("k").alias("q", "k"))
         .select(
             "REGION",
@@ -38,8 +38,8 @@ def planning_targets(spark: SparkSession, first_year: int | None = None) -> Data
         )
         .withColumn("ORDER_TARGET", (revenue / REVENUE_PER_ORDER).cast("long"))
         .withColumn("CUSTOMER_TARGET", (F.col("ORDER_TARGET") * CUSTOMERS_PER_TEN_ORDERS / 10).cast("long"))
-        .to(PLANNING_TARGETS)
     )
+    return rows.select(*[F.col(f.name).cast(f.dataType) for f in PLANNING_TARGETS.fields])
 
 
 def region_key(region: Column, region_map: Mapping[str, str] | None = None) -> Column:

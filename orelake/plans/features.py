@@ -7,7 +7,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from orelake.functions.columns import days_between, growth_pct, mean
-from orelake.operators.encode import minmax_scale, ordinal_encode, standard_scale
+from orelake.operators.encode import (
+    encoded,
+    levels_fit,
+    minmax_fit,
+    position_in,
+    ranged,
+    standard_fit,
+    standardised,
+    with_fit,
+)
 from orelake.plans.silver import order_category_totals
 from orelake.vocab import TICKET_PRIORITIES
 
@@ -69,10 +78,15 @@ def ticket_features(tickets: DataFrame, customers: DataFrame, products: DataFram
 
 def ticket_model_table(features: DataFrame) -> DataFrame:
     """Encoded and standardised form: id, label, encoded label, inputs."""
-    df = ordinal_encode(features, "PRIORITY", "PRIORITY_ENCODED", TICKET_PRIORITIES)
-    for source, out in TICKET_ENCODED.items():
-        df = ordinal_encode(df, source, out)
-    return standard_scale(df, TICKET_NUMERIC).select("TICKET_ID", "PRIORITY", "PRIORITY_ENCODED", *TICKET_INPUTS)
+    fitted = with_fit(features, {**levels_fit(TICKET_ENCODED), **standard_fit(TICKET_NUMERIC)})
+    return fitted.select(
+        "TICKET_ID",
+        "PRIORITY",
+        position_in(F.array(*[F.lit(p) for p in TICKET_PRIORITIES]), "PRIORITY").alias("PRIORITY_ENCODED"),
+        *[encoded(c).alias(out) for c, out in TICKET_ENCODED.items()],
+        "HAS_PRODUCT",
+        *[standardised(c).alias(f"{c}_SCALED") for c in TICKET_NUMERIC],
+    )
 
 
 def revenue_features(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
@@ -81,7 +95,7 @@ def revenue_features(orders: DataFrame, items: DataFrame, products: DataFrame) -
         order_category_totals(orders, items, products)
         .groupBy("ORDER_MONTH", "CATEGORY")
         .agg(
-            F.sum("REVENUE").alias("MONTHLY_REVENUE"),
+            F.sum("REVENUE").cast("decimal(20,2)").alias("MONTHLY_REVENUE"),
             F.count_distinct("ORDER_ID").alias("ORDER_COUNT"),
             F.count_distinct("CUSTOMER_ID").alias("UNIQUE_CUSTOMERS"),
             F.sum("UNITS").alias("TOTAL_UNITS"),
@@ -106,7 +120,15 @@ def revenue_features(orders: DataFrame, items: DataFrame, products: DataFrame) -
 
 
 def revenue_model_table(features: DataFrame) -> DataFrame:
-    df = ordinal_encode(features, "CATEGORY", "CATEGORY_ENCODED")
-    return minmax_scale(df, REVENUE_NUMERIC).select(
-        "ORDER_MONTH", "CATEGORY", "MONTHLY_REVENUE", *REVENUE_INPUTS, "REVENUE_GROWTH_PCT"
+    fitted = with_fit(features, {**levels_fit(["CATEGORY"]), **minmax_fit(REVENUE_NUMERIC)})
+    return fitted.select(
+        "ORDER_MONTH",
+        "CATEGORY",
+        "MONTHLY_REVENUE",
+        encoded("CATEGORY").alias("CATEGORY_ENCODED"),
+        "MONTH_NUM",
+        "QUARTER",
+        "YEAR",
+        *[ranged(c).alias(f"{c}_SCALED") for c in REVENUE_NUMERIC],
+        "REVENUE_GROWTH_PCT",
     )

@@ -206,7 +206,7 @@ def monthly_revenue_by_category(orders: DataFrame, items: DataFrame, products: D
         order_category_totals(orders, items, products)
         .groupBy("ORDER_MONTH", "CATEGORY")
         .agg(
-            F.sum("REVENUE").alias("MONTHLY_REVENUE"),
+            F.sum("REVENUE").cast("decimal(20,2)").alias("MONTHLY_REVENUE"),
             F.sum("ITEMS").alias("ITEM_COUNT"),
             F.count_distinct("ORDER_ID").alias("ORDER_COUNT"),
         )

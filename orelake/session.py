@@ -26,6 +26,7 @@ def local_session(cpus: int | str = 8, app: str = "orelake") -> SparkSession:
         builder.config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", os.environ.get("ORELAKE_DRIVER_MEMORY", "8g"))
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .getOrCreate()
     )
