@@ -516,6 +516,8 @@ def learned() -> dict[str, str]:
     q["chrono_split"] = f"""WITH {REVENUE_FEATURES}, months AS (SELECT ORDER_MONTH, ROW_NUMBER() OVER (ORDER BY ORDER_MONTH) - 1 AS i, COUNT(*) OVER () AS n
         FROM (SELECT DISTINCT ORDER_MONTH FROM rev)), cut AS (SELECT ORDER_MONTH AS c FROM months WHERE i = CAST(floor(n * 0.8::DOUBLE) AS BIGINT))
         SELECT ORDER_MONTH, CATEGORY, MONTHLY_REVENUE, CASE WHEN ORDER_MONTH < c THEN 'train' ELSE 'test' END AS SPLIT FROM rev, cut"""
+    q["hash_split"] = f"""WITH {TICKETS} SELECT TICKET_ID,
+        CASE WHEN CAST('0x' || substr(md5('42:' || CAST(TICKET_ID AS VARCHAR)), 1, 8) AS BIGINT) % 100 < 80 THEN 'train' ELSE 'test' END AS SPLIT FROM tickets_b"""
     cells = ", ".join(f'COUNT(*) FILTER (p = {i}) AS "{i}"' for i in range(4))
     q["confusion_matrix"] = f"WITH {RULE} SELECT CAST(y AS BIGINT) AS TRUE_CLASS, {cells} FROM rule GROUP BY 1"
     q["classification_metrics"] = f"""WITH {RULE}, k AS (SELECT c, (SELECT COUNT(*) FROM rule WHERE y = c) AS s, (SELECT COUNT(*) FROM rule WHERE p = c) AS g,

@@ -16,7 +16,7 @@ from orelake.operators.history import scd2_from_log, table_changes, collapse_cha
 from orelake.plans import exchange, features, gold, metrics, questions, search_docs, silver
 from orelake.plans.retail_model import RETAIL_MODEL
 from orelake.operators.semantic import semantic_query
-from orelake.session import scratch_dir
+from orelake.session import adapt, scratch_dir
 from orelake.sources import bronze
 from orelake.sources.sinks import row_counts
 from orelake.streaming import jobs
@@ -37,6 +37,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        adapt(spark)
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in bronze.TABLES:
@@ -47,21 +48,29 @@ class Tables:
     def cleaned(self) -> DataFrame:
         return silver.orders_cleaned(self.orders)
 
+    @property
+    def valid(self) -> DataFrame:
+        return silver.valid_orders(self.cleaned)
+
+    @property
+    def order_lines(self) -> DataFrame:
+        return bronze.order_lines(self.spark, self.sf_dir)
+
     @property
     def enriched(self) -> DataFrame:
         return silver.orders_enriched(self.cleaned, self.customers)
 
     @property
     def sales(self) -> DataFrame:
-        return gold.sales_summary(self.enriched)
+        return gold.sales_summary(self.valid)
 
     @property
     def c360(self) -> DataFrame:
-        return gold.customer_360(self.customers, self.enriched, AS_OF)
+        return gold.customer_360(self.customers, self.valid, AS_OF)
 
     @property
     def performance(self) -> DataFrame:
-        return gold.product_performance(self.products, self.order_items, self.product_reviews)
+        return gold.product_performance(self.products, self.order_lines, self.product_reviews)
 
     @property
     def processed(self) -> DataFrame:
@@ -94,7 +103,7 @@ class Tables:
             "customers": self.customers,
             "products": self.products,
             "orders": self.orders,
-            "order_items": self.order_items,
+            "order_items": self.order_lines,
             "reviews": self.product_reviews,
         }
 
@@ -108,7 +117,7 @@ class Tables:
 
     @property
     def revenue_features(self) -> DataFrame:
-        return features.revenue_features(self.orders, self.order_items, self.products)
+        return features.revenue_features(self.orders, self.order_lines, self.products)
 
     @property
     def revenue_model_table(self) -> DataFrame:
@@ -138,11 +147,11 @@ SILVER_GOLD: dict[str, Callable[[Tables], DataFrame]] = {
     "sales_summary": lambda t: t.sales,
     "monthly_kpi": lambda t: gold.monthly_kpi(t.sales),
     "customer_360": lambda t: t.c360,
-    "customer_360_wide": lambda t: gold.customer_360_wide(t.customers, t.enriched, AS_OF),
+    "customer_360_wide": lambda t: gold.customer_360_wide(t.customers, t.valid, AS_OF),
     "top_customers": lambda t: gold.top_customers(t.c360),
     "product_performance": lambda t: t.performance,
     "product_performance_dedupe": lambda t: gold.product_performance(
-        t.products, t.order_items, t.product_reviews, dedupe=True
+        t.products, t.order_lines, t.product_reviews, dedupe=True
     ),
     "product_performance_wide": lambda t: gold.product_performance_wide(t.products, t.order_items, t.product_reviews),
     "sales_summary_wide": lambda t: gold.sales_summary_wide(t.enriched),
@@ -152,7 +161,7 @@ SILVER_GOLD: dict[str, Callable[[Tables], DataFrame]] = {
     "sentiment_distribution": lambda t: silver.sentiment_distribution(t.processed),
     "product_sentiment": lambda t: t.product_sentiment,
     "product_health": lambda t: gold.product_health(t.performance, t.product_sentiment),
-    "monthly_revenue_by_category": lambda t: silver.monthly_revenue_by_category(t.orders, t.order_items, t.products),
+    "monthly_revenue_by_category": lambda t: silver.monthly_revenue_by_category(t.orders, t.order_lines, t.products),
 }
 
 

@@ -81,8 +81,10 @@ def minmax_scale(df: DataFrame, columns: Sequence[str], suffix: str = "_SCALED")
 
 
 def hash_split(df: DataFrame, id_col: str, train_pct: int = 80, seed: int = 42) -> tuple[DataFrame, DataFrame]:
-    """Random-looking split that depends on the ids alone, not on partitioning."""
-    bucket = F.pmod(F.xxhash64(F.lit(seed), F.col(id_col)), F.lit(100))
+    """Random-looking split that depends on the ids alone: neither partitioning nor
+    the engine changes it."""
+    digest = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id_col).cast("string")))
+    bucket = F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") % 100
     return df.filter(bucket < train_pct), df.filter(bucket >= train_pct)
 
 

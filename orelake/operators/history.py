@@ -200,6 +200,6 @@ def upsert(
     Rows of either kind get ``as_of`` in the ``stamp`` column. With plain
     equality a NULL key never matches: such source rows are added every time.
     """
-    arriving = source.select(*keys).distinct()
+    arriving = source.select(*keys)
     kept = target.join(arriving, keys_equal(target, arriving, keys, null_safe), "left_anti")
     return kept.unionByName(source.withColumn(stamp, as_ntz(as_of)).select(*target.columns))

@@ -1,8 +1,8 @@
 """Batch text search: keyword (BM25), vector (cosine) and hybrid ranking.
 
-Postings stay partitioned by document. Query terms come to the postings by
-broadcast when they are few enough, so scores are summed where the document
-is, and each task keeps only its best k hits per query before the last shuffle.
+Texts are not shuffled for keyword search: query terms come to the documents by
+broadcast when they are few enough, so only matching postings move. Each task
+keeps its best k hits per query before the last shuffle.
 """
 
 from __future__ import annotations
@@ -30,31 +30,39 @@ def terms_of(text: Column) -> Column:
 
 @dataclass(frozen=True)
 class Index:
-    """``postings``: id, term, tf, doc_len, partitioned by id. ``stats``: one row, n_docs and avg_len."""
+    """Inverted index of one text column.
 
-    postings: DataFrame
-    stats: DataFrame
+    ``docs``: id, terms and doc_len per document. ``postings``: id, doc_len, term
+    and tf. ``stats``: one row, n_docs and avg_len; documents without terms count.
+    """
+
+    docs: DataFrame
     id_col: str
 
+    @property
+    def postings(self) -> DataFrame:
+        return (
+            self.docs.select(self.id_col, "doc_len", F.explode("terms").alias("term"))
+            .groupBy(self.id_col, "doc_len", "term")
+            .agg(F.count(F.lit(1)).alias("tf"))
+        )
+
+    @property
+    def stats(self) -> DataFrame:
+        return self.docs.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("doc_len").alias("avg_len"))
+
     def stat(self, name: str) -> Column:
         return self.stats.select(name).scalar()
 
+    def by_document(self) -> "Index":
+        """The same index with every document's postings in one partition: one
+        shuffle of the documents, after which counting terms needs none."""
+        return Index(self.docs.repartition(self.id_col), self.id_col)
+
 
 def build_index(docs: DataFrame, id_col: str, text_col: str) -> Index:
-    """Inverted index of one text column. Documents without terms count in the
-    statistics but have no postings."""
-    # One shuffle, of the texts (smaller than their postings); all that follows is local to it.
-    spread = docs.select(id_col, F.col(text_col).alias("_text")).repartition(id_col)
-    parsed = spread.select(id_col, terms_of(F.col("_text")).alias("_terms"))
-    sized = parsed.select(id_col, F.coalesce(F.size("_terms"), F.lit(0)).alias("doc_len"), "_terms")
-    postings = (
-        sized.select(id_col, "doc_len", F.explode("_terms").alias("term"))
-        .groupBy(id_col, "doc_len", "term")
-        .agg(F.count(F.lit(1)).alias("tf"))
-    )
-    lengths = docs.select(F.coalesce(F.size(terms_of(F.col(text_col))), F.lit(0)).alias("_len"))
-    stats = lengths.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("_len").alias("avg_len"))
-    return Index(postings, stats, id_col)
+    terms = docs.select(id_col, terms_of(F.col(text_col)).alias("terms"))
+    return Index(terms.select(id_col, "terms", F.coalesce(F.size("terms"), F.lit(0)).alias("doc_len")), id_col)
 
 
 def query_terms(queries: DataFrame, query_id: str, query_text: str) -> DataFrame:
@@ -65,14 +73,16 @@ def query_terms(queries: DataFrame, query_id: str, query_text: str) -> DataFrame
     )
 
 
-def document_frequency(index: Index, terms: DataFrame) -> DataFrame:
-    """Documents per term, for the given terms only."""
+def matching(postings: DataFrame, terms: DataFrame) -> DataFrame:
+    """Postings of the given terms. Catalyst moves this semi join below the count
+    of term occurrences, so other terms are dropped as soon as they are read."""
     wanted = broadcast_if_small(terms.select(F.col("term").alias("_t")).distinct())
-    return (
-        index.postings.join(wanted, F.col("term") == F.col("_t"), "left_semi")
-        .groupBy("term")
-        .agg(F.count(F.lit(1)).alias("df"))
-    )
+    return postings.join(wanted, F.col("term") == F.col("_t"), "left_semi")
+
+
+def document_frequency(matched: DataFrame) -> DataFrame:
+    # Counting through tf keeps the columns of the scoring branch, whose shuffle is then reused.
+    return matched.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
 
 
 def best_k(scored: DataFrame, query_id: str, id_col: str, k: int, digits: int = SCORE_DIGITS) -> DataFrame:
@@ -86,11 +96,10 @@ def best_k(scored: DataFrame, query_id: str, id_col: str, k: int, digits: int =
     )
 
 
-def _restricted(index: Index, attrs: DataFrame | None, where: Column | None) -> DataFrame:
+def _allowed(postings: DataFrame, id_col: str, attrs: DataFrame | None, where: Column | None) -> DataFrame:
     if attrs is None or where is None:
-        return index.postings
-    allowed = attrs.filter(where).select(index.id_col)
-    return index.postings.join(allowed, index.id_col, "left_semi")
+        return postings
+    return postings.join(attrs.filter(where).select(id_col), id_col, "left_semi")
 
 
 def keyword_search(
@@ -104,15 +113,16 @@ def keyword_search(
 ) -> DataFrame:
     """BM25 top-k per query over the documents whose attributes pass ``where``."""
     terms = query_terms(queries, query_id, query_text)
+    matched = matching(index.postings, terms)
     n, avg_len = index.stat("n_docs"), index.stat("avg_len")
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = terms.join(document_frequency(index, terms), "term").select(
+    weighted = terms.join(document_frequency(matched), "term").select(
         query_id, F.col("term").alias("_t"), idf.alias("idf")
     )
     tf = F.col("tf").cast("double")
     damped = tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("doc_len") / avg_len))
     scored = (
-        _restricted(index, attrs, where)
+        _allowed(matched, index.id_col, attrs, where)
         .join(broadcast_if_small(weighted), F.col("term") == F.col("_t"))
         .groupBy(query_id, index.id_col)
         .agg(F.sum(F.col("idf") * damped).alias("SCORE"))
@@ -134,7 +144,7 @@ def text_vector_search(
     on their document alone."""
     terms = query_terms(queries, query_id, query_text)
     n = index.stat("n_docs")
-    q = terms.join(document_frequency(index, terms), "term").withColumn(
+    q = terms.join(document_frequency(matching(index.postings, terms)), "term").withColumn(
         "wq", (1 + F.log("qtf")) * F.log(n / F.col("df"))
     )
     lengths = q.groupBy(query_id).agg(F.sqrt(F.sum(F.col("wq") * F.col("wq"))).alias("q_norm"))
@@ -143,7 +153,8 @@ def text_vector_search(
     )
     wd = 1 + F.log("tf")
     doc_norm = F.sqrt(F.sum(wd * wd).over(W.partitionBy(index.id_col)))
-    docs = _restricted(index, attrs, where).withColumn("wd", wd / doc_norm)
+    located = index.by_document().postings
+    docs = _allowed(located, index.id_col, attrs, where).withColumn("wd", wd / doc_norm)
     scored = (
         docs.join(broadcast_if_small(weighted), F.col("term") == F.col("_t"))
         .groupBy(query_id, index.id_col)

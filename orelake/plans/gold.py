@@ -16,7 +16,10 @@ NO_AMOUNT = "cast(0 as decimal(38,2))"
 
 
 def sales_summary(enriched: DataFrame) -> DataFrame:
-    """Monthly sales by region and channel; every order status counts."""
+    """Monthly sales by region and channel; every order status counts.
+
+    Enriched or just valid orders will do: no customer attribute is used.
+    """
     return enriched.groupBy(F.col("ORDER_MONTH").alias("MONTH"), "REGION", "CHANNEL").agg(
         F.count("ORDER_ID").alias("TOTAL_ORDERS"),
         F.sum("NET_AMOUNT").alias("TOTAL_REVENUE"),
@@ -65,8 +68,8 @@ def _order_history():
 def customer_360(customers: DataFrame, enriched: DataFrame, as_of: date) -> DataFrame:
     """One row per customer, with or without orders.
 
-    Orders shrink to one row per customer before they meet the customers, so
-    the join sees unique keys on both sides.
+    Orders (enriched or just valid) shrink to one row per customer before they
+    meet the customers, so the join sees unique keys on both sides.
     """
     history = enriched.groupBy("CUSTOMER_ID").agg(*_order_history())
     standing = _customer_standing(as_of)

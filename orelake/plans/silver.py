@@ -58,13 +58,40 @@ def orders_cleaned(orders: DataFrame) -> DataFrame:
     )
 
 
+def valid_orders(cleaned: DataFrame) -> DataFrame:
+    """The order side of ``orders_enriched``: valid rows, calendar columns, value tier.
+
+    CUSTOMER_ID is the key of the customers, so the enrichment join neither adds
+    nor drops orders; summaries that use no customer attribute read this instead
+    and save the join.
+    """
+    day = F.col("ORDER_DATE")
+    return cleaned.filter(F.col("IS_VALID_AMOUNT") & F.col("HAS_VALID_CUSTOMER")).select(
+        "ORDER_ID",
+        "CUSTOMER_ID",
+        "ORDER_DATE",
+        month_start(day).alias("ORDER_MONTH"),
+        quarter_start(day).alias("ORDER_QUARTER"),
+        F.year(day).alias("ORDER_YEAR"),
+        "ORDER_STATUS",
+        "TOTAL_AMOUNT",
+        "DISCOUNT_AMOUNT",
+        "SHIPPING_AMOUNT",
+        "NET_AMOUNT",
+        "PAYMENT_METHOD",
+        "REGION",
+        "CHANNEL",
+        "SOURCE_SYSTEM",
+        banded(F.col("NET_AMOUNT"), ORDER_VALUE_BANDS, ORDER_VALUE_FLOOR).alias("ORDER_VALUE_TIER"),
+    )
+
+
 def orders_enriched(cleaned: DataFrame, customers: DataFrame) -> DataFrame:
     """Valid orders with the customer's attributes, calendar columns and value tier.
 
     Left join on CUSTOMER_ID. No hint: Spark broadcasts the customers when they
     are small, and otherwise AQE splits the partitions of hot customers.
     """
-    valid = cleaned.filter(F.col("IS_VALID_AMOUNT") & F.col("HAS_VALID_CUSTOMER"))
     people = customers.select(
         "CUSTOMER_ID",
         "FIRST_NAME",
@@ -75,8 +102,7 @@ def orders_enriched(cleaned: DataFrame, customers: DataFrame) -> DataFrame:
         F.col("STATE").alias("CUSTOMER_STATE"),
         "REGISTRATION_DATE",
     )
-    day = F.col("ORDER_DATE")
-    return valid.join(people, "CUSTOMER_ID", "left").select(
+    return valid_orders(cleaned).join(people, "CUSTOMER_ID", "left").select(
         "ORDER_ID",
         "CUSTOMER_ID",
         "FIRST_NAME",
@@ -86,9 +112,9 @@ def orders_enriched(cleaned: DataFrame, customers: DataFrame) -> DataFrame:
         "CUSTOMER_CITY",
         "CUSTOMER_STATE",
         "ORDER_DATE",
-        month_start(day).alias("ORDER_MONTH"),
-        quarter_start(day).alias("ORDER_QUARTER"),
-        F.year(day).alias("ORDER_YEAR"),
+        "ORDER_MONTH",
+        "ORDER_QUARTER",
+        "ORDER_YEAR",
         "ORDER_STATUS",
         "TOTAL_AMOUNT",
         "DISCOUNT_AMOUNT",
@@ -98,8 +124,8 @@ def orders_enriched(cleaned: DataFrame, customers: DataFrame) -> DataFrame:
         "REGION",
         "CHANNEL",
         "SOURCE_SYSTEM",
-        days_between(F.col("REGISTRATION_DATE"), day).alias("CUSTOMER_TENURE_DAYS"),
-        banded(F.col("NET_AMOUNT"), ORDER_VALUE_BANDS, ORDER_VALUE_FLOOR).alias("ORDER_VALUE_TIER"),
+        days_between(F.col("REGISTRATION_DATE"), F.col("ORDER_DATE")).alias("CUSTOMER_TENURE_DAYS"),
+        "ORDER_VALUE_TIER",
     )
 
 

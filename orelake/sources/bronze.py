@@ -130,20 +130,27 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = read(spark, sf_dir, "lineitem")
-    prices = read(spark, sf_dir, "part").select("p_partkey", "p_retailprice")
-    return li.join(prices, F.col("l_partkey") == F.col("p_partkey"), "left").select(
+def order_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Order items without UNIT_PRICE, the one column that comes from another table."""
+    return read(spark, sf_dir, "lineitem").select(
         (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("ORDER_ITEM_ID"),
         F.col("l_orderkey").alias("ORDER_ID"),
         F.col("l_partkey").alias("PRODUCT_ID"),
         F.col("l_quantity").cast("bigint").alias("QUANTITY"),
-        money(F.col("p_retailprice"), PRICE).alias("UNIT_PRICE"),
         money(F.col("l_extendedprice")).alias("LINE_TOTAL"),
         (F.col("l_discount").cast("decimal(5,2)") * 100).cast("decimal(5,2)").alias("DISCOUNT_PCT"),
     )
 
 
+def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prices = read(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("PRODUCT_ID"), money(F.col("p_retailprice"), PRICE).alias("UNIT_PRICE")
+    )
+    return order_lines(spark, sf_dir).join(prices, "PRODUCT_ID", "left").select(
+        "ORDER_ITEM_ID", "ORDER_ID", "PRODUCT_ID", "QUANTITY", "UNIT_PRICE", "LINE_TOTAL", "DISCOUNT_PCT"
+    )
+
+
 def product_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = read(spark, sf_dir, "documents")
     key = F.col("doc_id")
