@@ -17,7 +17,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orelake.operators.sizing import broadcast_if_small
+from orelake.operators.sizing import Hint, broadcast_hint
 
 K1, B = 1.2, 0.75
 SCORE_DIGITS = 6
@@ -25,7 +25,7 @@ SCORE_DIGITS = 6
 
 def terms_of(text: Column) -> Column:
     """Lower-cased runs of letters and digits."""
-    return F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda t: t != "")
+    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
 @dataclass(frozen=True)
@@ -33,19 +33,32 @@ class Index:
     """Inverted index of one text column.
 
     ``docs``: id, terms and doc_len per document. ``postings``: id, doc_len, term
-    and tf. ``stats``: one row, n_docs and avg_len; documents without terms count.
+    and tf, with a document's postings in one partition. ``stats``: one row,
+    n_docs and avg_len; documents without terms count.
     """
 
     docs: DataFrame
     id_col: str
 
+    def tokens(self, docs: DataFrame) -> DataFrame:
+        # The outer form keeps Catalyst from adding a filter that would split every
+        # text a second time; the NULL term of an empty document goes right after.
+        exploded = docs.select(self.id_col, "doc_len", F.explode_outer("terms").alias("term"))
+        return exploded.filter(F.col("term").isNotNull())
+
+    def counted(self, tokens: DataFrame) -> DataFrame:
+        return tokens.groupBy(self.id_col, "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
+
     @property
     def postings(self) -> DataFrame:
-        return (
-            self.docs.select(self.id_col, "doc_len", F.explode("terms").alias("term"))
-            .groupBy(self.id_col, "doc_len", "term")
-            .agg(F.count(F.lit(1)).alias("tf"))
-        )
+        """All postings. Documents are shuffled once, by id; counting is then local."""
+        return self.counted(self.tokens(self.docs.repartition(self.id_col)))
+
+    def postings_of(self, terms: DataFrame, hint: Hint) -> DataFrame:
+        """Postings of the given terms: other terms are dropped before the shuffle."""
+        wanted = hint(terms.select(F.col("term").alias("_t")).distinct())
+        found = self.tokens(self.docs).join(wanted, F.col("term") == F.col("_t"), "left_semi")
+        return self.counted(found.repartition(self.id_col))
 
     @property
     def stats(self) -> DataFrame:
@@ -54,11 +67,6 @@ class Index:
     def stat(self, name: str) -> Column:
         return self.stats.select(name).scalar()
 
-    def by_document(self) -> "Index":
-        """The same index with every document's postings in one partition: one
-        shuffle of the documents, after which counting terms needs none."""
-        return Index(self.docs.repartition(self.id_col), self.id_col)
-
 
 def build_index(docs: DataFrame, id_col: str, text_col: str) -> Index:
     terms = docs.select(id_col, terms_of(F.col(text_col)).alias("terms"))
@@ -73,16 +81,8 @@ def query_terms(queries: DataFrame, query_id: str, query_text: str) -> DataFrame
     )
 
 
-def matching(postings: DataFrame, terms: DataFrame) -> DataFrame:
-    """Postings of the given terms. Catalyst moves this semi join below the count
-    of term occurrences, so other terms are dropped as soon as they are read."""
-    wanted = broadcast_if_small(terms.select(F.col("term").alias("_t")).distinct())
-    return postings.join(wanted, F.col("term") == F.col("_t"), "left_semi")
-
-
-def document_frequency(matched: DataFrame) -> DataFrame:
-    # Counting through tf keeps the columns of the scoring branch, whose shuffle is then reused.
-    return matched.groupBy("term").agg(F.count_if(F.col("tf") > 0).alias("df"))
+def document_frequency(postings: DataFrame) -> DataFrame:
+    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
 
 
 def best_k(scored: DataFrame, query_id: str, id_col: str, k: int, digits: int = SCORE_DIGITS) -> DataFrame:
@@ -113,7 +113,8 @@ def keyword_search(
 ) -> DataFrame:
     """BM25 top-k per query over the documents whose attributes pass ``where``."""
     terms = query_terms(queries, query_id, query_text)
-    matched = matching(index.postings, terms)
+    hint = broadcast_hint(terms)  # the weighted terms are no more than these
+    matched = index.postings_of(terms, hint)
     n, avg_len = index.stat("n_docs"), index.stat("avg_len")
     idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
     weighted = terms.join(document_frequency(matched), "term").select(
@@ -123,7 +124,7 @@ def keyword_search(
     damped = tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("doc_len") / avg_len))
     scored = (
         _allowed(matched, index.id_col, attrs, where)
-        .join(broadcast_if_small(weighted), F.col("term") == F.col("_t"))
+        .join(hint(weighted), F.col("term") == F.col("_t"))
         .groupBy(query_id, index.id_col)
         .agg(F.sum(F.col("idf") * damped).alias("SCORE"))
     )
@@ -144,7 +145,8 @@ def text_vector_search(
     on their document alone."""
     terms = query_terms(queries, query_id, query_text)
     n = index.stat("n_docs")
-    q = terms.join(document_frequency(matching(index.postings, terms)), "term").withColumn(
+    hint = broadcast_hint(terms)
+    q = terms.join(document_frequency(index.postings_of(terms, hint)), "term").withColumn(
         "wq", (1 + F.log("qtf")) * F.log(n / F.col("df"))
     )
     lengths = q.groupBy(query_id).agg(F.sqrt(F.sum(F.col("wq") * F.col("wq"))).alias("q_norm"))
@@ -153,10 +155,9 @@ def text_vector_search(
     )
     wd = 1 + F.log("tf")
     doc_norm = F.sqrt(F.sum(wd * wd).over(W.partitionBy(index.id_col)))
-    located = index.by_document().postings
-    docs = _allowed(located, index.id_col, attrs, where).withColumn("wd", wd / doc_norm)
+    docs = _allowed(index.postings, index.id_col, attrs, where).withColumn("wd", wd / doc_norm)
     scored = (
-        docs.join(broadcast_if_small(weighted), F.col("term") == F.col("_t"))
+        docs.join(hint(weighted), F.col("term") == F.col("_t"))
         .groupBy(query_id, index.id_col)
         .agg(F.sum(F.col("wq") * F.col("wd")).alias("SCORE"))
         .filter(F.col("SCORE") > 0)

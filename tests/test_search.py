@@ -95,7 +95,7 @@ def test_attribute_filter_applies_before_ranking(spark, corpus, frames):
 def test_shuffle_join_beyond_the_broadcast_bound(corpus, frames, monkeypatch):
     index, q = frames
     want = hits(search.keyword_search(index, q, 5))
-    monkeypatch.setattr(search, "broadcast_if_small", lambda df: df)
+    monkeypatch.setattr(search, "broadcast_hint", lambda terms: lambda df: df)
     assert hits(search.keyword_search(index, q, 5)) == want
 
 
