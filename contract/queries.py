@@ -94,8 +94,9 @@ class Tables:
 
     @property
     def order_history(self) -> DataFrame:
-        first = metrics.orders_scd2(None, self.initial_load, FIRST_LOAD)
-        return metrics.orders_scd2(first, self.order_changes, CHANGED_AT)
+        # History and change feed are tables: written by one step, read by the next.
+        first = stored(self, metrics.orders_scd2(None, self.initial_load, FIRST_LOAD), "history")
+        return metrics.orders_scd2(first, stored(self, self.order_changes, "changes"), CHANGED_AT)
 
     @property
     def retail(self) -> dict[str, DataFrame]:
@@ -137,6 +138,13 @@ class Tables:
         return silver.product_sentiment_summary(self.processed, self.products)
 
 
+def stored(t: Tables, df: DataFrame, name: str) -> DataFrame:
+    """The frame written to shared storage and read back, for tables read many times."""
+    path = f"{scratch_dir(t.spark, 'tables')}/{name}"
+    df.write.parquet(path)
+    return t.spark.read.schema(df.schema).parquet(path)
+
+
 def over_tables(fn: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: present(fn(Tables(spark, sf_dir)))
 
@@ -305,13 +313,6 @@ def moving_average_predictions(t: Tables) -> DataFrame:
     return evaluate.prediction_table(pred, "MovingAverage", "v1", keep, "P", "PREDICTED_REVENUE", "MONTHLY_REVENUE")
 
 
-def stored(t: Tables, df: DataFrame, name: str) -> DataFrame:
-    """The frame written once and read back: training reads its table many times."""
-    path = f"{scratch_dir(t.spark, 'features')}/{name}"
-    df.write.parquet(path)
-    return t.spark.read.parquet(path)
-
-
 def ticket_predictions(t: Tables, kind: str) -> DataFrame:
     train, test = hash_split(stored(t, t.ticket_model_table, "tickets"), "TICKET_ID")
     model = models.train_ticket_classifier(train, features.TICKET_INPUTS, kind)

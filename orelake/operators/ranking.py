@@ -1,4 +1,4 @@
-"""Top-k, ordinal cuts, exact medians and dense ids without a global window.
+"""Top-k, ordinal cuts, exact medians and sequence ids without a global window.
 
 A window with no partition key runs in one task. Each operator here first
 reduces the data to a small set of distinct values or buckets, ranks that, and
@@ -77,22 +77,19 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, bucke
     return ranked.groupBy(*keys).agg(((low + high) / 2).alias(out))
 
 
-def dense_ids(df: DataFrame, key: Sequence[str], out: str, start: int | Column = 1, buckets: int = 1024) -> DataFrame:
-    """Consecutive ids from ``start``, a pure function of the data.
+def sequence_ids(df: DataFrame, key: Sequence[str], out: str, start: int | Column = 1, buckets: int = 1024) -> DataFrame:
+    """Unique ids counting up from ``start``, a pure function of the data.
 
-    Rows are numbered inside hash buckets of ``key`` (which must be unique) and
-    shifted by the running bucket counts; only ``buckets`` rows are ranked globally.
+    Rows are numbered inside hash buckets of ``key`` (which must be unique), and
+    every bucket takes its own residue class, so no bucket has to know the size
+    of another. Even buckets make the ids nearly consecutive; like those of any
+    sequence, they may have gaps.
     """
-    tagged = df.withColumn("_b", F.pmod(F.xxhash64(*key), F.lit(buckets)))
-    counts = tagged.groupBy("_b").agg(F.count(F.lit(1)).alias("_bn"))
-    shifts = counts.select(
-        F.col("_b").alias("_sb"),
-        (F.sum("_bn").over(W.orderBy("_b").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("_bn")).alias("_shift"),
-    )
-    numbered = tagged.withColumn("_rn", F.row_number().over(W.partitionBy("_b").orderBy(*key)))
+    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets))
+    place = F.row_number().over(W.partitionBy("_bucket").orderBy(*key))
     begin = start if isinstance(start, Column) else F.lit(start)
     return (
-        numbered.join(F.broadcast(shifts), F.col("_b") == F.col("_sb"))  # at most ``buckets`` rows
-        .withColumn(out, (begin - 1 + F.col("_shift") + F.col("_rn")).cast("bigint"))
-        .drop("_b", "_sb", "_shift", "_rn")
+        df.withColumn("_bucket", bucket)
+        .withColumn(out, (begin + (place - 1) * F.lit(buckets).cast("bigint") + F.col("_bucket")).cast("bigint"))
+        .drop("_bucket")
     )

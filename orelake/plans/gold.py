@@ -89,8 +89,10 @@ def customer_360_wide(customers: DataFrame, enriched: DataFrame, as_of: date) ->
 
     A preference is the most frequent value, the alphabetically first on a tie.
     """
-    history = enriched.groupBy("CUSTOMER_ID").agg(
-        *_order_history(),
+    history = enriched.groupBy("CUSTOMER_ID").agg(*_order_history())
+    # Apart from the distinct count, which would carry these per-value counts
+    # through a shuffle keyed by order; both sides end up partitioned by customer.
+    habits = enriched.groupBy("CUSTOMER_ID").agg(
         F.min("ORDER_DATE").alias("FIRST_ORDER_DATE"),
         F.mode("PAYMENT_METHOD", True).alias("PREFERRED_PAYMENT"),
         F.mode("CHANNEL", True).alias("PREFERRED_CHANNEL"),
@@ -98,7 +100,7 @@ def customer_360_wide(customers: DataFrame, enriched: DataFrame, as_of: date) ->
         F.count_if(F.col("ORDER_STATUS") == "CANCELLED").alias("_cancelled"),
     )
     s = {n: c.alias(n) for n, c in _customer_standing(as_of).items()}
-    return customers.join(history, "CUSTOMER_ID", "left").select(
+    return customers.join(history, "CUSTOMER_ID", "left").join(habits, "CUSTOMER_ID", "left").select(
         "CUSTOMER_ID",
         "FIRST_NAME",
         "LAST_NAME",
