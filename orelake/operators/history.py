@@ -14,7 +14,6 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from orelake.operators.ranking import sequence_ids
 from orelake.vocab import OPEN_ENDED
@@ -144,15 +143,15 @@ def scd2_apply(
 
 def empty_history(like: DataFrame, surrogate: str = "SURROGATE_KEY") -> DataFrame:
     """A history with no versions for rows shaped like ``like``."""
-    schema = T.StructType([
-        T.StructField(surrogate, T.LongType()),
-        *like.schema.fields,
-        T.StructField("EFFECTIVE_FROM", T.TimestampNTZType()),
-        T.StructField("EFFECTIVE_TO", T.TimestampNTZType()),
-        T.StructField("IS_CURRENT", T.BooleanType()),
-        T.StructField("DML_TYPE", T.StringType()),
-    ])
-    return like.sparkSession.createDataFrame([], schema)
+    # limit(0) is folded to an empty relation, and the joins with it disappear.
+    return like.limit(0).select(
+        F.lit(0).cast("bigint").alias(surrogate),
+        "*",
+        as_ntz(OPEN_ENDED).alias("EFFECTIVE_FROM"),
+        as_ntz(OPEN_ENDED).alias("EFFECTIVE_TO"),
+        F.lit(True).alias("IS_CURRENT"),
+        F.lit("INSERT").alias("DML_TYPE"),
+    )
 
 
 def scd2_from_log(log: DataFrame, key: str, batch: str = "batch_id", at: str = "changed_at") -> DataFrame:

@@ -77,7 +77,7 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, bucke
     return ranked.groupBy(*keys).agg(((low + high) / 2).alias(out))
 
 
-def sequence_ids(df: DataFrame, key: Sequence[str], out: str, start: int | Column = 1, buckets: int = 1024) -> DataFrame:
+def sequence_ids(df: DataFrame, key: Sequence[str], out: str, start: int | Column = 1, buckets: int = 8192) -> DataFrame:
     """Unique ids counting up from ``start``, a pure function of the data.
 
     Rows are numbered inside hash buckets of ``key`` (which must be unique), and

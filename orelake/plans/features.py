@@ -53,8 +53,8 @@ def ticket_features(tickets: DataFrame, customers: DataFrame, products: DataFram
 
     return (
         tickets.join(people, "CUSTOMER_ID", "left")
+        .join(spend, "CUSTOMER_ID", "left")  # next to the join on the same key: one shuffle of tickets
         .join(prices, "PRODUCT_ID", "left")
-        .join(spend, "CUSTOMER_ID", "left")
         .select(
             "TICKET_ID",
             "PRIORITY",
