@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from orelake.functions.columns import percent
+from orelake.plans import gold
 from orelake.schemas import PLANNING_TARGETS
 from orelake.sources.sinks import export
 from orelake.vocab import CUSTOMERS_PER_TEN_ORDERS, REVENUE_PER_ORDER, TARGET_SERIES
@@ -95,6 +96,22 @@ def target_attainment(
     return t.join(s, names).select(*names, "REVENUE_TARGET", "ACTUAL_REVENUE", *_attainment(actual, target))
 
 
+def export_gold(tables: Mapping[str, DataFrame], out: str, as_of: date, exported_at=None) -> dict[str, DataFrame]:
+    """Customer 360, sales summary and product performance in their export shapes.
+
+    ``tables`` holds customers, orders_enriched, products, order_items and product_reviews.
+    """
+    enriched = tables["orders_enriched"]
+    wide = {
+        "customer_360": gold.customer_360_wide(tables["customers"], enriched, as_of),
+        "sales_summary": gold.sales_summary_wide(enriched),
+        "product_performance": gold.product_performance_wide(
+            tables["products"], tables["order_items"], tables["product_reviews"]
+        ),
+    }
+    return {name: export(df, f"{out}/{name}", df.columns, exported_at) for name, df in wide.items()}
+
+
 def export_predictions(predictions: DataFrame, path: str, exported_at: datetime | date | None = None) -> DataFrame:
     columns = [
         "ORDER_MONTH", "CATEGORY", F.col("MONTHLY_REVENUE").alias("ACTUAL_REVENUE"), "PREDICTED_REVENUE",

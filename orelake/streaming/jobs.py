@@ -30,6 +30,12 @@ def run_available(source: DataFrame, fn: Callable[[DataFrame, int], None], check
     return query
 
 
+def skip_existing(source: DataFrame, checkpoint: str) -> StreamingQuery:
+    """Start a stream at the present: what the source already holds is marked as
+    seen without being processed."""
+    return run_available(source, lambda batch, batch_id: None, checkpoint)
+
+
 def write_batch(df: DataFrame, path: str, batch_id: int) -> None:
     df.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 

@@ -112,6 +112,20 @@ def test_ticket_metrics_and_enrichment_streams(spark, small, tmp_path):
     assert got.count() == want.count() and got.exceptAll(want.select(*got.columns)).count() == 0
 
 
+def test_a_stream_can_start_at_the_present(spark, tmp_path):
+    src, ckpt, seen = str(tmp_path / "src"), str(tmp_path / "ckpt"), []
+    schema = spark.range(1).schema
+
+    def source():
+        return jobs.change_source(spark, src, schema)
+
+    spark.range(3).write.parquet(src)
+    jobs.skip_existing(source(), ckpt)
+    spark.range(10, 12).write.mode("append").parquet(src)
+    jobs.run_available(source(), lambda b, i: seen.extend(r.id for r in b.collect()), ckpt)
+    assert sorted(seen) == [10, 11]
+
+
 def test_daily_refresh_recomputes_only_touched_days(spark, small):
     before, after = bronze.orders_before(spark, small), bronze.orders_after(spark, small)
     changes = table_changes(before, after, "ORDER_ID")

@@ -149,6 +149,10 @@ def test_layers_refresh_and_exports(spark, small, tmp_path):
     want = gold.sales_summary(silver.orders_enriched(silver.orders_cleaned(tables["orders"]), tables["customers"]))
     assert done["sales_summary"].exceptAll(want).count() == 0
     assert done["top_customers"].count() > 0 and len(done) == 12
+    out = exchange.export_gold({**tables, **done}, str(tmp_path / "x"), date(2001, 8, 2), "2024-02-01 00:00:00")
+    assert all(df.columns[-1] == "EXPORTED_AT" and df.count() > 0 for df in out.values()) and len(out) == 3
+    by_region = gold.region_revenue(out["sales_summary"], "NET_REVENUE")
+    assert by_region.exceptAll(gold.region_revenue(done["sales_summary"])).count() == 0
     pred = evaluate.prediction_table(
         spark.createDataFrame([(date(2024, 1, 1), "c", 10.0, 8.0)], "ORDER_MONTH date, CATEGORY string, MONTHLY_REVENUE double, P double"),
         "m", "v1", ["ORDER_MONTH", "CATEGORY", "MONTHLY_REVENUE"], "P", "PREDICTED_REVENUE", "MONTHLY_REVENUE",
