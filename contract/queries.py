@@ -251,7 +251,7 @@ def keyword_hits(t: Tables, k: int) -> DataFrame:
 
 
 def hybrid_hits(t: Tables) -> DataFrame:
-    index = search.build_index(t.documents, "DOC_ID", "text")
+    index = search.build_index(t.documents, "DOC_ID", "text", whole=True)
     by_word = search.keyword_search(index, t.search_queries, 20)
     by_vector = search.text_vector_search(index, t.search_queries, 20)
     return search.hybrid_search(by_word, by_vector, 10)

@@ -8,7 +8,7 @@ keeps its best k hits per query before the last shuffle.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -32,18 +32,27 @@ def terms_of(text: Column) -> Column:
 class Index:
     """Inverted index of one text column.
 
-    ``docs``: id, terms and doc_len per document. ``postings``: id, doc_len, term
-    and tf, with a document's postings in one partition. ``stats``: one row,
-    n_docs and avg_len; documents without terms count.
+    ``docs``: id and terms per document. ``postings``: id, doc_len, term and tf,
+    with a document's postings in one partition. ``stats``: one row, n_docs and
+    avg_len; documents without terms count.
+
+    ``whole`` says that all postings are needed anyway, as vector search does:
+    everything is then taken from the one shuffle of the documents. Otherwise
+    only the postings of asked-for terms are moved.
     """
 
     docs: DataFrame
     id_col: str
+    whole: bool = False
+
+    @property
+    def by_id(self) -> DataFrame:
+        return self.docs.repartition(self.id_col)
 
     def tokens(self, docs: DataFrame) -> DataFrame:
         # The outer form keeps Catalyst from adding a filter that would split every
         # text a second time; the NULL term of an empty document goes right after.
-        exploded = docs.select(self.id_col, "doc_len", F.explode_outer("terms").alias("term"))
+        exploded = docs.select(self.id_col, doc_len().alias("doc_len"), F.explode_outer("terms").alias("term"))
         return exploded.filter(F.col("term").isNotNull())
 
     def counted(self, tokens: DataFrame) -> DataFrame:
@@ -52,25 +61,32 @@ class Index:
     @property
     def postings(self) -> DataFrame:
         """All postings. Documents are shuffled once, by id; counting is then local."""
-        return self.counted(self.tokens(self.docs.repartition(self.id_col)))
+        return self.counted(self.tokens(self.by_id))
 
     def postings_of(self, terms: DataFrame, hint: Hint) -> DataFrame:
-        """Postings of the given terms: other terms are dropped before the shuffle."""
+        """Postings of the given terms, dropping others before the shuffle if that helps."""
         wanted = hint(terms.select(F.col("term").alias("_t")).distinct())
-        found = self.tokens(self.docs).join(wanted, F.col("term") == F.col("_t"), "left_semi")
+        same = F.col("term") == F.col("_t")
+        if self.whole:
+            return self.postings.join(wanted, same, "left_semi")
+        found = self.tokens(self.docs).join(wanted, same, "left_semi")
         return self.counted(found.repartition(self.id_col))
 
     @property
     def stats(self) -> DataFrame:
-        return self.docs.agg(F.count(F.lit(1)).alias("n_docs"), F.avg("doc_len").alias("avg_len"))
+        docs = self.by_id if self.whole else self.docs
+        return docs.agg(F.count(self.id_col).alias("n_docs"), F.avg(doc_len()).alias("avg_len"))
 
     def stat(self, name: str) -> Column:
         return self.stats.select(name).scalar()
 
 
-def build_index(docs: DataFrame, id_col: str, text_col: str) -> Index:
-    terms = docs.select(id_col, terms_of(F.col(text_col)).alias("terms"))
-    return Index(terms.select(id_col, "terms", F.coalesce(F.size("terms"), F.lit(0)).alias("doc_len")), id_col)
+def doc_len() -> Column:
+    return F.coalesce(F.size("terms"), F.lit(0))
+
+
+def build_index(docs: DataFrame, id_col: str, text_col: str, whole: bool = False) -> Index:
+    return Index(docs.select(id_col, terms_of(F.col(text_col)).alias("terms")), id_col, whole)
 
 
 def query_terms(queries: DataFrame, query_id: str, query_text: str) -> DataFrame:
@@ -143,6 +159,7 @@ def text_vector_search(
     """Cosine top-k between term vectors: log term frequency for documents, the
     same times inverse document frequency for queries. Document vectors depend
     on their document alone."""
+    index = replace(index, whole=True)
     terms = query_terms(queries, query_id, query_text)
     n = index.stat("n_docs")
     hint = broadcast_hint(terms)

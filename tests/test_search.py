@@ -92,6 +92,12 @@ def test_attribute_filter_applies_before_ranking(spark, corpus, frames):
         assert got.get(i, []) == want
 
 
+def test_whole_index_gives_the_same_hits(frames):
+    index, q = frames
+    whole = search.Index(index.docs, index.id_col, whole=True)
+    assert hits(search.keyword_search(whole, q, 5)) == hits(search.keyword_search(index, q, 5))
+
+
 def test_shuffle_join_beyond_the_broadcast_bound(corpus, frames, monkeypatch):
     index, q = frames
     want = hits(search.keyword_search(index, q, 5))
