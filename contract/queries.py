@@ -322,6 +322,12 @@ def ticket_predictions(t: Tables, kind: str) -> DataFrame:
     return evaluate.prediction_table(pred, name, "v1", keep, "PREDICTED", "PREDICTED_PRIORITY")
 
 
+def ticket_importance(t: Tables) -> DataFrame:
+    train, _ = hash_split(stored(t, t.ticket_model_table, "tickets"), "TICKET_ID")
+    model = models.train_ticket_classifier(train, features.TICKET_INPUTS, "rf")
+    return models.feature_importance(t.spark, model, features.TICKET_INPUTS)
+
+
 def revenue_predictions(t: Tables, kind: str) -> DataFrame:
     # One row per month and category, however large the orders are: one file will do.
     train, test = chrono_split(stored(t, t.revenue_model_table.coalesce(1), "revenue"), "ORDER_MONTH")
@@ -368,6 +374,7 @@ LEARNING: dict[str, Callable[[Tables], DataFrame]] = {
     "prediction_table": lambda t: rounded(moving_average_predictions(t), 4),
     "residual_summary": lambda t: rounded(evaluate.residual_summary(moving_average_predictions(t)), 4),
     "residual_by_category": lambda t: rounded(evaluate.residual_summary(moving_average_predictions(t), "CATEGORY"), 4),
+    "feature_importance": ticket_importance,
     "rf_predict": lambda t: ticket_predictions(t, "rf"),
     "lr_predict": lambda t: ticket_predictions(t, "lr"),
     "gbt_predict": lambda t: revenue_predictions(t, "gbt"),

@@ -8,7 +8,10 @@ from contract import queries as registry
 
 LAZY = {**registry.SILVER_GOLD, **registry.ASKED, **registry.SEARCH, **registry.LEARNING, **registry.CHANGES}
 # These run jobs while they are built (training, tables written between steps).
-EAGER = {"rf_predict", "lr_predict", "gbt_predict", "linreg_predict", "orders_scd2", "orders_history_view", "daily_order_metrics"}
+EAGER = {
+    "feature_importance", "rf_predict", "lr_predict", "gbt_predict", "linreg_predict", "orders_scd2", "orders_history_view",
+    "daily_order_metrics",
+}
 
 
 def plan(spark, small, name):
