@@ -4,13 +4,34 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orelake.llm import decontaminate, simhash
+from orelake.llm import decontaminate, language, mixing, simhash, token_ids
 from orelake.llm.common import table
+from orelake.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = f"{scratch_dir(spark, 'llm')}/ids"
+    token_ids.write_ids(table(spark, sf_dir, "documents", "doc_id", "text"), path, public_tokenizers.path(TOKENIZER))
+    return token_ids.read_digests(spark, path)
+
+
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "lang")
+    return language.predict(docs, language.fit(docs))
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row per use of a document in the mixture."""
+    docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
+    return mixing.mixed(docs).select("doc_id", "source", "epoch", "place")
+
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
@@ -23,6 +44,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op3_token_ids": op3_token_ids,
+        "op4_language": op4_language,
+        "op6_mixing": op6_mixing,
         "op9_simhash": op9_simhash,
         "op10_decontaminate": op10_decontaminate,
     }
