@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orelake.llm import decontaminate, language, mixing, simhash, token_ids
+from orelake.llm import decontaminate, language, mixing, simhash, token_ids, url_templates, vafile
 from orelake.llm.common import table
 from orelake.session import scratch_dir
 
@@ -16,6 +16,16 @@ Query = Callable[[SparkSession, str], DataFrame]
 TOKENIZER = "byte_bpe_50k.json"
 
 
+def op1_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vafile.topk(table(spark, sf_dir, "embeddings", "vec_id", "embedding"))
+
+
+def op2_url_templates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages", "page_id", "url")
+    labels = url_templates.page_labels(pages, table(spark, sf_dir, "labels", "doc_id", "quality", "toxic"))
+    return url_templates.judged(pages, labels)
+
+
 def op3_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = f"{scratch_dir(spark, 'llm')}/ids"
     token_ids.write_ids(table(spark, sf_dir, "documents", "doc_id", "text"), path, public_tokenizers.path(TOKENIZER))
@@ -44,6 +54,8 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict[str, Query]:
     return {
+        "op1_vafile": op1_vafile,
+        "op2_url_templates": op2_url_templates,
         "op3_token_ids": op3_token_ids,
         "op4_language": op4_language,
         "op6_mixing": op6_mixing,
@@ -53,4 +65,7 @@ def queries() -> dict[str, Query]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {
+        "op1_vafile": vafile.ORACLE,
+        "op2_url_templates": url_templates.ORACLE,
+    }
