@@ -37,13 +37,15 @@ def crc_remainder(value, divisor: int) -> int:
     return zlib.crc32(str(value).encode()) % divisor
 
 
-def text_slices(batches: Iterator[pa.RecordBatch], column: str = "text") -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about SLICE_BYTES of text, or one row."""
+def text_slices(
+    batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about ``limit`` bytes of text, or one row."""
     for batch in batches:
         if not batch.num_rows:
             continue
         sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
-        part = np.cumsum(sizes, dtype=np.int64) // SLICE_BYTES
+        part = np.cumsum(sizes, dtype=np.int64) // limit
         cuts = np.flatnonzero(np.diff(part)) + 1
         for start, end in zip([0, *cuts], [*cuts, batch.num_rows]):
             yield batch.slice(int(start), int(end - start))
