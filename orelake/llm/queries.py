@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orelake.llm import decontaminate, language, mixing, simhash, token_ids, url_templates, vafile
+from orelake.llm import decontaminate, language, mixing, pitman_yor, simhash, token_ids, url_templates, vafile
 from orelake.llm.common import table
 from orelake.session import scratch_dir
 
@@ -37,6 +37,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs, language.fit(docs))
 
 
+def op5_pitman_yor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pitman_yor.scored(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per use of a document in the mixture."""
     docs = table(spark, sf_dir, "documents", "doc_id", "text", "source")
@@ -58,6 +62,7 @@ def queries() -> dict[str, Query]:
         "op2_url_templates": op2_url_templates,
         "op3_token_ids": op3_token_ids,
         "op4_language": op4_language,
+        "op5_pitman_yor": op5_pitman_yor,
         "op6_mixing": op6_mixing,
         "op9_simhash": op9_simhash,
         "op10_decontaminate": op10_decontaminate,
