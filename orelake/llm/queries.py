@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orelake.llm import decontaminate, language, mixing, pitman_yor, simhash, token_ids, url_templates, vafile
+from orelake.llm import decontaminate, language, line_dedup, mixing, pitman_yor, simhash, token_ids, url_templates, vafile
 from orelake.llm.common import table
 from orelake.session import scratch_dir
 
@@ -47,6 +47,10 @@ def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mixed(docs).select("doc_id", "source", "epoch", "place")
 
 
+def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.deduplicated(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -64,6 +68,7 @@ def queries() -> dict[str, Query]:
         "op4_language": op4_language,
         "op5_pitman_yor": op5_pitman_yor,
         "op6_mixing": op6_mixing,
+        "op7_line_dedup": op7_line_dedup,
         "op9_simhash": op9_simhash,
         "op10_decontaminate": op10_decontaminate,
     }
