@@ -54,3 +54,16 @@ def text_slices(
 def as_bytes(column: pa.Array) -> list[bytes]:
     """Whole texts as UTF-8 bytes; null is empty."""
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
+
+
+def split_words(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+    """(words of each text, the different words, the number of each word in turn) of
+    texts lower-cased (A-Z) and cut at ASCII blanks; null is empty."""
+    lists = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    words = lists.values
+    real = pc.greater(pc.binary_length(words), 0)
+    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False), dtype=np.int64)])
+    ends = lists.offsets.to_numpy()
+    coded = words.filter(real).dictionary_encode()
+    different = coded.dictionary.cast(pa.binary()).to_pylist()
+    return before[ends[1:]] - before[ends[:-1]], different, coded.indices.to_numpy()

@@ -34,13 +34,12 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orelake.llm.common import remainder, stored, text_slices
+from orelake.llm.common import remainder, split_words, stored, text_slices
 from orelake.session import scratch_dir
 
 BLOCK_BYTES = 24 << 20
@@ -98,16 +97,10 @@ _BLOCK_DDL = "block bigint, doc_ids array<bigint>, held_out binary, sizes binary
 
 def _code(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(words per text, sorted word hashes, the number of each word's hash)."""
-    lists = pc.ascii_split_whitespace(pc.ascii_lower(table.column("text").combine_chunks()))
-    words = lists.values
-    real = pc.greater(pc.binary_length(words), 0)
-    before = np.concatenate([[0], np.cumsum(real.to_numpy(zero_copy_only=False), dtype=np.int64)])
-    ends = lists.offsets.to_numpy()
-    sizes = before[ends[1:]] - before[ends[:-1]]
-    coded = words.filter(real).dictionary_encode()
-    hashes = np.array([xxhash.xxh64_intdigest(w) for w in coded.dictionary.cast(pa.binary()).to_pylist()], dtype=_U)
+    sizes, words, codes = split_words(table.column("text").combine_chunks())
+    hashes = np.array([xxhash.xxh64_intdigest(w) for w in words], dtype=_U)
     vocabulary, place = np.unique(np.concatenate([np.array([_START, _END]), hashes]), return_inverse=True)
-    return sizes, vocabulary, place[2:][coded.indices.to_numpy()]
+    return sizes, vocabulary, place[2:][codes]
 
 
 def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:

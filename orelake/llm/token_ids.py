@@ -22,10 +22,12 @@ import re
 import sys
 import zlib
 from collections.abc import Iterator
+from itertools import chain, count
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
@@ -36,9 +38,11 @@ from orelake.llm.common import text_slices
 END_ID = 0
 BLOCK_IDS = 1 << 20
 SAMPLE = 64
-MAX_PIECES = 400_000  # a worker's table of pieces is begun anew beyond this
+MAX_PIECES = 300_000  # of a worker's table of pieces
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
+_BLANK = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+_UNEVEN = rf"{_BLANK} | {_BLANK}|^ | $|\A | \z"
 
 
 class EliasFano:
@@ -89,7 +93,11 @@ class EliasFano:
 
 
 class Pieces:
-    """A tokenizer with a table of the pieces it has encoded."""
+    """A tokenizer with a table of pieces it has encoded, as runs of one id array.
+
+    The table takes pieces that recur within a slice until it is full; the others of
+    a slice are encoded for that slice alone.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -97,42 +105,81 @@ class Pieces:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.clear()
-
-    def clear(self) -> None:
         self.number: dict[str, int] = {}
-        self.starts = np.zeros(1, dtype=np.int64)
+        self.ends = np.zeros(1, dtype=np.int64)
         self.flat = np.zeros(0, dtype=self.width)
 
-    def learn(self, pieces: list[str]) -> None:
-        new = list(set(pieces) - self.number.keys())
-        if not new:
-            return
-        if len(self.number) + len(new) > MAX_PIECES and self.number:
-            self.clear()
-            new = list(set(pieces))
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(new, add_special_tokens=False)]
-        self.number.update(zip(new, range(len(self.number), len(self.number) + len(new))))
-        ends = np.cumsum([len(i) for i in ids]) + self.starts[-1]
-        self.starts = np.concatenate([self.starts, ends])
-        self.flat = np.concatenate([self.flat, np.array([x for i in ids for x in i], dtype=self.width)])
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids of all texts with END_ID after each, number of ids of each)."""
-        cut = [_CUT.split(t) if t else [] for t in texts]
-        pieces = [p for c in cut for p in c]
-        self.learn(pieces)
-        codes = np.fromiter(map(self.number.__getitem__, pieces), np.int64, len(pieces))
-        start, size = self.starts[codes], self.starts[codes + 1] - self.starts[codes]
-        ends = np.concatenate([[0], np.cumsum(size)])
-        places = np.arange(ends[-1]) + np.repeat(start - ends[:-1], size)
-        borders = ends[np.concatenate([[0], np.cumsum([len(c) for c in cut], dtype=np.int64)])]
-        counts = np.diff(borders)
+    def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        flat, sizes = [np.zeros(0, dtype=self.width)], []
+        for at in range(0, len(pieces), 10_000):
+            some = self.tokenizer.encode_batch_fast(pieces[at : at + 10_000], add_special_tokens=False)
+            ids = [e.ids for e in some]
+            sizes += map(len, ids)
+            flat.append(np.fromiter(chain.from_iterable(ids), self.width))
+        return np.concatenate(flat), np.array(sizes, dtype=np.int64)
+
+    def _runs(self, pieces: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, size) of different pieces; ``counts`` tells how often each is used."""
+        place = np.fromiter((self.number.get(p, -1) for p in pieces), np.int64, len(pieces))
+        new = np.flatnonzero(place < 0)
+        flat, sizes = self._ids([pieces[i] for i in new.tolist()])
+        start, size = self.ends[place], np.append(np.diff(self.ends), 0)[place]
+        start[new], size[new] = len(self.flat) + np.cumsum(sizes) - sizes, sizes
+        ids = np.concatenate([self.flat, flat])
+        lasting = new[counts[new] > 1][: MAX_PIECES - len(self.number)]
+        if len(lasting):
+            self.number.update(zip((pieces[i] for i in lasting.tolist()), count(len(self.number))))
+            self.flat = np.concatenate([self.flat, _gather(ids, start[lasting], size[lasting])])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size[lasting])])
+        return ids, start, size
+
+    def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts with END_ID after each, number of ids of each). Null is empty."""
+        texts = pc.fill_null(texts, "")
+        plain = pc.invert(pc.match_substring_regex(texts, _UNEVEN)).to_numpy(zero_copy_only=False)
+        cut = pc.split_pattern(pc.if_else(pa.array(plain), texts, ""), " ")
+        parts, begins = cut.values, cut.offsets.to_numpy()
+        first = np.zeros(len(parts), dtype=bool)
+        first[begins[:-1]] = True  # the piece that no space precedes
+        coded = parts.dictionary_encode()
+        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        pieces = [" " + w for w in words]
+        codes[first], extra = _numbered([words[c] for c in codes[first].tolist()], len(pieces))
+        pieces += extra
+        # Texts with other blanks beside a space are cut by the rule itself.
+        odd = {i: _CUT.split(texts[i].as_py()) for i in np.flatnonzero(~plain).tolist()}
+        odd_codes, extra = _numbered([p for ps in odd.values() for p in ps], len(pieces))
+        pieces += extra
+        spans = np.diff(begins)
+        if odd:
+            rows = np.split(codes, begins[1:-1])
+            for i, some in zip(odd, np.split(odd_codes, np.cumsum([len(p) for p in odd.values()])[:-1])):
+                rows[i] = some
+                spans[i] = len(some)
+            codes = np.concatenate(rows)
+        ids, start, size = self._runs(pieces, np.bincount(codes, minlength=len(pieces)))
+        ends = np.concatenate([[0], np.cumsum(size[codes])])
+        counts = np.diff(ends[np.concatenate([[0], np.cumsum(spans)])])
         out = np.full(int(ends[-1]) + len(texts), END_ID, dtype=self.width)
-        out[np.arange(ends[-1]) + np.repeat(np.arange(len(texts)), counts)] = self.flat[places]
+        mine = np.ones(len(out), dtype=bool)
+        mine[np.cumsum(counts + 1) - 1] = False
+        out[mine] = _gather(ids, start[codes], size[codes])
         return out, counts + 1
 
 
+def _gather(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs of ``ids`` one after another."""
+    before = np.cumsum(size) - size
+    return ids[np.arange(size.sum()) + np.repeat(start - before, size)]
+
+
+def _numbered(pieces: list[str], start: int) -> tuple[np.ndarray, list[str]]:
+    """Numbers from ``start`` for different pieces, and these in order."""
+    number: dict[str, int] = {}
+    codes = [number.setdefault(p, start + len(number)) for p in pieces]
+    return np.array(codes, dtype=np.int64), list(number)
+
+
 def worker_pieces(path: str) -> Pieces:
     """The worker's own table for a tokenizer, kept from task to task."""
     home = sys.modules.setdefault("_token_piece_tables", ModuleType("_token_piece_tables")).__dict__
@@ -178,7 +225,7 @@ def encode_blocks(docs: DataFrame, tokenizer: str, block_ids: int = BLOCK_IDS) -
         counts: list[int] = []
         held: list[np.ndarray] = []
         for batch in text_slices(batches):
-            ids, n = pieces.encode([t or "" for t in batch.column("text").to_pylist()])
+            ids, n = pieces.encode(batch.column("text"))
             names, at = batch.column("doc_id").to_pylist(), 0
             ends = np.cumsum(n)
             while at < len(names):
