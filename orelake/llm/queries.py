@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orelake.llm import decontaminate, language, line_dedup, mixing, pitman_yor, simhash, token_ids, url_templates, vafile
+from orelake.llm import decontaminate, language, line_dedup, mixing, passages, pitman_yor, simhash, token_ids, url_templates, vafile
 from orelake.llm.common import table
 from orelake.session import scratch_dir
 
@@ -51,6 +51,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.deduplicated(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def op8_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return passages.repeated_passages(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents", "doc_id", "text"))
 
@@ -69,6 +73,7 @@ def queries() -> dict[str, Query]:
         "op5_pitman_yor": op5_pitman_yor,
         "op6_mixing": op6_mixing,
         "op7_line_dedup": op7_line_dedup,
+        "op8_passages": op8_passages,
         "op9_simhash": op9_simhash,
         "op10_decontaminate": op10_decontaminate,
     }
