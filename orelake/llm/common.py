@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -13,6 +12,7 @@ from pyspark.sql import functions as F
 
 from orelake.session import scratch_dir
 
+BROADCAST_ROWS = 200_000
 SLICE_BYTES = 8 << 20  # text handled at once inside a task
 
 
@@ -28,15 +28,16 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df``, with the broadcast hint if it has been counted to be small."""
+    return F.broadcast(df) if df.count() <= max_rows else df
+
+
 def remainder(column: str, divisor: int) -> Column:
     """crc32 of a column's decimal text, modulo ``divisor``; null for null."""
     return F.pmod(F.crc32(F.col(column).cast("string").cast("binary")), F.lit(divisor))
 
 
-def crc_remainder(value, divisor: int) -> int:
-    return zlib.crc32(str(value).encode()) % divisor
-
-
 def text_slices(
     batches: Iterator[pa.RecordBatch], column: str = "text", limit: int = SLICE_BYTES
 ) -> Iterator[pa.RecordBatch]:

@@ -24,11 +24,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orelake.llm.common import stored
+from orelake.llm.common import bounded, stored
 
 BLOCKS = 1024
 MAX_REPEATS = 1.5
-BROADCAST_ROWS = 200_000
 SEED = 17
 _ROUNDS, _POINTS = 8, 15  # 8 rounds of 4 halvings
 
@@ -140,8 +139,6 @@ def mixed(
         F.col("key").alias("__llm_key"), F.col("block").alias("__llm_block"),
         F.col("epoch").alias("__llm_epoch"), F.col("place").alias("__llm_place"),
     )
-    if plan.count() <= BROADCAST_ROWS:
-        plan = F.broadcast(plan)
-    rows = keyed.join(plan, ["__llm_key", "__llm_block"])
+    rows = keyed.join(bounded(plan), ["__llm_key", "__llm_block"])
     columns = [F.col(f"`{c}`") for c in docs.columns if c not in ("epoch", "place")]
     return rows.select(*columns, F.col("__llm_epoch").alias("epoch"), F.col("__llm_place").alias("place"))

@@ -21,7 +21,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelake.llm.common import stored
+from orelake.llm.common import bounded, stored
 
 LEVELS = 4  # segments beyond these count as one last segment
 MIN_PAGES = 8
@@ -29,7 +29,6 @@ MIN_SHARE = 0.02
 MERGE_Z = 2.0
 STRENGTH = 10.0
 MIN_PURITY = 0.5
-BROADCAST_ROWS = 200_000
 
 RULES = (
     ("com", "/", "allow"),
@@ -66,11 +65,6 @@ def _segments() -> Column:
     return F.when(F.size(all_of) > LEVELS, F.concat(F.slice(all_of, 1, LEVELS), tail)).otherwise(all_of)
 
 
-def _bounded(df: DataFrame) -> DataFrame:
-    """With the broadcast hint if it has been counted to be small."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
-
-
 def generalised(paths: DataFrame) -> DataFrame:
     """``paths`` (host, path, n, seen, good) with ``template``: an array of segments."""
     found = paths.withColumn("segs", _segments()).withColumn("template", F.array().cast("array<string>"))
@@ -82,7 +76,7 @@ def generalised(paths: DataFrame) -> DataFrame:
         large = large.filter(F.col("n") >= MIN_SHARE * F.col("of")).select("host", "template", "seg")
         literal = stored(large, f"literal{level}").withColumn("literal", F.lit(True))
         seg = F.when(F.size("segs") > level, F.get("segs", F.lit(level)))
-        found = found.withColumn("seg", seg).join(_bounded(literal), ["host", "template", "seg"], "left")
+        found = found.withColumn("seg", seg).join(bounded(literal), ["host", "template", "seg"], "left")
         step = F.when(F.col("literal"), F.col("seg")).otherwise("*")
         grown = F.when(F.col("seg").isNull(), F.col("template")).otherwise(F.concat("template", F.array(step)))
         found = found.withColumn("template", grown).drop("seg", "literal")
@@ -142,7 +136,7 @@ def judged(pages: DataFrame, labels: DataFrame, page_col: str = "page_id", url_c
     groups = groups.select("host", "merged", purity.alias("purity"))
     verdicts = parts.select("host", "template", "merged").join(groups, ["host", "merged"])
     verdicts = stored(verdicts.select("host", "template", F.array_join("merged", "/").alias("merged"), "purity"), "verdicts")
-    per_path = paths.select("host", "path", "template").join(_bounded(verdicts), ["host", "template"])
+    per_path = paths.select("host", "path", "template").join(bounded(verdicts), ["host", "template"])
     per_path = per_path.select("host", "path", F.concat(F.lit("/"), F.col("merged")).alias("template"), "purity")
     rule, said = ruled(rules)
     method = F.when(F.col("purity") < MIN_PURITY, "block").otherwise("allow")
