@@ -76,9 +76,9 @@ REVIEWS = """reviews_b AS (
   FROM documents)"""
 
 TICKETS = """tickets_b AS (
-  SELECT conv_id * 100 + turn AS TICKET_ID, conv_id AS CUSTOMER_ID,
+  SELECT conv_id * 1000000 + turn AS TICKET_ID, conv_id AS CUSTOMER_ID,
          CASE WHEN conv_id % 9 = 0 THEN NULL ELSE conv_id % 200 END AS PRODUCT_ID,
-         substr(text, 1, 60) AS TICKET_SUBJECT, CASE WHEN turn % 5 = 4 THEN NULL ELSE text END AS TICKET_DESCRIPTION,
+         'Turn ' || turn || ' by ' || role AS TICKET_SUBJECT, text AS TICKET_DESCRIPTION,
          CASE (conv_id + turn) % 4 WHEN 0 THEN 'Low' WHEN 1 THEN 'Medium' WHEN 2 THEN 'High' ELSE 'Critical' END AS PRIORITY,
          CASE (conv_id * 3 + turn) % 4 WHEN 0 THEN 'Open' WHEN 1 THEN 'In Progress' WHEN 2 THEN 'Resolved' ELSE 'Closed' END AS STATUS,
          CASE conv_id % 5 WHEN 0 THEN 'Technical' WHEN 1 THEN 'Billing' WHEN 2 THEN 'Shipping' WHEN 3 THEN 'Product Defect'
@@ -86,7 +86,7 @@ TICKETS = """tickets_b AS (
          CAST((conv_id * 13 + turn * 7) % 240 AS DECIMAL(10,2)) AS RESOLUTION_TIME_HOURS,
          CAST(10 + conv_id % 41 AS DECIMAL(4,1)) * CAST(0.1 AS DECIMAL(2,1)) AS SATISFACTION_SCORE,
          TIMESTAMP '2001-01-01 00:00:00' + to_hours(CAST(conv_id * 37 + turn AS INTEGER)) AS CREATED_AT
-  FROM conversations WHERE role = 'user')"""
+  FROM conversations)"""
 
 CLEANED = ORDERS + """, cleaned AS (
   SELECT ORDER_ID, CUSTOMER_ID, ORDER_DATE, upper(trim(ORDER_STATUS)) AS ORDER_STATUS, TOTAL_AMOUNT, DISCOUNT_AMOUNT, SHIPPING_AMOUNT,
@@ -309,18 +309,9 @@ def change_history() -> dict[str, str]:
 # --- events, exchange, semantic layer ------------------------------------------
 DEVICE = "CASE event_type WHEN 'view' THEN 'temperature' WHEN 'click' THEN 'humidity' WHEN 'purchase' THEN 'pressure' WHEN 'signup' THEN 'motion' WHEN 'error' THEN 'vibration' END"
 
-TARGET_ROWS = """(VALUES
-  ('NORTH AMERICA', 2000, 8500, 9200, 10800, 12500), ('EUROPE', 2000, 5200, 5800, 6500, 7800),
-  ('ASIA PACIFIC', 2000, 3800, 4200, 5100, 6000), ('LATIN AMERICA', 2000, 1800, 2100, 2400, 2800),
-  ('NORTH AMERICA', 2001, 9500 + 3200, 10200 + 3500, 12000 + 4100, 14000 + 4800),
-  ('EUROPE', 2001, 5800 + 1800, 6400 + 2000, 7200 + 2300, 8600 + 2700),
-  ('ASIA PACIFIC', 2001, 4200 + 1500, 4700 + 1700, 5600 + 2000, 6600 + 2400),
-  ('LATIN AMERICA', 2001, 2000, 2300, 2650, 3100)) v(r, y, q1, q2, q3, q4)"""
-
-
 def asked() -> dict[str, str]:
     q: dict[str, str] = {}
-    q["iot_alerts"] = f"""WITH i AS (SELECT 'DEV-' || lpad(CAST(user_id AS VARCHAR), 5, '0') AS DEVICE_ID, {DEVICE} AS DEVICE_TYPE, value AS SENSOR_VALUE,
+    q["iot_alerts"] = f"""WITH i AS (SELECT 'DEV-' || CASE WHEN user_id < 100000 THEN right('0000' || CAST(user_id AS VARCHAR), 5) ELSE CAST(user_id AS VARCHAR) END AS DEVICE_ID, {DEVICE} AS DEVICE_TYPE, value AS SENSOR_VALUE,
         ts AS EVENT_TIMESTAMP FROM events)
         SELECT DEVICE_ID, DEVICE_TYPE, SENSOR_VALUE, CASE DEVICE_TYPE WHEN 'temperature' THEN 'celsius' WHEN 'humidity' THEN 'percent'
           WHEN 'pressure' THEN 'hPa' WHEN 'motion' THEN 'boolean' WHEN 'vibration' THEN 'mm/s' ELSE 'unit' END AS UNIT,
@@ -330,16 +321,17 @@ def asked() -> dict[str, str]:
         CAST(json_extract_string(props, '$.k') AS BIGINT) AS PRODUCT_ID, ts AS EVENT_TIMESTAMP FROM events"""
     pairs = [
         ("CUSTOMERS", "customer"), ("PRODUCTS", "part"), ("ORDERS", "orders"), ("ORDER_ITEMS", "lineitem"),
-        ("PRODUCT_REVIEWS", "documents"), ("SUPPORT_TICKETS", "conversations WHERE role = 'user'"),
+        ("PRODUCT_REVIEWS", "documents"), ("SUPPORT_TICKETS", "conversations"),
         ("CLICKSTREAM", "events"), ("IOT_READINGS", "events"),
     ]
     q["row_counts"] = " UNION ALL ".join(f"SELECT '{n}' AS TABLE_NAME, COUNT(*) AS ROW_COUNT FROM {t}" for n, t in pairs)
-    q["target_attainment"] = f"""WITH {SALES}, t AS (
-        SELECT r AS REGION, y AS YEAR, u.n AS QUARTER, CAST(CASE u.n WHEN 1 THEN q1 WHEN 2 THEN q2 WHEN 3 THEN q3 ELSE q4 END AS BIGINT) * 1000 AS target
-        FROM {TARGET_ROWS}, (VALUES (1), (2), (3), (4)) u(n)), s AS (
-        SELECT REGION, year(MONTH) AS YEAR, quarter(MONTH) AS QUARTER, SUM(TOTAL_REVENUE) AS actual FROM sales GROUP BY 1, 2, 3)
-        SELECT REGION, CAST(YEAR AS BIGINT) AS YEAR, CAST(QUARTER AS BIGINT) AS QUARTER, {money('target')} AS REVENUE_TARGET, {money('actual')} AS ACTUAL_REVENUE,
-        {ratio(f"100 * {cents('actual')}", "100 * target", 2)} AS ATTAINMENT_PCT, CASE WHEN actual >= target THEN 'Over' ELSE 'Under' END AS STATUS
+    q["target_attainment"] = f"""WITH {SALES}, quarters AS (
+        SELECT REGION, CHANNEL, year(MONTH) AS YEAR, quarter(MONTH) AS QUARTER, SUM(TOTAL_REVENUE) AS actual FROM sales GROUP BY 1, 2, 3, 4),
+        t AS (SELECT REGION, YEAR + 1 AS YEAR, QUARTER, SUM((2 * 110 * {cents('actual')} + 100) // 200) AS target FROM quarters GROUP BY 1, 2, 3),
+        s AS (SELECT REGION, YEAR, QUARTER, SUM(actual) AS actual FROM quarters GROUP BY 1, 2, 3)
+        SELECT REGION, CAST(YEAR AS BIGINT) AS YEAR, CAST(QUARTER AS BIGINT) AS QUARTER, CAST(target AS DOUBLE) / 100 AS REVENUE_TARGET,
+        {money('actual')} AS ACTUAL_REVENUE, {ratio(f"100 * {cents('actual')}", "target", 2)} AS ATTAINMENT_PCT,
+        CASE WHEN {cents('actual')} >= target THEN 'Over' ELSE 'Under' END AS STATUS
         FROM t JOIN s USING (REGION, YEAR, QUARTER)"""
     q["semantic_region"] = f"WITH {ORDERS} SELECT REGION AS region, {money('SUM(TOTAL_AMOUNT)')} AS total_revenue, COUNT(ORDER_ID) AS order_count FROM orders_b GROUP BY 1"
     month = f"""SELECT CAST(date_trunc('month', ORDER_DATE) AS DATE) AS order_month, {avg('TOTAL_AMOUNT', 6)} AS average_order_value"""

@@ -224,7 +224,7 @@ ASKED: dict[str, Callable[[Tables], DataFrame]] = {
     "clickstream_json": lambda t: t.clickstream,
     "row_counts": lambda t: row_counts({n.upper(): getattr(t, n) for n in bronze.TABLES}),
     "target_attainment": lambda t: exchange.target_attainment(
-        exchange.planning_targets(t.spark, LAST_YEAR), t.sales, PLANNING_REGION_MAP
+        exchange.targets_from_sales(t.sales), t.sales, PLANNING_REGION_MAP
     ),
     "semantic_region": lambda t: questions.revenue_by_region(t.retail),
     "semantic_month": lambda t: questions.monthly_trend(t.retail),

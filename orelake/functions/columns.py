@@ -64,3 +64,9 @@ def growth_pct(current: Column, previous: Column, positive_only: bool = False) -
     current, previous = current.cast("decimal(20,2)"), previous.cast("decimal(20,2)")
     usable = previous > 0 if positive_only else previous != 0
     return F.when(usable, F.round((current - previous) / previous * 100, 2))
+
+
+def padded(number: Column, digits: int = 5) -> Column:
+    """A number as text of at least ``digits`` digits; longer ones keep all of theirs."""
+    text = number.cast("string")
+    return F.lpad(text, F.greatest(F.length(text), F.lit(digits)), F.lit("0"))

@@ -12,7 +12,6 @@ from orelake.functions.columns import percent
 from orelake.plans import gold
 from orelake.schemas import PLANNING_TARGETS
 from orelake.sources.sinks import export
-from orelake.vocab import CUSTOMERS_PER_TEN_ORDERS, REVENUE_PER_ORDER, TARGET_SERIES
 
 
 def literal_table(spark: SparkSession, rows: Sequence[tuple], schema) -> DataFrame:
@@ -20,27 +19,21 @@ def literal_table(spark: SparkSession, rows: Sequence[tuple], schema) -> DataFra
     return spark.createDataFrame(rows, schema)
 
 
-def planning_targets(spark: SparkSession, first_year: int | None = None) -> DataFrame:
-    """The quarterly planning targets; ``first_year`` moves them to start in that year."""
-    shift = 0 if first_year is None else first_year - min(y for _, _, y, _ in TARGET_SERIES)
-    series = spark.createDataFrame(
-        [(r, c, y + shift, list(q)) for r, c, y, q in TARGET_SERIES],
-        "REGION string, CHANNEL string, FISCAL_YEAR short, k array<long>",
-    )
-    revenue = F.col("REVENUE_TARGET")
-    rows = (
-        series.select("REGION", "CHANNEL", "FISCAL_YEAR", F.posexplode("k").alias("q", "k"))
-        .select(
-            "REGION",
-            "CHANNEL",
-            "FISCAL_YEAR",
-            (F.col("q") + 1).cast("short").alias("FISCAL_QUARTER"),
-            (F.col("k") * 1000).cast("decimal(14,2)").alias("REVENUE_TARGET"),
-        )
-        .withColumn("ORDER_TARGET", (revenue / REVENUE_PER_ORDER).cast("long"))
-        .withColumn("CUSTOMER_TARGET", (F.col("ORDER_TARGET") * CUSTOMERS_PER_TEN_ORDERS / 10).cast("long"))
-    )
-    return rows.select(*[F.col(f.name).cast(f.dataType) for f in PLANNING_TARGETS.fields])
+def targets_from_sales(sales: DataFrame, growth: str = "1.10") -> DataFrame:
+    """Quarterly targets per region and channel: ``growth`` times what the same quarter
+    of the year before brought, in revenue and in orders. Customers are not additive
+    over months, so their target is left open."""
+    quarters = sales.groupBy(
+        "REGION", "CHANNEL", (F.year("MONTH") + 1).alias("FISCAL_YEAR"), F.quarter("MONTH").alias("FISCAL_QUARTER")
+    ).agg(F.sum("TOTAL_REVENUE").alias("revenue"), F.sum("TOTAL_ORDERS").alias("orders"))
+    factor = F.lit(growth).cast("decimal(6,2)")
+    targets = quarters.withColumns({
+        "REVENUE_TARGET": F.round(F.col("revenue").cast("decimal(28,2)") * factor, 2),
+        "ORDER_TARGET": F.ceil(F.col("orders") * factor),
+        "CUSTOMER_TARGET": F.lit(None),
+    })
+    kinds = {f.name: f.dataType for f in PLANNING_TARGETS.fields} | {"REVENUE_TARGET": "decimal(28,2)"}
+    return targets.select(*[F.col(name).cast(kind).alias(name) for name, kind in kinds.items()])
 
 
 def region_key(region: Column, region_map: Mapping[str, str] | None = None) -> Column:

@@ -44,18 +44,36 @@ def local_session(cpus: int | str = 8, app: str = "orelake") -> SparkSession:
     return spark
 
 
+_LOCAL: list[tempfile.TemporaryDirectory] = []  # of local sessions; removed when Python ends
+
+
+def _local_folder(spark: SparkSession, purpose: str) -> str:
+    master = spark.sparkContext.master
+    if not (master == "local" or master.startswith("local[")):
+        raise ValueError(
+            f"spark.checkpoint.dir is not set, and a folder of this machine is not seen by the executors of {master}"
+        )
+    _LOCAL.append(tempfile.TemporaryDirectory(prefix=f"orelake-{purpose}-", ignore_cleanup_errors=True))
+    return _LOCAL[-1].name
+
+
+def shared_folder(spark: SparkSession) -> str | None:
+    """The folder that the cluster names for what all its machines must see."""
+    return spark.conf.get("spark.checkpoint.dir", None)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is set."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """The cluster's shared checkpoint folder; where none is set, a temporary one
+    for a local master and an error for any other."""
     if spark.sparkContext.getCheckpointDir() is None:
-        spark.sparkContext.setCheckpointDir(shared or tempfile.mkdtemp(prefix="orelake-ckpt-"))
+        spark.sparkContext.setCheckpointDir(shared_folder(spark) or _local_folder(spark, "ckpt"))
     return spark.sparkContext.getCheckpointDir()
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder every executor can reach: under the cluster's shared
-    checkpoint folder, or a temporary one where none is configured."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
+    """A new folder every executor can reach, under the cluster's shared checkpoint
+    folder; the same exception for local masters."""
+    shared = shared_folder(spark)
     if shared:
         return f"{shared.rstrip('/')}/orelake-{purpose}-{uuid.uuid4().hex}"
-    return tempfile.mkdtemp(prefix=f"orelake-{purpose}-")
+    return _local_folder(spark, purpose)

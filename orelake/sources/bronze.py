@@ -11,8 +11,11 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from orelake.functions.columns import padded
+
 AMOUNT = "decimal(12,2)"
 PRICE = "decimal(10,2)"
+TURNS_PER_CONVERSATION = 1_000_000  # ticket numbers leave room for as many
 
 
 # Stated, so that opening a table reads no file.
@@ -116,7 +119,7 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("SKU-"),
         F.upper(F.substring("p_type", 1, 3)),
         F.lit("-"),
-        F.lpad(F.col("p_partkey").cast("string"), 5, "0"),
+        padded(F.col("p_partkey")),
     )
     return p.select(
         F.col("p_partkey").alias("PRODUCT_ID"),
@@ -167,15 +170,18 @@ def product_reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def support_tickets(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = read(spark, sf_dir, "conversations").filter(F.col("role") == "user")
+    """One ticket per turn of a conversation, whoever speaks."""
+    t = read(spark, sf_dir, "conversations")
     conv, turn = F.col("conv_id"), F.col("turn")
-    created = F.expr("timestamp_ntz'2001-01-01 00:00:00' + make_dt_interval(0, cast(conv_id * 37 + turn as int))")
+    hours = "(conv_id * 37 + turn)"
+    days = f"make_dt_interval(cast({hours} div 24 as int), cast({hours} % 24 as int))"
+    created = F.expr(f"timestamp_ntz'2001-01-01 00:00:00' + {days}")
     return t.select(
-        (conv * 100 + turn).alias("TICKET_ID"),
+        (conv * TURNS_PER_CONVERSATION + turn).alias("TICKET_ID"),
         conv.alias("CUSTOMER_ID"),
         F.when(conv % 9 != 0, conv % 200).alias("PRODUCT_ID"),
-        F.substring("text", 1, 60).alias("TICKET_SUBJECT"),
-        F.when(turn % 5 != 4, F.col("text")).alias("TICKET_DESCRIPTION"),
+        F.concat(F.lit("Turn "), turn.cast("string"), F.lit(" by "), F.col("role")).alias("TICKET_SUBJECT"),
+        F.col("text").alias("TICKET_DESCRIPTION"),
         pick((conv + turn) % 4, "Low", "Medium", "High", "Critical").alias("PRIORITY"),
         pick((conv * 3 + turn) % 4, "Open", "In Progress", "Resolved", "Closed").alias("STATUS"),
         pick(conv % 5, "Technical", "Billing", "Shipping", "Product Defect", "General Inquiry").alias("CATEGORY"),
@@ -207,7 +213,7 @@ def iot_readings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     return e.select(
         F.col("event_id").cast("string").alias("EVENT_ID"),
-        F.concat(F.lit("DEV-"), F.lpad(F.col("user_id").cast("string"), 5, "0")).alias("DEVICE_ID"),
+        F.concat(F.lit("DEV-"), padded(F.col("user_id"))).alias("DEVICE_ID"),
         kind.alias("DEVICE_TYPE"),
         F.col("value").alias("SENSOR_VALUE"),
         F.col("ts").cast("timestamp_ntz").alias("EVENT_TIMESTAMP"),

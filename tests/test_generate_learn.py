@@ -59,12 +59,24 @@ def test_stimulus_increment_and_planning_rows(spark):
     assert generate.campaigns(spark).filter("clicks < impressions").count() == 5
 
 
-def test_planning_targets(spark):
-    t = exchange.planning_targets(spark)
-    assert t.count() == 52
-    assert t.agg(F.sum("REVENUE_TARGET")).first()[0] == sum(sum(q) for *_, q in vocab.TARGET_SERIES) * 1000
-    r = t.filter("REGION='EMEA' AND CHANNEL='Direct' AND FISCAL_QUARTER=4").first()
-    assert (r.FISCAL_YEAR, r.REVENUE_TARGET, r.ORDER_TARGET, r.CUSTOMER_TARGET) == (2025, 2700000, 10800, 8640)
+def test_targets_from_sales(spark):
+    s = spark.createDataFrame(
+        [(date(2023, 1, 1), "EUROPE", "ONLINE", "100.05", 4), (date(2023, 2, 1), "EUROPE", "ONLINE", "0.00", 1), (date(2023, 5, 1), "EUROPE", "ONLINE", "10.00", 3)],
+        "MONTH date, REGION string, CHANNEL string, TOTAL_REVENUE string, TOTAL_ORDERS long",
+    ).withColumn("TOTAL_REVENUE", F.col("TOTAL_REVENUE").cast("decimal(24,2)"))
+    got = exchange.targets_from_sales(s, "1.10").orderBy("FISCAL_QUARTER").collect()
+    assert [(r.FISCAL_YEAR, r.FISCAL_QUARTER, str(r.REVENUE_TARGET), r.ORDER_TARGET) for r in got] == [
+        (2024, 1, "110.06", 6), (2024, 2, "11.00", 4),
+    ]
+
+
+def test_long_numbers_keep_their_digits(spark):
+    from orelake.functions.columns import padded
+
+    ids = spark.createDataFrame([(7,), (99_999,), (100_000,), (1_234_567,), (None,)], "n long")
+    assert [r[0] for r in ids.select(padded(F.col("n"))).collect()] == ["00007", "99999", "100000", "1234567", None]
+    events = generate.iot_events(spark, 150_000).select("DEVICE_ID").distinct()
+    assert events.count() == 150_000
 
 
 def test_target_attainment(spark):
