@@ -292,7 +292,7 @@ def change_history() -> dict[str, str]:
     versions = f"""WITH {HISTORY} SELECT ORDER_ID, CUSTOMER_ID, ORDER_DATE, ORDER_STATUS, {money('TOTAL_AMOUNT')} AS TOTAL_AMOUNT,
         {money('TOTAL_AMOUNT - DISCOUNT_AMOUNT + SHIPPING_AMOUNT')} AS NET_AMOUNT, REGION, CHANNEL, SOURCE_SYSTEM,
         EFFECTIVE_FROM, EFFECTIVE_TO, IS_CURRENT, DML_TYPE FROM versions"""
-    q["orders_scd2"] = q["orders_scd2_from_log"] = q["order_history_stream"] = versions
+    q["orders_scd2"] = q["orders_scd2_from_log"] = q["order_history_stream"] = q["order_history_catch_up"] = versions
     q["orders_history_view"] = f"WITH {HISTORY} SELECT ORDER_ID, ORDER_STATUS, IS_CURRENT, EFFECTIVE_FROM, EFFECTIVE_TO, DML_TYPE FROM versions"
     q["daily_order_metrics"] = f"WITH {HISTORY} {daily('versions', 'IS_CURRENT')}"
     q["upsert_daily"] = f"""WITH {STATES}, a AS ({daily('old_o')}), b AS ({daily('new_o')})

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from contract.present import present, rounded
 from orelake.operators import evaluate, models, search
 from orelake.operators.encode import chrono_split, hash_split
-from orelake.operators.history import scd2_from_log, table_changes, collapse_changes, upsert
+from orelake.operators.history import scd2_from_log, table_changes, upsert
 from orelake.plans import exchange, features, gold, metrics, questions, search_docs, silver
 from orelake.plans.retail_model import RETAIL_MODEL
 from orelake.operators.semantic import semantic_query
@@ -182,13 +182,17 @@ def text_times(history: DataFrame) -> DataFrame:
     return history.withColumns(times).drop("SURROGATE_KEY")
 
 
-def history_from_log(t: Tables) -> DataFrame:
-    def batch(n: int, changes: DataFrame, at: str) -> DataFrame:
-        folded = collapse_changes(metrics.order_images(changes), "ORDER_ID")
-        return folded.withColumns({"batch_id": F.lit(n), "changed_at": F.lit(at).cast("timestamp_ntz")})
+def committed(changes: DataFrame, number: int, at: str) -> DataFrame:
+    return changes.withColumns({"_commit": F.lit(number).cast("bigint"), "_committed_at": F.lit(at).cast("timestamp_ntz")})
+
+
+def commits(t: Tables) -> list[DataFrame]:
+    return [committed(t.initial_load, 0, FIRST_LOAD), committed(t.order_changes, 1, CHANGED_AT)]
 
-    log = batch(0, t.initial_load, FIRST_LOAD).unionByName(batch(1, t.order_changes, CHANGED_AT))
-    return scd2_from_log(log, "ORDER_ID")
+
+def history_from_log(t: Tables) -> DataFrame:
+    first, second = map(metrics.order_images, commits(t))
+    return scd2_from_log(first.unionByName(second), "ORDER_ID")
 
 
 def upserted_daily(t: Tables) -> DataFrame:
@@ -422,14 +426,16 @@ def load_totals(t: Tables) -> DataFrame:
     )
 
 
-def streamed_history(t: Tables) -> DataFrame:
-    """Order history from two runs of the change stream."""
+def streamed_history(t: Tables, runs: int) -> DataFrame:
+    """Order history from the change stream, run after each commit or, to catch up,
+    once for both."""
     base = scratch_dir(t.spark, "changes")
-    for at, changes in ((FIRST_LOAD, t.initial_load), (CHANGED_AT, t.order_changes)):
+    for n, changes in enumerate(commits(t)):
         changes.write.mode("append").parquet(f"{base}/landing")
-        source = jobs.change_source(t.spark, f"{base}/landing", changes.schema)
-        jobs.order_history_stream(source, f"{base}/log", f"{base}/checkpoint", at)
-    return scd2_from_log(t.spark.read.parquet(f"{base}/log"), "ORDER_ID")
+        if runs > 1 or n == 1:
+            source = jobs.change_source(t.spark, f"{base}/landing", changes.schema)
+            jobs.order_history_stream(source, f"{base}/log", f"{base}/checkpoint")
+    return scd2_from_log(jobs.read_change_log(t.spark, f"{base}/log"), "ORDER_ID")
 
 
 def streamed_enrichment(t: Tables) -> DataFrame:
@@ -443,7 +449,8 @@ def streamed_enrichment(t: Tables) -> DataFrame:
 STREAMS: dict[str, Callable[[Tables], DataFrame]] = {
     "csv_ingest_stream": lambda t: ingested_stores(t)[0],
     "load_history": load_totals,
-    "order_history_stream": lambda t: text_times(streamed_history(t)),
+    "order_history_stream": lambda t: text_times(streamed_history(t, 2)),
+    "order_history_catch_up": lambda t: text_times(streamed_history(t, 1)),
     "enrich_stream": streamed_enrichment,
 }
 

@@ -2,7 +2,10 @@
 
 A change feed is a DataFrame of row images with two extra columns: ``_action``
 ('INSERT' or 'DELETE') and ``_is_update``. An update is a DELETE image of the
-old row plus an INSERT image of the new one, both with ``_is_update`` set.
+old row plus an INSERT image of the new one, both with ``_is_update`` set. A feed
+that holds several commits numbers them in a column ``_commit``; without it, all
+images belong to one commit, which changes a key at most once. ``_committed_at``
+may tell when a commit was made.
 """
 
 from __future__ import annotations
@@ -19,6 +22,7 @@ from orelake.operators.ranking import sequence_ids
 from orelake.vocab import OPEN_ENDED
 
 CHANGE_COLUMNS = ["_action", "_is_update"]
+COMMIT, COMMITTED_AT = "_commit", "_committed_at"
 VERSION_COLUMNS = ["EFFECTIVE_FROM", "EFFECTIVE_TO", "IS_CURRENT", "DML_TYPE"]
 
 
@@ -64,22 +68,28 @@ def apply_changes(old: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return kept.unionByName(changes.filter(F.col("_action") == "INSERT").drop(*CHANGE_COLUMNS))
 
 
-def collapse_changes(changes: DataFrame, key: str) -> DataFrame:
-    """One row per key: the inserted image if there is one, otherwise the deletion."""
-    columns = [c for c in changes.columns if c not in (key, *CHANGE_COLUMNS)]
+def collapse_changes(changes: DataFrame, key: str, by_commit: bool = False) -> DataFrame:
+    """The net change of each key over all commits in ``changes``, or of each key and
+    commit with ``by_commit``.
+
+    Images are taken in the order of commits, a deletion before the insertion that
+    replaces it. A key whose first image deletes or updates it was there before, one
+    whose last image inserts is there after: there both times is an update, after
+    only an insertion, before only a deletion, and neither is no change at all.
+    """
+    has_commit = COMMIT in changes.columns
+    about = [COMMIT, COMMITTED_AT] if by_commit else []
+    columns = [c for c in changes.columns if c not in (key, *CHANGE_COLUMNS, COMMIT, COMMITTED_AT)]
     inserted = F.col("_action") == "INSERT"
-    folded = changes.groupBy(key).agg(
-        F.max(F.when(inserted, F.struct(*columns))).alias("_new"),
-        F.max(F.when(~inserted, F.struct(*columns))).alias("_old"),
-        F.coalesce(F.max(F.when(inserted, F.col("_is_update"))), F.lit(False)).alias("_is_update"),
+    place = F.struct(F.col(COMMIT) if has_commit else F.lit(0), inserted)
+    folded = changes.groupBy(key, *about).agg(
+        F.min_by((F.col("_action") == "DELETE") | F.coalesce("_is_update", F.lit(False)), place).alias("_was"),
+        F.max_by(F.struct("_action", F.struct(*columns).alias("image")), place).alias("_last"),
+    )
+    stays = F.col("_last._action") == "INSERT"
+    return folded.filter(stays | F.col("_was")).select(
+        key, "_last.image.*", F.col("_last._action").alias("_action"), (stays & F.col("_was")).alias("_is_update"), *about
     )
-    is_insert = F.col("_new").isNotNull()
-    return folded.select(
-        key,
-        F.when(is_insert, "INSERT").otherwise("DELETE").alias("_action"),
-        "_is_update",
-        F.coalesce("_new", "_old").alias("_image"),
-    ).select(key, "_image.*", *CHANGE_COLUMNS)
 
 
 def scd2_apply(
@@ -93,52 +103,54 @@ def scd2_apply(
 
     Deleted keys are closed and marked; updated keys are closed and get a new
     current version; new keys get their first version. A change that leaves
-    the current version as it is does nothing, so replaying a batch is safe.
-    Closed versions never enter a join: only current rows meet the batch.
+    the current version as it is does nothing, so replaying a batch is safe. Several
+    changes of a key in the batch act as their net change.
+    Closed versions never enter a join: only current rows meet the batch, once.
     """
     payload = [c for c in history.columns if c not in (surrogate, *VERSION_COLUMNS)]
     closed = history.filter(~F.col("IS_CURRENT"))
-    current = history.filter(F.col("IS_CURRENT"))
+    current = history.filter(F.col("IS_CURRENT")).select(F.col(key).alias("_cur_key"), F.struct(*history.columns).alias("_cur"))
     when = as_ntz(as_of)
-
-    batch = collapse_changes(changes.select(*payload, *CHANGE_COLUMNS), key).select(
+    carried = [c for c in (COMMIT, COMMITTED_AT) if c in changes.columns]
+    batch = collapse_changes(changes.select(*payload, *CHANGE_COLUMNS, *carried), key).select(
         F.struct(*payload).alias("_new"), F.col(key).alias("_key"), "_action", "_is_update"
     )
-    met = current.join(batch, F.col(key) == F.col("_key"), "left")
-    differs = ~F.struct(*payload).eqNullSafe(F.col("_new"))
-    deleted = F.coalesce(F.col("_action") == "DELETE", F.lit(False))
-    replaced = F.coalesce((F.col("_action") == "INSERT") & F.col("_is_update"), F.lit(False)) & differs
-    ends = deleted | replaced
-    kept = met.select(
-        surrogate,
-        *payload,
-        "EFFECTIVE_FROM",
-        F.when(ends, when).otherwise(F.col("EFFECTIVE_TO")).alias("EFFECTIVE_TO"),
-        (~ends).alias("IS_CURRENT"),
-        F.when(deleted, "DELETE").otherwise(F.col("DML_TYPE")).alias("DML_TYPE"),
-    )
+    met = current.join(batch, F.col("_cur_key") == F.col("_key"), "full_outer")
 
-    # Only the current rows a batch names are needed here; when the batch is small
-    # it is broadcast and the history is not shuffled.
-    named = batch.select(F.col("_key").alias("_named"))
-    standing = current.join(named, F.col(key) == F.col("_named"), "left_semi").select(
-        F.col(key).alias("_cur_key"), F.struct(*payload).alias("_cur")
+    standing = F.struct(*[F.col(f"_cur.{c}").alias(c) for c in payload])
+    is_new, is_gone = F.col("_cur").isNull(), F.col("_action") == "DELETE"
+    deleted = F.coalesce(is_gone, F.lit(False))
+    replaced = F.coalesce(~is_gone & F.col("_is_update"), F.lit(False)) & ~standing.eqNullSafe(F.col("_new"))
+    ends = deleted | replaced
+    kinds = {f.name: f.dataType for f in history.schema.fields}
+
+    def version(source: str, **stated: Column) -> Column:
+        """A row of the history: payload from a struct, the other columns as stated."""
+        values = {c: F.col(f"{source}.{c}") for c in payload} | stated
+        return F.struct(*[values[c].cast(kinds[c]).alias(c) for c in history.columns])
+
+    old = version(
+        "_cur",
+        **{surrogate: F.col(f"_cur.{surrogate}")},
+        EFFECTIVE_FROM=F.col("_cur.EFFECTIVE_FROM"),
+        EFFECTIVE_TO=F.when(ends, when).otherwise(F.col("_cur.EFFECTIVE_TO")),
+        IS_CURRENT=~ends,
+        DML_TYPE=F.when(deleted, "DELETE").otherwise(F.col("_cur.DML_TYPE")),
     )
-    fresh = (
-        batch.filter(F.col("_action") == "INSERT")
-        .join(standing, F.col("_key") == F.col("_cur_key"), "left")
-        .filter(F.col("_cur").isNull() | (F.col("_is_update") & ~F.col("_cur").eqNullSafe(F.col("_new"))))
-        .select(
-            "_new.*",
-            when.alias("EFFECTIVE_FROM"),
-            as_ntz(OPEN_ENDED).alias("EFFECTIVE_TO"),
-            F.lit(True).alias("IS_CURRENT"),
-            F.when(F.col("_is_update"), "UPDATE").otherwise("INSERT").alias("DML_TYPE"),
-        )
+    fresh = version(
+        "_new",
+        **{surrogate: F.lit(None)},
+        EFFECTIVE_FROM=when,
+        EFFECTIVE_TO=as_ntz(OPEN_ENDED),
+        IS_CURRENT=F.lit(True),
+        DML_TYPE=F.when(F.col("_is_update"), "UPDATE").otherwise("INSERT"),
     )
+    pair = F.array(F.when(~is_new, old), F.when((is_new & ~deleted) | replaced, fresh))
+    versions = met.select(F.explode(F.filter(pair, lambda v: v.isNotNull())).alias("v")).select("v.*")
+    kept = versions.filter(F.col(surrogate).isNotNull())
     next_id = history.agg(F.coalesce(F.max(surrogate), F.lit(0)) + 1).scalar()
-    added = sequence_ids(fresh, [key], surrogate, start=next_id).select(*history.columns)
-    return closed.unionByName(kept).unionByName(added)
+    added = sequence_ids(versions.filter(F.col(surrogate).isNull()).drop(surrogate), [key], surrogate, start=next_id)
+    return closed.unionByName(kept).unionByName(added.select(*history.columns))
 
 
 def empty_history(like: DataFrame, surrogate: str = "SURROGATE_KEY") -> DataFrame:
@@ -154,13 +166,16 @@ def empty_history(like: DataFrame, surrogate: str = "SURROGATE_KEY") -> DataFram
     )
 
 
-def scd2_from_log(log: DataFrame, key: str, batch: str = "batch_id", at: str = "changed_at") -> DataFrame:
-    """The same history read from an append-only log of collapsed batches.
+def scd2_from_log(log: DataFrame, key: str) -> DataFrame:
+    """The same history read from an append-only log of change images, one or more
+    rows per key and commit, with ``_commit`` and ``_committed_at``.
 
-    The log holds at most one row per key and batch, so a key's window is as
-    long as the number of batches. Writers only ever append; nothing is copied
-    forward from batch to batch.
+    A key's window is as long as the number of commits that changed it. How a
+    writer cut the feed into batches does not matter: what belongs to one commit is
+    put together here. Writers only ever append; nothing is copied forward.
     """
+    log = collapse_changes(log, key, by_commit=True)
+    batch, at = COMMIT, COMMITTED_AT
     payload = [c for c in log.columns if c not in (*CHANGE_COLUMNS, batch, at)]
     order = W.partitionBy(key).orderBy(batch)
     deleted = F.col("_action") == "DELETE"

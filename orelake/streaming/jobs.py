@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from orelake.operators.history import CHANGE_COLUMNS, as_ntz, collapse_changes
+from orelake.operators.history import CHANGE_COLUMNS, COMMIT, COMMITTED_AT
 from orelake.plans.metrics import order_images, support_ticket_metrics
 from orelake.plans.silver import orders_cleaned, orders_enriched
 from orelake.schemas import Feed
@@ -65,32 +65,54 @@ def ingest_stream(
 
     def load(batch: DataFrame, batch_id: int) -> None:
         batch.persist()
-        write_batch(batch.filter(~F.col("REJECTED")).drop("REJECTED"), f"{dst}/data", batch_id)
-        write_batch(batch.filter("REJECTED").drop("REJECTED"), f"{dst}/rejected", batch_id)
-        write_batch(load_log(batch, feed.name), f"{dst}/log", batch_id)
-        batch.unpersist()
+        try:
+            write_batch(batch.filter(~F.col("REJECTED")).drop("REJECTED"), f"{dst}/data", batch_id)
+            write_batch(batch.filter("REJECTED").drop("REJECTED"), f"{dst}/rejected", batch_id)
+            write_batch(load_log(batch, feed.name), f"{dst}/log", batch_id)
+        finally:
+            batch.unpersist()
 
     return run_available(rows, load, checkpoint)
 
 
 def change_source(spark: SparkSession, src: str, schema: T.StructType, max_files: int = 1000) -> DataFrame:
-    """Change files (row images with ``_action`` and ``_is_update``) as a stream."""
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(src)
-
-
-def change_log_stream(source: DataFrame, key: str, log: str, checkpoint: str, changed_at=None) -> StreamingQuery:
-    """Append every batch of changes, one row per key, to a log that
-    ``scd2_from_log`` reads as type 2 history. Nothing already written is touched."""
+    """Change files (row images with ``_action`` and ``_is_update``) as a stream. A feed
+    without ``_commit`` or ``_committed_at`` gets the time its file landed, which does
+    not change when a batch is replayed."""
+    files = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).parquet(src)
+    landed = F.col("_metadata.file_modification_time")
+    given = {COMMIT: F.unix_micros(landed), COMMITTED_AT: landed.cast("timestamp_ntz")}
+    return files.select("*", *[value.alias(name) for name, value in given.items() if name not in files.columns])
+
+
+def holds_files(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(target) and len(fs.listStatus(target)) > 0
+
+
+def change_log_stream(source: DataFrame, key: str, log: str, checkpoint: str) -> StreamingQuery:
+    """Append every batch of change images to a log that ``scd2_from_log`` reads as
+    type 2 history. Nothing already written is touched:
+    batches are numbered by the checkpoint, so a log that others have filled is
+    refused to a new one."""
+    spark = source.sparkSession
+    if holds_files(spark, log) and not holds_files(spark, checkpoint):
+        raise ValueError(f"{log} holds a log, but {checkpoint} is new and would number its batches from 0 again")
 
     def append(batch: DataFrame, batch_id: int) -> None:
-        moment = as_ntz(changed_at if changed_at is not None else F.current_timestamp())
-        write_batch(collapse_changes(batch, key).withColumn("changed_at", moment), log, batch_id)
+        # A commit may go on in the next batch, so its images are kept, not folded.
+        write_batch(batch, log, batch_id)
 
     return run_available(source, append, checkpoint)
 
 
-def order_history_stream(source: DataFrame, log: str, checkpoint: str, changed_at=None) -> StreamingQuery:
-    return change_log_stream(order_images(source), "ORDER_ID", log, checkpoint, changed_at)
+def read_change_log(spark: SparkSession, log: str) -> DataFrame:
+    return spark.read.parquet(log).drop("batch_id")
+
+
+def order_history_stream(source: DataFrame, log: str, checkpoint: str) -> StreamingQuery:
+    return change_log_stream(order_images(source), "ORDER_ID", log, checkpoint)
 
 
 def ticket_metrics_stream(source: DataFrame, dst: str, checkpoint: str, as_of) -> StreamingQuery:
@@ -100,7 +122,7 @@ def ticket_metrics_stream(source: DataFrame, dst: str, checkpoint: str, as_of) -
 
 def enrich_stream(source: DataFrame, customers: DataFrame, dst: str, checkpoint: str) -> StreamingQuery:
     """Arriving orders, cleaned and joined to the customer table, appended to ``dst``."""
-    enriched = orders_enriched(orders_cleaned(source.drop(*CHANGE_COLUMNS)), customers)
+    enriched = orders_enriched(orders_cleaned(source.drop(*CHANGE_COLUMNS, COMMIT, COMMITTED_AT)), customers)
     query = (
         enriched.writeStream.format("parquet")
         .option("path", dst)

@@ -84,15 +84,23 @@ def test_streamed_history_equals_one_batch_after_another(spark, small, tmp_path)
         ("2001-08-02 00:00:00", table_changes(before, after, "ORDER_ID")),
     ]
     want = None
-    for at, changes in steps:
+    for n, (at, changes) in enumerate(steps):
+        changes = changes.withColumns({"_commit": F.lit(n).cast("long"), "_committed_at": F.lit(at).cast("timestamp_ntz")})
         changes.write.mode("append").parquet(str(tmp_path / "landing"))
         source = jobs.change_source(spark, str(tmp_path / "landing"), changes.schema)
         for _ in range(2):  # the second run finds nothing
-            jobs.order_history_stream(source, str(tmp_path / "log"), str(tmp_path / "ckpt"), at)
+            jobs.order_history_stream(source, str(tmp_path / "log"), str(tmp_path / "ckpt"))
         want = metrics.orders_scd2(want, changes, at)
-    got = scd2_from_log(spark.read.parquet(str(tmp_path / "log")), "ORDER_ID")
-    want = want.select(*got.columns)
-    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    for max_files in (None, 1, 1000):  # the log above; one run over both commits, file by file and at once
+        log = str(tmp_path / (f"log{max_files}" if max_files else "log"))
+        if max_files:
+            source = jobs.change_source(spark, str(tmp_path / "landing"), changes.schema, max_files)
+            jobs.order_history_stream(source, log, f"{log}-ckpt")
+        got = scd2_from_log(jobs.read_change_log(spark, log), "ORDER_ID")
+        want = want.select(*got.columns)
+        assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    with pytest.raises(ValueError):  # batch numbers would begin again
+        jobs.order_history_stream(source, log, str(tmp_path / "another"))
 
 
 def test_ticket_metrics_and_enrichment_streams(spark, small, tmp_path):

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from orelake.operators.history import (
     apply_changes,
-    collapse_changes,
     empty_history,
     scd2_apply,
     scd2_from_log,
@@ -29,10 +28,15 @@ def versions(history):
 def run(spark, *batches):
     h = empty_history(spark.createDataFrame([], STATE))
     for at, rows in zip(T, batches):
-        h = scd2_apply(h, spark.createDataFrame(rows, FEED), "K", at)
+        feed = spark.createDataFrame(rows, FEED + (", _commit long" if rows and len(rows[0]) == 6 else ""))
+        h = scd2_apply(h, feed, "K", at)
     return h
 
 
+def numbered(commits):
+    return [(*image, n) for n, images in enumerate(commits) for image in images]
+
+
 def ins(k, v, n=0):
     return (k, v, n, "INSERT", False)
 
@@ -80,8 +84,14 @@ def test_replaying_a_batch_changes_nothing(spark):
 def test_unknown_keys_and_several_changes_in_one_batch(spark):
     assert versions(run(spark, [dele(7, "x")])) == []
     assert versions(run(spark, upd(7, "x", "y"))) == [(7, "y", T[0], OPEN, True, "UPDATE")]
-    both = [*upd(1, "a", "A"), dele(1, "A")]  # the inserted image wins
-    assert versions(run(spark, [ins(1, "a")], both))[-1] == (1, "A", T[1], OPEN, True, "UPDATE")
+    both = numbered([upd(1, "a", "A"), [dele(1, "A")]])  # gone in the end, whatever it was in between
+    assert versions(run(spark, [ins(1, "a")], both)) == [(1, "a", T[0], T[1], False, "DELETE")]
+    there_and_gone = numbered([[ins(2, "b")], [dele(2, "b")]])
+    assert versions(run(spark, [ins(1, "a")], there_and_gone)) == [(1, "a", T[0], OPEN, True, "INSERT")]
+    twice = numbered([upd(1, "a", "z"), upd(1, "z", "b")])
+    assert versions(run(spark, [ins(1, "a")], twice))[-1] == (1, "b", T[1], OPEN, True, "UPDATE")
+    again = numbered([[dele(1, "a")], [ins(1, "c")]])
+    assert versions(run(spark, [ins(1, "a")], again))[-1] == (1, "c", T[1], OPEN, True, "UPDATE")
     back = run(spark, [ins(1, "a")], [dele(1, "a")], [ins(1, "b")])
     assert versions(back) == [(1, "a", T[0], T[1], False, "DELETE"), (1, "b", T[2], OPEN, True, "INSERT")]
 
@@ -107,8 +117,8 @@ def test_log_and_table_forms_agree(spark, batches):
 
     log = None
     for i, batch in enumerate(batches):
-        part = collapse_changes(spark.createDataFrame(feed(batch), FEED), "K").withColumns(
-            {"batch_id": F.lit(i), "changed_at": F.lit(T[i]).cast("timestamp_ntz")}
+        part = spark.createDataFrame(feed(batch), FEED).withColumns(
+            {"_commit": F.lit(i), "_committed_at": F.lit(T[i]).cast("timestamp_ntz")}
         )
         log = part if log is None else log.unionByName(part)
     table = versions(run(spark, *map(feed, batches)))
@@ -119,6 +129,32 @@ def test_log_and_table_forms_agree(spark, batches):
         assert a[0] != b[0] or a[3] <= b[2]  # versions of a key do not overlap
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(st.tuples(st.integers(1, 3), st.sampled_from("abc")), min_size=1, max_size=9), st.data())
+def test_current_rows_do_not_depend_on_how_commits_are_cut(spark, steps, data):
+    """A key given a value is inserted or updated; given the value it has, deleted."""
+    state, commits = {}, []
+    for k, v in steps:
+        old = state.get(k)
+        if old == v:
+            commits.append([dele(k, v)])
+            del state[k]
+        else:
+            commits.append(upd(k, old, v) if old else [ins(k, v)])
+            state[k] = v
+    images = numbered(commits)
+    ends = sorted(data.draw(st.sets(st.integers(1, len(commits)), max_size=3)) | {len(commits)})
+    batches = [[i for i in images if a <= i[-1] < b] for a, b in zip([0, *ends], ends)]
+    h = empty_history(spark.createDataFrame([], STATE))
+    for at, batch in zip(T, batches):
+        h = scd2_apply(h, spark.createDataFrame(batch, FEED + ", _commit long"), "K", at)
+    assert {v[0]: v[1] for v in versions(h) if v[4]} == state
+    log = spark.createDataFrame(images, FEED + ", _commit long").withColumn(
+        "_committed_at", F.lit(T[0]).cast("timestamp_ntz") + F.make_dt_interval(F.col("_commit").cast("int"))
+    )
+    assert {v[0]: v[1] for v in versions(scd2_from_log(log, "K")) if v[4]} == state
+
+
 @pytest.mark.parametrize("null_safe, expected", [(False, 5), (True, 4)])
 def test_upsert(spark, null_safe, expected):
     ddl = "R string, C string, N long, UPDATED_AT timestamp_ntz"
