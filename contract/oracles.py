@@ -545,5 +545,35 @@ def streamed() -> dict[str, str]:
     }
 
 
+REVENUE_INPUTS = ["CATEGORY_ENCODED", "MONTH_NUM", "QUARTER", "YEAR", *[f"{c}_SCALED" for c in REVENUE_NUMERIC]]
+
+
+def kept() -> dict[str, str]:
+    """Storage operators and facts about models."""
+    wide = silver_and_gold()["customer_360_wide"]
+    before = "ORDER_DATE < TIMESTAMP '2001-01-01 00:00:00'"
+    split = "CAST('0x' || substr(md5('42:' || CAST(TICKET_ID AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 80"
+    tested = f"""WITH {TICKETS} SELECT CASE PRIORITY WHEN 'Low' THEN 0.0::DOUBLE WHEN 'Medium' THEN 1.0 WHEN 'High' THEN 2.0 ELSE 3.0 END AS PRIORITY_ENCODED,
+        COUNT(*) AS N, CAST(SUM(TICKET_ID) AS BIGINT) AS ID_SUM, TRUE AS LABELS_ONLY FROM tickets_b WHERE {split} GROUP BY 1"""
+    return {
+        "json_feed": "SELECT event_id, user_id, event_type, value, props FROM events",
+        "append_defaults": f"""WITH {CUSTOMERS} SELECT EMAIL, FIRST_NAME, 'unknown' AS COUNTRY, TIMESTAMP '2001-08-02 00:00:00' AS CREATED_AT,
+            CAST(NULL AS VARCHAR) AS PHONE, COUNT(*) AS N, TRUE AS KEY_OK, CAST((SELECT COUNT(*) FROM customers_b) AS BIGINT) AS KEYS
+            FROM customers_b GROUP BY EMAIL, FIRST_NAME""",
+        "append_reconcile": f"""WITH {ORDERS} SELECT 'BEFORE' AS PHASE, 'ORDERS' AS TABLE_NAME, COUNT(*) FILTER ({before}) AS ROW_COUNT FROM orders_b
+            UNION ALL SELECT 'AFTER', 'ORDERS', COUNT(*) FROM orders_b""",
+        "snapshot_pinned": f"""WITH {ORDERS} SELECT ORDER_ID, ORDER_STATUS, {money('TOTAL_AMOUNT')} AS TOTAL_AMOUNT,
+            COALESCE(ORDER_STATUS <> 'Cancelled', FALSE) AS IN_LATEST FROM orders_b WHERE {before}""",
+        "export_gold": f"SELECT *, TIMESTAMP '2001-08-02 00:00:00' AS EXPORTED_AT FROM ({wide}) w",
+        "rf_facts": tested,
+        "lr_facts": tested,
+        "importance_facts": "SELECT CAST(14 AS BIGINT) AS FEATURES, 1.0::DOUBLE AS TOTAL, TRUE AS NOT_NEGATIVE",
+        "gbt_facts": f"""WITH {REVENUE_FEATURES}, months AS (SELECT ORDER_MONTH, ROW_NUMBER() OVER (ORDER BY ORDER_MONTH) - 1 AS i, COUNT(*) OVER () AS n
+            FROM (SELECT DISTINCT ORDER_MONTH FROM rev)), cut AS (SELECT ORDER_MONTH AS c FROM months WHERE i = CAST(floor(n * 0.8::DOUBLE) AS BIGINT))
+            SELECT ORDER_MONTH, COUNT(*) AS N, round(SUM(MONTHLY_REVENUE), 2) AS REVENUE, TRUE AS ALL_PREDICTED FROM rev, cut WHERE ORDER_MONTH >= c GROUP BY 1""",
+        "linreg_normal_equations": "SELECT unnest([" + ", ".join(f"'{c}'" for c in REVENUE_INPUTS) + "]) AS FEATURE, TRUE AS ORTHOGONAL",
+    }
+
+
 def oracle_sql() -> dict[str, str]:
-    return {**silver_and_gold(), **change_history(), **asked(), **searched(), **learned(), **streamed()}
+    return {**silver_and_gold(), **change_history(), **asked(), **searched(), **learned(), **streamed(), **kept()}

@@ -18,10 +18,10 @@ from orelake.plans.retail_model import RETAIL_MODEL
 from orelake.operators.semantic import semantic_query
 from orelake.session import adapt, scratch_dir
 from orelake.sources import bronze
-from orelake.sources.sinks import row_counts
+from orelake.sources.sinks import append_and_reconcile, append_with_defaults, publish_snapshot, read_snapshot, row_counts
 from orelake.streaming import jobs
-from orelake.schemas import STORES_FEED
-from orelake.sources.files import load_history
+from orelake.schemas import CUSTOMERS, STORES_FEED
+from orelake.sources.files import load_history, read_json_feed
 from orelake.vocab import PLANNING_REGION_MAP
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -455,6 +455,120 @@ STREAMS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+# --- storage ----------------------------------------------------------------------
+
+
+def json_arrays(t: Tables) -> DataFrame:
+    """Events written as files of one JSON array each, and read as a feed."""
+    path = f"{scratch_dir(t.spark, 'json')}/events"
+    columns = ["event_id", "user_id", "event_type", "value", "props"]
+    e = bronze.read(t.spark, t.sf_dir, "events").select(*columns)
+    arrays = e.groupBy(F.floor(F.col("event_id") / 1000)).agg(F.to_json(F.collect_list(F.struct(*columns))).alias("value"))
+    # A file may hold one array only.
+    arrays.select("value").write.option("maxRecordsPerFile", 1).text(path)
+    return read_json_feed(t.spark, path, e.schema)
+
+
+def appended_customers(t: Tables) -> DataFrame:
+    """Customers in the declared shape, with new surrogate keys and defaults."""
+    given = t.customers.drop("CUSTOMER_ID", "COUNTRY")
+    defaults = {"COUNTRY": F.lit("unknown"), "CREATED_AT": F.lit(CHANGED_AT).cast("timestamp_ntz")}
+    return append_with_defaults(given, CUSTOMERS, defaults, key="CUSTOMER_ID", start=1_000)
+
+
+def append_defaults_facts(t: Tables) -> DataFrame:
+    """The rows by their mail address; for the keys, that they are unique and not below the start."""
+    rows = appended_customers(t).groupBy("EMAIL", "FIRST_NAME", "COUNTRY", "CREATED_AT", "PHONE")
+    per_mail = rows.agg(F.count(F.lit(1)).alias("N"), F.min("CUSTOMER_ID").alias("_least"))
+    keys = appended_customers(t).agg(F.count_distinct("CUSTOMER_ID")).scalar()
+    return per_mail.select("EMAIL", "FIRST_NAME", "COUNTRY", "CREATED_AT", "PHONE", "N", (F.col("_least") >= 1_000).alias("KEY_OK"), keys.alias("KEYS"))
+
+
+def reconciled(t: Tables) -> DataFrame:
+    path = f"{scratch_dir(t.spark, 'append')}/orders"
+    t.orders_before.write.parquet(path)
+    later = t.orders.filter(F.col("ORDER_DATE") >= F.lit(bronze.CHANGE_CUTOFF).cast("timestamp_ntz"))
+    return append_and_reconcile(later, path, "ORDERS")
+
+
+def pinned(t: Tables) -> DataFrame:
+    """The first of two published versions of the orders."""
+    path = scratch_dir(t.spark, "snapshots")
+    publish_snapshot(t.orders_before, path, 1, FIRST_LOAD)
+    publish_snapshot(t.orders_after, path, 2, CHANGED_AT)
+    latest = read_snapshot(t.spark, path).select("ORDER_ID", F.lit(True).alias("IN_LATEST"))
+    first = read_snapshot(t.spark, path, 1).select("ORDER_ID", "ORDER_STATUS", "TOTAL_AMOUNT")
+    return first.join(latest, "ORDER_ID", "left").withColumn("IN_LATEST", F.coalesce("IN_LATEST", F.lit(False)))
+
+
+def exported_customers(t: Tables) -> DataFrame:
+    tables = {
+        "customers": t.customers, "orders_enriched": t.enriched, "products": t.products,
+        "order_items": t.order_items, "product_reviews": t.product_reviews,
+    }
+    return exchange.export_gold(tables, scratch_dir(t.spark, "export"), AS_OF, CHANGED_AT)["customer_360"]
+
+
+STORAGE: dict[str, Callable[[Tables], DataFrame]] = {
+    "json_feed": json_arrays,
+    "append_defaults": append_defaults_facts,
+    "append_reconcile": reconciled,
+    "snapshot_pinned": pinned,
+    "export_gold": exported_customers,
+}
+
+# --- facts about fitted models ------------------------------------------------------
+
+
+def ticket_facts(t: Tables, kind: str) -> DataFrame:
+    """What can be said of the predictions without knowing the fit: which rows, which
+    labels, and that predictions are labels."""
+    labels = F.col("PREDICTED_PRIORITY")
+    return ticket_predictions(t, kind).groupBy("PRIORITY_ENCODED").agg(
+        F.count(F.lit(1)).alias("N"), F.sum("TICKET_ID").alias("ID_SUM"),
+        F.bool_and((labels == F.round(labels)) & labels.between(0, 3)).alias("LABELS_ONLY"),
+    )
+
+
+def importance_facts(t: Tables) -> DataFrame:
+    parts = ticket_importance(t)
+    return parts.agg(
+        F.count(F.lit(1)).alias("FEATURES"), F.round(F.sum("IMPORTANCE"), 6).alias("TOTAL"), F.bool_and(F.col("IMPORTANCE") >= 0).alias("NOT_NEGATIVE")
+    )
+
+
+def revenue_facts(t: Tables, kind: str) -> DataFrame:
+    return revenue_predictions(t, kind).groupBy("ORDER_MONTH").agg(
+        F.count(F.lit(1)).alias("N"), F.round(F.sum("MONTHLY_REVENUE"), 2).alias("REVENUE"),
+        F.bool_and(F.col("PREDICTED_REVENUE").isNotNull() & ~F.isnan("PREDICTED_REVENUE")).alias("ALL_PREDICTED"),
+    )
+
+
+def normal_equations(t: Tables) -> DataFrame:
+    """Least squares leaves residuals of the training rows that are orthogonal to every input."""
+    train, _ = chrono_split(stored(t, t.revenue_model_table.coalesce(1), "revenue"), "ORDER_MONTH")
+    model = models.train_revenue_model(train, features.REVENUE_INPUTS, "linear")
+    y = F.col("MONTHLY_REVENUE").cast("double")
+    rows = models.predict(model, train, features.REVENUE_INPUTS).withColumn("_res", y - F.col("PREDICTED"))
+    sums = [F.sum(F.col("_res") * F.col(c)).alias(c) for c in features.REVENUE_INPUTS]
+    sizes = [F.sum(F.abs(y * F.col(c))).alias(f"{c}_size") for c in features.REVENUE_INPUTS]
+    one = rows.agg(*sums, *sizes)
+    each = [
+        F.struct(F.lit(c).alias("FEATURE"), (F.abs(F.col(c)) <= 1e-6 * F.col(f"{c}_size") + 1e-6).alias("ORTHOGONAL"))
+        for c in features.REVENUE_INPUTS
+    ]
+    return one.select(F.inline(F.array(*each)))
+
+
+FACTS: dict[str, Callable[[Tables], DataFrame]] = {
+    "rf_facts": lambda t: ticket_facts(t, "rf"),
+    "lr_facts": lambda t: ticket_facts(t, "lr"),
+    "importance_facts": importance_facts,
+    "gbt_facts": lambda t: revenue_facts(t, "gbt"),
+    "linreg_normal_equations": normal_equations,
+}
+
+
 def queries() -> dict[str, Query]:
-    groups = (SILVER_GOLD, CHANGES, ASKED, SEARCH, LEARNING, STREAMS)
+    groups = (SILVER_GOLD, CHANGES, ASKED, SEARCH, LEARNING, STREAMS, STORAGE, FACTS)
     return {name: over_tables(fn) for group in groups for name, fn in group.items()}

@@ -31,11 +31,11 @@ def top_by_dense_rank(df: DataFrame, value: str, k: int, rank_name: str) -> Data
 def ordinal_cut(df: DataFrame, column: str, frac: float) -> Column:
     """Scalar: the distinct value of ``column`` at position int(n * frac) when sorted.
 
-    Meant for calendar-like keys, whose distinct values stay few.
+    NULL is no value. The distinct values are counted and sorted in a distributed
+    way; only the one at the position is taken.
     """
-    keys = df.select(column).distinct().agg(F.sort_array(F.collect_set(column)).alias("k"))
-    position = F.floor(F.size("k") * F.lit(frac)).cast("int")
-    return keys.select(F.get(F.col("k"), position)).scalar()
+    keys = df.select(column).filter(F.col(column).isNotNull()).distinct()
+    return keys.orderBy(column).offset(int(keys.count() * frac)).limit(1).scalar()
 
 
 def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, bucket_width: int = 100) -> DataFrame:
@@ -77,19 +77,21 @@ def exact_median(df: DataFrame, keys: Sequence[str], value: str, out: str, bucke
     return ranked.groupBy(*keys).agg(((low + high) / 2).alias(out))
 
 
-def sequence_ids(df: DataFrame, key: Sequence[str], out: str, start: int | Column = 1, buckets: int = 8192) -> DataFrame:
+def sequence_ids(df: DataFrame, key: Sequence[str], out: str, start: int | Column = 1, per_bucket: int = 50_000) -> DataFrame:
     """Unique ids counting up from ``start``, a pure function of the data.
 
     Rows are numbered inside hash buckets of ``key`` (which must be unique), and
     every bucket takes its own residue class, so no bucket has to know the size
     of another. Even buckets make the ids nearly consecutive; like those of any
-    sequence, they may have gaps.
+    sequence, they may have gaps. There are as many buckets as hold about
+    ``per_bucket`` rows each, so the largest task does not grow with the table.
     """
-    bucket = F.pmod(F.xxhash64(*key), F.lit(buckets))
+    buckets = df.agg(F.ceil(F.count(F.lit(1)) / per_bucket + 1)).scalar()
+    bucket = F.pmod(F.xxhash64(*key), buckets)
     place = F.row_number().over(W.partitionBy("_bucket").orderBy(*key))
     begin = start if isinstance(start, Column) else F.lit(start)
     return (
         df.withColumn("_bucket", bucket)
-        .withColumn(out, (begin + (place - 1) * F.lit(buckets).cast("bigint") + F.col("_bucket")).cast("bigint"))
+        .withColumn(out, (begin + (place - 1) * buckets + F.col("_bucket")).cast("bigint"))
         .drop("_bucket")
     )

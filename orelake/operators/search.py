@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass, replace
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -205,7 +206,6 @@ def vector_topk(
     query_id: str = "QUERY_ID",
     query_vec: str = "QUERY_VEC",
     max_queries: int = 4096,
-    _round: int = 0,
 ) -> DataFrame:
     """Exact cosine top-k per query vector.
 
@@ -213,18 +213,24 @@ def vector_topk(
     each Arrow batch is one matrix product that keeps k rows per query. More
     queries than that are handled in blocks, one pass over the vectors each.
     """
-    rows = queries.select(query_id, query_vec).limit(max_queries + 1).collect()
-    if len(rows) > max_queries:
-        blocks = 2 * queries.count() // max_queries + 1
-        block = F.pmod(F.xxhash64(F.lit(_round), F.col(query_id)), F.lit(blocks))
-        parts = [
-            vector_topk(vectors, queries.filter(block == b), k, id_col, vec_col, query_id, query_vec, max_queries, _round + 1)
-            for b in range(blocks)
-        ]
-        out = parts[0]
-        for p in parts[1:]:
-            out = out.unionByName(p)
-        return out
+    wanted = queries.select(query_id, query_vec)
+    count = wanted.count()
+    if count > max_queries:
+        # Rows are numbered inside hash blocks, so that no block grows with repeated ids.
+        blocks = F.lit(-(-count // max_queries))
+        numbered = wanted.withColumn("_home", F.pmod(F.xxhash64(query_id), blocks))
+        place = F.row_number().over(W.partitionBy("_home").orderBy(query_id))
+        numbered = numbered.withColumn("_turn", F.floor((place - 1) / max_queries))
+        parts = numbered.select("_home", "_turn").distinct().collect()  # about count / max_queries rows
+        found = [
+            vector_topk(
+                vectors, numbered.filter((F.col("_home") == p["_home"]) & (F.col("_turn") == p["_turn"])),
+                k, id_col, vec_col, query_id, query_vec, max_queries,
+            )
+            for p in parts
+        ]
+        return reduce(DataFrame.unionByName, found)
+    rows = wanted.collect()
 
     schema = T.StructType([
         T.StructField(query_id, queries.schema[query_id].dataType),

@@ -13,8 +13,8 @@ Hint = Callable[[DataFrame], DataFrame]
 
 
 def fits(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
-    """Whether ``df`` has at most ``max_rows`` rows; reads no further than that."""
-    return df.limit(max_rows + 1).count() <= max_rows
+    """Whether ``df`` has at most ``max_rows`` rows; tasks count, only counts travel."""
+    return df.count() <= max_rows
 
 
 def broadcast_hint(bound: DataFrame, max_rows: int = BROADCAST_ROWS) -> Hint:

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orelake.operators.history import as_ntz
+from orelake.operators.ranking import sequence_ids
 from orelake.schemas import CAMPAIGNS_FEED, STORES_FEED, TARGETS_FEED, Feed
 from orelake.vocab import CSV_NULL_TOKENS, FEED_DATE_FORMAT
 
@@ -93,7 +94,8 @@ def load_feed(spark: SparkSession, path: str, feed: Feed, loaded_at=None) -> Dat
 
 def load_targets(spark: SparkSession, path: str, loaded_at=None, first_id: int = 1) -> DataFrame:
     rows = load_feed(spark, path, TARGETS_FEED, loaded_at)
-    return rows.select((F.monotonically_increasing_id() + first_id).alias("TARGET_ID"), "*")
+    ids = sequence_ids(rows, [c for c in rows.columns if c != "LOADED_AT"], "TARGET_ID", first_id)
+    return ids.select("TARGET_ID", *rows.columns)
 
 
 def load_campaigns(spark: SparkSession, path: str, loaded_at=None) -> DataFrame:

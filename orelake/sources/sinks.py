@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from orelake.operators.history import as_ntz
+from orelake.operators.ranking import sequence_ids
 
 
 def save(df: DataFrame, name: str, mode: str = "overwrite", fmt: str = "parquet") -> None:
@@ -27,18 +28,18 @@ def append_with_defaults(
 ) -> DataFrame:
     """Rows in the declared shape, ready to append.
 
-    Columns the rows lack take their default or NULL. The surrogate key counts
-    up from ``start``, with gaps between partitions as sequences may have, which
-    needs no shuffle.
+    Columns the rows lack take their default or NULL. The surrogate key counts up
+    from ``start`` as a function of the rows, not of their partitions, so a
+    recomputed task gives the same keys; take one past the largest key so far for
+    the next append.
     """
     defaults = defaults or {}
-    given = set(df.columns)
+    given = set(df.columns) | {key}
+    if key is not None:
+        df = sequence_ids(df.drop(key), [c for c in df.columns if c != key], key, start)
 
     def value(f: T.StructField) -> Column:
-        if f.name == key:
-            begin = start if isinstance(start, Column) else F.lit(start)
-            c = F.monotonically_increasing_id() + begin
-        elif f.name in given:
+        if f.name in given:
             c = F.col(f.name)
         else:
             c = defaults.get(f.name, F.lit(None))
@@ -67,12 +68,20 @@ def export(df: DataFrame, path: str, columns: Sequence[str | Column], exported_a
     return df.sparkSession.read.format(fmt).load(path)
 
 
+def holds_files(spark: SparkSession, path: str) -> bool:
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.exists(target) and len(fs.listStatus(target)) > 0
+
+
 def publish_snapshot(df: DataFrame, path: str, version: int, published_at=None) -> None:
     """Write one immutable version of a table, then its manifest row.
 
-    The data comes first, so a version is visible only once it is complete;
-    publishing a version again replaces both.
+    The data comes first, so a version is visible only once it is complete. What
+    a failed attempt left is replaced; a version in the manifest is refused.
     """
+    if holds_files(df.sparkSession, f"{path}/manifest/version={version}"):
+        raise ValueError(f"version {version} of {path} has been published")
     df.write.mode("overwrite").parquet(f"{path}/data/version={version}")
     stamp = as_ntz(published_at if published_at is not None else F.current_timestamp())
     row = df.sparkSession.range(1).select(stamp.alias("PUBLISHED_AT"))

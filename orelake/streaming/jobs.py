@@ -21,6 +21,7 @@ from orelake.plans.metrics import order_images, support_ticket_metrics
 from orelake.plans.silver import orders_cleaned, orders_enriched
 from orelake.schemas import Feed
 from orelake.sources.files import CSV_OPTIONS, blank_nulls, load_log, raw_schema, typed_rows
+from orelake.sources.sinks import holds_files
 
 
 def run_available(source: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -85,12 +86,6 @@ def change_source(spark: SparkSession, src: str, schema: T.StructType, max_files
     return files.select("*", *[value.alias(name) for name, value in given.items() if name not in files.columns])
 
 
-def holds_files(spark: SparkSession, path: str) -> bool:
-    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(target) and len(fs.listStatus(target)) > 0
-
-
 def change_log_stream(source: DataFrame, key: str, log: str, checkpoint: str) -> StreamingQuery:
     """Append every batch of change images to a log that ``scd2_from_log`` reads as
     type 2 history. Nothing already written is touched:
