@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -13,7 +15,8 @@ from pyspark.sql import functions as F
 from orelake.session import scratch_dir
 
 BROADCAST_ROWS = 200_000
-SLICE_BYTES = 8 << 20  # text handled at once inside a task
+SLICE_BYTES = 4 << 20  # text handled at once inside a task
+BATCH_BYTES = 4 << 20  # sent to a task at once
 
 
 def table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
@@ -28,6 +31,30 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_arrow(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], ddl: str) -> DataFrame:
+    """``df.mapInArrow`` with batches bounded by bytes: 10,000 rows of long texts would
+    not fit beside a worker. A task that ends gives its memory back."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return df.mapInArrow(task, ddl)
+
+
+def give_back() -> None:
+    """Return freed memory to the system: Python workers outlive their tasks, and what
+    they hold idle adds up beside the executor's heap."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
 def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df``, with the broadcast hint if it has been counted to be small."""
     return F.broadcast(df) if df.count() <= max_rows else df

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orelake.llm.common import as_bytes, stored, text_slices
+from orelake.llm.common import as_bytes, in_arrow, stored, text_slices
 
 WINDOW = 13
 PART_WINDOWS = 250_000
@@ -63,7 +63,7 @@ def windows_of(items: DataFrame, id_col: str = "item_id", text_col: str = "text"
             ]
             yield pa.RecordBatch.from_arrays([pa.array([o[k] for o in out], t) for k, t in enumerate(kind.types)], schema=kind)
 
-    found = source.filter(F.col("item").isNotNull()).mapInArrow(run, "item string, window array<binary>")
+    found = in_arrow(source.filter(F.col("item").isNotNull()), run, "item string, window array<binary>")
     return found.groupBy("window").agg(F.sort_array(F.collect_set("item")).alias("items"))
 
 
@@ -106,7 +106,7 @@ def word_counts(docs: DataFrame, vocabulary: set[bytes]) -> dict[bytes, int]:
         seen = np.flatnonzero(total[:-1])
         yield pa.RecordBatch.from_arrays([pa.array(seen), pa.array(total[seen])], names=["word", "n"])
 
-    counted = docs.mapInArrow(run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
+    counted = in_arrow(docs, run, "word bigint, n bigint").groupBy("word").agg(F.sum("n").alias("n"))
     by_number = sorted(vocabulary)
     out = {by_number[r["word"]]: r["n"] for r in counted.collect()}  # at most one row per word of the vocabulary
     held.unpersist()
@@ -142,8 +142,7 @@ def _found(docs: DataFrame, windows: list[tuple[list[bytes], list[str]]], counts
                                              names=["doc_id", "row", *kind.names])
 
     key = docs.schema["doc_id"].dataType.simpleString()
-    return docs.mapInArrow(
-        run, f"doc_id {key}, row bigint, n_words bigint, spans array<bigint>, items array<string>"
+    return in_arrow(docs, run, f"doc_id {key}, row bigint, n_words bigint, spans array<bigint>, items array<string>"
     )
 
 
@@ -167,8 +166,7 @@ def _digest(found: DataFrame) -> DataFrame:
             columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), *columns], names=["doc_id", *names])
 
-    return found.mapInArrow(
-        run,
+    return in_arrow(found, run,
         f"doc_id {key}, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
     )
 
@@ -227,4 +225,4 @@ def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
         ["__llm_text", "__llm_len"],
         "left_anti",
     )
-    return joined.select(*docs.columns)
+    return joined.select(*[f"`{c}`" for c in docs.columns])

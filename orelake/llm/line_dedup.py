@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelake.llm.common import as_bytes, stored, text_slices
+from orelake.llm.common import as_bytes, in_arrow, stored, text_slices
 
 MIN_WORDS = 8  # of lines that may differ in a word; shorter ones must be equal
 _BASE = 0x9E3779B97F4A7C15
@@ -90,7 +90,7 @@ def _emitted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
 
     by_doc = wanted.groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted"))
     joined = docs.select("doc_id", "text").join(by_doc, "doc_id")
-    return joined.mapInArrow(run, "key bigint, place int, doc_id bigint, line_no int, line string")
+    return in_arrow(joined, run, "key bigint, place int, doc_id bigint, line_no int, line string")
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
@@ -101,7 +101,7 @@ def _verified(pairs: DataFrame) -> DataFrame:
             sides = [[t.split() for t in as_bytes(batch.column(c))] for c in ("line", "partner_line")]
             yield batch.filter(pa.array([within_one(a, b) for a, b in zip(*sides)], pa.bool_())).select(["doc_id", "line_no"])
 
-    return pairs.select("doc_id", "line_no", "line", "partner_line").mapInArrow(run, "doc_id bigint, line_no int")
+    return in_arrow(pairs.select("doc_id", "line_no", "line", "partner_line"), run, "doc_id bigint, line_no int")
 
 
 def near_repeats(docs: DataFrame, firsts: DataFrame) -> DataFrame:
@@ -176,4 +176,4 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_lines", "n_exact", "n_near", "text"])
 
     joined = source.join(by_doc, "doc_id", "left")
-    return joined.mapInArrow(run, "doc_id bigint, n_lines bigint, n_exact bigint, n_near bigint, text string")
+    return in_arrow(joined, run, "doc_id bigint, n_lines bigint, n_exact bigint, n_near bigint, text string")

@@ -125,7 +125,8 @@ def mixed(
     text_col: str = "text",
     source_col: str = "source",
 ) -> DataFrame:
-    """``docs`` with the columns epoch and place: a row for each use of a document.
+    """``docs`` with the columns epoch and place, in the stead of any of these names:
+    a row for each use of a document.
 
     Tokens are words between ASCII blanks. Null texts have none; a null source is a
     source of its own; null ids fall into one block of their source. Repeated rows

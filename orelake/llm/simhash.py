@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelake.llm.common import as_bytes, stored, text_slices
+from orelake.llm.common import as_bytes, in_arrow, stored, text_slices
 from orelake.llm.components import connected
 
 RADIUS = 2
@@ -71,7 +71,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             )
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, fp bigint")
+    return in_arrow(source, run, f"doc_id {kind}, fp bigint")
 
 
 def _signed(x: int) -> int:
@@ -151,5 +151,5 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """
     groups = near_groups(docs, id_col, text_col)
     kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
-    named = docs.join(kept, id_col, "left_semi").select(*docs.columns)
+    named = docs.join(kept, id_col, "left_semi").select(*[f"`{c}`" for c in docs.columns])
     return named.dropDuplicates([id_col]).unionByName(docs.filter(F.col(id_col).isNull()))

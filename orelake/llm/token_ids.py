@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orelake.llm.common import text_slices
+from orelake.llm.common import in_arrow, text_slices
 
 END_ID = 0
 BLOCK_IDS = 1 << 20
@@ -243,7 +243,7 @@ def encode_blocks(docs: DataFrame, tokenizer: str, block_ids: int = BLOCK_IDS) -
         if doc_ids:
             yield pack(shard, number, doc_ids, counts, np.concatenate(held))
 
-    return ordered.mapInArrow(run, _BLOCK_DDL)
+    return in_arrow(ordered, run, _BLOCK_DDL)
 
 
 def write_ids(docs: DataFrame, path: str, tokenizer: str, block_ids: int = BLOCK_IDS) -> None:
@@ -282,8 +282,7 @@ def read_digests(spark: SparkSession, path: str) -> DataFrame:
                     names=["shard", "block", "doc_id", "inside", "n_tokens", "ids_crc32"],
                 )
 
-    rows = spark.read.parquet(path).mapInArrow(
-        run, "shard bigint, block bigint, doc_id bigint, inside bigint, n_tokens bigint, ids_crc32 bigint"
+    rows = in_arrow(spark.read.parquet(path), run, "shard bigint, block bigint, doc_id bigint, inside bigint, n_tokens bigint, ids_crc32 bigint"
     )
     joined = rows.join(block_starts(spark, path), ["shard", "block"])
     return joined.select("doc_id", (F.col("before") + F.col("inside")).alias("start"), "n_tokens", "ids_crc32")

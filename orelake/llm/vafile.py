@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orelake.llm.common import stored
+from orelake.llm.common import give_back, in_arrow, stored
 
 BITS = 6
 BLOCK_VECTORS = 16_384
@@ -64,7 +64,7 @@ def _ranges(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
                     [pa.array([d]), pa.array([m.min(0).tolist()]), pa.array([m.max(0).tolist()])], names=["d", "lo", "hi"]
                 )
 
-    found = rows.select("v").mapInArrow(run, "d bigint, lo array<bigint>, hi array<bigint>")
+    found = in_arrow(rows.select("v"), run, "d bigint, lo array<bigint>, hi array<bigint>")
     each = found.select("d", F.posexplode(F.arrays_zip("lo", "hi")).alias("at", "b"))
     ends = each.groupBy("d", "at").agg(F.min("b.lo").alias("lo"), F.max("b.hi").alias("hi"))
     out: dict[int, list] = {}
@@ -93,13 +93,14 @@ def _candidates(rows: DataFrame, asked: DataFrame, k: int, bits: int, n: int, n_
                 )
 
     block = F.pmod(F.xxhash64("id"), F.lit(v_blocks))
-    cells = rows.withColumn("vb", block).mapInArrow(approximate, "d bigint, vb bigint, ids binary, cells binary")
+    cells = in_arrow(rows.withColumn("vb", block), approximate, "d bigint, vb bigint, ids binary, cells binary")
     grid = cells.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))).withColumn("qb", F.col("qb").cast("long"))
     held = asked.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(q_blocks))).withColumn("d", F.size("v").cast("long"))
     packed = held.groupBy("d", "qb").agg(F.collect_list(F.struct("id", "v")).alias("queries"))  # about BLOCK_QUERIES
     spread = packed.withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(v_blocks - 1)))).withColumn("vb", F.col("vb").cast("long"))
 
     def bound(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
+        give_back()
         names = ["query_id", "vec_id", "lower", "upper"]
         out: list[list[np.ndarray]] = [[], [], [], []]
         if left.num_rows and right.num_rows:
