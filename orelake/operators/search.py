@@ -8,7 +8,7 @@ keeps its best k hits per query before the last shuffle.
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass, replace
+from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -29,65 +29,60 @@ def terms_of(text: Column) -> Column:
     return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
 
 
+def _once(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once, however often it is referred to."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
+def counted_terms(text: Column) -> Column:
+    """The different terms of a text, each with how often it occurs: the runs of the
+    sorted terms, found inside the row."""
+
+    def runs(terms: Column) -> Column:
+        last = lambda i: F.coalesce(F.get(terms, i - 1) != F.get(terms, i), F.lit(True))
+        ends = F.filter(F.sequence(F.lit(1), F.size(terms)), last)
+        pair = lambda e: F.transform(
+            e, lambda end, i: F.struct(F.get(terms, end - 1).alias("term"), (end - F.coalesce(F.get(e, i - 1), F.lit(0))).cast("long").alias("tf"))
+        )
+        return F.when(F.size(terms) > 0, _once(ends, pair))
+
+    return _once(F.array_sort(terms_of(text)), runs)
+
+
 @dataclass(frozen=True)
 class Index:
     """Inverted index of one text column.
 
-    ``docs``: id and terms per document. ``postings``: id, doc_len, term and tf,
-    with a document's postings in one partition. ``stats``: one row, n_docs and
+    ``docs`` has a row per document: its id, doc_len, its postings (terms with tf) and
+    the norm of its log term frequencies. All of that depends on the document alone
+    and is made inside its row, so texts never move. ``stats``: one row, n_docs and
     avg_len; documents without terms count.
-
-    ``whole`` says that all postings are needed anyway, as vector search does:
-    everything is then taken from the one shuffle of the documents. Otherwise
-    only the postings of asked-for terms are moved.
     """
 
     docs: DataFrame
     id_col: str
-    whole: bool = False
-
-    @property
-    def by_id(self) -> DataFrame:
-        return self.docs.repartition(self.id_col)
-
-    def tokens(self, docs: DataFrame) -> DataFrame:
-        # The outer form keeps Catalyst from adding a filter that would split every
-        # text a second time; the NULL term of an empty document goes right after.
-        exploded = docs.select(self.id_col, doc_len().alias("doc_len"), F.explode_outer("terms").alias("term"))
-        return exploded.filter(F.col("term").isNotNull())
-
-    def counted(self, tokens: DataFrame) -> DataFrame:
-        return tokens.groupBy(self.id_col, "doc_len", "term").agg(F.count(F.lit(1)).alias("tf"))
-
-    @property
-    def postings(self) -> DataFrame:
-        """All postings. Documents are shuffled once, by id; counting is then local."""
-        return self.counted(self.tokens(self.by_id))
 
     def postings_of(self, terms: DataFrame, hint: Hint) -> DataFrame:
-        """Postings of the given terms, dropping others before the shuffle if that helps."""
+        """Postings of the given terms, those of a document in one partition; others are
+        dropped before the shuffle."""
         wanted = hint(terms.select(F.col("term").alias("_t")).distinct())
-        same = F.col("term") == F.col("_t")
-        if self.whole:
-            return self.postings.join(wanted, same, "left_semi")
-        found = self.tokens(self.docs).join(wanted, same, "left_semi")
-        return self.counted(found.repartition(self.id_col))
+        each = self.docs.select(self.id_col, "doc_len", "norm", F.inline("postings"))
+        return each.join(wanted, F.col("term") == F.col("_t"), "left_semi").repartition(self.id_col)
 
     @property
     def stats(self) -> DataFrame:
-        docs = self.by_id if self.whole else self.docs
-        return docs.agg(F.count(self.id_col).alias("n_docs"), F.avg(doc_len()).alias("avg_len"))
+        return self.docs.agg(F.count(self.id_col).alias("n_docs"), F.avg("doc_len").alias("avg_len"))
 
     def stat(self, name: str) -> Column:
         return self.stats.select(name).scalar()
 
 
-def doc_len() -> Column:
-    return F.coalesce(F.size("terms"), F.lit(0))
-
-
-def build_index(docs: DataFrame, id_col: str, text_col: str, whole: bool = False) -> Index:
-    return Index(docs.select(id_col, terms_of(F.col(text_col)).alias("terms")), id_col, whole)
+def build_index(docs: DataFrame, id_col: str, text_col: str) -> Index:
+    counted = docs.select(id_col, counted_terms(F.col(text_col)).alias("postings"))
+    tf = lambda p: p["tf"]
+    length = F.aggregate("postings", F.lit(0).cast("long"), lambda s, p: s + tf(p))
+    squares = F.aggregate("postings", F.lit(0.0), lambda s, p: s + (1 + F.log(tf(p))) * (1 + F.log(tf(p))))
+    return Index(counted.select(id_col, "postings", F.coalesce(length, F.lit(0)).alias("doc_len"), F.sqrt(squares).alias("norm")), id_col)
 
 
 def query_terms(queries: DataFrame, query_id: str, query_text: str) -> DataFrame:
@@ -160,20 +155,18 @@ def text_vector_search(
     """Cosine top-k between term vectors: log term frequency for documents, the
     same times inverse document frequency for queries. Document vectors depend
     on their document alone."""
-    index = replace(index, whole=True)
     terms = query_terms(queries, query_id, query_text)
     n = index.stat("n_docs")
     hint = broadcast_hint(terms)
-    q = terms.join(document_frequency(index.postings_of(terms, hint)), "term").withColumn(
+    matched = index.postings_of(terms, hint)
+    q = terms.join(document_frequency(matched), "term").withColumn(
         "wq", (1 + F.log("qtf")) * F.log(n / F.col("df"))
     )
     lengths = q.groupBy(query_id).agg(F.sqrt(F.sum(F.col("wq") * F.col("wq"))).alias("q_norm"))
     weighted = q.join(lengths, query_id).filter(F.col("q_norm") > 0).select(
         query_id, F.col("term").alias("_t"), (F.col("wq") / F.col("q_norm")).alias("wq")
     )
-    wd = 1 + F.log("tf")
-    doc_norm = F.sqrt(F.sum(wd * wd).over(W.partitionBy(index.id_col)))
-    docs = _allowed(index.postings, index.id_col, attrs, where).withColumn("wd", wd / doc_norm)
+    docs = _allowed(matched, index.id_col, attrs, where).withColumn("wd", (1 + F.log("tf")) / F.col("norm"))
     scored = (
         docs.join(hint(weighted), F.col("term") == F.col("_t"))
         .groupBy(query_id, index.id_col)

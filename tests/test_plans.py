@@ -10,7 +10,7 @@ LAZY = {**registry.SILVER_GOLD, **registry.ASKED, **registry.SEARCH, **registry.
 # These run jobs while they are built (training, tables written between steps).
 EAGER = {
     "feature_importance", "rf_predict", "lr_predict", "gbt_predict", "linreg_predict", "orders_scd2", "orders_history_view",
-    "daily_order_metrics",
+    "daily_order_metrics", "chrono_split",
 }
 
 
@@ -40,6 +40,15 @@ def test_items_reach_the_orders_in_one_shuffle(spark, small):
     assert "l_discount" not in text
 
 
+@pytest.mark.parametrize("name", ["keyword_search", "text_vector_search", "hybrid_search"])
+def test_search_moves_no_text(spark, small, name):
+    for line in plan(spark, small, name).splitlines():
+        assert not ("Exchange" in line and re.search(r"\b(text|postings|terms)#", line))
+    text = plan(spark, small, name)
+    for at in (m.start() for m in re.finditer(r"Exchange hashpartitioning\(DOC_ID", text)):
+        assert "LeftSemi" in text[at:]  # matched postings only
+
+
 def test_search_limits_every_task_before_the_last_shuffle(spark, small):
     text = plan(spark, small, "keyword_search")
     assert "WindowGroupLimit" in text and "Partial" in text

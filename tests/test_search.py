@@ -92,10 +92,11 @@ def test_attribute_filter_applies_before_ranking(spark, corpus, frames):
         assert got.get(i, []) == want
 
 
-def test_whole_index_gives_the_same_hits(frames):
-    index, q = frames
-    whole = search.Index(index.docs, index.id_col, whole=True)
-    assert hits(search.keyword_search(whole, q, 5)) == hits(search.keyword_search(index, q, 5))
+def test_terms_are_counted_inside_the_row(spark, corpus):
+    docs, _ = corpus
+    df = spark.createDataFrame(list(docs.items()), "id long, text string")
+    for r in df.select("id", search.counted_terms(F.col("text")).alias("p")).collect():
+        assert {p.term: p.tf for p in r.p or []} == dict(Counter(tokens(docs[r.id])))
 
 
 def test_shuffle_join_beyond_the_broadcast_bound(corpus, frames, monkeypatch):
