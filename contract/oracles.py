@@ -555,7 +555,17 @@ def kept() -> dict[str, str]:
     split = "CAST('0x' || substr(md5('42:' || CAST(TICKET_ID AS VARCHAR)), 1, 8) AS BIGINT) % 100 >= 80"
     tested = f"""WITH {TICKETS} SELECT CASE PRIORITY WHEN 'Low' THEN 0.0::DOUBLE WHEN 'Medium' THEN 1.0 WHEN 'High' THEN 2.0 ELSE 3.0 END AS PRIORITY_ENCODED,
         COUNT(*) AS N, CAST(SUM(TICKET_ID) AS BIGINT) AS ID_SUM, TRUE AS LABELS_ONLY FROM tickets_b WHERE {split} GROUP BY 1"""
+    layers = {**silver_and_gold(), **change_history(), **learned()}
+    tables = ["orders_cleaned", "orders_enriched", "processed_reviews", "customer_order_patterns", "monthly_revenue_by_category",
+              "sales_summary", "customer_360", "product_performance", "top_customers", "monthly_kpi", "product_health"]
+    counted = [(n.upper(), f"({layers[n]}) x") for n in tables] + [
+        ("PRODUCT_SENTIMENT_SUMMARY", f"({layers['product_sentiment']}) x"), ("SUPPORT_TICKET_METRICS", f"({layers['ticket_metrics']}) x"),
+        ("ORDERS_SCD2", "orders"),
+        ("DAILY_ORDER_METRICS", f"(WITH {ORDERS} SELECT DISTINCT CAST(ORDER_DATE AS DATE), REGION, CHANNEL FROM orders_b) x"),
+    ]
     return {
+        "daily_metrics_stream": change_history()["daily_order_metrics"],
+        "layer_refresh_counts": " UNION ALL ".join(f"SELECT '{n}' AS TABLE_NAME, COUNT(*) AS ROW_COUNT FROM {t}" for n, t in counted),
         "json_feed": "SELECT event_id, user_id, event_type, value, props FROM events",
         "append_defaults": f"""WITH {CUSTOMERS} SELECT EMAIL, FIRST_NAME, 'unknown' AS COUNTRY, TIMESTAMP '2001-08-02 00:00:00' AS CREATED_AT,
             CAST(NULL AS VARCHAR) AS PHONE, COUNT(*) AS N, TRUE AS KEY_OK, CAST((SELECT COUNT(*) FROM customers_b) AS BIGINT) AS KEYS

@@ -13,7 +13,7 @@ from contract.present import present, rounded
 from orelake.operators import evaluate, models, search
 from orelake.operators.encode import chrono_split, hash_split
 from orelake.operators.history import scd2_from_log, table_changes, upsert
-from orelake.plans import exchange, features, gold, metrics, questions, search_docs, silver
+from orelake.plans import exchange, features, gold, layers, metrics, questions, search_docs, silver
 from orelake.plans.retail_model import RETAIL_MODEL
 from orelake.operators.semantic import semantic_query
 from orelake.session import adapt, scratch_dir
@@ -438,6 +438,23 @@ def streamed_history(t: Tables, runs: int) -> DataFrame:
     return scd2_from_log(jobs.read_change_log(t.spark, f"{base}/log"), "ORDER_ID")
 
 
+def streamed_daily(t: Tables) -> DataFrame:
+    """Daily metrics kept by the change stream, run after each commit."""
+    base = scratch_dir(t.spark, "daily")
+    for changes in commits(t):
+        changes.write.mode("append").parquet(f"{base}/landing")
+        source = jobs.change_source(t.spark, f"{base}/landing", changes.schema)
+        jobs.daily_metrics_stream(source, f"{base}/log", f"{base}/daily", f"{base}/checkpoint")
+    return jobs.read_daily(t.spark, f"{base}/daily")
+
+
+def refreshed_counts(t: Tables) -> DataFrame:
+    """Row counts of all layers after one refresh."""
+    names = ("customers", "products", "orders", "order_items", "product_reviews", "support_tickets")
+    done = layers.refresh({n: getattr(t, n) for n in names}, scratch_dir(t.spark, "layers"), AS_OF)
+    return row_counts({n.upper(): df for n, df in done.items()})
+
+
 def streamed_enrichment(t: Tables) -> DataFrame:
     base = scratch_dir(t.spark, "enrich")
     t.orders.write.parquet(f"{base}/landing")
@@ -452,6 +469,8 @@ STREAMS: dict[str, Callable[[Tables], DataFrame]] = {
     "order_history_stream": lambda t: text_times(streamed_history(t, 2)),
     "order_history_catch_up": lambda t: text_times(streamed_history(t, 1)),
     "enrich_stream": streamed_enrichment,
+    "daily_metrics_stream": streamed_daily,
+    "layer_refresh_counts": refreshed_counts,
 }
 
 

@@ -6,7 +6,8 @@ from datetime import date
 
 from pyspark.sql import DataFrame
 
-from orelake.plans import gold, silver
+from orelake.operators.history import table_changes
+from orelake.plans import gold, metrics, silver
 
 
 def refresh(bronze: dict[str, DataFrame], out: str, as_of: date, fmt: str = "parquet") -> dict[str, DataFrame]:
@@ -33,6 +34,12 @@ def refresh(bronze: dict[str, DataFrame], out: str, as_of: date, fmt: str = "par
         silver.monthly_revenue_by_category(bronze["orders"], bronze["order_items"], bronze["products"]),
     )
 
+    images = table_changes(bronze["orders"].limit(0), bronze["orders"], "ORDER_ID")
+    history = put("orders_scd2", metrics.orders_scd2(None, images, as_of))
+    put("daily_order_metrics", metrics.daily_order_metrics(history))
+    tickets = bronze["support_tickets"]
+    put("support_ticket_metrics", metrics.support_ticket_metrics(table_changes(tickets.limit(0), tickets, "TICKET_ID"), as_of))
+
     sales = put("sales_summary", gold.sales_summary(enriched))
     c360 = put("customer_360", gold.customer_360(bronze["customers"], enriched, as_of))
     performance = put(

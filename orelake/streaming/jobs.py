@@ -11,13 +11,13 @@ from __future__ import annotations
 from collections.abc import Callable
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from orelake.operators.history import CHANGE_COLUMNS, COMMIT, COMMITTED_AT
-from orelake.plans.metrics import order_images, support_ticket_metrics
+from orelake.operators.history import CHANGE_COLUMNS, COMMIT, COMMITTED_AT, scd2_from_log
+from orelake.plans.metrics import daily_order_metrics, order_images, support_ticket_metrics
 from orelake.plans.silver import orders_cleaned, orders_enriched
 from orelake.schemas import Feed
 from orelake.sources.files import CSV_OPTIONS, blank_nulls, load_log, raw_schema, typed_rows
@@ -110,6 +110,36 @@ def order_history_stream(source: DataFrame, log: str, checkpoint: str) -> Stream
     return change_log_stream(order_images(source), "ORDER_ID", log, checkpoint)
 
 
+def daily_metrics_stream(source: DataFrame, log: str, daily: str, checkpoint: str) -> StreamingQuery:
+    """Order changes to the log and, after each batch, the daily metrics of the months it
+    touched: only orders that ever stood in such a month are looked at, and only those
+    months' partitions of the stored table are replaced. A month that has lost all its
+    orders keeps a row of zero, which ``read_daily`` passes over."""
+    spark = source.sparkSession
+    if holds_files(spark, log) and not holds_files(spark, checkpoint):
+        raise ValueError(f"{log} holds a log, but {checkpoint} is new and would number its batches from 0 again")
+
+    def month(c: str) -> Column:
+        return F.trunc(F.col(c).cast("date"), "month")
+
+    def step(batch: DataFrame, batch_id: int) -> None:
+        write_batch(batch, log, batch_id)
+        touched = spark.read.parquet(f"{log}/batch_id={batch_id}").select(month("ORDER_DATE").alias("METRIC_MONTH")).distinct()
+        images = read_change_log(spark, log)
+        orders = images.join(touched, month("ORDER_DATE") == F.col("METRIC_MONTH"), "left_semi").select("ORDER_ID").distinct()
+        history = scd2_from_log(images.join(orders, "ORDER_ID", "left_semi"), "ORDER_ID")
+        fresh = daily_order_metrics(history).withColumn("METRIC_MONTH", month("METRIC_DATE"))
+        rows = touched.join(fresh, "METRIC_MONTH", "left").withColumn("ORDER_COUNT", F.coalesce("ORDER_COUNT", F.lit(0)))
+        writer = rows.repartition("METRIC_MONTH").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.partitionBy("METRIC_MONTH").parquet(daily)
+
+    return run_available(order_images(source), step, checkpoint)
+
+
+def read_daily(spark: SparkSession, daily: str) -> DataFrame:
+    return spark.read.parquet(daily).filter(F.col("ORDER_COUNT") > 0).drop("METRIC_MONTH")
+
+
 def ticket_metrics_stream(source: DataFrame, dst: str, checkpoint: str, as_of) -> StreamingQuery:
     """One metrics row per category and priority for the tickets each run brings in."""
     return run_available(source, lambda b, i: write_batch(support_ticket_metrics(b, as_of), dst, i), checkpoint)
