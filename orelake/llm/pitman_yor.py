@@ -39,10 +39,10 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orelake.llm.common import remainder, split_words, stored, text_slices
+from orelake.llm.common import give_back, in_arrow, remainder, split_words, stored, text_slices
 from orelake.session import scratch_dir
 
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 12 << 20
 BURN_IN, SAMPLES = 1, 2
 CONCENTRATION = 1.0  # of every restaurant
 UNKNOWN_SHARE = 0.5  # of the base distribution, for the unknown word
@@ -137,7 +137,7 @@ def _blocks(docs: DataFrame, block_bytes: int) -> DataFrame:
         if held:
             yield block(number, held)
 
-    return source.mapInArrow(run, _BLOCK_DDL)
+    return in_arrow(source, run, _BLOCK_DDL)
 
 
 @dataclass
@@ -199,6 +199,7 @@ def summed(asked: DataFrame, kind: int, post: Post) -> DataFrame:
     ``post`` turns a bucket's keys and sums into what is told, and totals."""
 
     def run(key: tuple, table: pa.Table) -> pa.Table:
+        give_back()
         rows = sorted(table.to_pylist(), key=lambda r: r["block"])
         held = [unpack_keys(r["keys"]) for r in rows]
         keys, first, place = np.unique(np.concatenate(held), return_index=True, return_inverse=True)
@@ -321,6 +322,7 @@ class Model:
         buckets = self.buckets
 
         def run(table: pa.Table) -> pa.Table:
+            give_back()
             b = Block(table.to_pylist()[0])
             n = len(b.vocabulary)
             parts = [np.bincount(x[b.learned], minlength=n) for x in (b.w, b.u)]
@@ -332,6 +334,7 @@ class Model:
         buckets = self.buckets
 
         def run(table: pa.Table) -> pa.Table:
+            give_back()
             b = Block(table.to_pylist()[0])
             keys, _, _, place = b.pairs()
             return ask(b.row["block"], keys, [np.bincount(place[b.learned], minlength=len(keys))], buckets)
@@ -343,6 +346,7 @@ class Model:
         those of several one by one."""
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            give_back()
             b = Block(left.to_pylist()[0])
             keys, u, w, _ = b.pairs()
             customers, owner = answers(right.to_pylist(), _PAIRS, 1)
@@ -369,6 +373,7 @@ class Model:
         parent = last[1] if last else None
 
         def run(left: pa.Table, right: pa.Table | None = None) -> pa.Table:
+            give_back()
             row = left.to_pylist()[0]
             vocabulary, keys = unpack_keys(row["vocabulary"]), unpack_keys(row["keys"])
             u, w, customers = (unpack(row[c]) for c in ("u", "w", "customers"))
@@ -412,6 +417,7 @@ class Model:
             told = told.unionByName(rows.withColumn("kind", F.lit(_SWEEP + i)))
 
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
+            give_back()
             b, rows = Block(left.to_pylist()[0]), right.to_pylist()
             keys, u, w, place = b.pairs()
             count, context, _ = answers(rows, _WORDS, 2)
