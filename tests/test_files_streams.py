@@ -185,3 +185,29 @@ def test_catalog_listing(spark):
 def test_read_table_formats(spark, tmp_path, fmt):
     spark.range(4).write.format(fmt).save(str(tmp_path / fmt))
     assert files.read_table(spark, str(tmp_path / fmt), fmt).count() == 4
+
+
+def test_daily_metrics_follow_the_changes(spark, tmp_path):
+    ddl = (
+        "ORDER_ID long, CUSTOMER_ID long, ORDER_DATE timestamp_ntz, ORDER_STATUS string, TOTAL_AMOUNT decimal(12,2), "
+        "DISCOUNT_AMOUNT decimal(10,2), SHIPPING_AMOUNT decimal(10,2), REGION string, CHANNEL string, SOURCE_SYSTEM string, "
+        "_action string, _is_update boolean, _commit long, _committed_at timestamp_ntz"
+    )
+
+    def image(key, day, total, action, update, commit):
+        at = datetime(2024, 1, 1 + commit)
+        return (key, key, day, "New", D(total), D(0), D(0), "EU", "Web", "X", action, update, commit, at)
+
+    jan, feb = datetime(2024, 1, 5, 10), datetime(2024, 2, 7, 11)
+    commits = [
+        [image(1, jan, 10, "INSERT", False, 0), image(2, jan, 20, "INSERT", False, 0), image(3, feb, 30, "INSERT", False, 0)],
+        [image(3, feb, 30, "DELETE", False, 1), image(1, jan, 10, "DELETE", True, 1), image(1, jan, 15, "INSERT", True, 1)],
+    ]
+    base = str(tmp_path)
+    for rows in commits:
+        changes = spark.createDataFrame(rows, ddl)
+        changes.write.mode("append").parquet(f"{base}/landing")
+        source = jobs.change_source(spark, f"{base}/landing", changes.schema)
+        jobs.daily_metrics_stream(source, f"{base}/log", f"{base}/daily", f"{base}/ckpt")
+    got = [(str(r.METRIC_DATE), r.ORDER_COUNT, int(r.TOTAL_REVENUE)) for r in jobs.read_daily(spark, f"{base}/daily").collect()]
+    assert got == [("2024-01-05", 2, 35)]
