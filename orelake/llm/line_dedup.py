@@ -24,7 +24,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelake.llm.common import as_bytes, in_arrow, stored, text_slices
+from orelake.llm.common import as_bytes, bounded, in_arrow, stored, text_slices
 
 MIN_WORDS = 8  # of lines that may differ in a word; shorter ones must be equal
 _BASE = 0x9E3779B97F4A7C15
@@ -88,8 +88,8 @@ def _emitted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     texts = [lines[at].decode(), *[None] * (n - 1)]
                     yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(texts, pa.string())], schema=kind)
 
-    by_doc = wanted.groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted"))
-    joined = docs.select("doc_id", "text").join(by_doc, "doc_id")
+    by_doc = stored(wanted.groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted")), "wanted")
+    joined = docs.select("doc_id", "text").join(bounded(by_doc), "doc_id")
     return in_arrow(joined, run, "key bigint, place int, doc_id bigint, line_no int, line string")
 
 
