@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orelake.llm.common import as_bytes, remainder, stored, text_slices
+from orelake.llm.common import as_bytes, bounded, in_arrow, remainder, stored, text_slices
 
 DIMENSIONS = 2048
 SAMPLE_PER_LANGUAGE = 1500
@@ -97,13 +97,14 @@ class Model:
             spoken = np.array([bool(self.members) and has_letter(t) for t in some], dtype=bool)
             label = np.full(len(some), UNKNOWN, dtype=object)
             score = np.zeros(len(some))
-            x = describe([t for t, s in zip(some, spoken) if s], self.dimensions)
-            family, sure = _vote(x, sorted(self.members), self.family_pairs)
-            found, degree = np.empty(len(x), dtype=object), np.zeros(len(x))
-            for name, languages in self.members.items():
-                here = family == name
-                found[here], degree[here] = _vote(x[here], languages, self.language_pairs[name])
-            label[spoken], score[spoken] = found, sure * degree
+            if spoken.any():
+                x = describe([t for t, s in zip(some, spoken) if s], self.dimensions)
+                family, sure = _vote(x, sorted(self.members), self.family_pairs)
+                found, degree = np.empty(len(x), dtype=object), np.zeros(len(x))
+                for name, languages in self.members.items():
+                    here = family == name
+                    found[here], degree[here] = _vote(x[here], languages, self.language_pairs[name])
+                label[spoken], score[spoken] = found, sure * degree
             names += label.tolist()
             scores += score.tolist()
         return names, scores
@@ -126,15 +127,21 @@ def _vote(x: np.ndarray, classes: list[str], pairs: list[Pair]) -> tuple[np.ndar
 
 
 def labelled_sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """(text, lang): at most ``per_language`` learnable rows of each language."""
+    """(text, lang): at most ``per_language`` learnable rows of each language. They
+    are chosen by id; only the texts of chosen ids are read further."""
     divisor, held = HELD_OUT
     known = docs.filter((remainder("doc_id", divisor) != held) & F.col("lang").isNotNull())
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40))
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
-    near = known.withColumn("place", place).join(sizes, "lang")
-    near = near.filter(F.col("place") * F.col("size").cast("double") < 2.0 * per_language * float(1 << 40))
-    rank = F.row_number().over(W.partitionBy("lang").orderBy("place", "doc_id", "text"))
-    return near.withColumn("rank", rank).filter(F.col("rank") <= per_language).select("text", "lang")
+    # Twice the share that is wanted, so that next to no row reaches the ranking in vain.
+    share = F.col("place") * F.col("size").cast("double") < 2.0 * per_language * float(1 << 40)
+    near = known.select("doc_id", "lang", place.alias("place")).join(bounded(stored(sizes, "sizes")), "lang").filter(share)
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("place", "doc_id"))
+    chosen = stored(near.withColumn("rank", rank).filter(F.col("rank") <= per_language).select("doc_id", "lang"), "chosen")
+    rows = known.join(bounded(chosen.distinct()), ["doc_id", "lang"], "left_semi")
+    # An id that is repeated may bring more rows than it was counted for.
+    rank = F.row_number().over(W.partitionBy("lang").orderBy("doc_id", "text"))
+    return rows.withColumn("rank", rank).filter(F.col("rank") <= per_language).select("text", "lang")
 
 
 def described(sample: DataFrame, dimensions: int) -> DataFrame:
@@ -150,7 +157,7 @@ def described(sample: DataFrame, dimensions: int) -> DataFrame:
                     [langs.slice(at, len(some)).filter(pa.array(keep)), cells], names=["lang", "cells"]
                 )
 
-    return sample.mapInArrow(run, "lang string, cells array<float>")
+    return in_arrow(sample, run, "lang string, cells array<float>")
 
 
 def _machines(rows: DataFrame, column: str, classes: list[str]) -> list[Pair]:
@@ -210,7 +217,7 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
             )
 
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
+    return in_arrow(source, run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
 def keep_known(docs: DataFrame, model: Model, min_score: float = 0.0) -> DataFrame:
@@ -222,4 +229,4 @@ def keep_known(docs: DataFrame, model: Model, min_score: float = 0.0) -> DataFra
             good = [n != UNKNOWN and s >= min_score for n, s in zip(names, scores)]
             yield batch.filter(pa.array(good, pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_arrow(docs, run, docs.schema)
