@@ -1,8 +1,8 @@
 """URL filtering by a tree of path templates, learned from labelled pages.
 
 Per host, the paths form a tree of segments. Level by level, a segment that holds
-too few of its node's pages is generalised into a wildcard, so that a node keeps
-at most 1 / ``MIN_SHARE`` literal branches and one wildcard. From the deepest level
+fewer than ``MIN_PAGES`` pages of its node is generalised into a wildcard, however
+large the node is; below nodes of fewer pages all segments are. From the deepest level
 up, branches that differ in one literal segment and whose labels are statistically
 alike are then merged into a wildcard as well. A template is rejected if the
 share of good pages among its labelled ones, drawn towards the share of all
@@ -23,8 +23,10 @@ from pyspark.sql import functions as F
 
 from orelake.llm.common import bounded, stored
 
-LEVELS = 4  # segments beyond these count as one last segment
 MIN_PAGES = 8
+# Of the SQL alone, which joins the segments after so many, and wants of a literal segment
+# this share of its node's pages too. It agrees where no segment meets either.
+LEVELS = 4
 MIN_SHARE = 0.02
 MERGE_Z = 2.0
 STRENGTH = 10.0
@@ -60,20 +62,20 @@ def ruled(rules=RULES) -> tuple[Column, Column]:
 
 def _segments() -> Column:
     all_of = F.filter(F.split("path", "/"), lambda s: s != "")
-    all_of = F.transform(all_of, lambda s: F.when(s == "*", "%2A").otherwise(s))
-    tail = F.array(F.array_join(F.slice(all_of, LEVELS + 1, 1 << 30), "/"))
-    return F.when(F.size(all_of) > LEVELS, F.concat(F.slice(all_of, 1, LEVELS), tail)).otherwise(all_of)
+    return F.transform(all_of, lambda s: F.when(s == "*", "%2A").otherwise(s))
 
 
 def generalised(paths: DataFrame) -> DataFrame:
     """``paths`` (host, path, n, seen, good) with ``template``: an array of segments."""
     found = paths.withColumn("segs", _segments()).withColumn("template", F.array().cast("array<string>"))
-    for level in range(LEVELS + 1):
+    level = 0
+    while True:
         deep = found.filter(F.size("segs") > level)
-        branches = deep.groupBy("host", "template", F.col("segs")[level].alias("seg")).agg(F.sum("n").alias("n"))
-        nodes = deep.groupBy("host", "template").agg(F.sum("n").alias("of"))
-        large = branches.filter(F.col("n") >= MIN_PAGES).join(nodes, ["host", "template"])
-        large = large.filter(F.col("n") >= MIN_SHARE * F.col("of")).select("host", "template", "seg")
+        nodes = deep.groupBy("host", "template").agg(F.sum("n").alias("of")).filter(F.col("of") >= MIN_PAGES)
+        if nodes.isEmpty():
+            break
+        branches = deep.groupBy("host", "template", F.get("segs", F.lit(level)).alias("seg")).agg(F.sum("n").alias("n"))
+        large = branches.filter(F.col("n") >= MIN_PAGES).select("host", "template", "seg")
         literal = stored(large, f"literal{level}").withColumn("literal", F.lit(True))
         seg = F.when(F.size("segs") > level, F.get("segs", F.lit(level)))
         found = found.withColumn("seg", seg).join(bounded(literal), ["host", "template", "seg"], "left")
@@ -81,7 +83,9 @@ def generalised(paths: DataFrame) -> DataFrame:
         grown = F.when(F.col("seg").isNull(), F.col("template")).otherwise(F.concat("template", F.array(step)))
         found = found.withColumn("template", grown).drop("seg", "literal")
         found = stored(found, f"level{level}")
-    return found.drop("segs")
+        level += 1
+    rest = F.array_repeat(F.lit("*"), F.size("segs") - F.size("template"))
+    return found.withColumn("template", F.concat("template", rest)).drop("segs")
 
 
 def _alike() -> Column:
@@ -95,7 +99,9 @@ def merged(templates: DataFrame) -> DataFrame:
     """(host, template, merged): each template with the one it became part of.
     ``templates`` has (host, template, seen, good)."""
     found = templates.withColumn("merged", F.col("template"))
-    for level in reversed(range(LEVELS + 1)):
+    last = F.array_max(F.transform("template", lambda s, i: F.when(s != "*", i + 1).otherwise(0)))
+    depth = templates.agg(F.max(last)).first()[0] or 0  # beyond it all are wildcards already
+    for level in reversed(range(depth)):
         here = F.size("merged") > level
         star = F.concat(F.slice("merged", 1, level), F.array(F.lit("*")), F.slice("merged", level + 2, 1 << 30))
         branches = found.groupBy("host", "merged").agg(F.sum("seen").alias("seen"), F.sum("good").alias("good"))

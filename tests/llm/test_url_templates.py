@@ -57,3 +57,16 @@ def test_repeated_rows_and_empty_table(spark):
     twice = pages(spark, ["x://h/a", "x://h/a"], ids=[1, 1])
     assert len(urls.judged(twice, labels(spark, [(1, 1, 1)])).collect()) == 2
     assert urls.judged(twice.limit(0), labels(spark, [])).collect() == []
+
+
+def test_small_sections_of_large_hosts_and_deep_paths(spark):
+    rows = [f"x://h.org/s{a}/{i}" for a in range(100) for i in range(20)]
+    rows += [f"x://deep.org/a/b/c/d/{e}/{i}" for e in ("fine", "junk") for i in range(40)]
+    junk = [u.startswith("x://h.org/s7/") or "/junk/" in u for u in rows]
+    marks = [(i, 1, 0 if j else 1) for i, j in enumerate(junk)]
+    got = urls.judged(pages(spark, rows), labels(spark, marks)).collect()
+    assert [(r["page_id"], r["verdict"]) for r in sorted(got, key=lambda r: r["page_id"])] == [
+        (i, "block" if j else "allow") for i, j in enumerate(junk)
+    ]
+    templates = {r["template"] for r in got if r["verdict"] == "block"}
+    assert templates == {"/s7/*", "/a/b/c/d/junk/*"}
