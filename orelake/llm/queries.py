@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from orelake.llm import decontaminate, language, line_dedup, mixing, passages, pitman_yor, simhash, token_ids, url_templates, vafile
+from orelake.llm import decontaminate, language, line_dedup, merkle, mixing, passages, pitman_yor, simhash, token_ids, url_templates, vafile
 from orelake.llm.common import table
 from orelake.session import scratch_dir
 
@@ -64,6 +64,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.verified(table(spark, sf_dir, "documents", *merkle.FIELDS))
+
+
 def queries() -> dict[str, Query]:
     return {
         "op1_vafile": op1_vafile,
@@ -76,6 +80,7 @@ def queries() -> dict[str, Query]:
         "op8_passages": op8_passages,
         "op9_simhash": op9_simhash,
         "op10_decontaminate": op10_decontaminate,
+        "op13_merkle": op13_merkle,
     }
 
 
@@ -83,4 +88,5 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_vafile": vafile.ORACLE,
         "op2_url_templates": url_templates.ORACLE,
+        "op13_merkle": merkle.ORACLE,
     }
