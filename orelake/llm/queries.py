@@ -6,14 +6,19 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from orelake.llm import decontaminate, language, line_dedup, merkle, mixing, passages, pitman_yor, simhash, token_ids, url_templates, vafile
+from orelake.llm import (
+    conversations, decontaminate, language, line_dedup, merkle, mixing, passages, pitman_yor, sentence_pieces, simhash,
+    token_ids, url_templates, vafile,
+)
 from orelake.llm.common import table
 from orelake.session import scratch_dir
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def op1_vafile(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -64,6 +69,20 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
 
 
+def op11_sentence_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents", "doc_id", "text")
+    found = sentence_pieces.encoded(docs, public_tokenizers.path(PIECES))
+    ids = F.array_join(F.col("ids").cast("array<string>"), " ")
+    return found.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(ids, 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.audited(table(spark, sf_dir, "conversations", "conv_id", "turn", "role", "text"))
+
+
 def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return merkle.verified(table(spark, sf_dir, "documents", *merkle.FIELDS))
 
@@ -80,6 +99,8 @@ def queries() -> dict[str, Query]:
         "op8_passages": op8_passages,
         "op9_simhash": op9_simhash,
         "op10_decontaminate": op10_decontaminate,
+        "op11_sentence_pieces": op11_sentence_pieces,
+        "op12_conversations": op12_conversations,
         "op13_merkle": op13_merkle,
     }
 
@@ -88,5 +109,6 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_vafile": vafile.ORACLE,
         "op2_url_templates": url_templates.ORACLE,
+        "op12_conversations": conversations.ORACLE,
         "op13_merkle": merkle.ORACLE,
     }
