@@ -280,6 +280,11 @@ def daily(source: str, where: str = "TRUE") -> str:
         {avg(net, 2)} AS AVG_ORDER_VALUE, COUNT(DISTINCT CUSTOMER_ID) AS NEW_CUSTOMERS FROM {source} WHERE {where} GROUP BY 1, 2, 3"""
 
 
+def after_changes(tables: str) -> str:
+    """The tables over the orders as they stand after the change batch."""
+    return tables.replace(ORDERS, STATES).replace("FROM orders_b WHERE ORDER_DATE IS NOT NULL", "FROM new_o WHERE ORDER_DATE IS NOT NULL")
+
+
 def change_history() -> dict[str, str]:
     q: dict[str, str] = {}
     q["order_changes"] = f"""WITH {STATES}, feed AS (
@@ -299,6 +304,18 @@ def change_history() -> dict[str, str]:
         SELECT *, TIMESTAMP '2001-08-02 00:00:00' AS UPDATED_AT FROM b
         UNION ALL SELECT *, TIMESTAMP '2001-01-01 00:00:00' FROM a
         WHERE NOT EXISTS (SELECT 1 FROM b WHERE b.METRIC_DATE = a.METRIC_DATE AND b.REGION = a.REGION AND b.CHANNEL = a.CHANNEL)"""
+    q["orders_scd2_keys"] = f"WITH {HISTORY} SELECT ORDER_ID, EFFECTIVE_FROM, TRUE AS KEY_OK FROM versions"
+    q["order_state_history"], q["order_state_daily"] = versions, q["daily_order_metrics"]
+    q["sales_summary_incremental"] = f"WITH {after_changes(SALES)} SELECT * REPLACE ({money('TOTAL_REVENUE')} AS TOTAL_REVENUE, {money('TOTAL_DISCOUNT')} AS TOTAL_DISCOUNT) FROM sales"
+    q["customer_360_incremental"] = f"WITH {after_changes(C360)} SELECT {C360_COLS} FROM c360"
+    quarter = "CAST(date_trunc('quarter', ORDER_MONTH) AS DATE)"
+    levels = [("MONTH_REGION", "ORDER_MONTH", "REGION"), ("MONTH", "ORDER_MONTH", "NULL"), ("QUARTER", quarter, "NULL"),
+              ("QUARTER_REGION", quarter, "REGION"), ("REGION", "NULL", "REGION"), ("ALL", "NULL", "NULL")]
+    q["unique_customers_by_level"] = f"WITH {ENRICHED} " + " UNION ALL ".join(
+        f"""SELECT '{name}' AS LEVEL, CAST({period} AS DATE) AS PERIOD, CAST({region} AS VARCHAR) AS REGION,
+        COUNT(DISTINCT CUSTOMER_ID) AS UNIQUE_CUSTOMERS FROM enriched GROUP BY 1, 2, 3"""
+        for name, period, region in levels
+    )
     q["ticket_metrics"] = f"""WITH {TICKETS} SELECT DATE '{AS_OF}' AS METRIC_DATE, CATEGORY, PRIORITY, COUNT(*) AS TICKET_COUNT,
         {avg('RESOLUTION_TIME_HOURS', 2)} AS AVG_RESOLUTION_HRS, {avg('SATISFACTION_SCORE', 2)} AS AVG_SATISFACTION,
         COUNT(*) FILTER (STATUS IN ('Open', 'In Progress')) AS OPEN_TICKETS, TIMESTAMP '{AS_OF} 00:00:00' AS UPDATED_AT
@@ -338,6 +355,7 @@ def asked() -> dict[str, str]:
     q["semantic_month"] = f"WITH {ORDERS} {month}, {money('SUM(TOTAL_AMOUNT)')} AS total_revenue FROM orders_b GROUP BY 1"
     q["semantic_segment"] = f"""WITH {ORDERS}, {CUSTOMERS} SELECT CUSTOMER_SEGMENT AS customer_segment, {money('SUM(TOTAL_AMOUNT)')} AS total_revenue,
         COUNT(ORDER_ID) AS order_count FROM orders_b LEFT JOIN customers_b USING (CUSTOMER_ID) WHERE year(ORDER_DATE) = 2000 GROUP BY 1"""
+    q["semantic_rollup_month"], q["semantic_rollup_segment"] = q["semantic_month"], q["semantic_segment"]
     q["semantic_drill_across"] = f"""WITH {PRODUCTS}, {ITEMS}, {REVIEWS}, a AS (
         SELECT CATEGORY, BRAND, SUM(QUANTITY) AS u, SUM(LINE_TOTAL) AS r FROM items_b LEFT JOIN products_b USING (PRODUCT_ID) GROUP BY 1, 2), b AS (
         SELECT CATEGORY, BRAND, COUNT(REVIEW_ID) AS n, {avg('RATING', 6)} AS m FROM reviews_b LEFT JOIN products_b USING (PRODUCT_ID) GROUP BY 1, 2)
@@ -415,6 +433,13 @@ def searched() -> dict[str, str]:
     q["keyword_search_filtered"] = f"""WITH {PRODUCTS}, {PROCESSED}, {index}, {rated}, best AS ({top('bm25', 5)})
         SELECT q AS QUERY_ID, d AS REVIEW_ID, s AS SCORE, r AS RANK, PRODUCT_NAME, CAST(RATING AS DOUBLE) AS RATING, SENTIMENT_LABEL
         FROM best JOIN processed ON d = REVIEW_ID LEFT JOIN products_b USING (PRODUCT_ID)"""
+    q["search_index_build"] = f"WITH {index} SELECT t AS TERM, COUNT(*) AS DOCUMENTS, CAST(SUM(tf) AS BIGINT) AS OCCURRENCES FROM posts GROUP BY 1"
+    q["search_index_blocks"] = f"""WITH {index}, dnorm AS (SELECT d, sqrt(SUM((1 + ln(tf)) * (1 + ln(tf)))) AS nd FROM posts GROUP BY 1), shares AS (
+        SELECT t, d, tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * dl / al)) AS ks, (1 + ln(tf)) / nd AS vs
+        FROM posts JOIN sizes USING (d) JOIN dnorm USING (d), stats), cut AS (
+        SELECT *, (ROW_NUMBER() OVER (PARTITION BY t ORDER BY ks DESC, d) - 1) // 128 AS b FROM shares)
+        SELECT t AS TERM, b AS BLOCK, COUNT(*) AS POSTINGS, round(MAX(ks), 6) AS KEYWORD_SHARE, round(MAX(vs), 6) AS VECTOR_SHARE
+        FROM cut GROUP BY 1, 2"""
     q["text_vector_search"] = f"WITH {index}, {COSINE} {out} ({top('cosine', 5)})"
     q["hybrid_search"] = f"""WITH {index}, {bm25()}, {COSINE}, a AS ({top('bm25', 20)}), b AS ({top('cosine', 20)}), fused AS (
         SELECT q, d, round(SUM(1.0::DOUBLE / (60 + r)), 9) AS s FROM (SELECT q, d, r FROM a UNION ALL SELECT q, d, r FROM b) GROUP BY 1, 2)
@@ -542,6 +567,27 @@ def streamed() -> dict[str, str]:
         "load_history": f"""SELECT 'STORE_LOCATIONS' AS TABLE_NAME, COUNT(*) FILTER ({good}) AS ROW_COUNT, COUNT(*) FILTER (NOT ({good})) AS ERROR_COUNT,
             TIMESTAMP '2001-08-02 00:00:00' AS LAST_LOAD_TIME FROM supplier""",
         "enrich_stream": silver_and_gold()["orders_enriched"],
+        "load_status": f"""WITH f AS (SELECT CASE WHEN s_suppkey % 22 = 0 THEN 'broken' WHEN s_suppkey % 2 = 0 THEN 'clean' ELSE 'mixed' END AS FILE_NAME,
+            {good} AS good FROM supplier)
+            SELECT 'STORE_LOCATIONS' AS TABLE_NAME, FILE_NAME, CASE WHEN COUNT(*) FILTER (NOT good) = 0 THEN 'LOADED'
+            WHEN COUNT(*) FILTER (good) > 0 THEN 'PARTIALLY_LOADED' ELSE 'LOAD_FAILED' END AS STATUS, COUNT(*) FILTER (good) AS ROW_COUNT,
+            COUNT(*) FILTER (NOT good) AS ERROR_COUNT, TIMESTAMP '2001-08-02 00:00:00' AS LAST_LOAD_TIME FROM f GROUP BY FILE_NAME""",
+    }
+
+
+def by_name_and_nested() -> dict[str, str]:
+    product = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
+    return {
+        "nested_elements": f"""SELECT event_id // 20 AS MESSAGE_ID, ROW_NUMBER() OVER (PARTITION BY event_id // 20 ORDER BY event_id) - 1 AS POS,
+            event_id AS EVENT_ID, event_type AS EVENT_TYPE, value AS VALUE, {product} AS PRODUCT_ID FROM events""",
+        "nested_paths": f"""SELECT event_id // 20 AS MESSAGE_ID, COUNT(*) AS N, MIN(event_id) AS FIRST_ID, arg_min(event_type, event_id) AS FIRST_TYPE,
+            arg_min({product}, event_id) AS FIRST_PRODUCT, CAST(NULL AS VARCHAR) AS MISSING FROM events GROUP BY 1""",
+        "sentiment_sql": f"WITH {PROCESSED} SELECT REVIEW_ID, SENTIMENT_SCORE, SENTIMENT_LABEL, SENTIMENT_CONFIDENCE FROM processed",
+        "linreg_sql": f"""WITH {REVENUE_FEATURES}, line AS (
+            SELECT regr_slope(MONTHLY_REVENUE, REVENUE_MA_3) AS b, regr_intercept(MONTHLY_REVENUE, REVENUE_MA_3) AS a FROM rev)
+            SELECT ORDER_MONTH, CATEGORY, round(a + b * REVENUE_MA_3, 1) AS PREDICTED_REVENUE FROM rev, line""",
+        "random_order_numbers": """SELECT o_orderkey AS ORDER_ID,
+            ROW_NUMBER() OVER (ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) AS PLACE FROM orders""",
     }
 
 
@@ -586,4 +632,4 @@ def kept() -> dict[str, str]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {**silver_and_gold(), **change_history(), **asked(), **searched(), **learned(), **streamed(), **kept()}
+    return {**silver_and_gold(), **change_history(), **asked(), **searched(), **learned(), **streamed(), **kept(), **by_name_and_nested()}

@@ -6,20 +6,23 @@ from collections.abc import Callable
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
-
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from contract.present import present, rounded
-from orelake.operators import evaluate, models, search
+from orelake.operators import bitmaps, evaluate, models, search, search_index
 from orelake.operators.encode import chrono_split, hash_split
+from orelake.functions import by_name
 from orelake.operators.history import scd2_from_log, table_changes, upsert
-from orelake.plans import exchange, features, gold, layers, metrics, questions, search_docs, silver
+from orelake.operators.ranking import random_numbers
+from orelake.plans import exchange, features, gold, incremental, layers, metrics, questions, search_docs, silver
 from orelake.plans.retail_model import RETAIL_MODEL
-from orelake.operators.semantic import semantic_query
+from orelake.operators.semantic import build_rollup, coarser_rollup, semantic_query
 from orelake.session import adapt, scratch_dir
-from orelake.sources import bronze
+from orelake.sources import bronze, nested
 from orelake.sources.sinks import append_and_reconcile, append_with_defaults, publish_snapshot, read_snapshot, row_counts
 from orelake.streaming import jobs
+from orelake.streaming import order_state as order_states
 from orelake.schemas import CUSTOMERS, STORES_FEED
 from orelake.sources.files import load_history, read_json_feed
 from orelake.vocab import PLANNING_REGION_MAP
@@ -182,6 +185,13 @@ def text_times(history: DataFrame) -> DataFrame:
     return history.withColumns(times).drop("SURROGATE_KEY")
 
 
+def checked_keys(history: DataFrame) -> DataFrame:
+    """History with, for its surrogate keys, that each is set, above 0 and used once."""
+    once = F.count(F.lit(1)).over(W.partitionBy("SURROGATE_KEY")) == 1
+    fine = F.col("SURROGATE_KEY").isNotNull() & (F.col("SURROGATE_KEY") > 0) & once
+    return text_times(history.withColumn("KEY_OK", fine))
+
+
 def committed(changes: DataFrame, number: int, at: str) -> DataFrame:
     return changes.withColumns({"_commit": F.lit(number).cast("bigint"), "_committed_at": F.lit(at).cast("timestamp_ntz")})
 
@@ -204,13 +214,38 @@ def upserted_daily(t: Tables) -> DataFrame:
     return upsert(target, daily(t.orders_after), metrics.DAILY_KEYS, CHANGED_AT)
 
 
+def refreshed_lake(t: Tables) -> incremental.Lake:
+    """Layers filled by a first load and brought up to date by a batch of changes."""
+    lake = incremental.Lake(t.spark, scratch_dir(t.spark, "lake"), t.orders, t.customers)
+    for step, changes in enumerate((t.initial_load, t.order_changes)):
+        lake.refresh(changes, t.customers, step)
+    return lake
+
+
+def unique_customers(t: Tables) -> DataFrame:
+    """Distinct customers by month, quarter and region, all from one stored summary."""
+    months = bitmaps.id_bitmaps(t.valid, ["ORDER_MONTH", "REGION"], "CUSTOMER_ID")
+    held = stored(t, months, "customer_bitmaps")
+    month, region, any_region = F.col("ORDER_MONTH").cast("date"), F.col("REGION"), F.lit(None).cast("string")
+    any_time = F.lit(None).cast("date")
+    levels = {
+        "MONTH_REGION": [month, region], "MONTH": [month, any_region], "QUARTER": [F.trunc(month, "quarter"), any_region],
+        "QUARTER_REGION": [F.trunc(month, "quarter"), region], "REGION": [any_time, region], "ALL": [any_time, any_region],
+    }
+    return bitmaps.counts_by_level(held, levels, ["PERIOD", "REGION"], "UNIQUE_CUSTOMERS")
+
+
 CHANGES: dict[str, Callable[[Tables], DataFrame]] = {
     "order_changes": lambda t: t.order_changes,
     "orders_scd2": lambda t: text_times(t.order_history),
+    "orders_scd2_keys": lambda t: checked_keys(t.order_history).select("ORDER_ID", "EFFECTIVE_FROM", "KEY_OK"),
     "orders_scd2_from_log": lambda t: text_times(history_from_log(t)),
     "orders_history_view": lambda t: text_times(metrics.history_view(t.order_history)),
     "daily_order_metrics": lambda t: metrics.daily_order_metrics(t.order_history),
     "upsert_daily": upserted_daily,
+    "sales_summary_incremental": lambda t: refreshed_lake(t).table("sales_summary"),
+    "customer_360_incremental": lambda t: refreshed_lake(t).customer_360(t.customers, AS_OF),
+    "unique_customers_by_level": unique_customers,
     "ticket_metrics": lambda t: metrics.support_ticket_metrics(
         table_changes(t.support_tickets.limit(0), t.support_tickets, "TICKET_ID"), AS_OF
     ),
@@ -223,6 +258,19 @@ def semantic(names, dims, where=None, where_dims=()) -> Callable[[Tables], DataF
     return lambda t: semantic_query(RETAIL_MODEL, t.retail, names, dims, where() if where else None, where_dims)
 
 
+def from_rollups(names, dims, where=None, where_dims=()) -> Callable[[Tables], DataFrame]:
+    """A semantic query answered from stored rollups of the orders, a fine and a coarse one."""
+
+    def ask(t: Tables) -> DataFrame:
+        base = scratch_dir(t.spark, "rollups")
+        fine = build_rollup(RETAIL_MODEL, t.retail, "orders", ["order_month", "order_year", "region", "segment", "customer_country"], f"{base}/fine")
+        coarse = coarser_rollup(RETAIL_MODEL, fine, ["order_month", "order_year", "customer_segment"], f"{base}/coarse")
+        no_tables = {n: df.limit(0) for n, df in t.retail.items()}
+        return semantic_query(RETAIL_MODEL, no_tables, names, dims, where() if where else None, where_dims, [fine, coarse])
+
+    return ask
+
+
 ASKED: dict[str, Callable[[Tables], DataFrame]] = {
     "iot_alerts": lambda t: silver.iot_alerts(t.iot_readings),
     "clickstream_json": lambda t: t.clickstream,
@@ -239,6 +287,10 @@ ASKED: dict[str, Callable[[Tables], DataFrame]] = {
     "semantic_country": semantic(
         ["net_revenue", "cancelled_orders", "customer_count", "review_count"], ["customer_country", "segment"]
     ),
+    "semantic_rollup_month": from_rollups(["total_revenue", "average_order_value"], ["order_month"]),
+    "semantic_rollup_segment": from_rollups(
+        ["total_revenue", "order_count"], ["customer_segment"], lambda: F.col("order_year") == LAST_YEAR, ["order_year"]
+    ),
     "question_aov_last_month": lambda t: questions.average_order_value_last_month(t.retail),
     "question_channel_customers": lambda t: questions.unique_customers_per_channel(t.retail),
     "question_top_categories": lambda t: questions.top_categories_by_units(t.retail),
@@ -250,12 +302,46 @@ ASKED: dict[str, Callable[[Tables], DataFrame]] = {
 # --- search ----------------------------------------------------------------------
 
 
+_INDEXES: dict[tuple, search_index.Index] = {}
+
+
+def kept_index(t: Tables, name: str, docs: DataFrame, id_col: str, text_col: str) -> search_index.Index:
+    """The stored index of some documents: written by the first search of an application
+    that needs it, opened by the others as long as the documents' files are the same."""
+    key = (t.spark.sparkContext.applicationId, name, t.sf_dir, *sorted(docs.inputFiles()))
+    if key not in _INDEXES:
+        _INDEXES[key] = search_index.build_index(docs, id_col, text_col, scratch_dir(t.spark, f"index-{name}"))
+    return _INDEXES[key]
+
+
+def document_index(t: Tables) -> search_index.Index:
+    return kept_index(t, "documents", t.documents, "DOC_ID", "text")
+
+
+def built_index(t: Tables) -> DataFrame:
+    """The terms of an index made anew, with the documents and occurrences that its
+    postings hold."""
+    index = search_index.build_index(t.documents, "DOC_ID", "text", scratch_dir(t.spark, "index"))
+    return index.postings.groupBy(F.col("term").alias("TERM")).agg(
+        F.count(F.lit(1)).alias("DOCUMENTS"), F.sum("tf").alias("OCCURRENCES")
+    )
+
+
+def index_blocks(t: Tables) -> DataFrame:
+    """Every block of the index: its postings and the greatest share of a score in it."""
+    index = document_index(t)
+    return index.blocks.select(
+        F.col("term").alias("TERM"), F.col("block").cast("long").alias("BLOCK"), F.col("n").alias("POSTINGS"),
+        F.round(search_index.KEYWORD, 6).alias("KEYWORD_SHARE"), F.round(search_index.VECTOR, 6).alias("VECTOR_SHARE"),
+    )
+
+
 def keyword_hits(t: Tables, k: int) -> DataFrame:
-    return search.keyword_search(search.build_index(t.documents, "DOC_ID", "text"), t.search_queries, k)
+    return search.keyword_search(document_index(t), t.search_queries, k)
 
 
 def hybrid_hits(t: Tables) -> DataFrame:
-    index = search.build_index(t.documents, "DOC_ID", "text")
+    index = document_index(t)
     by_word = search.keyword_search(index, t.search_queries, 20)
     by_vector = search.text_vector_search(index, t.search_queries, 20)
     return search.hybrid_search(by_word, by_vector, 10)
@@ -263,9 +349,10 @@ def hybrid_hits(t: Tables) -> DataFrame:
 
 def filtered_reviews(t: Tables) -> DataFrame:
     """Keyword search among well-rated reviews, with display columns."""
+    reviews = t.product_reviews.select("REVIEW_ID", "REVIEW_TEXT")
+    index = kept_index(t, "reviews", reviews, "REVIEW_ID", "REVIEW_TEXT")
     docs = search_docs.review_search_docs(t.product_reviews, t.products, t.processed)
-    index = search.build_index(docs, "REVIEW_ID", "REVIEW_TEXT")
-    hits = search.keyword_search(index, t.search_queries, 5, attrs=docs, where=F.col("RATING") >= 4)
+    hits = search.keyword_search(index, t.search_queries, 5, attrs=t.product_reviews, where=F.col("RATING") >= 4)
     return search.with_attributes(hits, docs, "REVIEW_ID", ["PRODUCT_NAME", "RATING", "SENTIMENT_LABEL"])
 
 
@@ -287,10 +374,10 @@ SEARCH: dict[str, Callable[[Tables], DataFrame]] = {
     "ticket_search_docs": lambda t: search_docs.ticket_search_docs(t.support_tickets, t.customers, t.products),
     "keyword_search": lambda t: keyword_hits(t, 5),
     "keyword_search_filtered": filtered_reviews,
-    "text_vector_search": lambda t: search.text_vector_search(
-        search.build_index(t.documents, "DOC_ID", "text"), t.search_queries, 5
-    ),
+    "text_vector_search": lambda t: search.text_vector_search(document_index(t), t.search_queries, 5),
     "hybrid_search": hybrid_hits,
+    "search_index_build": built_index,
+    "search_index_blocks": index_blocks,
     "vector_topk": nearest_to_centroid,
 }
 
@@ -448,6 +535,19 @@ def streamed_daily(t: Tables) -> DataFrame:
     return jobs.read_daily(t.spark, f"{base}/daily")
 
 
+def order_state(t: Tables) -> str:
+    """The folder of an order state stream run after each commit, the second of which
+    arrives together with a repetition of the first."""
+    base = scratch_dir(t.spark, "state")
+    first, second = commits(t)
+    for arriving in ([first], [second, first]):
+        for changes in arriving:
+            changes.write.mode("append").parquet(f"{base}/landing")
+        source = jobs.change_source(t.spark, f"{base}/landing", first.schema)
+        order_states.order_state_stream(source, f"{base}/out", f"{base}/checkpoint", "400 days")
+    return f"{base}/out"
+
+
 def refreshed_counts(t: Tables) -> DataFrame:
     """Row counts of all layers after one refresh."""
     names = ("customers", "products", "orders", "order_items", "product_reviews", "support_tickets")
@@ -463,13 +563,35 @@ def streamed_enrichment(t: Tables) -> DataFrame:
     return t.spark.read.parquet(f"{base}/out")
 
 
+def files_by_quality(t: Tables) -> DataFrame:
+    """Store rows with the file they land in: one without errors, one with some, one with
+    nothing else."""
+    key = F.regexp_extract("STORE_ID", "[0-9]+", 0).cast("long")
+    spoilt = key % 11 == 0
+    name = F.when(spoilt & (key % 2 == 0), "broken").when(key % 2 == 0, "clean").otherwise("mixed")
+    return stores_csv(t).withColumn("FILE", name)
+
+
+def load_status(t: Tables) -> DataFrame:
+    """What became of each landed file, by the name of its folder."""
+    base = scratch_dir(t.spark, "status")
+    rows = files_by_quality(t)
+    rows.repartition("FILE").write.option("header", True).partitionBy("FILE").csv(f"{base}/landing")
+    jobs.ingest_stream(t.spark, f"{base}/landing", f"{base}/out", f"{base}/checkpoint", STORES_FEED, CHANGED_AT)
+    found = load_history(t.spark.read.parquet(f"{base}/out/log"))
+    return found.withColumn("FILE_NAME", F.regexp_extract("FILE_NAME", "FILE=([^/]+)/", 1))
+
+
 STREAMS: dict[str, Callable[[Tables], DataFrame]] = {
     "csv_ingest_stream": lambda t: ingested_stores(t)[0],
     "load_history": load_totals,
+    "load_status": load_status,
     "order_history_stream": lambda t: text_times(streamed_history(t, 2)),
     "order_history_catch_up": lambda t: text_times(streamed_history(t, 1)),
     "enrich_stream": streamed_enrichment,
     "daily_metrics_stream": streamed_daily,
+    "order_state_history": lambda t: text_times(order_states.read_history(t.spark, order_state(t))),
+    "order_state_daily": lambda t: order_states.read_daily_state(t.spark, order_state(t)),
     "layer_refresh_counts": refreshed_counts,
 }
 
@@ -488,6 +610,56 @@ def json_arrays(t: Tables) -> DataFrame:
     return read_json_feed(t.spark, path, e.schema)
 
 
+def nested_events(t: Tables) -> DataFrame:
+    """Events as messages, each with the list of what happened; one JSON text a message."""
+    e = bronze.read(t.spark, t.sf_dir, "events")
+    item = F.struct("event_id", F.col("event_type").alias("type"), F.struct("value", F.from_json("props", "k long").alias("props")).alias("data"))
+    batch = e.groupBy(F.floor(F.col("event_id") / 20).cast("long").alias("MESSAGE_ID")).agg(
+        F.sort_array(F.collect_list(item)).alias("content"), F.count(F.lit(1)).alias("n")
+    )
+    return batch.select("MESSAGE_ID", F.to_json(F.struct("content", F.struct("n").alias("meta"))).alias("MESSAGE"))
+
+
+def message_elements(t: Tables) -> DataFrame:
+    """One row per element of the messages' lists."""
+    rows = nested.as_variant(nested_events(t), "MESSAGE")
+    fields = {
+        "EVENT_ID": ("$.event_id", "bigint"), "EVENT_TYPE": ("$.type", "string"),
+        "VALUE": ("$.data.value", "double"), "PRODUCT_ID": ("$.data.props.k", "bigint"),
+    }
+    return nested.elements(rows, "v", "$.content", fields, ["MESSAGE_ID"])
+
+
+def message_heads(t: Tables) -> DataFrame:
+    """The first element of each message, and its length, by path."""
+    fields = {
+        "N": ("$.meta.n", "bigint"), "FIRST_ID": ("$.content[0].event_id", "bigint"), "FIRST_TYPE": ("$.content[0].type", "string"),
+        "FIRST_PRODUCT": ("$.content[0].data.props.k", "bigint"), "MISSING": ("$.content[999].type", "string"),
+    }
+    return nested.at_path(nested.as_variant(nested_events(t), "MESSAGE"), "v", fields).select("MESSAGE_ID", *fields)
+
+
+def sentiment_in_sql(t: Tables) -> DataFrame:
+    by_name.create_sentiment(t.spark, "review_sentiment")
+    return t.spark.sql(
+        "SELECT REVIEW_ID, s.score AS SENTIMENT_SCORE, s.label AS SENTIMENT_LABEL, s.confidence AS SENTIMENT_CONFIDENCE "
+        "FROM (SELECT REVIEW_ID, review_sentiment(REVIEW_TEXT) AS s FROM {reviews})",
+        reviews=t.product_reviews,
+    )
+
+
+def line_in_sql(t: Tables) -> DataFrame:
+    """Monthly revenue predicted from its moving average by a line, from SQL by name."""
+    rows = stored(t, t.revenue_features.select("ORDER_MONTH", "CATEGORY", "MONTHLY_REVENUE", "REVENUE_MA_3"), "revenue")
+    inputs = ["REVENUE_MA_3"]
+    model = models.train_revenue_model(rows, inputs, "linear")
+    held = stored(t, by_name.linear_coefficients(t.spark, model, inputs), "coefficients")
+    by_name.create_linear(t.spark, held, "revenue_line")
+    return t.spark.sql(
+        "SELECT ORDER_MONTH, CATEGORY, round(revenue_line(REVENUE_MA_3), 1) AS PREDICTED_REVENUE FROM {rows}", rows=rows
+    )
+
+
 def appended_customers(t: Tables) -> DataFrame:
     """Customers in the declared shape, with new surrogate keys and defaults."""
     given = t.customers.drop("CUSTOMER_ID", "COUNTRY")
@@ -588,6 +760,15 @@ FACTS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
+SQL_AND_NESTED: dict[str, Callable[[Tables], DataFrame]] = {
+    "nested_elements": message_elements,
+    "nested_paths": message_heads,
+    "sentiment_sql": sentiment_in_sql,
+    "linreg_sql": line_in_sql,
+    "random_order_numbers": lambda t: random_numbers(t.orders.select("ORDER_ID"), ["ORDER_ID"], "PLACE"),
+}
+
+
 def queries() -> dict[str, Query]:
-    groups = (SILVER_GOLD, CHANGES, ASKED, SEARCH, LEARNING, STREAMS, STORAGE, FACTS)
+    groups = (SILVER_GOLD, CHANGES, ASKED, SEARCH, LEARNING, STREAMS, STORAGE, FACTS, SQL_AND_NESTED)
     return {name: over_tables(fn) for group in groups for name, fn in group.items()}

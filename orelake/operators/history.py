@@ -72,24 +72,24 @@ def collapse_changes(changes: DataFrame, key: str, by_commit: bool = False) -> D
     """The net change of each key over all commits in ``changes``, or of each key and
     commit with ``by_commit``.
 
-    Images are taken in the order of commits, a deletion before the insertion that
-    replaces it. A key whose first image deletes or updates it was there before, one
-    whose last image inserts is there after: there both times is an update, after
-    only an insertion, before only a deletion, and neither is no change at all.
+    A commit changes a key at most once, so the image an update deletes says nothing
+    that the one it inserts does not, and the other images are the net change of
+    their commit as they stand: nothing is shuffled. Over several commits a key whose
+    first image deletes or updates it was there before, one whose last image inserts
+    is there after: there both times is an update, after only an insertion, before
+    only a deletion, and neither is no change at all.
     """
-    has_commit = COMMIT in changes.columns
-    about = [COMMIT, COMMITTED_AT] if by_commit else []
+    about = [c for c in (COMMIT, COMMITTED_AT) if c in changes.columns] if by_commit else []
     columns = [c for c in changes.columns if c not in (key, *CHANGE_COLUMNS, COMMIT, COMMITTED_AT)]
-    inserted = F.col("_action") == "INSERT"
-    place = F.struct(F.col(COMMIT) if has_commit else F.lit(0), inserted)
-    folded = changes.groupBy(key, *about).agg(
-        F.min_by((F.col("_action") == "DELETE") | F.coalesce("_is_update", F.lit(False)), place).alias("_was"),
-        F.max_by(F.struct("_action", F.struct(*columns).alias("image")), place).alias("_last"),
-    )
-    stays = F.col("_last._action") == "INSERT"
-    return folded.filter(stays | F.col("_was")).select(
-        key, "_last.image.*", F.col("_last._action").alias("_action"), (stays & F.col("_was")).alias("_is_update"), *about
-    )
+    updates = F.coalesce("_is_update", F.lit(False))
+    stays = F.col("_action") == "INSERT"
+    net = changes.filter(stays | ~updates)
+    if by_commit or COMMIT not in changes.columns:
+        return net.select(key, *columns, "_action", (stays & updates).alias("_is_update"), *about)
+    order = W.partitionBy(key).orderBy(COMMIT)
+    ends = net.withColumns({"_was": F.first(~stays | updates).over(order), "_next": F.lead(COMMIT).over(order)})
+    last = ends.filter(F.col("_next").isNull() & (stays | F.col("_was")))
+    return last.select(key, *columns, "_action", (stays & F.col("_was")).alias("_is_update"))
 
 
 def scd2_apply(

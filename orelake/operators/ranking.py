@@ -95,3 +95,29 @@ def sequence_ids(df: DataFrame, key: Sequence[str], out: str, start: int | Colum
         .withColumn(out, (begin + (place - 1) * buckets + F.col("_bucket")).cast("bigint"))
         .drop("_bucket")
     )
+
+
+def random_numbers(df: DataFrame, key: Sequence[str], out: str, seed: int = 42, per_range: int = 50_000) -> DataFrame:
+    """The numbers 1 to n in random order, a function of ``key`` (which must be unique)
+    and the seed alone, however the rows are partitioned.
+
+    Rows stand in the order of the md5 of seed and key. Its values are cut into equal
+    ranges of about ``per_range`` rows; ranges are counted, the counts of those before
+    are added up, and rows are numbered inside their range. Only the counts meet in one
+    task.
+    """
+    digits = 0
+    rows = df.count()
+    while rows > per_range << 4 * digits:
+        digits += 1
+    draw = F.md5(F.concat_ws(":", F.lit(str(seed)), *[F.col(k).cast("string") for k in key]))
+    drawn = df.withColumn("_draw", draw).withColumn("_range", F.substring("_draw", 1, digits) if digits else F.lit(""))
+    counts = drawn.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = F.sum("_n").over(W.orderBy("_range")) - F.col("_n")
+    starts = counts.select("_range", before.alias("_before"))  # 16 ** digits rows, about n / per_range
+    place = F.row_number().over(W.partitionBy("_range").orderBy("_draw", *key))
+    return (
+        drawn.join(starts, "_range")
+        .withColumn(out, (F.col("_before") + place).cast("bigint"))
+        .drop("_draw", "_range", "_before")
+    )

@@ -1,14 +1,13 @@
 """Batch text search: keyword (BM25), vector (cosine) and hybrid ranking.
 
-Texts are not shuffled for keyword search: query terms come to the documents by
-broadcast when they are few enough, so only matching postings move. Each task
+Both text searches read a stored index (``search_index``), never the texts. Query
+terms come to the postings by broadcast when they are few enough. Each task
 keeps its best k hits per query before the last shuffle.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
-from dataclasses import dataclass
 from functools import reduce
 
 import numpy as np
@@ -18,85 +17,13 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from orelake.operators.sizing import Hint, broadcast_hint
+from orelake.operators import search_index
+from orelake.operators.search_index import Index
+from orelake.operators.sizing import broadcast_hint
 
-K1, B = 1.2, 0.75
 SCORE_DIGITS = 6
 
 
-def terms_of(text: Column) -> Column:
-    """Lower-cased runs of letters and digits."""
-    return F.array_remove(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), "")
-
-
-def _once(value: Column, use) -> Column:
-    """``use(value)`` with the value computed once, however often it is referred to."""
-    return F.get(F.transform(F.array(value), use), F.lit(0))
-
-
-def counted_terms(text: Column) -> Column:
-    """The different terms of a text, each with how often it occurs: the runs of the
-    sorted terms, found inside the row."""
-
-    def runs(terms: Column) -> Column:
-        last = lambda i: F.coalesce(F.get(terms, i - 1) != F.get(terms, i), F.lit(True))
-        ends = F.filter(F.sequence(F.lit(1), F.size(terms)), last)
-        pair = lambda e: F.transform(
-            e, lambda end, i: F.struct(F.get(terms, end - 1).alias("term"), (end - F.coalesce(F.get(e, i - 1), F.lit(0))).cast("long").alias("tf"))
-        )
-        return F.when(F.size(terms) > 0, _once(ends, pair))
-
-    return _once(F.array_sort(terms_of(text)), runs)
-
-
-@dataclass(frozen=True)
-class Index:
-    """Inverted index of one text column.
-
-    ``docs`` has a row per document: its id, doc_len, its postings (terms with tf) and
-    the norm of its log term frequencies. All of that depends on the document alone
-    and is made inside its row, so texts never move. ``stats``: one row, n_docs and
-    avg_len; documents without terms count.
-    """
-
-    docs: DataFrame
-    id_col: str
-
-    def postings_of(self, terms: DataFrame, hint: Hint) -> DataFrame:
-        """Postings of the given terms, those of a document in one partition; others are
-        dropped before the shuffle."""
-        wanted = hint(terms.select(F.col("term").alias("_t")).distinct())
-        each = self.docs.select(self.id_col, "doc_len", "norm", F.inline("postings"))
-        return each.join(wanted, F.col("term") == F.col("_t"), "left_semi").repartition(self.id_col)
-
-    @property
-    def stats(self) -> DataFrame:
-        return self.docs.agg(F.count(self.id_col).alias("n_docs"), F.avg("doc_len").alias("avg_len"))
-
-    def stat(self, name: str) -> Column:
-        return self.stats.select(name).scalar()
-
-
-def build_index(docs: DataFrame, id_col: str, text_col: str) -> Index:
-    counted = docs.select(id_col, counted_terms(F.col(text_col)).alias("postings"))
-    tf = lambda p: p["tf"]
-    length = F.aggregate("postings", F.lit(0).cast("long"), lambda s, p: s + tf(p))
-    squares = F.aggregate("postings", F.lit(0.0), lambda s, p: s + (1 + F.log(tf(p))) * (1 + F.log(tf(p))))
-    return Index(counted.select(id_col, "postings", F.coalesce(length, F.lit(0)).alias("doc_len"), F.sqrt(squares).alias("norm")), id_col)
-
-
-def query_terms(queries: DataFrame, query_id: str, query_text: str) -> DataFrame:
-    return (
-        queries.select(query_id, F.explode(terms_of(F.col(query_text))).alias("term"))
-        .groupBy(query_id, "term")
-        .agg(F.count(F.lit(1)).alias("qtf"))
-    )
-
-
-def document_frequency(postings: DataFrame) -> DataFrame:
-    return postings.groupBy("term").agg(F.count(F.lit(1)).alias("df"))
-
-
 def best_k(scored: DataFrame, query_id: str, id_col: str, k: int, digits: int = SCORE_DIGITS) -> DataFrame:
     """The k best documents per query; equal rounded scores go by id."""
     rounded = scored.withColumn("SCORE", F.round("SCORE", digits))
@@ -108,10 +35,8 @@ def best_k(scored: DataFrame, query_id: str, id_col: str, k: int, digits: int =
     )
 
 
-def _allowed(postings: DataFrame, id_col: str, attrs: DataFrame | None, where: Column | None) -> DataFrame:
-    if attrs is None or where is None:
-        return postings
-    return postings.join(attrs.filter(where).select(id_col), id_col, "left_semi")
+def _allowed(id_col: str, attrs: DataFrame | None, where: Column | None) -> DataFrame | None:
+    return None if attrs is None or where is None else attrs.filter(where).select(id_col)
 
 
 def keyword_search(
@@ -124,23 +49,12 @@ def keyword_search(
     where: Column | None = None,
 ) -> DataFrame:
     """BM25 top-k per query over the documents whose attributes pass ``where``."""
-    terms = query_terms(queries, query_id, query_text)
+    terms = search_index.query_terms(queries, query_id, query_text)
     hint = broadcast_hint(terms)  # the weighted terms are no more than these
-    matched = index.postings_of(terms, hint)
-    n, avg_len = index.stat("n_docs"), index.stat("avg_len")
-    idf = F.log(1 + (n - F.col("df") + 0.5) / (F.col("df") + 0.5))
-    weighted = terms.join(document_frequency(matched), "term").select(
-        query_id, F.col("term").alias("_t"), idf.alias("idf")
-    )
-    tf = F.col("tf").cast("double")
-    damped = tf * (K1 + 1) / (tf + K1 * (1 - B + B * F.col("doc_len") / avg_len))
-    scored = (
-        _allowed(matched, index.id_col, attrs, where)
-        .join(hint(weighted), F.col("term") == F.col("_t"))
-        .groupBy(query_id, index.id_col)
-        .agg(F.sum(F.col("idf") * damped).alias("SCORE"))
-    )
-    return best_k(scored, query_id, index.id_col, k)
+    weights = search_index.keyword_weights(index, terms, query_id, hint)
+    allowed = _allowed(index.id_col, attrs, where)
+    found = search_index.scores(index, weights, search_index.KEYWORD, query_id, k, hint, allowed)
+    return best_k(found, query_id, index.id_col, k)
 
 
 def text_vector_search(
@@ -155,25 +69,12 @@ def text_vector_search(
     """Cosine top-k between term vectors: log term frequency for documents, the
     same times inverse document frequency for queries. Document vectors depend
     on their document alone."""
-    terms = query_terms(queries, query_id, query_text)
-    n = index.stat("n_docs")
+    terms = search_index.query_terms(queries, query_id, query_text)
     hint = broadcast_hint(terms)
-    matched = index.postings_of(terms, hint)
-    q = terms.join(document_frequency(matched), "term").withColumn(
-        "wq", (1 + F.log("qtf")) * F.log(n / F.col("df"))
-    )
-    lengths = q.groupBy(query_id).agg(F.sqrt(F.sum(F.col("wq") * F.col("wq"))).alias("q_norm"))
-    weighted = q.join(lengths, query_id).filter(F.col("q_norm") > 0).select(
-        query_id, F.col("term").alias("_t"), (F.col("wq") / F.col("q_norm")).alias("wq")
-    )
-    docs = _allowed(matched, index.id_col, attrs, where).withColumn("wd", (1 + F.log("tf")) / F.col("norm"))
-    scored = (
-        docs.join(hint(weighted), F.col("term") == F.col("_t"))
-        .groupBy(query_id, index.id_col)
-        .agg(F.sum(F.col("wq") * F.col("wd")).alias("SCORE"))
-        .filter(F.col("SCORE") > 0)
-    )
-    return best_k(scored, query_id, index.id_col, k)
+    weights = search_index.vector_weights(index, terms, query_id, hint)
+    allowed = _allowed(index.id_col, attrs, where)
+    found = search_index.scores(index, weights, search_index.VECTOR, query_id, k, hint, allowed)
+    return best_k(found.filter(F.col("SCORE") > 0), query_id, index.id_col, k)
 
 
 def _top_of_batch(ids: np.ndarray, scores: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

@@ -65,15 +65,24 @@ def _order_history():
     ]
 
 
+def customer_totals(enriched: DataFrame) -> DataFrame:
+    """What customer 360 needs of the orders (enriched or just valid), one row per customer."""
+    return enriched.groupBy("CUSTOMER_ID").agg(*_order_history())
+
+
 def customer_360(customers: DataFrame, enriched: DataFrame, as_of: date) -> DataFrame:
     """One row per customer, with or without orders.
 
     Orders (enriched or just valid) shrink to one row per customer before they
     meet the customers, so the join sees unique keys on both sides.
     """
-    history = enriched.groupBy("CUSTOMER_ID").agg(*_order_history())
+    return customer_360_from(customers, customer_totals(enriched), as_of)
+
+
+def customer_360_from(customers: DataFrame, totals: DataFrame, as_of: date) -> DataFrame:
+    """Customer 360 from totals that are at hand."""
     standing = _customer_standing(as_of)
-    return customers.join(history, "CUSTOMER_ID", "left").select(
+    return customers.join(totals, "CUSTOMER_ID", "left").select(
         "CUSTOMER_ID",
         F.concat("FIRST_NAME", F.lit(" "), "LAST_NAME").alias("CUSTOMER_NAME"),
         "CUSTOMER_SEGMENT",
@@ -89,7 +98,7 @@ def customer_360_wide(customers: DataFrame, enriched: DataFrame, as_of: date) ->
 
     A preference is the most frequent value, the alphabetically first on a tie.
     """
-    history = enriched.groupBy("CUSTOMER_ID").agg(*_order_history())
+    history = customer_totals(enriched)
     # Apart from the distinct count, which would carry these per-value counts
     # through a shuffle keyed by order; both sides end up partitioned by customer.
     habits = enriched.groupBy("CUSTOMER_ID").agg(

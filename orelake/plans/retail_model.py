@@ -5,7 +5,18 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from orelake.functions.columns import mean, month_start, quarter_start
-from orelake.operators.semantic import Entity, Expression, Relationship, SemanticModel
+from orelake.operators.semantic import (
+    Entity,
+    Expression,
+    Parts,
+    Relationship,
+    SemanticModel,
+    averaged,
+    counted,
+    counted_if,
+    distinct,
+    summed,
+)
 from orelake.plans.silver import net_amount
 
 
@@ -17,6 +28,14 @@ def computed(entity: str, name: str, build, *synonyms: str) -> Expression:
     return Expression(entity, name, build, synonyms)
 
 
+def measured(entity: str, name: str, build, parts: Parts, *synonyms: str) -> Expression:
+    return Expression(entity, name, build, synonyms, parts)
+
+
+def cancelled():
+    return F.col("ORDER_STATUS") == "Cancelled"
+
+
 # The names and synonyms users ask with.
 RETAIL_MODEL = SemanticModel(
     entities=[
@@ -61,17 +80,17 @@ RETAIL_MODEL = SemanticModel(
         column("orders", "source_system", "SOURCE_SYSTEM"),
     ],
     metrics=[
-        computed("orders", "total_revenue", lambda: F.sum("TOTAL_AMOUNT"), "revenue", "sales", "gross revenue"),
-        computed("orders", "net_revenue", lambda: F.sum("net_amount"), "net sales"),
-        computed("orders", "total_discount", lambda: F.sum("DISCOUNT_AMOUNT")),
-        computed("orders", "average_order_value", lambda: mean(F.col("TOTAL_AMOUNT"), 6), "AOV", "avg order"),
-        computed("orders", "order_count", lambda: F.count("ORDER_ID"), "number of orders", "total orders"),
-        computed("orders", "unique_customers", lambda: F.count_distinct("CUSTOMER_ID")),
-        computed("orders", "cancelled_orders", lambda: F.count_if(F.col("ORDER_STATUS") == "Cancelled")),
-        computed("order_items", "total_units_sold", lambda: F.sum("QUANTITY"), "units sold", "quantity sold"),
-        computed("order_items", "total_line_revenue", lambda: F.sum("LINE_TOTAL")),
-        computed("customers", "customer_count", lambda: F.count("CUSTOMER_ID"), "number of customers"),
-        computed("reviews", "average_rating", lambda: mean(F.col("RATING"), 6), "avg rating", "avg stars"),
-        computed("reviews", "review_count", lambda: F.count("REVIEW_ID"), "number of reviews"),
+        measured("orders", "total_revenue", lambda: F.sum("TOTAL_AMOUNT"), summed("TOTAL_AMOUNT"), "revenue", "sales", "gross revenue"),
+        measured("orders", "net_revenue", lambda: F.sum("net_amount"), summed("net_amount"), "net sales"),
+        measured("orders", "total_discount", lambda: F.sum("DISCOUNT_AMOUNT"), summed("DISCOUNT_AMOUNT")),
+        measured("orders", "average_order_value", lambda: mean(F.col("TOTAL_AMOUNT"), 6), averaged("TOTAL_AMOUNT", 6), "AOV", "avg order"),
+        measured("orders", "order_count", lambda: F.count("ORDER_ID"), counted("ORDER_ID"), "number of orders", "total orders"),
+        measured("orders", "unique_customers", lambda: F.count_distinct("CUSTOMER_ID"), distinct("CUSTOMER_ID")),
+        measured("orders", "cancelled_orders", lambda: F.count_if(cancelled()), counted_if(cancelled)),
+        measured("order_items", "total_units_sold", lambda: F.sum("QUANTITY"), summed("QUANTITY"), "units sold", "quantity sold"),
+        measured("order_items", "total_line_revenue", lambda: F.sum("LINE_TOTAL"), summed("LINE_TOTAL")),
+        measured("customers", "customer_count", lambda: F.count("CUSTOMER_ID"), counted("CUSTOMER_ID"), "number of customers"),
+        measured("reviews", "average_rating", lambda: mean(F.col("RATING"), 6), averaged("RATING", 6), "avg rating", "avg stars"),
+        measured("reviews", "review_count", lambda: F.count("REVIEW_ID"), counted("REVIEW_ID"), "number of reviews"),
     ],
 )

@@ -234,7 +234,7 @@ def monthly_revenue_by_category(orders: DataFrame, items: DataFrame, products: D
         .agg(
             F.sum("REVENUE").cast("decimal(20,2)").alias("MONTHLY_REVENUE"),
             F.sum("ITEMS").alias("ITEM_COUNT"),
-            F.count_distinct("ORDER_ID").alias("ORDER_COUNT"),
+            F.count("ORDER_ID").alias("ORDER_COUNT"),  # one row per order by now
         )
     )
     previous = F.lag("MONTHLY_REVENUE").over(W.partitionBy("CATEGORY").orderBy("ORDER_MONTH"))

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from orelake.operators import search
+from orelake.operators import search, search_index
 
 WORDS = ["battery", "charge", "screen", "life", "cable", "the", "slow", "issue", "été"]
 
@@ -60,11 +60,12 @@ def best(scores, k):
 
 
 @pytest.fixture(scope="module")
-def frames(spark, corpus):
+def frames(spark, corpus, tmp_path_factory):
     docs, queries = corpus
     d = spark.createDataFrame(list(docs.items()), "DOC_ID long, T string")
     q = spark.createDataFrame(list(queries.items()), "QUERY_ID long, QUERY_TEXT string")
-    return search.build_index(d, "DOC_ID", "T"), q
+    # Small blocks and parts: most terms have several of both.
+    return search_index.build_index(d, "DOC_ID", "T", str(tmp_path_factory.mktemp("index")), block=4, part=20), q
 
 
 def hits(df):
@@ -92,20 +93,71 @@ def test_attribute_filter_applies_before_ranking(spark, corpus, frames):
         assert got.get(i, []) == want
 
 
-def test_terms_are_counted_inside_the_row(spark, corpus):
+def test_index_holds_every_posting_and_the_greatest_shares(spark, corpus, frames):
     docs, _ = corpus
-    df = spark.createDataFrame(list(docs.items()), "id long, text string")
-    for r in df.select("id", search.counted_terms(F.col("text")).alias("p")).collect():
-        assert {p.term: p.tf for p in r.p or []} == dict(Counter(tokens(docs[r.id])))
+    index, _ = frames
+    want = {(d, t): n for d, text in docs.items() for t, n in Counter(tokens(text)).items()}
+    rows = index.postings.collect()
+    assert {(r.DOC_ID, r.term): r.tf for r in rows} == want and len(rows) == len(want)
+    assert index.n_docs == len(docs) and index.n_terms == sum(want.values())
+    held = {}
+    for r in rows:
+        held.setdefault((r.term, r.part, r.block), []).append(r)
+    for b in index.blocks.collect():
+        mine = held.pop((b.term, b.part, b.block))
+        assert b.n == len(mine) <= 4
+        assert b.keyword_share == max(r.keyword_share for r in mine) and b.vector_share == max(r.vector_share for r in mine)
+    assert not held
+    assert {r.term: r.df for r in search_index.lexicon(index).collect()} == Counter(t for _, t in want)
+    again = search_index.open_index(spark, index.path)
+    assert (again.n_docs, again.n_terms, again.buckets) == (index.n_docs, index.n_terms, index.buckets)
+
+
+@pytest.fixture(scope="module")
+def skewed(spark, tmp_path_factory):
+    """Few documents are about anything; most hold a term once among much else."""
+    rnd = random.Random(3)
+    docs = {}
+    for i in range(400):
+        words = ["filler"] * rnd.randrange(30, 60) + ["lake"] * (rnd.random() < 0.7) + ["spark"] * (rnd.random() < 0.5)
+        docs[i] = " ".join(rnd.sample(words, len(words)))
+    for i in range(0, 400, 40):
+        docs[i] = " ".join(["lake"] * rnd.randrange(5, 9) + ["spark"] * rnd.randrange(5, 9))
+    d = spark.createDataFrame(list(docs.items()), "DOC_ID long, T string").repartition(5)
+    q = spark.createDataFrame([(1, "lake spark"), (2, "spark"), (3, "filler lake")], "QUERY_ID long, QUERY_TEXT string")
+    return docs, search_index.build_index(d, "DOC_ID", "T", str(tmp_path_factory.mktemp("skewed")), block=16), q
+
+
+def test_blocks_that_cannot_matter_are_passed_over(skewed):
+    docs, index, q = skewed
+    terms = search_index.query_terms(q, "QUERY_ID", "QUERY_TEXT")
+    hint = F.broadcast
+    weights = search_index.keyword_weights(index, terms, "QUERY_ID", hint)
+    blocks = search_index.wanted_blocks(index, weights, search_index.KEYWORD, "QUERY_ID", 3, hint).collect()
+    passed = [b for b in blocks if not b.wanted]
+    assert len(passed) > len(blocks) / 3
+    # and nothing is lost by it
+    got = hits(search.keyword_search(index, q, 3))
+    texts = {1: "lake spark", 2: "spark", 3: "filler lake"}
+    assert got == {i: best(bm25(docs, t), 3) for i, t in texts.items()}
+    assert hits(search.text_vector_search(index, q, 3)) == {i: best(cosine(docs, t), 3) for i, t in texts.items()}
 
 
 def test_shuffle_join_beyond_the_broadcast_bound(corpus, frames, monkeypatch):
     index, q = frames
     want = hits(search.keyword_search(index, q, 5))
     monkeypatch.setattr(search, "broadcast_hint", lambda terms: lambda df: df)
+    monkeypatch.setattr(search_index, "BROADCAST_ROWS", 0)
     assert hits(search.keyword_search(index, q, 5)) == want
 
 
+def test_index_of_nothing(spark, tmp_path):
+    empty = spark.createDataFrame([], "DOC_ID long, T string")
+    index = search_index.build_index(empty, "DOC_ID", "T", str(tmp_path / "i"))
+    q = spark.createDataFrame([(1, "a b")], "QUERY_ID long, QUERY_TEXT string")
+    assert search.keyword_search(index, q, 3).count() == 0 and search.text_vector_search(index, q, 3).count() == 0
+
+
 def test_vector_topk_exact_and_in_blocks(spark):
     rng = np.random.default_rng(0)
     vecs = {i: rng.normal(size=8).astype("float32") for i in range(300)}
