@@ -1,7 +1,8 @@
 """Order history and daily metrics from keyed state.
 
 The state of an order is its current version and the commits that are not yet older
-than the watermark. A commit that arrives is put in its place among these, late or
+than the watermark; the orders of ``1 << BLOCK_BITS`` neighbouring ids share one entry of
+the state store, since an entry costs more to visit than an order to bring up to date. A commit that arrives is put in its place among these, late or
 not, and what the order's versions are now is compared with what they were before:
 versions that are no longer so go out with -1, new ones with +1. A commit that is
 known already changes nothing. So a batch reads its own images and the state of their
@@ -37,6 +38,7 @@ KEY = "ORDER_ID"
 JSON_TIMES = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
 CELL_KEYS = [*DAILY_KEYS, "CUSTOMER_ID"]
 MONTH = "month_part"
+BLOCK, BLOCK_BITS = "_block", 6
 
 Commit = tuple[int, int, bool, bool, str]  # number, time (micros), inserts, updates, image
 Version = tuple[str, int, int | None, str]  # image, from, to, kind
@@ -122,16 +124,20 @@ _OUT = T.StructType([
 
 
 def _update(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    order = Order.unpacked(state.get[0]) if state.exists else Order()
-    commits = []
+    held = json.loads(state.get[0]) if state.exists else {}
+    arrived: dict[int, list[Commit]] = {}
     for pdf in frames:
-        commits += zip(*[pdf[c].tolist() for c in (COMMIT, "at", "inserts", "updates", "image")])
-    found = step(order, commits, state.getCurrentWatermarkMs() * 1000)
-    state.update((order.packed(),))
-    if found:
-        rows = [(key[0], sign, v[0], v[1], v[2], v[3]) for sign, v in found]
-        out = pd.DataFrame(rows, columns=_OUT.names)
-        yield out.astype({"until": "Int64"})
+        for order, *commit in zip(*[pdf[c].tolist() for c in (KEY, COMMIT, "at", "inserts", "updates", "image")]):
+            arrived.setdefault(order, []).append(tuple(commit))
+    watermark, rows = state.getCurrentWatermarkMs() * 1000, []
+    for number, commits in arrived.items():
+        known = held.get(str(number))
+        order = Order.unpacked(known) if known else Order()
+        rows += [(number, sign, *v) for sign, v in step(order, commits, watermark)]
+        held[str(number)] = order.packed()
+    state.update((json.dumps(held),))
+    if rows:
+        yield pd.DataFrame(rows, columns=_OUT.names).astype({"until": "Int64"})
 
 
 def signed_versions(changes: DataFrame, delay: str) -> DataFrame:
@@ -144,11 +150,11 @@ def signed_versions(changes: DataFrame, delay: str) -> DataFrame:
         F.col(KEY).cast("long").alias(KEY), F.col(COMMIT).cast("long").alias(COMMIT),
         F.unix_micros(F.col(COMMITTED_AT).cast("timestamp")).alias("at"), inserts.alias("inserts"), updates.alias("updates"),
         F.to_json(F.struct(*HISTORY_COLUMNS), JSON_TIMES).alias("image"),
-        F.col(COMMITTED_AT).cast("timestamp").alias("event_time"),
+        F.col(COMMITTED_AT).cast("timestamp").alias("event_time"), F.shiftright(F.col(KEY).cast("long"), BLOCK_BITS).alias(BLOCK),
     )
     return (
         net.withWatermark("event_time", delay)
-        .groupBy(KEY)
+        .groupBy(BLOCK)
         .applyInPandasWithState(_update, _OUT, "packed string", "append", GroupStateTimeout.NoTimeout)
     )
 

@@ -81,7 +81,7 @@ def as_rows(df):
     return sorted((tuple(map(str, r)) for r in df.collect()), key=str)
 
 
-@pytest.mark.parametrize("arrival", [[[0], [1], [2], [3]], [[0, 1, 2, 3]], [[1, 0], [3], [0, 2], [1, 3]]])
+@pytest.mark.parametrize("arrival", [[[0], [1, 2, 3]], [[1, 0], [3], [0, 2, 1]]])
 def test_stream_equals_history_from_the_whole_log(spark, feed, tmp_path, arrival):
     src, out = str(tmp_path / "in"), str(tmp_path / "out")
     for batch in arrival:
