@@ -4,7 +4,7 @@ Vectors are integer; every dimension is cut into 2^bits equal cells between its
 smallest and largest value. The file of approximations holds one byte per
 dimension. A query's score with any vector of a cell lies between two bounds,
 which differ by a constant of the query, so one product with the cells' lower
-corners gives both.
+corners gives both, widened by what floating-point sums of that size may lose.
 
 Scan: vectors and queries are cut into blocks; the grid of block pairs is shuffled
 as packed rows, approximations only. In a pair, a vector stays a candidate for
@@ -35,20 +35,29 @@ BITS = 6
 BLOCK_VECTORS = 16_384
 BLOCK_QUERIES = 1_024
 AT_ONCE = 128
-LIMIT = 1 << 24  # larger components would not leave room for exact scores
+EXACT = 1 << 20  # scaled components below it have products whose sums fit 64 bits
+GREATEST = 1 << 61  # a scaled component beyond it counts as it
+EPSILON = float(np.finfo(np.float64).eps)
 
 
 def scaled(vector: str, factor: int = 256) -> Column:
-    return F.transform(F.col(vector).cast("array<double>"), lambda x: F.floor(x * F.lit(float(factor))))
+    end = float(GREATEST)
+    x = lambda c: F.floor(c * F.lit(float(factor)))
+    return F.transform(
+        F.col(vector).cast("array<double>"),
+        lambda c: F.when(F.abs(c * F.lit(float(factor))) < end, x(c)).otherwise((F.signum(c) * end).cast("long")),
+    )
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str, factor: int) -> DataFrame:
-    """(id, v array<bigint>), one row per id, of the vectors that take part."""
+    """(row, id, v array<bigint>, wide) of the vectors that take part; ``wide`` ones may
+    have scores beyond 64 bits."""
     x = F.col(vector_col).cast("array<double>")
-    fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c * float(factor)) < LIMIT))
-    kept = vectors.filter(F.col(id_col).isNotNull() & (F.size(x) > 0) & F.coalesce(fine, F.lit(False)))
+    fine = F.forall(x, lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    kept = vectors.filter(F.col(id_col).isNotNull() & F.coalesce(fine, F.lit(False)))
     rows = kept.select(F.col(id_col).cast("long").alias("id"), scaled(vector_col, factor).alias("v"))
-    return rows.groupBy("id").agg(F.max("v").alias("v"))
+    wide = F.exists("v", lambda c: F.abs(c) >= EXACT)
+    return rows.select(F.monotonically_increasing_id().alias("row"), "id", "v", wide.alias("wide"))
 
 
 def _ranges(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
@@ -59,7 +68,9 @@ def _ranges(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
             column = batch.column("v")
             sizes = np.diff(column.offsets.to_numpy())
             for d in np.unique(sizes).tolist():
-                m = column.filter(pa.array(sizes == d)).flatten().to_numpy().reshape(-1, d)
+                m = column.filter(pa.array(sizes == d)).flatten().to_numpy().reshape(-1, max(d, 1))
+                if not d:
+                    continue
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([d]), pa.array([m.min(0).tolist()]), pa.array([m.max(0).tolist()])], names=["d", "lo", "hi"]
                 )
@@ -70,7 +81,8 @@ def _ranges(rows: DataFrame) -> dict[int, tuple[np.ndarray, np.ndarray]]:
     out: dict[int, list] = {}
     for r in ends.orderBy("d", "at").collect():  # one row per dimension
         out.setdefault(r["d"], []).append((r["lo"], r["hi"]))
-    return {d: tuple(np.array(x, dtype=np.int64) for x in zip(*pairs)) for d, pairs in out.items()}
+    found = {d: tuple(np.array(x, dtype=np.int64) for x in zip(*pairs)) for d, pairs in out.items()}
+    return {0: (np.zeros(0, np.int64), np.zeros(0, np.int64))} | found
 
 
 def _candidates(rows: DataFrame, asked: DataFrame, k: int, bits: int, n: int, n_asked: int) -> DataFrame:
@@ -81,41 +93,44 @@ def _candidates(rows: DataFrame, asked: DataFrame, k: int, bits: int, n: int, n_
 
     def approximate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            column, ids, home = batch.column("v"), batch.column("id").to_numpy(), batch.column("vb").to_numpy()
+            column, ids, home = batch.column("v"), batch.column("row").to_numpy(), batch.column("vb").to_numpy()
             sizes = np.diff(column.offsets.to_numpy())
             for d, b in sorted(set(zip(sizes.tolist(), home.tolist()))):
                 here = (sizes == d) & (home == b)
-                m = column.filter(pa.array(here)).flatten().to_numpy().reshape(-1, d)
+                m = column.filter(pa.array(here)).flatten().to_numpy().reshape(int(here.sum()), d)
                 cells = ((m - ranges[d][0]) // widths[d]).astype(np.uint8)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([d]), pa.array([b]), pa.array([ids[here].tobytes()]), pa.array([cells.tobytes()])],
                     names=["d", "vb", "ids", "cells"],
                 )
 
-    block = F.pmod(F.xxhash64("id"), F.lit(v_blocks))
+    block = F.pmod(F.xxhash64("row"), F.lit(v_blocks))
     cells = in_arrow(rows.withColumn("vb", block), approximate, "d bigint, vb bigint, ids binary, cells binary")
     grid = cells.withColumn("qb", F.explode(F.sequence(F.lit(0), F.lit(q_blocks - 1)))).withColumn("qb", F.col("qb").cast("long"))
-    held = asked.withColumn("qb", F.pmod(F.xxhash64("id"), F.lit(q_blocks))).withColumn("d", F.size("v").cast("long"))
-    packed = held.groupBy("d", "qb").agg(F.collect_list(F.struct("id", "v")).alias("queries"))  # about BLOCK_QUERIES
+    held = asked.withColumn("qb", F.pmod(F.xxhash64("row"), F.lit(q_blocks))).withColumn("d", F.size("v").cast("long"))
+    packed = held.groupBy("d", "qb").agg(F.collect_list(F.struct("row", "v")).alias("queries"))  # about BLOCK_QUERIES
     spread = packed.withColumn("vb", F.explode(F.sequence(F.lit(0), F.lit(v_blocks - 1)))).withColumn("vb", F.col("vb").cast("long"))
 
     def bound(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
         give_back()
-        names = ["query_id", "vec_id", "lower", "upper"]
+        names = ["query", "row", "lower", "upper"]
         out: list[list[np.ndarray]] = [[], [], [], []]
         if left.num_rows and right.num_rows:
             d = key[0].as_py()
             low, width = ranges[d][0], widths[d]
             ids = np.concatenate([np.frombuffer(x, np.int64) for x in left.column("ids").to_pylist()])
-            parts = [np.frombuffer(x, np.uint8).reshape(-1, d) for x in left.column("cells").to_pylist()]
-            corners = (np.concatenate(parts) * width + low).astype(np.float64)
+            cells = np.frombuffer(b"".join(left.column("cells").to_pylist()), np.uint8).reshape(len(ids), d)
+            corners = (cells * width + low).astype(np.float64)
+            lengths = np.sqrt((corners * corners).sum(axis=1))
             queries = [q for row in right.column("queries").to_pylist() for q in row]
             for at in range(0, len(queries), AT_ONCE):
                 some = queries[at : at + AT_ONCE]
-                own = np.array([q["id"] for q in some])
-                q = np.array([q["v"] for q in some], dtype=np.float64)
+                own = np.array([q["row"] for q in some])
+                q = np.array([q["v"] for q in some], dtype=np.float64).reshape(len(some), d)
                 base = q @ corners.T
-                slack = 1 + np.abs(base) * 1e-12
+                # What rounding can add up to follows the products' sizes, not their sum.
+                sizes = np.sqrt((q * q).sum(axis=1))[:, None] * lengths + (np.abs(q) @ width.astype(np.float64))[:, None]
+                slack = 1 + 8 * (d + 2) * EPSILON * sizes
                 under, over = np.minimum(q, 0) @ (width - 1), np.maximum(q, 0) @ (width - 1)
                 lower, upper = base + under[:, None] - slack, base + over[:, None] + slack
                 lower[own[:, None] == ids[None, :]] = -np.inf
@@ -131,14 +146,27 @@ def _candidates(rows: DataFrame, asked: DataFrame, k: int, bits: int, n: int, n_
         return pa.table([np.concatenate(x) if x else np.zeros(0, t) for x, t in zip(out, kinds)], names=names)
 
     pairs = grid.groupBy("d", "vb", "qb").cogroup(spread.groupBy("d", "vb", "qb"))
-    return pairs.applyInArrow(bound, "query_id bigint, vec_id bigint, lower double, upper double")
+    return pairs.applyInArrow(bound, "query bigint, row bigint, lower double, upper double")
+
+
+def _wide_score() -> Column:
+    """The exact score in decimal arithmetic; beyond 64 bits the nearest that fits."""
+    wide = "decimal(38,0)"
+    product = lambda a, b: F.try_multiply(a.cast(wide), b.cast(wide)).cast(wide)
+    exact = F.aggregate(F.zip_with("x", "y", product), F.lit(0).cast(wide), lambda s, p: F.try_add(s, p).cast(wide))
+    about = F.aggregate(F.zip_with("x", "y", lambda a, b: a.cast("double") * b.cast("double")), F.lit(0.0), lambda s, p: s + p)
+    least, most = F.lit(-(1 << 63)).cast(wide), F.lit((1 << 63) - 1).cast(wide)
+    ends = F.when(about < 0, least).otherwise(most)
+    return F.greatest(F.least(F.coalesce(exact, ends), most), least).cast("long")
 
 
 def _scored(pairs: DataFrame, asked: DataFrame, rows: DataFrame) -> DataFrame:
-    full = pairs.join(rows.select(F.col("id").alias("vec_id"), F.col("v").alias("y")), "vec_id")
-    full = full.join(asked.select(F.col("id").alias("query_id"), F.col("v").alias("x")), "query_id")
-    score = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, p: s + p)
-    return full.select("query_id", "vec_id", score.alias("score"))
+    theirs = rows.select("row", F.col("id").alias("vec_id"), F.col("v").alias("y"), F.col("wide").alias("wide_y"))
+    mine = asked.select(F.col("row").alias("query"), F.col("id").alias("query_id"), F.col("v").alias("x"), "wide")
+    full = pairs.join(theirs, "row").join(mine, "query")
+    plain = F.aggregate(F.zip_with("x", "y", lambda a, b: a * b), F.lit(0).cast("long"), lambda s, p: s + p)
+    score = F.when(F.col("wide") | F.col("wide_y"), _wide_score()).otherwise(plain)
+    return full.select("query", "query_id", "row", "vec_id", score.alias("score"))
 
 
 def topk(
@@ -153,15 +181,16 @@ def topk(
     """(query_id, rank, vec_id, score): the k best of all other vectors for each
     vector whose id is divisible by ``every``.
 
-    A component x counts as floor(factor * x). Vectors that are null, empty or hold
-    a null, a non-finite component or one beyond 2^24 after scaling take no part,
-    nor do rows with a null id. Of rows that share an id the greatest vector counts.
-    Only vectors of one length are compared. Equal scores rank by smaller id;
-    queries with fewer than k others get them all.
+    A component x counts as floor(factor * x), one beyond 2^61 as that. Vectors that
+    are null or hold a null or non-finite component take no part, nor do rows with a
+    null id. Rows that share an id are rows of their own, as queries and as results.
+    Only vectors of one length are compared. Equal scores rank by smaller id; scores
+    beyond 64 bits count as the nearest that fits. Queries with fewer than k others
+    get them all.
     """
     rows = stored(usable(vectors, id_col, vector_col, factor), "vectors")
     asked = rows.filter(F.col("id") % every == 0)
-    alike = F.row_number().over(W.partitionBy("v").orderBy("id"))
+    alike = F.row_number().over(W.partitionBy("v").orderBy("id", "row"))
     kept = rows.withColumn("alike", alike).filter(F.col("alike") <= k + 1).drop("alike")
     n, n_asked = rows.count(), asked.count()
     if not n_asked:
@@ -170,36 +199,36 @@ def topk(
         ).limit(0)
     kept = stored(kept, "file")
     found = _candidates(kept, asked, k, bits, n, n_asked)
-    place = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("lower").desc()))
-    least = F.max(F.when(F.col("place") == k, F.col("lower"))).over(W.partitionBy("query_id"))
+    place = F.row_number().over(W.partitionBy("query").orderBy(F.col("lower").desc()))
+    least = F.max(F.when(F.col("place") == k, F.col("lower"))).over(W.partitionBy("query"))
     found = found.withColumn("place", place).withColumn("least", least)
     found = found.filter(F.col("least").isNull() | (F.col("upper") >= F.col("least")))
-    order = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("upper").desc(), "vec_id"))
-    found = stored(found.select("query_id", "vec_id", "upper", order.alias("turn")), "candidates")
+    order = F.row_number().over(W.partitionBy("query").orderBy(F.col("upper").desc(), "row"))
+    found = stored(found.select("query", "row", "upper", order.alias("turn")), "candidates")
 
     first = stored(_scored(found.filter(F.col("turn") <= k), asked, kept), "first")
-    sure = first.groupBy("query_id").agg(F.min("score").alias("sure"))
-    others = found.filter(F.col("turn") > k).join(sure, "query_id").filter(F.col("upper") >= F.col("sure"))
-    read = first.unionByName(_scored(others, asked, kept))
-    rank = F.row_number().over(W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id"))
+    sure = first.groupBy("query").agg(F.min("score").alias("sure"))
+    others = found.filter(F.col("turn") > k).join(sure, "query").filter(F.col("upper") >= F.col("sure"))
+    read = first.unionByName(_scored(others.drop("sure", "upper", "turn"), asked, kept))
+    rank = F.row_number().over(W.partitionBy("query").orderBy(F.col("score").desc(), "vec_id", "row"))
     best = read.withColumn("rank", rank).filter(F.col("rank") <= k)
     return best.select("query_id", "rank", "vec_id", "score")
 
 
 ORACLE = """
 WITH v AS (
-  SELECT vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
+  SELECT row_number() OVER () AS place, vec_id, [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS q
   FROM embeddings
-  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
 ),
 pairs AS (
-  SELECT a.vec_id AS query_id, b.vec_id, CAST(list_dot_product(a.q, b.q) AS BIGINT) AS score
-  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q)
+  SELECT a.place, a.vec_id AS query_id, b.vec_id, CAST(CASE WHEN len(a.q) > 0 THEN list_dot_product(a.q, b.q) ELSE 0 END AS BIGINT) AS score
+  FROM v a JOIN v b ON a.place <> b.place AND len(a.q) = len(b.q)
   WHERE a.vec_id % 50 = 0
 ),
 ranked AS (
-  SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place FROM pairs
+  SELECT *, row_number() OVER (PARTITION BY place ORDER BY score DESC, vec_id) AS rank FROM pairs
 )
-SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score FROM ranked WHERE place <= 5
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM ranked WHERE rank <= 5
 """
