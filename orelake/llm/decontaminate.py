@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orelake.llm.common import as_bytes, in_arrow, stored, text_slices
+from orelake.llm.common import as_bytes, bounded, in_arrow, stored, text_slices
 
 WINDOW = 13
 PART_WINDOWS = 250_000
@@ -215,14 +215,36 @@ def contamination(
 
 def keep_clean(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` without contaminated documents. The verdict is one of a document's
-    text; rows with a null id are judged by their text like any other."""
-    keyed = docs.withColumn("__llm_text", F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    keyed = keyed.withColumn("__llm_len", F.length(F.coalesce(F.col(text_col).cast("string"), F.lit(""))))
-    slim = keyed.select(F.struct("__llm_text", "__llm_len").alias("k"), F.col(text_col).alias("t"))
+    text, known by 128 bits of hash and its length; rows with a null id are judged by
+    their text like any other."""
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    names = ("__llm_text", "__llm_again", "__llm_len")
+    own = (F.xxhash64(text), F.xxhash64(F.lit("again"), text), F.length(text))
+    keyed = docs.select("*", *[c.alias(n) for c, n in zip(own, names)])
+    slim = docs.select(F.struct(*[c.alias(n) for c, n in zip(own, names)]).alias("k"), F.col(text_col).alias("t"))
     bad = contamination(slim, items, "k", "t").filter("contaminated").select("doc_id").distinct()
-    joined = keyed.join(
-        bad.select(F.col("doc_id.__llm_text").alias("__llm_text"), F.col("doc_id.__llm_len").alias("__llm_len")),
-        ["__llm_text", "__llm_len"],
-        "left_anti",
-    )
+    bad = stored(bad.select(*[F.col(f"doc_id.{n}").alias(n) for n in names]), "contaminated")
+    joined = keyed.join(bounded(bad), list(names), "left_anti")
     return joined.select(*[f"`{c}`" for c in docs.columns])
+
+
+_PLAIN = "translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_LISTED = f"regexp_extract_all({_PLAIN}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+ORACLE = f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce({_LISTED}, []) AS w FROM documents),
+i AS (SELECT item_id, {_LISTED} AS w FROM benchmark WHERE item_id IS NOT NULL),
+starts AS (SELECT item_id, w, unnest(range(1, greatest(len(w) - {WINDOW} + 1, 1) + 1)) AS s FROM i WHERE len(w) > 0),
+windows AS (SELECT DISTINCT CAST(item_id AS VARCHAR) AS item, list_slice(w, s, s + {WINDOW} - 1) AS v FROM starts),
+looked AS (SELECT DISTINCT v, v[1] AS f, v[len(v)] AS l, len(v) AS n FROM windows),
+places AS (SELECT r, w, unnest(range(1, len(w) + 1)) AS p FROM d),
+met AS (
+  SELECT r, p, v, n FROM places JOIN looked ON w[p] = f AND w[p + n - 1] = l WHERE list_slice(w, p, p + n - 1) = v),
+hits AS (SELECT r, count(DISTINCT q) AS n_hit FROM (SELECT r, unnest(range(p, p + n)) AS q FROM met) GROUP BY r),
+names AS (
+  SELECT r, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS ids
+  FROM (SELECT DISTINCT r, item FROM met JOIN windows USING (v)) GROUP BY r)
+SELECT doc_id, len(w) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit > 0 AND {SHARE} * n_hit >= len(w), false) AS contaminated
+FROM d LEFT JOIN hits USING (r) LEFT JOIN names USING (r)
+"""

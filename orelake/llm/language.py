@@ -31,6 +31,10 @@ DIMENSIONS = 2048
 SAMPLE_PER_LANGUAGE = 1500
 ROWS_AT_ONCE = 256
 UNKNOWN = "und"
+MISSED = 0.001  # share of the held-out texts, judged right, that limits may reject
+LEAST_MEASURED = 50
+MARGIN = 0.1  # limits lie so far below what was measured
+SIZE_CLASSES = 14
 HELD_OUT = (4, 2)  # ids whose crc32 leaves 2 on division by 4 are not learned from
 
 # Languages of one family; a language that is not listed is a family of its own.
@@ -126,11 +130,13 @@ def _vote(x: np.ndarray, classes: list[str], pairs: list[Pair]) -> tuple[np.ndar
     return np.array(classes, dtype=object)[best], sure
 
 
-def labelled_sample(docs: DataFrame, per_language: int) -> DataFrame:
-    """(text, lang): at most ``per_language`` learnable rows of each language. They
-    are chosen by id; only the texts of chosen ids are read further."""
+def labelled_sample(docs: DataFrame, per_language: int, held_out: bool = False) -> DataFrame:
+    """(text, lang): at most ``per_language`` rows of each language, of those to learn
+    from or of the held-out ones. They are chosen by id; only the texts of chosen
+    ids are read further."""
     divisor, held = HELD_OUT
-    known = docs.filter((remainder("doc_id", divisor) != held) & F.col("lang").isNotNull())
+    rest = remainder("doc_id", divisor)
+    known = docs.filter((rest == held if held_out else rest != held) & F.col("lang").isNotNull())
     place = F.pmod(F.xxhash64(F.col("doc_id").cast("string")), F.lit(1 << 40))
     sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("size"))
     # Twice the share that is wanted, so that next to no row reaches the ranking in vain.
@@ -220,13 +226,44 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     return in_arrow(source, run, f"doc_id {kind}, held_out boolean, lang_pred string, score double")
 
 
-def keep_known(docs: DataFrame, model: Model, min_score: float = 0.0) -> DataFrame:
-    """``docs`` without the rows whose language is ``und`` or scored below ``min_score``."""
+def size_class(text: bytes) -> int:
+    return min(len(text).bit_length(), SIZE_CLASSES)
+
+
+def limits(
+    docs: DataFrame, model: Model, missed: float = MISSED, per_language: int = SAMPLE_PER_LANGUAGE
+) -> dict[int, float]:
+    """For each size of text (a power of two of bytes) a score, MARGIN below what all but
+    a share ``missed`` of its held-out labelled texts reach that are judged right: what
+    scores lower is not in a language that was learned. Measured on at most ``per_language``
+    held-out texts of each language; sizes with fewer than ``LEAST_MEASURED`` of them
+    have no limit. Short texts say little, so their limits are low."""
+    columns = [F.col("doc_id"), F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang")]
+    sample = labelled_sample(docs.select(*columns), per_language, held_out=True)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            names, scores = model.judge(as_bytes(batch.column("text")))
-            good = [n != UNKNOWN and s >= min_score for n, s in zip(names, scores)]
+            texts = as_bytes(batch.column("text"))
+            names, scores = model.judge(texts)
+            right = pa.array([n == g for n, g in zip(names, batch.column("lang").to_pylist())], pa.bool_())
+            sizes = pa.array([size_class(t) for t in texts], pa.int32())
+            yield pa.RecordBatch.from_arrays([sizes, pa.array(scores, pa.float64()), right], names=["size", "score", "right"])
+
+    judged = in_arrow(sample, run, "size int, score double, right boolean").filter("right")
+    found = judged.groupBy("size").agg(F.percentile("score", missed).alias("least"), F.count(F.lit(1)).alias("n"))
+    return {r["size"]: max(r["least"] - MARGIN, 0.0) for r in found.filter(F.col("n") >= LEAST_MEASURED).collect()}  # a row for each size
+
+
+def keep_known(docs: DataFrame, model: Model, least: Mapping[int, float] | None = None) -> DataFrame:
+    """``docs`` without the rows whose language is ``und`` or whose score is below the
+    limit of their text's size."""
+    least = dict(least or {})
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_slices(batches):
+            texts = as_bytes(batch.column("text"))
+            names, scores = model.judge(texts)
+            good = [n != UNKNOWN and s >= least.get(size_class(t), 0.0) for t, n, s in zip(texts, names, scores)]
             yield batch.filter(pa.array(good, pa.bool_()))
 
     return in_arrow(docs, run, docs.schema)

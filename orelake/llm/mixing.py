@@ -5,8 +5,8 @@ normalised. The exponent is bisected until the weights reach a target entropy,
 or until no source has to be repeated more than a limit times what the least
 repeated one is.
 
-The weights are realised in blocks: every row falls by a hash of its id into one
-of ``BLOCKS`` blocks of its source. A source whose budget is r times its tokens
+The weights are realised in blocks: every row falls by a hash of its id into a block
+of its source, one of ``BLOCKS`` or of as many as hold ``BLOCK_ROWS`` rows each. A source whose budget is r times its tokens
 passes floor(r) times over all its blocks and once more over those that fit into
 the rest, each pass in another permutation of the blocks. Without a budget, the
 smallest one is taken that holds every source once, so that no row is dropped.
@@ -27,6 +27,7 @@ from pyspark.sql import functions as F
 from orelake.llm.common import bounded, stored
 
 BLOCKS = 1024
+BLOCK_ROWS = 4096  # a block is the smallest unit of order and budget
 MAX_REPEATS = 1.5
 SEED = 17
 _ROUNDS, _POINTS = 8, 15  # 8 rounds of 4 halvings
@@ -51,8 +52,8 @@ def _source_key(source: str) -> Column:
     return F.concat(F.when(F.col(source).isNull(), "-").otherwise("+"), F.coalesce(F.col(source).cast("string"), F.lit("")))
 
 
-def _block(id_col: str) -> Column:
-    return F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(SEED)), F.lit(BLOCKS))
+def _block(id_col: str, blocks: int = BLOCKS) -> Column:
+    return F.pmod(F.xxhash64(F.col(id_col).cast("string"), F.lit(SEED)), F.lit(blocks))
 
 
 def exponent(totals: DataFrame, target: Target) -> float:
@@ -132,7 +133,8 @@ def mixed(
     source of its own; null ids fall into one block of their source. Repeated rows
     are used alike. A source without any tokens has no weight and is used once.
     """
-    keyed = docs.withColumn("__llm_key", _source_key(source_col)).withColumn("__llm_block", _block(id_col))
+    number = max(BLOCKS, docs.count() // BLOCK_ROWS)
+    keyed = docs.withColumn("__llm_key", _source_key(source_col)).withColumn("__llm_block", _block(id_col, number))
     blocks = keyed.groupBy(F.col("__llm_key").alias("key"), F.col("__llm_block").alias("block"))
     blocks = stored(blocks.agg(F.sum(tokens(text_col)).alias("tokens")), "blocks")
     plan = stored(schedule(blocks, weights(blocks, target, budget)), "schedule")
@@ -143,3 +145,8 @@ def mixed(
     rows = keyed.join(bounded(plan), ["__llm_key", "__llm_block"])
     columns = [F.col(f"`{c}`") for c in docs.columns if c not in ("epoch", "place")]
     return rows.select(*columns, F.col("__llm_epoch").alias("epoch"), F.col("__llm_place").alias("place"))
+
+
+def in_order(rows: DataFrame, id_col: str = "doc_id") -> DataFrame:
+    """A mixture sorted by ``place`` in ranges: written, its files hold it in order."""
+    return rows.repartitionByRange("place", "epoch").sortWithinPartitions("place", "epoch", id_col)

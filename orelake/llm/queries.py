@@ -109,6 +109,7 @@ def oracle_sql() -> dict[str, str]:
     return {
         "op1_vafile": vafile.ORACLE,
         "op2_url_templates": url_templates.ORACLE,
+        "op10_decontaminate": decontaminate.ORACLE,
         "op12_conversations": conversations.ORACLE,
         "op13_merkle": merkle.ORACLE,
     }

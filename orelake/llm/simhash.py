@@ -30,7 +30,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from orelake.llm.common import as_bytes, in_arrow, stored, text_slices
+from orelake.llm.common import as_bytes, bounded, in_arrow, stored, text_slices
 from orelake.llm.components import connected
 
 RADIUS = 2
@@ -146,10 +146,23 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one document of each group: the one with the smallest id.
 
-    Rows that repeat the kept id are reduced to one as well; rows with a null id
-    cannot be told apart from others and stay.
+    Of rows that share the kept id the one with the least digest of all its columns
+    stays, whatever task reads it; rows with a null id cannot be told apart from
+    others and stay.
     """
     groups = near_groups(docs, id_col, text_col)
     kept = groups.filter(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(id_col)).distinct()
     named = docs.join(kept, id_col, "left_semi").select(*[f"`{c}`" for c in docs.columns])
-    return named.dropDuplicates([id_col]).unionByName(docs.filter(F.col(id_col).isNull()))
+    nameless = docs.filter(F.col(id_col).isNull())
+    digest = F.sha2(F.to_json(F.struct(*[f"`{c}`" for c in docs.columns]), {"ignoreNullFields": "false"}), 256)
+    repeated = docs.groupBy(F.col(id_col).alias("__llm_id")).agg(F.count(F.lit(1)).alias("n")).filter("n > 1 AND __llm_id IS NOT NULL")
+    repeated = stored(repeated.select("__llm_id"), "repeated")
+    if repeated.isEmpty():
+        return named.unionByName(nameless)
+    marked = named.join(bounded(repeated), F.col(id_col) == F.col("__llm_id"), "left")
+    several = marked.filter(F.col("__llm_id").isNotNull()).drop("__llm_id").withColumn("__llm_digest", digest)
+    least = several.groupBy(F.col(id_col).alias("__llm_id")).agg(F.min("__llm_digest").alias("__llm_least"))
+    same = (F.col(id_col) == F.col("__llm_id")) & (F.col("__llm_digest") == F.col("__llm_least"))
+    one = several.join(least, same).drop("__llm_id", "__llm_digest", "__llm_least").dropDuplicates([id_col])
+    alone = marked.filter(F.col("__llm_id").isNull()).drop("__llm_id")
+    return alone.unionByName(one).unionByName(nameless)
