@@ -448,6 +448,7 @@ def searched() -> dict[str, str]:
           SELECT label, pos, AVG(CAST(embedding[pos] AS DOUBLE)) AS x FROM embeddings, generate_series(1, 64) g(pos) GROUP BY 1, 2) GROUP BY 1), sims AS (
         SELECT CAST(c.label AS BIGINT) AS q, vec_id AS d, round(list_cosine_similarity(CAST(embedding AS DOUBLE[]), v), 6) AS s FROM embeddings, c)
         SELECT q AS QUERY_ID, d AS VEC_ID, s AS SCORE, r AS RANK FROM ({top('sims', 10)})"""
+    q["vector_topk_grouped"] = q["vector_topk"]
     return q
 
 
@@ -575,6 +576,10 @@ def streamed() -> dict[str, str]:
     }
 
 
+CUT = """months AS (SELECT ORDER_MONTH, ROW_NUMBER() OVER (ORDER BY ORDER_MONTH) - 1 AS i, COUNT(*) OVER () AS n
+  FROM (SELECT DISTINCT ORDER_MONTH FROM rev)), cut AS (SELECT ORDER_MONTH AS c FROM months WHERE i = CAST(floor(n * 0.8::DOUBLE) AS BIGINT))"""
+
+
 def by_name_and_nested() -> dict[str, str]:
     product = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
     return {
@@ -586,6 +591,16 @@ def by_name_and_nested() -> dict[str, str]:
         "linreg_sql": f"""WITH {REVENUE_FEATURES}, line AS (
             SELECT regr_slope(MONTHLY_REVENUE, REVENUE_MA_3) AS b, regr_intercept(MONTHLY_REVENUE, REVENUE_MA_3) AS a FROM rev)
             SELECT ORDER_MONTH, CATEGORY, round(a + b * REVENUE_MA_3, 1) AS PREDICTED_REVENUE FROM rev, line""",
+        "semantic_synonyms": f"""WITH {ORDERS} SELECT REGION AS region, CHANNEL AS channel, {money('SUM(TOTAL_AMOUNT)')} AS REVENUE,
+            {avg('TOTAL_AMOUNT', 6)} AS AOV, COUNT(ORDER_ID) AS ORDERS FROM orders_b GROUP BY 1, 2""",
+        "catalog_listing": f"""WITH {STATES} SELECT 'orders_before' AS TABLE_NAME, 'MANAGED' AS TABLE_TYPE, COUNT(*) AS ROW_COUNT FROM old_o
+            UNION ALL SELECT 'customers', 'MANAGED', COUNT(*) FROM customer""",
+        "bulk_load_stores": streamed()["csv_ingest_stream"],
+        "changes_without_initial": change_history()["order_changes"],
+        "model_reload": f"""WITH {REVENUE_FEATURES}, {CUT} SELECT ORDER_MONTH, COUNT(*) AS N, TRUE AS SAME,
+            CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS METRIC_ROWS FROM rev, cut WHERE ORDER_MONTH >= c GROUP BY 1""",
+        "boosted_facts": f"""WITH {REVENUE_FEATURES}, {CUT} SELECT COUNT(*) AS TEST_ROWS, TRUE AS BETTER_THAN_MEAN,
+            TRUE AS FULLY_SHRUNK_IS_MEAN FROM rev, cut WHERE ORDER_MONTH >= c""",
         "random_order_numbers": """SELECT o_orderkey AS ORDER_ID,
             ROW_NUMBER() OVER (ORDER BY md5('42:' || CAST(o_orderkey AS VARCHAR)), o_orderkey) AS PLACE FROM orders""",
     }

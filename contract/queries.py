@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from datetime import date
 
@@ -10,7 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from contract.present import present, rounded
-from orelake.operators import bitmaps, evaluate, models, search, search_index
+from orelake.operators import bitmaps, boosting, evaluate, models, search, search_index, vector_index
 from orelake.operators.encode import chrono_split, hash_split
 from orelake.functions import by_name
 from orelake.operators.history import scd2_from_log, table_changes, upsert
@@ -20,11 +21,13 @@ from orelake.plans.retail_model import RETAIL_MODEL
 from orelake.operators.semantic import build_rollup, coarser_rollup, semantic_query
 from orelake.session import adapt, scratch_dir
 from orelake.sources import bronze, nested
-from orelake.sources.sinks import append_and_reconcile, append_with_defaults, publish_snapshot, read_snapshot, row_counts
+from orelake.sources.sinks import (
+    append_and_reconcile, append_with_defaults, list_tables, publish_snapshot, read_snapshot, row_counts, save,
+)
 from orelake.streaming import jobs
 from orelake.streaming import order_state as order_states
 from orelake.schemas import CUSTOMERS, STORES_FEED
-from orelake.sources.files import load_history, read_json_feed
+from orelake.sources.files import load_history, load_stores, read_json_feed
 from orelake.vocab import PLANNING_REGION_MAP
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -152,6 +155,12 @@ def over_tables(fn: Callable[[Tables], DataFrame]) -> Query:
     return lambda spark, sf_dir: present(fn(Tables(spark, sf_dir)))
 
 
+# What the wide sales summary reads of the enriched orders; it reads them twice.
+WIDE_SALES = [
+    "ORDER_ID", "CUSTOMER_ID", "ORDER_MONTH", "ORDER_YEAR", "REGION", "CHANNEL", "CUSTOMER_SEGMENT", "ORDER_VALUE_TIER",
+    "ORDER_STATUS", "TOTAL_AMOUNT", "DISCOUNT_AMOUNT", "NET_AMOUNT",
+]
+
 SILVER_GOLD: dict[str, Callable[[Tables], DataFrame]] = {
     "orders_cleaned": lambda t: t.cleaned,
     "orders_enriched": lambda t: t.enriched,
@@ -165,7 +174,7 @@ SILVER_GOLD: dict[str, Callable[[Tables], DataFrame]] = {
         t.products, t.order_lines, t.product_reviews, dedupe=True
     ),
     "product_performance_wide": lambda t: gold.product_performance_wide(t.products, t.order_items, t.product_reviews),
-    "sales_summary_wide": lambda t: gold.sales_summary_wide(t.enriched),
+    "sales_summary_wide": lambda t: gold.sales_summary_wide(stored(t, t.enriched.select(*WIDE_SALES), "enriched")),
     "region_revenue": lambda t: gold.region_revenue(t.sales),
     "customer_order_patterns": lambda t: silver.customer_order_patterns(t.orders),
     "processed_reviews": lambda t: t.processed,
@@ -369,6 +378,13 @@ def nearest_to_centroid(t: Tables) -> DataFrame:
     return search.vector_topk(e, label_centroids(t), 10, "VEC_ID", "embedding")
 
 
+def nearest_by_groups(t: Tables) -> DataFrame:
+    """The same from a stored index, through the groups that may matter."""
+    e = bronze.read(t.spark, t.sf_dir, "embeddings").withColumnRenamed("vec_id", "VEC_ID")
+    index = vector_index.build(e, "VEC_ID", "embedding", scratch_dir(t.spark, "vectors"))
+    return vector_index.search(index, label_centroids(t), 10, lambda df, name: stored(t, df, name))
+
+
 SEARCH: dict[str, Callable[[Tables], DataFrame]] = {
     "review_search_docs": lambda t: search_docs.review_search_docs(t.product_reviews, t.products, t.processed),
     "ticket_search_docs": lambda t: search_docs.ticket_search_docs(t.support_tickets, t.customers, t.products),
@@ -379,6 +395,7 @@ SEARCH: dict[str, Callable[[Tables], DataFrame]] = {
     "search_index_build": built_index,
     "search_index_blocks": index_blocks,
     "vector_topk": nearest_to_centroid,
+    "vector_topk_grouped": nearest_by_groups,
 }
 
 # --- features, splits, model quality ------------------------------------------
@@ -639,6 +656,72 @@ def message_heads(t: Tables) -> DataFrame:
     return nested.at_path(nested.as_variant(nested_events(t), "MESSAGE"), "v", fields).select("MESSAGE_ID", *fields)
 
 
+def by_synonyms(t: Tables) -> DataFrame:
+    """A semantic query put in the users' own words."""
+    found = semantic_query(RETAIL_MODEL, t.retail, ["gross revenue", "AOV", "number of orders"], ["geography", "sales channel"])
+    return found.withColumnsRenamed({"total_revenue": "REVENUE", "average_order_value": "AOV", "order_count": "ORDERS"})
+
+
+def catalog_rows(t: Tables) -> DataFrame:
+    """The catalog's list of tables saved from two frames, with the rows each holds."""
+    database = f"orelake_{uuid.uuid4().hex}"
+    t.spark.sql(f"CREATE DATABASE {database}")
+    for name, df in {"orders_before": t.orders_before, "customers": t.customers}.items():
+        save(df, f"{database}.{name}")
+    listed = list_tables(t.spark, [database])
+    counts = row_counts({n: t.spark.table(f"{database}.{n}") for n in ("orders_before", "customers")})
+    return listed.join(counts, "TABLE_NAME").select("TABLE_NAME", "TABLE_TYPE", "ROW_COUNT")
+
+
+def bulk_stores(t: Tables) -> DataFrame:
+    """The store feed loaded in one go."""
+    path = f"{scratch_dir(t.spark, 'bulk')}/stores"
+    stores_csv(t).write.option("header", True).csv(path)
+    return load_stores(t.spark, path, CHANGED_AT).drop("SOURCE_FILE")
+
+
+def changes_without_initial(t: Tables) -> DataFrame:
+    """A feed that starts at the present: the rows already there are not replayed."""
+    first = table_changes(t.orders_before.limit(0), t.orders_before, "ORDER_ID", initial_rows=False)
+    return first.unionByName(table_changes(t.orders_before, t.orders_after, "ORDER_ID", initial_rows=False))
+
+
+def reloaded_model(t: Tables) -> DataFrame:
+    """Predictions of a linear model before it is stored and after it is loaded by name,
+    over the held-out months: all rows, and whether the two agree and the kept
+    metric is the one that was stored."""
+    train, test = chrono_split(stored(t, t.revenue_model_table, "revenue"), "ORDER_MONTH")
+    model = models.train_revenue_model(train, features.REVENUE_INPUTS, "linear")
+    root = scratch_dir(t.spark, "models")
+    models.save_model(t.spark, model, root, "REVENUE", "v1", {"ROWS": train.count()}, default=False)
+    models.save_model(t.spark, model, root, "REVENUE", "v2", {"ROWS": test.count()})
+    again = models.load_model(t.spark, root, "REVENUE")
+    before = models.predict(model, test, features.REVENUE_INPUTS).withColumnRenamed("PREDICTED", "_before")
+    both = models.predict(again, before, features.REVENUE_INPUTS)
+    metric = models.model_metrics(t.spark, root, "REVENUE").filter("METRIC = 'ROWS'").agg(F.max("VALUE")).scalar()
+    return both.groupBy("ORDER_MONTH").agg(F.count(F.lit(1)).alias("N"), F.bool_and(F.col("PREDICTED") == F.col("_before")).alias("SAME")).withColumn(
+        "METRIC_ROWS", metric.cast("long")
+    )
+
+
+def boosted_facts(t: Tables) -> DataFrame:
+    """Held-out error of boosted trees with both penalties against that of the mean of
+    the training rows, and of trees whose leaves are shrunk to nothing."""
+    keyed = t.revenue_model_table.withColumn("KEY", F.concat_ws("/", F.col("ORDER_MONTH").cast("string"), "CATEGORY"))
+    train, test = chrono_split(stored(t, keyed, "revenue"), "ORDER_MONTH")
+    keep = lambda df, name: stored(t, df, name)
+    fit = lambda **s: boosting.fit(train, features.REVENUE_INPUTS, "MONTHLY_REVENUE", "KEY", keep, boosting.Settings(**s))
+    good, flat = fit(trees=8, depth=3, rate=0.3), fit(trees=1, depth=2, l1=1e12)
+    y = F.col("MONTHLY_REVENUE").cast("double")
+    mean = train.agg(F.avg(y)).scalar()
+    rows = boosting.predict(flat, boosting.predict(good, test, "_good"), "_flat")
+    error = lambda p: F.avg((y - p) * (y - p))
+    return rows.withColumn("_mean", mean).agg(
+        F.count(F.lit(1)).alias("TEST_ROWS"), (error(F.col("_good")) < error(F.col("_mean"))).alias("BETTER_THAN_MEAN"),
+        (F.max(F.abs(F.col("_flat") - F.col("_mean"))) < 1e-6 * F.max(F.col("_mean"))).alias("FULLY_SHRUNK_IS_MEAN"),
+    )
+
+
 def sentiment_in_sql(t: Tables) -> DataFrame:
     by_name.create_sentiment(t.spark, "review_sentiment")
     return t.spark.sql(
@@ -764,6 +847,12 @@ SQL_AND_NESTED: dict[str, Callable[[Tables], DataFrame]] = {
     "nested_elements": message_elements,
     "nested_paths": message_heads,
     "sentiment_sql": sentiment_in_sql,
+    "semantic_synonyms": by_synonyms,
+    "catalog_listing": catalog_rows,
+    "bulk_load_stores": bulk_stores,
+    "changes_without_initial": changes_without_initial,
+    "model_reload": reloaded_model,
+    "boosted_facts": boosted_facts,
     "linreg_sql": line_in_sql,
     "random_order_numbers": lambda t: random_numbers(t.orders.select("ORDER_ID"), ["ORDER_ID"], "PLACE"),
 }

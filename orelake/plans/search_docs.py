@@ -7,11 +7,13 @@ from pyspark.sql import functions as F
 
 
 def review_search_docs(reviews: DataFrame, products: DataFrame, processed: DataFrame) -> DataFrame:
+    """REVIEW_ID is the key of reviews. What is joined to a review is put together first
+    without its text, so that texts move once at most."""
     names = products.select("PRODUCT_ID", "PRODUCT_NAME", "CATEGORY", "BRAND")
     scores = processed.select("REVIEW_ID", "SENTIMENT_LABEL", "SENTIMENT_SCORE")
+    about = reviews.select("REVIEW_ID", "PRODUCT_ID").join(names, "PRODUCT_ID", "left").drop("PRODUCT_ID")
     return (
-        reviews.join(names, "PRODUCT_ID", "left")
-        .join(scores, "REVIEW_ID", "left")
+        reviews.join(about.join(scores, "REVIEW_ID", "left"), "REVIEW_ID", "left")
         .select(
             "REVIEW_ID",
             "REVIEW_TEXT",
