@@ -2,8 +2,9 @@
 
 Per host, the paths form a tree of segments. Level by level, a segment that holds
 fewer than ``MIN_PAGES`` pages of its node is generalised into a wildcard, however
-large the node is; below nodes of fewer pages all segments are. From the deepest level
-up, branches that differ in one literal segment and whose labels are statistically
+large the node is; below nodes of fewer pages all segments are. What all paths below a
+node have in common is taken in one step, so the steps are as many as a path has
+branches, not segments. From the deepest level up, branches that differ in one literal segment and whose labels are statistically
 alike are then merged into a wildcard as well. A template is rejected if the
 share of good pages among its labelled ones, drawn towards the share of all
 labelled pages by ``STRENGTH`` further pages, is below ``MIN_PURITY``. Listed
@@ -24,10 +25,6 @@ from pyspark.sql import functions as F
 from orelake.llm.common import bounded, stored
 
 MIN_PAGES = 8
-# Of the SQL alone, which joins the segments after so many, and wants of a literal segment
-# this share of its node's pages too. It agrees where no segment meets either.
-LEVELS = 4
-MIN_SHARE = 0.02
 MERGE_Z = 2.0
 STRENGTH = 10.0
 MIN_PURITY = 0.5
@@ -65,23 +62,37 @@ def _segments() -> Column:
     return F.transform(all_of, lambda s: F.when(s == "*", "%2A").otherwise(s))
 
 
+def _shared(least: str, most: str) -> Column:
+    """How many segments two arrays begin with in common. Between the least and the
+    greatest of some arrays these are common to all."""
+    n = F.least(F.size(least), F.size(most))
+    differ = F.filter(F.sequence(F.lit(1), n), lambda i: F.get(least, i - 1) != F.get(most, i - 1))
+    return F.when(n == 0, 0).otherwise(F.coalesce(F.get(differ, F.lit(0)) - 1, n))
+
+
 def generalised(paths: DataFrame) -> DataFrame:
     """``paths`` (host, path, n, seen, good) with ``template``: an array of segments."""
     found = paths.withColumn("segs", _segments()).withColumn("template", F.array().cast("array<string>"))
     level = 0
     while True:
-        deep = found.filter(F.size("segs") > level)
-        nodes = deep.groupBy("host", "template").agg(F.sum("n").alias("of")).filter(F.col("of") >= MIN_PAGES)
+        deep = found.filter(F.size("segs") > F.size("template")).withColumn("rest", F.slice("segs", F.size("template") + 1, F.size("segs")))
+        nodes = deep.groupBy("host", "template").agg(F.sum("n").alias("of"), F.min("rest").alias("least"), F.max("rest").alias("most"))
+        nodes = nodes.filter(F.col("of") >= MIN_PAGES).select("host", "template", _shared("least", "most").alias("shared"))
+        nodes = stored(nodes, f"nodes{level}")
         if nodes.isEmpty():
             break
-        branches = deep.groupBy("host", "template", F.get("segs", F.lit(level)).alias("seg")).agg(F.sum("n").alias("n"))
+        held = deep.join(bounded(nodes), ["host", "template"])
+        held = held.withColumn("seg", F.get("rest", F.col("shared"))).filter(F.col("seg").isNotNull())
+        branches = held.groupBy("host", "template", "seg").agg(F.sum("n").alias("n"))
         large = branches.filter(F.col("n") >= MIN_PAGES).select("host", "template", "seg")
         literal = stored(large, f"literal{level}").withColumn("literal", F.lit(True))
-        seg = F.when(F.size("segs") > level, F.get("segs", F.lit(level)))
-        found = found.withColumn("seg", seg).join(bounded(literal), ["host", "template", "seg"], "left")
-        step = F.when(F.col("literal"), F.col("seg")).otherwise("*")
-        grown = F.when(F.col("seg").isNull(), F.col("template")).otherwise(F.concat("template", F.array(step)))
-        found = found.withColumn("template", grown).drop("seg", "literal")
+        at = found.join(bounded(nodes), ["host", "template"], "left").withColumn("shared", F.when(F.size("segs") > F.size("template"), F.col("shared")))
+        at = at.withColumn("seg", F.get("segs", F.size("template") + F.col("shared")))
+        at = at.join(bounded(literal), ["host", "template", "seg"], "left")
+        common = F.slice("segs", F.size("template") + 1, F.coalesce("shared", F.lit(0)))
+        step = F.when(F.col("seg").isNull(), F.array()).otherwise(F.array(F.when(F.col("literal"), F.col("seg")).otherwise("*")))
+        grown = F.when(F.col("shared").isNull(), F.col("template")).otherwise(F.concat("template", common, step))
+        found = at.withColumn("template", grown).drop("seg", "literal", "shared")
         found = stored(found, f"level{level}")
         level += 1
     rest = F.array_repeat(F.lit("*"), F.size("segs") - F.size("template"))
@@ -99,9 +110,12 @@ def merged(templates: DataFrame) -> DataFrame:
     """(host, template, merged): each template with the one it became part of.
     ``templates`` has (host, template, seen, good)."""
     found = templates.withColumn("merged", F.col("template"))
-    last = F.array_max(F.transform("template", lambda s, i: F.when(s != "*", i + 1).otherwise(0)))
-    depth = templates.agg(F.max(last)).first()[0] or 0  # beyond it all are wildcards already
-    for level in reversed(range(depth)):
+    # Only where templates of one length differ can branches meet; a merge above or below
+    # makes no new difference.
+    each = templates.select("host", F.size("template").alias("size"), F.posexplode("template").alias("level", "seg"))
+    differ = each.groupBy("host", "size", "level").agg((F.min("seg") != F.max("seg")).alias("differ")).filter("differ")
+    levels = sorted(r["level"] for r in differ.select("level").distinct().collect())  # no more than a path has segments
+    for level in reversed(levels):
         here = F.size("merged") > level
         star = F.concat(F.slice("merged", 1, level), F.array(F.lit("*")), F.slice("merged", level + 2, 1 << 30))
         branches = found.groupBy("host", "merged").agg(F.sum("seen").alias("seen"), F.sum("good").alias("good"))
@@ -183,37 +197,26 @@ cut AS (SELECT *, [CASE WHEN s = '*' THEN '%2A' ELSE s END FOR s IN string_split
     ]
     ctes.append(
         f"""
-g0 AS (SELECT host, path, n, seen, good, CAST([] AS VARCHAR[]) AS template,
-    CASE WHEN len(every) > {LEVELS} THEN list_concat(every[1:{LEVELS}], [array_to_string(every[{LEVELS + 1}:], '/')]) ELSE every END AS segs FROM cut)"""
+g(level, host, path, n, seen, good, segs, template) AS (
+    SELECT 0, host, path, n, seen, good, every, CAST([] AS VARCHAR[]) FROM cut
+    UNION ALL
+    SELECT level + 1, host, path, n, seen, good, segs, list_append(template, CASE WHEN sum(n) OVER (PARTITION BY host, template, segs[level + 1])
+        >= {MIN_PAGES} THEN segs[level + 1] ELSE '*' END) FROM g WHERE len(segs) > level),
+made AS (SELECT host, path, template, seen, good FROM g WHERE level = len(segs)),
+leaves AS (SELECT host, template, CAST(sum(seen) AS DOUBLE) AS seen, CAST(sum(good) AS DOUBLE) AS good FROM made GROUP BY ALL),
+m(level, host, template, seen, good, merged) AS (
+    SELECT (SELECT max(len(template)) FROM leaves), host, template, seen, good, template FROM leaves
+    UNION ALL
+    SELECT level - 1, host, template, seen, good, CASE WHEN len(merged) >= level AND least_ <> most_ AND CASE
+        WHEN ps = 0 OR bs = 0 OR pg = 0 OR pg = ps THEN TRUE
+        ELSE abs((bg - bs * (pg / ps)) / sqrt(bs * (pg / ps) * (1 - pg / ps))) <= {MERGE_Z} END THEN pool ELSE merged END
+    FROM (SELECT *, sum(seen) OVER b AS bs, sum(good) OVER b AS bg, sum(seen) OVER p AS ps, sum(good) OVER p AS pg,
+        min(merged) OVER p AS least_, max(merged) OVER p AS most_
+        FROM (SELECT *, CASE WHEN len(merged) >= level THEN list_concat(list_append(merged[1:level - 1], '*'), merged[level + 1:]) END AS pool
+            FROM m WHERE level > 0)
+        WINDOW b AS (PARTITION BY host, merged), p AS (PARTITION BY host, pool))),
+m0 AS (SELECT host, template, seen, good, merged FROM m WHERE level = 0)"""
     )
-    for i in range(LEVELS + 1):
-        ctes.append(
-            f"""
-b{i} AS (SELECT host, template, segs[{i + 1}] AS seg, sum(n) AS n FROM g{i} WHERE len(segs) > {i} GROUP BY ALL),
-o{i} AS (SELECT host, template, sum(n) AS total FROM b{i} GROUP BY ALL),
-l{i} AS (SELECT host, template, seg FROM b{i} JOIN o{i} USING (host, template) WHERE n >= {MIN_PAGES} AND n >= {MIN_SHARE} * CAST(total AS DOUBLE)),
-g{i + 1} AS (SELECT g.host, path, n, seen, good, segs, CASE WHEN len(segs) <= {i} THEN g.template
-    ELSE list_append(g.template, CASE WHEN l.seg IS NULL THEN '*' ELSE l.seg END) END AS template
-    FROM g{i} g LEFT JOIN l{i} l ON g.host = l.host AND g.template = l.template AND len(segs) > {i} AND segs[{i + 1}] = l.seg)"""
-        )
-    last = LEVELS + 1
-    ctes.append(
-        f"""
-leaves AS (SELECT host, template, sum(seen) AS seen, sum(good) AS good FROM g{last} GROUP BY ALL),
-m{last} AS (SELECT *, template AS merged FROM leaves)"""
-    )
-    for i in reversed(range(LEVELS + 1)):
-        ctes.append(
-            f"""
-c{i} AS (SELECT host, merged, CAST(sum(seen) AS DOUBLE) AS seen, CAST(sum(good) AS DOUBLE) AS good,
-    list_concat(list_append(merged[1:{i}], '*'), merged[{i + 2}:]) AS pool FROM m{i + 1} WHERE len(merged) > {i} GROUP BY host, merged),
-p{i} AS (SELECT host, pool, sum(seen) AS ps, sum(good) AS pg, count(*) AS members FROM c{i} GROUP BY ALL),
-v{i} AS (SELECT host, merged, pool FROM c{i} JOIN p{i} USING (host, pool) WHERE members > 1 AND CASE
-    WHEN ps = 0 OR seen = 0 OR pg = 0 OR pg = ps THEN TRUE
-    ELSE abs((good - seen * (pg / ps)) / sqrt(seen * (pg / ps) * (1 - pg / ps))) <= {MERGE_Z} END),
-m{i} AS (SELECT m.host, m.template, m.seen, m.good, coalesce(v.pool, m.merged) AS merged
-    FROM m{i + 1} m LEFT JOIN v{i} v ON m.host = v.host AND m.merged = v.merged)"""
-        )
     rule = reduce(
         lambda rest, r: f"CASE WHEN (host = '{r[0]}' OR ends_with(host, '.{r[0]}')) AND starts_with(path, '{r[1]}') "
         f"THEN '{r[0]}{r[1]}' ELSE {rest} END",
@@ -221,13 +224,13 @@ m{i} AS (SELECT m.host, m.template, m.seen, m.good, coalesce(v.pool, m.merged) A
         "NULL",
     )
     said = " ".join(f"WHEN '{h}{p}' THEN '{v}'" for h, p, v in RULES)
-    return f"""WITH {",".join(ctes)},
+    return f"""WITH RECURSIVE {",".join(ctes)},
 groups_ AS (SELECT host, merged, sum(seen) AS seen, sum(good) AS good FROM m0 GROUP BY ALL),
 prior AS (SELECT CASE WHEN sum(seen) > 0 THEN CAST(sum(good) AS DOUBLE) / CAST(sum(seen) AS DOUBLE) ELSE 1.0 END AS prior FROM leaves),
 pure AS (SELECT host, merged, (good + {STRENGTH} * prior) / (seen + {STRENGTH}) AS purity FROM groups_, prior),
 judged AS (SELECT r.page_id, r.host, r.path, {rule.replace("host", "r.host").replace("path", "r.path")} AS rule,
     '/' || array_to_string(m.merged, '/') AS template, purity
-    FROM rows_ r JOIN g{last} g ON r.host = g.host AND r.path = g.path
+    FROM rows_ r JOIN made g ON r.host = g.host AND r.path = g.path
     JOIN m0 m ON g.host = m.host AND g.template = m.template JOIN pure u ON u.host = m.host AND u.merged = m.merged)
 SELECT page_id, host, path, rule,
     CASE rule {said} ELSE CASE WHEN purity < {MIN_PURITY} THEN 'block' ELSE 'allow' END END AS verdict,

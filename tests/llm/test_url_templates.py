@@ -70,3 +70,41 @@ def test_small_sections_of_large_hosts_and_deep_paths(spark):
     ]
     templates = {r["template"] for r in got if r["verdict"] == "block"}
     assert templates == {"/s7/*", "/a/b/c/d/junk/*"}
+
+
+def against_sql(spark, tmp_path, urls_, marks):
+    pages(spark, urls_).write.parquet(str(tmp_path / "pages"))
+    spark.createDataFrame(marks, "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels"))
+    con = duckdb.connect()
+    for t in ("pages", "labels"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{tmp_path}/{t}/*.parquet'")
+    columns = ("page_id", "template", "verdict", "purity")
+    want = con.execute(f"SELECT {', '.join(columns)} FROM ({urls.ORACLE})").fetchall()
+    read = lambda t: spark.read.parquet(str(tmp_path / t))
+    got = by(urls.judged(read("pages"), urls.page_labels(read("pages"), read("labels"))), *columns)
+    assert got == sorted(want, key=str)
+    return got
+
+
+def test_deep_and_branching_paths_match_sql(spark, tmp_path):
+    import random
+
+    draw = random.Random(8)
+    found = []
+    for i in range(400):
+        depth = draw.randrange(0, 9)
+        found.append("x://h" + str(draw.randrange(2)) + "".join("/" + draw.choice("aab") for _ in range(depth)) + (f"/{i}" if draw.random() < 0.7 else ""))
+    found += [f"x://deep/a/b/c/d/e/f/g/h/{i % 3}/z/{i}" for i in range(60)] + ["x://deep/a/b/c/d"] * 9
+    marks = [(i, draw.randrange(2), draw.randrange(2)) for i in range(0, 460, 2)]
+    assert len({r[1] for r in against_sql(spark, tmp_path, found, marks)}) > 10
+
+
+def test_a_thousand_segments_take_few_steps(spark, monkeypatch):
+    trap = "x://trap" + "/s" * 1000
+    rows = [trap] * 9 + [trap + f"/t/{i}" for i in range(20)] + [trap + "/end"] * 8
+    written = []
+    real = urls.stored
+    monkeypatch.setattr(urls, "stored", lambda df, name: written.append(name) or real(df, name))
+    got = urls.judged(pages(spark, rows), labels(spark, [])).collect()
+    assert {r["template"].removeprefix("/s" * 1000) for r in got} == {"", "/t/*", "/end"}
+    assert len(written) < 20
