@@ -95,3 +95,29 @@ def split_words(texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray]:
     coded = words.filter(real).dictionary_encode()
     different = coded.dictionary.cast(pa.binary()).to_pylist()
     return before[ends[1:]] - before[ends[:-1]], different, coded.indices.to_numpy()
+
+
+class Recent:
+    """A table of at most ``2 * size`` values that were asked for last: a full
+    generation becomes the old one, of which only what is asked for again is kept."""
+
+    def __init__(self, size: int):
+        self.size = size
+        self.young: dict = {}
+        self.old: dict = {}
+
+    def many(self, keys: list) -> list:
+        """The values of keys, None for those not held."""
+        young, old = self.young.get, self.old.get
+        found = [young(k) for k in keys]
+        if self.old:
+            for i, k in enumerate(keys):
+                if found[i] is None and (value := old(k)) is not None:
+                    found[i] = value
+                    self.put(k, value)
+        return found
+
+    def put(self, key, value) -> None:
+        if len(self.young) >= self.size:
+            self.young, self.old = {}, self.young
+        self.young[key] = value

@@ -7,12 +7,13 @@ run of markers with the characters up to the next marker, and its ids are those
 its chunks in turn. A character that only pieces of its own hold (a line feed,
 where the vocabulary has none in a longer piece) begins a chunk as well.
 
-The corpus is cut into slices of some megabytes. A slice is stored as its distinct
-chunks and, for every position of its texts, the number of the chunk that stands
-there. The distinct chunks of all slices are segmented once, by the library;
-the table that results is joined with the chunks of each slice, and its ids go back
-to the positions through their numbers. What is shuffled is one row for each
-distinct chunk of a slice, and no task holds more than a slice.
+Texts are taken in slices of some megabytes. A slice becomes its distinct chunks and,
+for every position of its texts, the number of the chunk that stands there. Each
+distinct chunk is segmented once, by the library, and its ids go back to the
+positions through their numbers, as array takes. The chunks met last stay in a
+table of the worker, so that from slice to slice only new ones are segmented. Nothing
+is shuffled: a table of the whole corpus' chunks would have to be joined
+with every slice's own, which moves several times the input.
 """
 
 from __future__ import annotations
@@ -20,22 +21,23 @@ from __future__ import annotations
 import os
 import re
 import sys
+from array import array
 from collections.abc import Iterator
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from orelake.llm.common import give_back, in_arrow, stored, text_slices
+from orelake.llm.common import Recent, in_arrow, text_slices
 
 MARK = "▁"
 SEPARATOR = "\x1f"  # texts that hold it take the slower way
 SLICE_TEXT = 8 << 20
 OUT_IDS = 1 << 20  # ids of the texts sent on at once
+RECENT_CHUNKS = 300_000  # of a generation of a worker's table
 
 _CHUNK = re.compile(" +[^ \n]*|\n[^ \n]*")
 
@@ -77,10 +79,33 @@ def check(proto) -> None:
         raise ValueError("pieces of the model may cross a marker or a line feed")
 
 
-def worker_model(path: str) -> Model:
-    home = sys.modules.setdefault("_piece_models", ModuleType("_piece_models")).__dict__
+class Table:
+    """A model with a table of the chunks it segmented last: their ids and texts."""
+
+    def __init__(self, model: Model):
+        self.model = model
+        self.recent = Recent(RECENT_CHUNKS)
+
+    def segmented(self, chunks: list[str]) -> tuple[pa.ListArray, pa.Array]:
+        """The ids and texts of different chunks."""
+        held = self.recent.many(chunks)
+        new = [i for i, known in enumerate(held) if known is None]
+        some = [chunks[i] for i in new]
+        ids = self.model.encode(some)
+        for i, own, text in zip(new, ids, self.model.decode(some, ids)):
+            held[i] = (array("i", own).tobytes(), text)
+            self.recent.put(chunks[i], held[i])
+        flat = np.frombuffer(b"".join([k[0] for k in held]), np.int32)
+        ends = np.cumsum(np.fromiter((len(k[0]) for k in held), np.int64, len(held)) // 4)
+        offsets = pa.array(np.concatenate([[0], ends]).astype(np.int32))
+        return pa.ListArray.from_arrays(offsets, pa.array(flat)), pa.array([k[1] for k in held], pa.string())
+
+
+def worker_table(path: str) -> Table:
+    """The worker's own table for a model, kept from task to task."""
+    home = sys.modules.setdefault("_chunk_tables", ModuleType("_chunk_tables")).__dict__
     if path not in home:
-        home[path] = Model(path)
+        home[path] = Table(Model(path))
     return home[path]
 
 
@@ -111,92 +136,36 @@ def chunked(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
     return chunks, codes, sizes
 
 
-_SLICE_DDL = "slice bigint, doc_ids array<bigint>, sizes array<int>, codes array<int>, chunks array<string>"
-
-
-def _slices(docs: DataFrame, slice_text: int) -> DataFrame:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number = TaskContext.get().partitionId() << 32, 0
-
-        def packed(held: list[pa.RecordBatch]) -> pa.RecordBatch:
-            rows = pa.Table.from_batches(held).combine_chunks()
-            texts = rows.column("text").combine_chunks()
-            chunks, codes, sizes = chunked(texts)
-            row = [part + number, rows.column("doc_id").to_pylist(), sizes.astype(np.int32), codes, chunks]
-            types = [pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.list_(pa.string())]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x], t) for x, t in zip(row, types)], names=["slice", "doc_ids", "sizes", "codes", "chunks"]
-            )
-
-        held, size = [], 0
-        for batch in text_slices(batches, limit=slice_text):
-            held.append(batch)
-            size += batch.nbytes
-            if size >= slice_text:
-                yield packed(held)
-                number, held, size = number + 1, [], 0
-        if held:
-            yield packed(held)
-
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    return in_arrow(source, run, _SLICE_DDL)
-
-
-_TABLE_DDL = "chunk string, ids array<int>, decoded string"
-
-
-def chunk_table(chunks: DataFrame, model: str) -> DataFrame:
-    """(chunk, ids, decoded) of every different value of ``chunk``."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pieces = worker_model(model)
-        for batch in batches:
-            some = batch.column("chunk").to_pylist()
-            ids = pieces.encode(some)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("chunk"), pa.array(ids, pa.list_(pa.int32())), pa.array(pieces.decode(some, ids), pa.string())],
-                names=["chunk", "ids", "decoded"],
-            )
-
-    return in_arrow(chunks.select("chunk").distinct(), run, _TABLE_DDL)
-
-
 _OUT_DDL = "doc_id bigint, ids array<int>, decoded string"
 _OUT = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("decoded", pa.string())])
 
 
-def _texts(row: dict, ids: pa.ListArray, decoded: pa.Array, end: int) -> Iterator[pa.RecordBatch]:
-    """The ids and texts of a slice's documents; entry i of ``ids`` and ``decoded``
-    belongs to the slice's chunk i."""
+def encoded_slice(doc_ids: pa.Array, texts: pa.Array, table: Table) -> Iterator[pa.RecordBatch]:
+    """The ids and decoded texts of some documents, about OUT_IDS ids at a time."""
+    chunks, codes, sizes = chunked(texts)
+    ids, decoded = table.segmented(chunks)
     flat, width = ids.values.to_numpy(), np.diff(ids.offsets.to_numpy()).astype(np.int64)
-    begin = np.cumsum(width) - width
-    sizes = np.array(row["sizes"], dtype=np.int64)
-    stops = np.cumsum(sizes)
-    tokens = np.cumsum(width[row["codes"]])
-    tokens = np.concatenate([[0], tokens])[np.concatenate([[0], stops])]
+    begin, stops = np.cumsum(width) - width, np.cumsum(sizes)
+    tokens = np.concatenate([[0], np.cumsum(width[codes])])[np.concatenate([[0], stops])]
     at = 0
     while at < len(sizes):
         upto = max(at + 1, int(np.searchsorted(tokens, tokens[at] + OUT_IDS, "right")) - 1)
-        codes = row["codes"][stops[at] - sizes[at] : stops[upto - 1]]
-        n = width[codes]
-        before = np.cumsum(n) - n
-        own = flat[np.arange(int(n.sum())) + np.repeat(begin[codes] - before, n)]
+        own = codes[stops[at] - sizes[at] : stops[upto - 1]]
+        n = width[own]
+        found = flat[np.arange(int(n.sum())) + np.repeat(begin[own] - (np.cumsum(n) - n), n)]
         counts = np.diff(tokens[at : upto + 1]) + 1
-        out = np.full(len(own) + len(counts), end, dtype=np.int32)
+        out = np.full(len(found) + len(counts), table.model.end, dtype=np.int32)
         mine = np.ones(len(out), dtype=bool)
         mine[np.cumsum(counts) - 1] = False
-        out[mine] = own
+        out[mine] = found
         words = pa.ListArray.from_arrays(
-            pa.array(np.concatenate([[0], np.cumsum(sizes[at:upto])]).astype(np.int32)), decoded.take(pa.array(codes))
+            pa.array(np.concatenate([[0], np.cumsum(sizes[at:upto])]).astype(np.int32)), decoded.take(pa.array(own))
         )
-        text = pc.binary_join(words, "")
         # The marker that the library put before a text is not part of it.
-        text = pc.utf8_slice_codeunits(text, 1)
+        text = pc.utf8_slice_codeunits(pc.binary_join(words, ""), 1)
         offsets = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(row["doc_ids"][at:upto], pa.int64()), pa.ListArray.from_arrays(pa.array(offsets), pa.array(out)), text],
-            schema=_OUT,
-        )
+        listed = pa.ListArray.from_arrays(pa.array(offsets), pa.array(out))
+        yield pa.RecordBatch.from_arrays([doc_ids.slice(at, upto - at), listed, text], schema=_OUT)
         at = upto
 
 
@@ -204,27 +173,27 @@ def encoded(docs: DataFrame, model: str, slice_text: int = SLICE_TEXT) -> DataFr
     """(doc_id, ids, decoded) of every row of ``docs`` (doc_id, text): the ids of its
     whole text as the library gives them, the end id last, and the text that these
     ids stand for. A null text is empty and has the end id alone; rows that share an
-    id or a text are rows of their own. ``model`` is a file that every machine has."""
+    id or a text are rows of their own. ``model`` is a file that every machine has;
+    one whose pieces may cross chunks is refused."""
     if not os.path.exists(model):
         raise FileNotFoundError(model)
-    end = Model(model).end
-    slices = stored(_slices(docs, slice_text), "slices")
-    spread = slices.select("slice", F.posexplode("chunks").alias("code", "chunk"))
-    table = stored(chunk_table(spread, model), "chunks")
-    known = spread.join(table, "chunk").select(F.col("slice").alias("of"), "code", "ids", "decoded")
-
-    def assemble(own: pa.Table, found: pa.Table) -> Iterator[pa.RecordBatch]:
-        found = found.sort_by("code").combine_chunks()
-        ids, decoded = (c.combine_chunks() for c in (found.column("ids"), found.column("decoded")))
-        row = {c: own.column(c).combine_chunks().values for c in ("doc_ids", "sizes", "codes")}
-        row = {k: v.to_numpy(zero_copy_only=False) if k != "doc_ids" else v.to_pylist() for k, v in row.items()}
-        try:
-            yield from _texts(row, ids, decoded, end)
-        finally:
-            give_back()
-
-    def joined(own: pa.Table, found: pa.Table) -> pa.Table:
-        return pa.Table.from_batches(assemble(own, found), schema=_OUT)
-
-    slim = slices.select("slice", "doc_ids", "sizes", "codes")
-    return slim.groupBy("slice").cogroup(known.groupBy("of")).applyInArrow(joined, _OUT_DDL)
+    Model(model)  # refused here rather than in the tasks
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        table = worker_table(model)
+        held: list[pa.RecordBatch] = []
+
+        def emptied() -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held).combine_chunks()
+            held.clear()
+            yield from encoded_slice(rows.column("doc_id").combine_chunks(), rows.column("text").combine_chunks(), table)
+
+        for batch in text_slices(batches, limit=slice_text):
+            held.append(batch)
+            if sum(b.nbytes for b in held) >= slice_text:
+                yield from emptied()
+        if held:
+            yield from emptied()
+
+    return in_arrow(source, run, _OUT_DDL)

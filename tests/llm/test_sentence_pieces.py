@@ -65,10 +65,31 @@ def test_query_columns_over_a_test_table(spark, small):
         assert r["decoded_sha256"] == hashlib.sha256(decoded.encode()).hexdigest()
 
 
-def test_each_chunk_is_segmented_once(spark):
-    df = spark.createDataFrame([(" a",), (" a",), ("\nb",)], "chunk string")
-    found = sp.chunk_table(df, MODEL).collect()
-    assert sorted(r["chunk"] for r in found) == ["\nb", " a"]
+def test_each_chunk_is_segmented_once():
+    asked = []
+
+    class Watched(sp.Model):
+        def encode(self, chunks):
+            asked.extend(chunks)
+            return super().encode(chunks)
+
+    table = sp.Table(Watched(MODEL))
+    texts = pa.array(["a b a\nb", "a a c", None, "b  b"])
+    ids = pa.array([1, 2, 3, 4], pa.int64())
+    for _ in range(2):
+        rows = [r for b in sp.encoded_slice(ids, texts, table) for r in b.to_pylist()]
+        assert [(r["ids"], r["decoded"]) for r in rows] == [whole(t) for t in texts.to_pylist()]
+    assert len(asked) == len(set(asked))
+
+
+def test_the_table_forgets_what_is_not_asked_for_again():
+    from orelake.llm.common import Recent
+
+    held = Recent(3)
+    for i in range(20):
+        held.put(i, str(i))
+        assert held.many([0]) == ["0"]
+    assert len(held.young) <= 3 and len(held.old) <= 3 and held.many([1]) == [None] and held.many([19]) == ["19"]
 
 
 def test_empty_table(spark):
