@@ -71,27 +71,27 @@ def within_one(a: list[bytes], b: list[bytes]) -> bool:
 
 
 def _emitted(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(key, place, doc_id, copy, line_no, line): keys of the wanted lines; place 0 and the
+    """(key, place, doc_id, line_no, line): keys of the wanted lines; place 0 and the
     text for a line as it stands, else the number of the deleted word."""
     kind = pa.schema(
-        [("key", pa.int64()), ("place", pa.int32()), ("doc_id", pa.int64()), ("copy", pa.int64()), ("line_no", pa.int32()), ("line", pa.string())]
+        [("key", pa.int64()), ("place", pa.int32()), ("doc_id", pa.int64()), ("line_no", pa.int32()), ("line", pa.string())]
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_slices(batches):
-            ids, copies, wanted = (batch.column(c).to_pylist() for c in ("doc_id", "copy", "wanted"))
-            for doc_id, copy, text, numbers in zip(ids, copies, as_bytes(batch.column("text")), wanted):
+            ids, wanted = batch.column("doc_id").to_pylist(), batch.column("wanted").to_pylist()
+            for doc_id, text, numbers in zip(ids, as_bytes(batch.column("text")), wanted):
                 lines = text.split(b"\n")
                 for at in sorted(numbers):
                     keys = variants(lines[at].split())
                     n = len(keys)
-                    columns = [keys, np.arange(n, dtype=np.int32), np.full(n, doc_id), np.full(n, copy), np.full(n, at, np.int32)]
+                    columns = [keys, np.arange(n, dtype=np.int32), np.full(n, doc_id), np.full(n, at, np.int32)]
                     texts = [lines[at].decode(), *[None] * (n - 1)]
                     yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(texts, pa.string())], schema=kind)
 
-    by_doc = stored(wanted.groupBy("doc_id", "copy").agg(F.collect_list("line_no").alias("wanted")), "wanted")
-    joined = docs.select("doc_id", "copy", "text").join(_few(by_doc, "wanted"), ["doc_id", "copy"])
-    return in_arrow(joined, run, "key bigint, place int, doc_id bigint, copy bigint, line_no int, line string")
+    by_doc = stored(wanted.groupBy("doc_id").agg(F.collect_list("line_no").alias("wanted")), "wanted")
+    joined = docs.select("doc_id", "text").join(_few(by_doc, "wanted"), "doc_id")
+    return in_arrow(joined, run, "key bigint, place int, doc_id bigint, line_no int, line string")
 
 
 def _few(by_doc: DataFrame, numbers: str) -> DataFrame:
@@ -102,25 +102,25 @@ def _few(by_doc: DataFrame, numbers: str) -> DataFrame:
 
 
 def _verified(pairs: DataFrame) -> DataFrame:
-    """The pairs (own, partner as text) whose lines are one edit apart, as (doc_id, copy, line_no)."""
+    """The pairs (own, partner as text) whose lines are one edit apart, as (doc_id, line_no)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             sides = [[t.split() for t in as_bytes(batch.column(c))] for c in ("line", "partner_line")]
-            yield batch.filter(pa.array([within_one(a, b) for a, b in zip(*sides)], pa.bool_())).select(["doc_id", "copy", "line_no"])
+            yield batch.filter(pa.array([within_one(a, b) for a, b in zip(*sides)], pa.bool_())).select(["doc_id", "line_no"])
 
-    return in_arrow(pairs.select("doc_id", "copy", "line_no", "line", "partner_line"), run, "doc_id bigint, copy bigint, line_no int")
+    return in_arrow(pairs.select("doc_id", "line_no", "line", "partner_line"), run, "doc_id bigint, line_no int")
 
 
 def near_repeats(docs: DataFrame, firsts: DataFrame) -> DataFrame:
-    """(doc_id, copy, line_no) of different lines that have an earlier one within one edit.
-    ``firsts`` has (first struct<doc_id, copy, line_no>, halves) per different line."""
+    """(doc_id, line_no) of different lines that have an earlier one within one edit.
+    ``firsts`` has (first struct<doc_id, line_no>, halves) per different line."""
     keyed = firsts.filter(F.col("halves").isNotNull()).select("first", F.explode("halves").alias("half"))
     shared = keyed.groupBy("half").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    wanted = keyed.join(shared, "half").select("first.doc_id", "first.copy", "first.line_no").distinct()
+    wanted = keyed.join(shared, "half").select("first.doc_id", "first.line_no").distinct()
     sent = stored(_emitted(docs, wanted), "variants")
 
-    own = F.struct("doc_id", "copy", "line_no")
+    own = F.struct("doc_id", "line_no")
     by_place = stored(sent.groupBy("key", "place").agg(F.min(own).alias("least"), F.count(F.lit(1)).alias("n")), "places")
     replaced = by_place.filter((F.col("place") > 0) & (F.col("n") > 1)).select("key", "place", "least")
     whole = F.col("place") == 0
@@ -134,9 +134,9 @@ def near_repeats(docs: DataFrame, firsts: DataFrame) -> DataFrame:
     links = links.union(rows.join(added, "key").select("own", other.alias("partner")))
     links = links.filter(F.col("partner") < F.col("own")).groupBy("own").agg(F.min("partner").alias("partner"))
 
-    texts = sent.filter(whole).select("doc_id", "copy", "line_no", "line")
-    mine = links.select("own.doc_id", "own.copy", "own.line_no", "partner").join(texts, ["doc_id", "copy", "line_no"])
-    theirs = texts.select(own.alias("partner"), F.col("line").alias("partner_line"))
+    texts = sent.filter(whole).select("doc_id", "line_no", "line")
+    mine = links.select("own.doc_id", "own.line_no", "partner").join(texts, ["doc_id", "line_no"])
+    theirs = texts.select(F.struct("doc_id", "line_no").alias("partner"), F.col("line").alias("partner_line"))
     return _verified(mine.join(theirs, "partner"))
 
 
@@ -149,24 +149,39 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     goes if an equal one, or one within an edit if both have MIN_WORDS words or more,
     is earlier, whether or not that one stays. Lines without words stay. A null text
     stays null with no lines. Rows with a null id are returned as they are. Of rows that
-    share an id, one is earlier whose text has the smaller 64-bit hash; rows that also
-    share the text are one document and keep the same lines.
+    share an id the one whose text comes first is earlier; rows that also share the
+    text are one document and keep the same lines.
     """
     source = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    source = source.withColumn("copy", F.xxhash64("text"))
+    ids = source.select("doc_id").filter(F.col("doc_id").isNotNull())
+    if ids.groupBy("doc_id").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+        return _deduplicated(source)
+    # Different rows get numbers of their own, in the order of their ids.
+    counted = source.filter(F.col("doc_id").isNotNull()).groupBy("doc_id", "text").agg(F.count(F.lit(1)).alias("n"))
+    in_ranges = counted.repartitionByRange("doc_id", F.substring("text", 1, 64)).sortWithinPartitions("doc_id", "text")
+    numbered = stored(in_ranges.withColumn("row", F.monotonically_increasing_id()), "numbered")
+    nameless = source.filter(F.col("doc_id").isNull())
+    found = _deduplicated(numbered.select(F.col("row").alias("doc_id"), "text").unionByName(nameless))
+    names = numbered.select("row", F.col("doc_id").alias("name"), "n")
+    back = found.join(names, F.col("doc_id") == F.col("row"), "left").withColumn("doc_id", F.col("name"))
+    uses = F.explode(F.array_repeat(F.lit(0), F.coalesce(F.col("n"), F.lit(1)).cast("int")))
+    return back.withColumn("use", uses).select("doc_id", "n_lines", "n_exact", "n_near", "text")
+
+
+def _deduplicated(source: DataFrame) -> DataFrame:
+    """The same for ``source`` (doc_id, text), whose ids are unique or null."""
     named = source.filter(F.col("doc_id").isNotNull())
-    lines = named.select("doc_id", "copy", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
+    lines = named.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
     lines = lines.withColumn("words", _words("line")).withColumn("n", F.size("words")).filter("n > 0")
     # The key is exact but for collisions of md5; halves depend on it alone.
     keyed = lines.select(
         F.unhex(F.md5(F.array_join("words", " "))).alias("content"), _halves().alias("halves"),
-        F.struct("doc_id", "copy", "line_no").alias("at"),
+        F.struct("doc_id", "line_no").alias("at"),
     )
     firsts = stored(keyed.groupBy("content", "halves").agg(F.min("at").alias("first")), "firsts").drop("content")
     near = stored(near_repeats(named, firsts), "near")
-    line = ["doc_id", "copy", "line_no"]
-    by_doc = firsts.select("first.doc_id", "first.copy", "first.line_no").join(near.withColumn("near", F.lit(True)), line, "left")
-    by_doc = by_doc.groupBy("doc_id", "copy").agg(
+    by_doc = firsts.select("first.doc_id", "first.line_no").join(near.withColumn("near", F.lit(True)), ["doc_id", "line_no"], "left")
+    by_doc = by_doc.groupBy("doc_id").agg(
         F.collect_list(F.when(F.col("near").isNull(), F.col("line_no"))).alias("kept"),
         F.collect_list(F.when(F.col("near"), F.col("line_no"))).alias("near"),
     )
@@ -186,5 +201,5 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
             columns = [pa.array([o[k] for o in out], t) for k, t in enumerate(kinds)]
             yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "n_lines", "n_exact", "n_near", "text"])
 
-    joined = source.join(by_doc, ["doc_id", "copy"], "left")
+    joined = source.join(by_doc, "doc_id", "left")
     return in_arrow(joined, run, "doc_id bigint, n_lines bigint, n_exact bigint, n_near bigint, text string")
