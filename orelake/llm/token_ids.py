@@ -9,10 +9,11 @@ end from the nearest note, so no table of offsets is stored. Blocks are numbered
 inside shards (ranges of document ids); the ids before a block follow from the
 sizes of the blocks and shards before it.
 
-Ids come from the tokenizers library. A text is cut before each single space
-between two other characters, where the tokenizer's own cutting rule always cuts
-too, so the ids of a text are those of its pieces in turn; each different piece
-is encoded once per worker and looked up from then on.
+Ids come from the tokenizers library. A text is cut where the tokenizer's own cutting
+rule always cuts too: before a single space between two other characters, around a
+single line feed, and between a letter and the mark that ends its word. So the ids of a
+text are those of its pieces in turn; each different piece of a slice is encoded
+once, and a worker keeps those it met last.
 """
 
 from __future__ import annotations
@@ -21,28 +22,30 @@ import os
 import re
 import sys
 import zlib
-from collections.abc import Iterator
-from itertools import chain, count
+from array import array
+from collections.abc import Iterator, Sequence
 from types import ModuleType
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from orelake.llm.common import in_arrow, text_slices
+from orelake.llm.common import Recent, in_arrow, text_slices
 
 END_ID = 0
 BLOCK_IDS = 1 << 20
 SAMPLE = 64
-MAX_PIECES = 300_000  # of a worker's table of pieces
+RECENT_PIECES = 200_000  # of a generation of a worker's table of pieces
 
 _CUT = re.compile(r"(?<=\S)(?= \S)")
 _BLANK = r"[\x{09}-\x{0d}\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
-_UNEVEN = rf"{_BLANK} | {_BLANK}|^ | $|\A | \z"
+_SEPARATOR = "\x1f"
+_UNEVEN = rf"{_BLANK}[ \n]|[ \n]{_BLANK}|^ | $|\A | \z|{_SEPARATOR}"
+_MARKED = r"([A-Za-z])([.,;:!?])([ \n]|$)"
 
 
 class EliasFano:
@@ -93,11 +96,7 @@ class EliasFano:
 
 
 class Pieces:
-    """A tokenizer with a table of pieces it has encoded, as runs of one id array.
-
-    The table takes pieces that recur within a slice until it is full; the others of
-    a slice are encoded for that slice alone.
-    """
+    """A tokenizer with a table of the pieces it encoded last, each with its ids' bytes."""
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -105,59 +104,44 @@ class Pieces:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.width = np.dtype("<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else np.dtype("<u4")
-        self.number: dict[str, int] = {}
-        self.ends = np.zeros(1, dtype=np.int64)
-        self.flat = np.zeros(0, dtype=self.width)
-
-    def _ids(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        flat, sizes = [np.zeros(0, dtype=self.width)], []
-        for at in range(0, len(pieces), 10_000):
-            some = self.tokenizer.encode_batch_fast(pieces[at : at + 10_000], add_special_tokens=False)
-            ids = [e.ids for e in some]
-            sizes += map(len, ids)
-            flat.append(np.fromiter(chain.from_iterable(ids), self.width))
-        return np.concatenate(flat), np.array(sizes, dtype=np.int64)
-
-    def _runs(self, pieces: list[str], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(ids, start, size) of different pieces; ``counts`` tells how often each is used."""
-        place = np.fromiter((self.number.get(p, -1) for p in pieces), np.int64, len(pieces))
-        new = np.flatnonzero(place < 0)
-        flat, sizes = self._ids([pieces[i] for i in new.tolist()])
-        start, size = self.ends[place], np.append(np.diff(self.ends), 0)[place]
-        start[new], size[new] = len(self.flat) + np.cumsum(sizes) - sizes, sizes
-        ids = np.concatenate([self.flat, flat])
-        lasting = new[counts[new] > 1][: MAX_PIECES - len(self.number)]
-        if len(lasting):
-            self.number.update(zip((pieces[i] for i in lasting.tolist()), count(len(self.number))))
-            self.flat = np.concatenate([self.flat, _gather(ids, start[lasting], size[lasting])])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(size[lasting])])
-        return ids, start, size
+        self.code = "H" if self.width.itemsize == 2 else "I"
+        self.recent = Recent(RECENT_PIECES)
+
+    def _runs(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(ids, start, size) of different pieces."""
+        held = self.recent.many(pieces)
+        new = [i for i, ids in enumerate(held) if ids is None]
+        for at in range(0, len(new), 10_000):
+            some = new[at : at + 10_000]
+            found = self.tokenizer.encode_batch_fast([pieces[i] for i in some], add_special_tokens=False)
+            for i, e in zip(some, found):
+                held[i] = array(self.code, e.ids).tobytes()
+                self.recent.put(pieces[i], held[i])
+        size = np.fromiter(map(len, held), np.int64, len(held)) // self.width.itemsize
+        return np.frombuffer(b"".join(held), self.width), np.cumsum(size) - size, size
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids of all texts with END_ID after each, number of ids of each). Null is empty."""
         texts = pc.fill_null(texts, "")
-        plain = pc.invert(pc.match_substring_regex(texts, _UNEVEN)).to_numpy(zero_copy_only=False)
-        cut = pc.split_pattern(pc.if_else(pa.array(plain), texts, ""), " ")
-        parts, begins = cut.values, cut.offsets.to_numpy()
-        first = np.zeros(len(parts), dtype=bool)
-        first[begins[:-1]] = True  # the piece that no space precedes
-        coded = parts.dictionary_encode()
-        words, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
-        pieces = [" " + w for w in words]
-        codes[first], extra = _numbered([words[c] for c in codes[first].tolist()], len(pieces))
-        pieces += extra
-        # Texts with other blanks beside a space are cut by the rule itself.
-        odd = {i: _CUT.split(texts[i].as_py()) for i in np.flatnonzero(~plain).tolist()}
-        odd_codes, extra = _numbered([p for ps in odd.values() for p in ps], len(pieces))
-        pieces += extra
-        spans = np.diff(begins)
-        if odd:
-            rows = np.split(codes, begins[1:-1])
-            for i, some in zip(odd, np.split(odd_codes, np.cumsum([len(p) for p in odd.values()])[:-1])):
-                rows[i] = some
-                spans[i] = len(some)
-            codes = np.concatenate(rows)
-        ids, start, size = self._runs(pieces, np.bincount(codes, minlength=len(pieces)))
+        odd = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False)
+        even = pc.if_else(pa.array(odd), "", texts)
+        even = pc.replace_substring_regex(even, _MARKED, rf"\1{_SEPARATOR}\2\3")
+        even = pc.replace_substring(even, "\n", f"{_SEPARATOR}\n{_SEPARATOR}")
+        cut = pc.split_pattern(pc.replace_substring(even, " ", f"{_SEPARATOR} "), _SEPARATOR)
+        spans = np.diff(cut.offsets.to_numpy())
+        coded = cut.values.dictionary_encode()
+        pieces, codes = coded.dictionary.to_pylist(), coded.indices.to_numpy().astype(np.int64)
+        rows = np.flatnonzero(odd).tolist()
+        if rows:
+            # Texts with other blanks beside a space are cut before single spaces only.
+            number = {p: i for i, p in enumerate(pieces)}
+            parts = np.split(codes, np.cumsum(spans)[:-1])
+            for i in rows:
+                found = _CUT.split(texts[i].as_py())
+                parts[i] = np.array([number.setdefault(p, len(number)) for p in found], dtype=np.int64)
+                spans[i] = len(found)
+            pieces, codes = list(number), np.concatenate(parts)
+        ids, start, size = self._runs(pieces)
         ends = np.concatenate([[0], np.cumsum(size[codes])])
         counts = np.diff(ends[np.concatenate([[0], np.cumsum(spans)])])
         out = np.full(int(ends[-1]) + len(texts), END_ID, dtype=self.width)
@@ -173,13 +157,6 @@ def _gather(ids: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return ids[np.arange(size.sum()) + np.repeat(start - before, size)]
 
 
-def _numbered(pieces: list[str], start: int) -> tuple[np.ndarray, list[str]]:
-    """Numbers from ``start`` for different pieces, and these in order."""
-    number: dict[str, int] = {}
-    codes = [number.setdefault(p, start + len(number)) for p in pieces]
-    return np.array(codes, dtype=np.int64), list(number)
-
-
 def worker_pieces(path: str) -> Pieces:
     """The worker's own table for a tokenizer, kept from task to task."""
     home = sys.modules.setdefault("_token_piece_tables", ModuleType("_token_piece_tables")).__dict__
@@ -214,10 +191,17 @@ def unpack(row: dict) -> tuple[list, np.ndarray, EliasFano]:
     return row["doc_ids"], ids, EliasFano(len(row["doc_ids"]), row["low_bits"], row["low"], row["high"], row["samples"])
 
 
-def encode_blocks(docs: DataFrame, tokenizer: str, block_ids: int = BLOCK_IDS) -> DataFrame:
-    """The blocks of ``docs`` (doc_id, text) in ascending order of doc_id."""
-    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    ordered = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
+def encode_blocks(
+    docs: DataFrame, tokenizer: str, block_ids: int = BLOCK_IDS, order: Sequence[str | Column] = ("doc_id",)
+) -> DataFrame:
+    """The blocks of ``docs`` (doc_id, text) in ascending order, by doc_id unless told otherwise."""
+    text = F.col("text").cast("string").alias("text")
+    places = [(F.col(c) if isinstance(c, str) else c).alias(f"place{i}") for i, c in enumerate(order)]
+    source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text, *places)
+    names = [f"place{i}" for i in range(len(places))]
+    # The start of the text keeps rows of one place from being one range.
+    ordered = source.repartitionByRange(*names, F.substring("text", 1, 64)).sortWithinPartitions(*names, "text")
+    ordered = ordered.select("doc_id", "text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces, shard, number = worker_pieces(tokenizer), TaskContext.get().partitionId(), 0
@@ -246,10 +230,13 @@ def encode_blocks(docs: DataFrame, tokenizer: str, block_ids: int = BLOCK_IDS) -
     return in_arrow(ordered, run, _BLOCK_DDL)
 
 
-def write_ids(docs: DataFrame, path: str, tokenizer: str, block_ids: int = BLOCK_IDS) -> None:
-    """Write the ids of every text. A null text is empty (only the end id), a null
-    id comes first, rows that repeat an id follow one another in order of text."""
-    encode_blocks(docs, tokenizer, block_ids).write.option("compression", "zstd").parquet(path)
+def write_ids(
+    docs: DataFrame, path: str, tokenizer: str, block_ids: int = BLOCK_IDS, order: Sequence[str | Column] = ("doc_id",)
+) -> None:
+    """Write the ids of every text in the given order. A null text is empty (only the
+    end id), a null id comes first, rows that share a place follow one another in
+    order of text."""
+    encode_blocks(docs, tokenizer, block_ids, order).write.option("compression", "zstd").parquet(path)
 
 
 def block_starts(spark: SparkSession, path: str) -> DataFrame:
