@@ -97,3 +97,12 @@ def test_stream_equals_history_from_the_whole_log(spark, feed, tmp_path, arrival
     found = order_state.read_daily_state(spark, out)
     assert as_rows(found.select(*daily.columns)) == as_rows(daily)
     assert order_state.read_late(spark, out).count() == 0
+
+
+def test_few_entries_hold_many_neighbours(spark, feed, tmp_path):
+    src = str(tmp_path / "in")
+    feed[0].write.parquet(src)
+    source = jobs.change_source(spark, src, feed[0].schema)
+    query = order_state.order_state_stream(source, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    entries = sum(o["numRowsTotal"] for o in query.lastProgress["stateOperators"])
+    assert 0 < entries <= feed[0].agg(F.max("ORDER_ID")).first()[0] // 1000 + 1
