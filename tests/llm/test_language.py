@@ -56,3 +56,38 @@ def test_filter_keeps_columns_and_rows(spark):
     kept = language.keep_known(d, language.fit(corpus(spark)))
     assert kept.columns == d.columns
     assert by(kept, "doc_id", "text") == [(0, EN), (4, DE), (4, DE)]
+
+
+def test_every_labelled_text_is_learned_from(spark, monkeypatch):
+    d, seen = corpus(spark, copies=2200), []
+    monkeypatch.setattr(language, "_machines", lambda rows, *a: seen.append(rows.groupBy("lang").count().collect()) or [])
+    language.fit(d)
+    want = d.filter("crc32(cast(cast(doc_id AS string) AS binary)) % 4 <> 2").groupBy("lang").count().collect()
+    assert sorted(seen[0]) == sorted(want) and all(r["count"] > 1500 for r in want)
+
+
+def test_limits_come_from_every_held_out_text(spark, monkeypatch):
+    import random
+
+    draw = random.Random(3)
+    rows = [(s, draw.choice([draw.random(), 0.25, 1.0, 0.0])) for s in (3, 4, 5) for _ in range(draw.randint(60, 900))]
+    rows += [(6, 0.5)] * 10
+    df = spark.createDataFrame(rows, "size int, score double")
+    for share in (0.0, 0.001, 0.3, 0.5, 1.0):
+        got = language.lowest(df, share, 50)
+        want = df.groupBy("size").agg({"*": "count"}).filter("size < 6").select("size").collect()
+        exact = dict(df.filter("size < 6").selectExpr("size", "score").groupBy("size").agg(_percentile(share)).collect())
+        assert set(got) == {r["size"] for r in want}
+        assert all(abs(got[k] - exact[k]) < 1e-12 for k in got)
+    many = docs(spark, [EN] * 12_000 + ["the x"] * 8000, langs=["en"] * 20_000)
+    model, counted = language.Model({"germanic": ["en"]}, [], {"germanic": []}, language.DIMENSIONS), []
+    monkeypatch.setattr(language, "lowest", lambda scores, *a: counted.append(scores.count()) or {})
+    language.limits(many, model)
+    held = [i for i in range(20_000) if zlib.crc32(str(i).encode()) % 4 == 2]
+    assert counted == [len(held)] and len(held) > 1500
+
+
+def _percentile(share):
+    from pyspark.sql import functions as F
+
+    return F.percentile("score", share)
