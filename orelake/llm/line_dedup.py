@@ -172,7 +172,8 @@ def _deduplicated(source: DataFrame) -> DataFrame:
     """The same for ``source`` (doc_id, text), whose ids are unique or null."""
     named = source.filter(F.col("doc_id").isNotNull())
     lines = named.select("doc_id", F.posexplode(F.split("text", "\n")).alias("line_no", "line"))
-    lines = lines.withColumn("words", _words("line")).withColumn("n", F.size("words")).filter("n > 0")
+    # A filter on the words would be pushed below them, which cuts each line twice.
+    lines = lines.filter(F.col("line").rlike(r"[^\x20\x09-\x0D]")).withColumn("words", _words("line")).withColumn("n", F.size("words"))
     # The key is exact but for collisions of md5; halves depend on it alone.
     keyed = lines.select(
         F.unhex(F.md5(F.array_join("words", " "))).alias("content"), _halves().alias("halves"),

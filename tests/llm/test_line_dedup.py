@@ -92,3 +92,15 @@ def test_rows_that_share_an_id(spark):
     for turn in (texts, texts[::-1]):
         found = L.deduplicated(docs(spark, turn, ids if turn is texts else ids[::-1]).repartition(3))
         assert sorted(tuple(r) for r in found.collect()) == sorted([*want, twice])
+
+
+def test_a_line_is_cut_into_words_once(spark, monkeypatch):
+    plans, real = {}, L.stored
+
+    def noted(df, name):
+        plans[name] = df._jdf.queryExecution().optimizedPlan().toString()
+        return real(df, name)
+
+    monkeypatch.setattr(L, "stored", noted)
+    L.deduplicated(docs(spark, ["one two\n\x0b\n \t", "", None, "three"]))
+    assert plans["firsts"].count("split(") == 2  # a text into lines, a line into words
