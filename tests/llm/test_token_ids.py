@@ -49,6 +49,25 @@ def test_pieces_give_the_ids_of_whole_texts():
         assert n.tolist() == [len(ids(t)) for t in texts]
 
 
+def test_words_are_encoded_joined_and_marks_apart():
+    draw = random.Random(2)
+    ends = ["", "", "", ".", "***", "###", "é.", "'", ".'s", "'s", "|>", "<|endoftext|>", "\u0301.", "12", ")", "}"]
+    words = ["".join(draw.choice("abcdeéüñ中") for _ in range(draw.randint(1, 9))) + draw.choice(ends) for _ in range(3000)]
+    texts = [" ".join(words[i : i + 30]) + "\n" * (i % 60 // 30) for i in range(0, len(words), 30)] + ["a<|endoftext|> b<|endoftext|>"]
+    table, asked = T.Pieces(PATH), []
+    real = table.tokenizer
+
+    class Counted:
+        def encode_batch_fast(self, pieces, add_special_tokens):
+            asked.extend(pieces)
+            return real.encode_batch_fast(pieces, add_special_tokens=add_special_tokens)
+
+    table.tokenizer = Counted()
+    flat, _ = table.encode(pa.array(texts))
+    assert flat.tolist() == [x for t in texts for x in ids(t)]
+    assert len(asked) < 1500 and not any(p.endswith(("a***", "é###", "é.")) for p in asked)
+
+
 @pytest.mark.parametrize("block_ids", [1, 50, 1 << 20])
 def test_files_round_trip(spark, block_ids):
     df = docs(spark, AWKWARD + ["same id"], ids=[5, 3, 8, 1, 2, 9, 7, -4, None, 3])
