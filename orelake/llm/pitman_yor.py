@@ -65,6 +65,13 @@ def pair_keys(u: np.ndarray, w: np.ndarray) -> np.ndarray:
     return mix(u * _U(0x9E3779B97F4A7C15) + mix(w))
 
 
+def tally(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(the different values, rising, and how often each occurs)."""
+    values = np.sort(values)
+    starts = np.flatnonzero(np.append(np.ones(min(len(values), 1), bool), values[1:] != values[:-1]))
+    return values[starts], np.diff(np.append(starts, len(values)))
+
+
 def pack_keys(keys: np.ndarray) -> bytes:
     """Rising keys as the byte planes of their differences."""
     return np.diff(keys, prepend=_U(0)).view(np.uint8).reshape(-1, 8).T.tobytes()
@@ -159,12 +166,29 @@ class Block:
         self.u[np.concatenate([[0], np.cumsum(self.sizes)[:-1]])] = np.searchsorted(self.vocabulary, _START)
         self.learned = np.repeat(np.frombuffer(self.row["held_out"], np.uint8) == 0, self.sizes)
 
+    def _token_keys(self) -> np.ndarray:
+        return pair_keys(self.vocabulary[self.u], self.vocabulary[self.w])
+
     def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
         """(sorted keys, their u, their w, the number of each token's pair)."""
-        token_keys = pair_keys(self.vocabulary[self.u], self.vocabulary[self.w])
-        keys, first, place = np.unique(token_keys, return_index=True, return_inverse=True)
+        keys, first, place = np.unique(self._token_keys(), return_index=True, return_inverse=True)
         return keys, self.u[first], self.w[first], place.astype(np.int32)
 
+    def different_pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(sorted keys, their u, their w)."""
+        keys, first = np.unique(self._token_keys(), return_index=True)
+        return keys, self.u[first], self.w[first]
+
+    def pair_counts(self) -> tuple[np.ndarray, np.ndarray]:
+        """(sorted keys, the learned tokens of each): sorted as values, without their places."""
+        token_keys = self._token_keys()
+        keys, counts = tally(token_keys)
+        if not self.learned.all():
+            learned, times = tally(token_keys[self.learned])
+            counts = np.zeros(len(keys), dtype=np.int64)
+            counts[np.searchsorted(keys, learned)] = times
+        return keys, counts
+
 
 # --- sums over blocks -------------------------------------------------------------
 
@@ -336,8 +360,8 @@ class Model:
         def run(table: pa.Table) -> pa.Table:
             give_back()
             b = Block(table.to_pylist()[0])
-            keys, _, _, place = b.pairs()
-            return ask(b.row["block"], keys, [np.bincount(place[b.learned], minlength=len(keys))], buckets)
+            keys, counts = b.pair_counts()
+            return ask(b.row["block"], keys, [counts], buckets)
 
         return run
 
@@ -348,7 +372,7 @@ class Model:
         def run(left: pa.Table, right: pa.Table) -> pa.Table:
             give_back()
             b = Block(left.to_pylist()[0])
-            keys, u, w, _ = b.pairs()
+            keys, u, w = b.different_pairs()
             customers, owner = answers(right.to_pylist(), _PAIRS, 1)
             single, several = (customers == 1) & (owner == 1), (customers > 1) & (owner == 1)
             n = len(b.vocabulary)

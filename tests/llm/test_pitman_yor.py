@@ -87,3 +87,31 @@ def test_packed_numbers():
     for top in (0, 255, 256, 1 << 20, 1 << 40):
         assert P.unpack(P.pack(np.array([0, top]))).tolist() == [0, top]
     assert P.unpack(P.pack(np.zeros(0, np.int64))).tolist() == []
+
+
+def test_pairs_are_counted_as_by_their_places():
+    draw = np.random.default_rng(5)
+    sizes, vocabulary = np.array([1, 400, 3, 900, 1]), np.unique(draw.integers(3, 1 << 62, 40, dtype=np.uint64))
+    vocabulary = np.concatenate([[P._START, P._END], vocabulary])
+    for held in ([0, 1, 0, 0, 0], [0] * 5, [1] * 5):
+        codes = draw.zipf(1.5, sizes.sum()) % len(vocabulary)
+        block = P.Block({"vocabulary": P.pack_keys(vocabulary), "sizes": P.pack(sizes), "codes": P.pack(codes),
+                         "held_out": bytes(held)})
+        keys, u, w, place = block.pairs()
+        for got, want in zip(block.pair_counts(), (keys, np.bincount(place[block.learned], minlength=len(keys)))):
+            assert got.tolist() == want.tolist()
+        for got, want in zip(block.different_pairs(), (keys, u, w)):
+            assert got.tolist() == want.tolist()
+
+
+def test_what_is_loaded_is_gone_through_once_only():
+    import gc
+
+    from orelake.llm.common import give_back
+
+    gc.unfreeze()
+    try:
+        give_back()
+        assert gc.get_freeze_count() > 0
+    finally:
+        gc.unfreeze()
