@@ -1,6 +1,8 @@
+import json
 import random
 from datetime import datetime, timedelta
 
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -106,3 +108,59 @@ def test_few_entries_hold_many_neighbours(spark, feed, tmp_path):
     query = order_state.order_state_stream(source, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
     entries = sum(o["numRowsTotal"] for o in query.lastProgress["stateOperators"])
     assert 0 < entries <= feed[0].agg(F.max("ORDER_ID")).first()[0] // 1000 + 1
+
+
+class Held:
+    """A state entry as ``_update`` sees it."""
+
+    def __init__(self):
+        self.get = None
+
+    exists = property(lambda self: self.get is not None)
+
+    def update(self, value):
+        self.get = value
+
+    def getCurrentWatermarkMs(self):
+        return 0
+
+
+def test_entries_are_compressed_and_count_as_output_by_their_size():
+    n = 1 << order_state.BLOCK_BITS
+    image = [f'{{"ORDER_ID":{i},"REGION":"Europe","CHANNEL":"Partner","SOURCE_SYSTEM":"NATIVE"}}' for i in range(n)]
+    commits = pd.DataFrame({"ORDER_ID": range(n), "_commit": 0, "at": DAY, "inserts": True, "updates": False, "image": image})
+    state = Held()
+    (found,) = order_state._update((0,), iter([commits]), state)
+    assert found["SIGN"].tolist() == [1] * n
+    assert len(state.get[0]) * 3 < sum(map(len, image))
+    held = order_state.entry_orders(state.get[0])
+    assert held["7"] == [None, False, None, [[0, DAY, True, False, image[7]]]]
+    (again,) = order_state._update((0,), iter([commits]), state)  # changes nothing, but counts
+    assert len(again) == len(state.get[0]) // order_state.FILL + 1 and again["SIGN"].isna().all()
+    assert order_state.entry_orders(state.get[0]) == held
+
+
+def test_state_lies_in_rocksdb(spark, feed, tmp_path):
+    src = str(tmp_path / "in")
+    feed[0].filter("ORDER_ID < 40").write.parquet(src)
+    source = jobs.change_source(spark, src, feed[0].schema)
+    before = {k: spark.conf.get(k, None) for k in order_state.SETTINGS}
+    query = order_state.order_state_stream(source, str(tmp_path / "out"), str(tmp_path / "checkpoint"))
+    (store,) = query.lastProgress["stateOperators"]
+    assert "rocksdbPutCount" in store["customMetrics"]
+    assert {k: spark.conf.get(k, None) for k in order_state.SETTINGS} == before
+
+
+def test_checkpoint_made_before_goes_on(spark, feed, tmp_path, monkeypatch):
+    src, out, checkpoint = (str(tmp_path / name) for name in ("in", "out", "checkpoint"))
+    first, second = (changes.filter("ORDER_ID < 40") for changes in feed[:2])
+    first.write.parquet(src)
+    source = jobs.change_source(spark, src, feed[0].schema)
+    with monkeypatch.context() as m:  # entries in the executor's memory, as plain text
+        m.setattr(order_state, "SETTINGS", {})
+        m.setattr(order_state, "entry_text", lambda held: json.dumps({k: json.dumps(v) for k, v in held.items()}))
+        order_state.order_state_stream(source, out, checkpoint)
+    second.write.mode("append").parquet(src)
+    order_state.order_state_stream(jobs.change_source(spark, src, feed[0].schema), out, checkpoint)
+    history = scd2_from_log(order_images(first.unionByName(second)), "ORDER_ID")
+    assert as_rows(order_state.read_history(spark, out).select(*history.columns)) == as_rows(history)
