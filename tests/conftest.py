@@ -2,6 +2,7 @@ import os
 import sys
 
 import pytest
+from pyspark.sql import SparkSession
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
@@ -16,6 +17,15 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="module", autouse=True)
+def nothing_stays_cached():
+    """What a module caches would stand in the plans that the next one looks at."""
+    yield
+    session = SparkSession.getActiveSession()
+    if session is not None:
+        session.catalog.clearCache()
+
+
 @pytest.fixture(scope="session")
 def small():
     return "/root/testdata/sf0.001"
